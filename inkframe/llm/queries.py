@@ -15,6 +15,41 @@ def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_groups(_table(spark, sf_dir, "documents"), words=3, similarity=(90, 100))
 
 
+def _tokenizer(name: str) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op4_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .token_store import token_store
+
+    return token_store(_table(spark, sf_dir, "documents"), _tokenizer("byte_bpe_50k.json"), end_id=2).drop("file")
+
+
+def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .token_counts import token_counts
+
+    return token_counts(_table(spark, sf_dir, "documents"), _tokenizer("word_bpe_49k.json"), limit=2048)
+
+
+def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .decontaminate import contamination
+
+    found = contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), size=10)
+    return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
+
+
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .language_id import language_id
+
+    return language_id(_table(spark, sf_dir, "documents")).select("doc_id", "held_out", "lang_pred", "score")
+
+
 QUERIES = {
+    "op6_decontaminate": op6_decontaminate,
+    "op9_language_id": op9_language_id,
+    "op4_token_store": op4_token_store,
+    "op5_token_counts": op5_token_counts,
     "op2_jaccard_join": op2_jaccard_join,
 }
