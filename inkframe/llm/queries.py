@@ -46,7 +46,28 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id(_table(spark, sf_dir, "documents")).select("doc_id", "held_out", "lang_pred", "score")
 
 
+def op1_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .mixing import plan_mix
+
+    return plan_mix(_table(spark, sf_dir, "documents"), entropy=0.95, repeats=4.0)
+
+
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .toxicity import toxicity
+
+    return toxicity(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+def op8_knn_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .knn_join import knn_join
+
+    return knn_join(_table(spark, sf_dir, "embeddings"), every=50, k=5)
+
+
 QUERIES = {
+    "op1_source_mixing": op1_source_mixing,
+    "op7_toxicity": op7_toxicity,
+    "op8_knn_join": op8_knn_join,
     "op6_decontaminate": op6_decontaminate,
     "op9_language_id": op9_language_id,
     "op4_token_store": op4_token_store,

@@ -234,7 +234,7 @@ def write_tokens(docs: DataFrame, folder: str, tokenizer: str, end_id: int, scra
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     dealt = rows.repartitionByRange("doc_id", F.xxhash64("text")).sortWithinPartitions("doc_id", F.xxhash64("text"), "text")
-    return scratch.write(dealt.mapInArrow(_written(folder, tokenizer, end_id), "shard int, file string, n_docs long, n_ids long"), "manifest")
+    return scratch.write(dealt.mapInArrow(_written(folder, tokenizer, end_id), "shard long, file string, n_docs long, n_ids long"), "manifest")
 
 
 def read_tokens(manifest: DataFrame) -> DataFrame:
