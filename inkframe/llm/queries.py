@@ -64,7 +64,14 @@ def op8_knn_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return knn_join(_table(spark, sf_dir, "embeddings"), every=50, k=5)
 
 
+def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .suffix_dedup import repeated_strings
+
+    return repeated_strings(_table(spark, sf_dir, "documents"), length=400).drop("spans")
+
+
 QUERIES = {
+    "op3_suffix_dedup": op3_suffix_dedup,
     "op1_source_mixing": op1_source_mixing,
     "op7_toxicity": op7_toxicity,
     "op8_knn_join": op8_knn_join,
