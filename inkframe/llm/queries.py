@@ -15,7 +15,7 @@ def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_groups(_table(spark, sf_dir, "documents"), words=3, similarity=(90, 100))
 
 
-def _tokenizer(name: str) -> str:
+def tokenizer_path(name: str) -> str:
     import public_tokenizers
 
     return public_tokenizers.path(name)
@@ -24,13 +24,13 @@ def _tokenizer(name: str) -> str:
 def op4_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .token_store import token_store
 
-    return token_store(_table(spark, sf_dir, "documents"), _tokenizer("byte_bpe_50k.json"), end_id=2).drop("file")
+    return token_store(_table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"), end_id=2).drop("file")
 
 
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .token_counts import token_counts
 
-    return token_counts(_table(spark, sf_dir, "documents"), _tokenizer("word_bpe_49k.json"), limit=2048)
+    return token_counts(_table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"), limit=2048)
 
 
 def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -70,7 +70,19 @@ def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeated_strings(_table(spark, sf_dir, "documents"), length=400).drop("spans")
 
 
+def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as files of a tree: source / group of 1000 / group of 50, the first of each 50 as its LICENSE file."""
+    from pyspark.sql import functions as F
+
+    from .license_scan import license_scan
+
+    name = F.when(F.col("doc_id") % 50 == 0, "LICENSE").otherwise(F.concat(F.col("doc_id").cast("string"), F.lit(".txt")))
+    path = F.concat_ws("/", "source", F.floor(F.col("doc_id") / 1000).cast("string"), F.when(F.col("doc_id") % 100 < 50, F.floor(F.col("doc_id") / 100).cast("string")), name)
+    return license_scan(_table(spark, sf_dir, "documents").select("doc_id", "text", path.alias("path")), threshold=0.6)
+
+
 QUERIES = {
+    "op10_license_scan": op10_license_scan,
     "op3_suffix_dedup": op3_suffix_dedup,
     "op1_source_mixing": op1_source_mixing,
     "op7_toxicity": op7_toxicity,
