@@ -93,3 +93,6 @@ QUERIES = {
     "op5_token_counts": op5_token_counts,
     "op2_jaccard_join": op2_jaccard_join,
 }
+
+#: DuckDB SQL by query name; what SQL cannot express is tested against brute force.
+ORACLE: dict[str, str] = {}
