@@ -97,7 +97,7 @@ def license_scan(files: DataFrame, templates: dict[str, str] | None = None, thre
     extra = [c for c in files.columns if c not in made | {"path", "text"}]
     text = F.col("text").cast("string")
     name = F.element_at(F.split(F.col("path").cast("string"), "/"), -1)
-    base = files.select(*extra, F.col("path").cast("string").alias("path"), text.alias("text"), F.coalesce(name.rlike(is_licence_file), F.lit(False)).alias("is_file"))
+    base = files.select(F.struct(F.lit(0), *extra).alias("extra"), F.col("path").cast("string").alias("path"), text.alias("text"), F.coalesce(name.rlike(is_licence_file), F.lit(False)).alias("is_file"))
     # equal files have equal results, so that a row's key need not be its own
     base = base.withColumn("row", F.struct(F.xxhash64("path", "text"), F.hash("path", "text")))
     found = scratch.write(scan(base.select("row", "path", "text", "is_file"), templates or TEMPLATES, threshold), "found")
@@ -109,4 +109,4 @@ def license_scan(files: DataFrame, templates: dict[str, str] | None = None, thre
     near = chain.join(granted, "above").groupBy("dir").agg(F.max(F.struct("level", "above", "granted")).alias("n"))
     out = placed.join(near, "dir", "left")
     taken = F.col("licence").isNull()
-    return out.select(*extra, "path", F.col("licence").alias("own_license"), F.col("score").alias("own_score"), F.coalesce("licence", F.col("n.granted")).alias("license"), F.when(taken, F.col("n.above")).alias("inherited_from"), F.when(taken, F.col("n.level")).cast("int").alias("depth"))
+    return out.select(*[F.col("extra").getField(c).alias(c) for c in extra], "path", F.col("licence").alias("own_license"), F.col("score").alias("own_score"), F.coalesce("licence", F.col("n.granted")).alias("license"), F.when(taken, F.col("n.above")).alias("inherited_from"), F.when(taken, F.col("n.level")).cast("int").alias("depth"))
