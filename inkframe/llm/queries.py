@@ -12,7 +12,8 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .jaccard_join import jaccard_groups
 
-    return jaccard_groups(_table(spark, sf_dir, "documents"), words=3, similarity=(90, 100))
+    groups = jaccard_groups(_table(spark, sf_dir, "documents"), words=3, similarity=(90, 100))
+    return groups.select("doc_id", "n_shingles", "component_id")
 
 
 def tokenizer_path(name: str) -> str:
@@ -94,5 +95,34 @@ QUERIES = {
     "op2_jaccard_join": op2_jaccard_join,
 }
 
+_LOWER = "translate(coalesce({0}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
 #: DuckDB SQL by query name; what SQL cannot express is tested against brute force.
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op2_jaccard_join": f"""
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all({_LOWER.format("text")}, '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, array_to_string(CASE WHEN len(w) < 3 THEN w ELSE w[i : i + 2] END, ' ') AS s FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 2, least(len(w), 1)) + 1)) AS i FROM w)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS same FROM s a JOIN s b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY ALL),
+e AS (SELECT a, b FROM p JOIN n x ON a = x.doc_id JOIN n y ON b = y.doc_id WHERE 100 * same >= 90 * (x.n + y.n - same)),
+u AS (SELECT a, b FROM e UNION SELECT b, a FROM e),
+r(a, b) AS (SELECT a, b FROM u UNION SELECT r.a, u.b FROM r JOIN u ON r.b = u.a)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, least(d.doc_id, coalesce(m.m, d.doc_id)) AS component_id
+FROM documents d LEFT JOIN n USING (doc_id) LEFT JOIN (SELECT a AS doc_id, min(b) AS m FROM r GROUP BY a) m USING (doc_id)""",
+    "op6_decontaminate": f"""
+WITH d AS (SELECT doc_id, regexp_extract_all({_LOWER.format("text")}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+i AS (SELECT item_id, regexp_extract_all({_LOWER.format("text")}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+k AS (SELECT item_id, w, least(10, len(w)) AS size FROM i WHERE len(w) > 0),
+p AS (SELECT DISTINCT item_id, size, array_to_string(w[j : j + size - 1], ' ') AS win FROM (SELECT *, unnest(range(1, len(w) - size + 2)) AS j FROM k)),
+x AS (SELECT doc_id, size, j, array_to_string(w[j : j + size - 1], ' ') AS win FROM (SELECT doc_id, w, size, unnest(range(1, len(w) - size + 2)) AS j FROM d CROSS JOIN (SELECT DISTINCT size FROM p))),
+h AS (SELECT doc_id, j, size, item_id FROM x JOIN p USING (size, win)),
+c AS (SELECT doc_id, count(DISTINCT o) AS n FROM (SELECT doc_id, unnest(range(j, j + size)) AS o FROM h) GROUP BY doc_id),
+t AS (SELECT doc_id, count(*) AS n, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM h) GROUP BY doc_id)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(c.n, 0) AS n_hit, coalesce(t.n, 0) AS n_items, sha256(coalesce(t.items, '')) AS items_sha256, coalesce(c.n, 0) > 0 AS contaminated
+FROM d LEFT JOIN c USING (doc_id) LEFT JOIN t USING (doc_id)""",
+    "op8_knn_join": """
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS e FROM embeddings
+ WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT q.vec_id AS query_id, x.vec_id, list_sum(list_transform(list_zip(q.e, x.e), lambda p: p[1] * p[2])) AS score FROM v q JOIN v x ON q.vec_id <> x.vec_id WHERE q.vec_id % 50 = 0)
+SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INT) AS rank, vec_id, CAST(score AS BIGINT) AS score FROM s QUALIFY rank <= 5""",
+}

@@ -157,7 +157,7 @@ class ToxicityModel:
         self.calibration = logistic(self._summary(texts), y)
 
     def _features(self, words: list[list[int]]) -> np.ndarray:
-        return kernel(words, self.landmarks) @ self.whiten
+        return np.vstack([kernel(words[i : i + 1000], self.landmarks) @ self.whiten for i in range(0, len(words), 1000)])
 
     def _fold(self, w: np.ndarray) -> None:
         self.weights, self.bias = self.landmarks.T.astype(np.float64) @ (self.whiten @ w[:-1]), w[-1]
@@ -166,11 +166,11 @@ class ToxicityModel:
     def margins(self, words: list[str]) -> np.ndarray:
         """SVM margin of each word; -2 without letters."""
         out = np.full(len(words), -2.0)
-        for i in range(0, len(words), 20_000):
-            coded = [codes(w) for w in words[i : i + 20_000]]
+        for i in range(0, len(words), 5_000):
+            coded = [codes(w) for w in words[i : i + 5_000]]
             word, sub, weight = subsequences(coded)
             some = np.array([bool(c) for c in coded])
-            out[i : i + 20_000][some] = (np.bincount(word, weight * self.weights[sub], minlength=len(coded)) + self.bias)[some]
+            out[i : i + 5_000][some] = (np.bincount(word, weight * self.weights[sub], minlength=len(coded)) + self.bias)[some]
         return out
 
     def _summary(self, texts: list[str]) -> np.ndarray:
