@@ -97,8 +97,55 @@ QUERIES = {
 
 _LOWER = "translate(coalesce({0}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
+def _bag(c: str) -> str:
+    return f"list_filter(list_transform(string_split_regex(lower({c}), '[^a-z0-9.]+'), lambda w: regexp_replace(w, '^[.]+|[.]+$', '', 'g')), lambda w: w <> '')"
+
+
+def _licence_sql() -> str:
+    from .license_scan import TEMPLATES
+
+    listed = ", ".join(f"('{n}', '{t}')" for n, t in TEMPLATES.items())
+    return f"""
+WITH f AS (SELECT doc_id, text, concat_ws('/', source, CAST(doc_id // 1000 AS VARCHAR), CASE WHEN doc_id % 100 < 50 THEN CAST(doc_id // 100 AS VARCHAR) END, CASE WHEN doc_id % 50 = 0 THEN 'LICENSE' ELSE doc_id || '.txt' END) AS path FROM documents),
+b AS (SELECT name, unnest({_bag("t")}) AS term FROM (VALUES {listed}) v(name, t)),
+n AS (SELECT count(*) AS n FROM f), fw AS (SELECT DISTINCT doc_id, unnest({_bag("coalesce(text, '')")}) AS term FROM f),
+idf AS (SELECT term, round(ln((max(n) + 1) / (count(doc_id) + 1)) + 1, 9) AS idf FROM (SELECT DISTINCT term FROM b) LEFT JOIN fw USING (term) CROSS JOIN n GROUP BY term),
+tw AS (SELECT name, term, count(*) * any_value(idf) AS w FROM b JOIN idf USING (term) GROUP BY name, term),
+ts AS (SELECT name, sqrt(sum(w * w)) AS size FROM tw GROUP BY name),
+l AS (SELECT doc_id, unnest(u) AS line, generate_subscripts(u, 1) AS at_ FROM (SELECT doc_id, list_concat(string_split(text, chr(10)), CASE WHEN doc_id % 50 = 0 THEN [text] ELSE [] END) AS u FROM f)),
+c AS (SELECT doc_id, at_, term, count(*) * any_value(coalesce(idf, u)) AS w FROM (SELECT doc_id, at_, unnest({_bag("line")}) AS term FROM l) LEFT JOIN idf USING (term) CROSS JOIN (SELECT round(ln(n + 1) + 1, 9) AS u FROM n) GROUP BY doc_id, at_, term),
+m AS (SELECT doc_id, at_, sqrt(sum(w * w)) AS norm FROM c GROUP BY doc_id, at_),
+s AS (SELECT doc_id, name, round(sum(c.w * tw.w / size) / any_value(norm), 6) AS score FROM c JOIN tw USING (term) JOIN ts USING (name) JOIN m USING (doc_id, at_) GROUP BY doc_id, at_, name),
+o AS (SELECT doc_id, arg_min(name, (-score, name)) AS own, max(score) AS own_score FROM s WHERE score >= 0.6 GROUP BY doc_id),
+p AS (SELECT f.*, own, own_score, regexp_replace(path, '/?[^/]*$', '') AS dir FROM f LEFT JOIN o USING (doc_id)),
+g AS (SELECT dir AS above, arg_min(own, (-own_score, own)) AS granted FROM p WHERE doc_id % 50 = 0 AND own IS NOT NULL GROUP BY dir),
+h AS (SELECT dir, level, array_to_string(string_split(dir, '/')[1 : level], '/') AS above FROM (SELECT DISTINCT dir, unnest(range(1, len(string_split(dir, '/')) + 1)) AS level FROM p)),
+r AS (SELECT dir, arg_max(granted, level) AS granted, arg_max(above, level) AS above, max(level) AS level FROM h JOIN g USING (above) GROUP BY dir)
+SELECT doc_id, path, own AS own_license, own_score, coalesce(own, granted) AS license, CASE WHEN own IS NULL THEN above END AS inherited_from, CAST(CASE WHEN own IS NULL THEN level END AS INT) AS depth FROM p LEFT JOIN r USING (dir)"""
+
+
 #: DuckDB SQL by query name; what SQL cannot express is tested against brute force.
 ORACLE: dict[str, str] = {
+    "op10_license_scan": _licence_sql(),
+    "op1_source_mixing": """
+WITH RECURSIVE r AS (SELECT doc_id, source, CASE WHEN source IS NULL THEN '-' ELSE '+' || source END AS key, CAST(len(regexp_extract_all(coalesce(text, ''), '[^ \\t\\n\\x0B\\f\\r]+')) AS BIGINT) AS n_tokens,
+ CAST('0x' || substr(md5('mix|' || coalesce(CAST(doc_id AS VARCHAR), 'null')), 1, 12) AS BIGINT) AS h1, CAST('0x' || substr(md5('mix|doc|' || coalesce(CAST(doc_id AS VARCHAR), 'null')), 1, 12) AS BIGINT) AS h2 FROM documents),
+t AS (SELECT key, CAST(sum(n_tokens) AS BIGINT) AS tokens FROM r GROUP BY key),
+c AS (SELECT CAST(max(tokens) AS DOUBLE) AS mx, CAST(min(tokens) FILTER (tokens > 0) AS DOUBLE) AS mn, CAST(sum(tokens) AS DOUBLE) AS b, list(tokens / CAST((SELECT max(tokens) FROM t) AS DOUBLE)) FILTER (tokens > 0) AS l FROM t),
+s(i, lo, hi, flo, fhi) AS (SELECT 0, 0.0::DOUBLE, 1.0::DOUBLE, 0.0::DOUBLE, 1.0::DOUBLE UNION ALL
+ SELECT i + 1, CASE WHEN e THEN m ELSE lo END, CASE WHEN e THEN hi ELSE m END, CASE WHEN f THEN fm ELSE flo END, CASE WHEN f THEN fhi ELSE fm END FROM (
+ SELECT *, ln(list_sum(list_transform(l, lambda x: pow(x, m)))) - m * list_sum(list_transform(l, lambda x: pow(x, m) * ln(x))) / list_sum(list_transform(l, lambda x: pow(x, m))) >= 0.95 * ln(len(l)) AS e,
+  b * pow(mn / mx, fm) / list_sum(list_transform(l, lambda x: pow(x, fm))) / mn > 4.0 AS f FROM (SELECT *, (lo + hi) / 2 AS m, (flo + fhi) / 2 AS fm FROM s, c WHERE i < 45))),
+a AS (SELECT CASE WHEN mx = mn THEN 1.0 ELSE round(greatest(CASE WHEN hi = 1.0 THEN 1.0 ELSE lo END, CASE WHEN flo = 0.0 THEN 0.0 ELSE flo END), 6) END AS a, mx, b FROM s, c WHERE i = 45),
+w AS (SELECT key, tokens, CASE WHEN tokens > 0 THEN pow(tokens / mx, a) ELSE 0 END AS p, b FROM t, a),
+q AS (SELECT key, tokens, round(p / (SELECT sum(p) FROM w), 9) AS weight, b, greatest(1, CAST(ceil(tokens / 262144.0) AS BIGINT)) AS blocks FROM w),
+d AS (SELECT r.*, weight, h1 % blocks AS block, tokens, CAST(floor(weight * b + 0.5) AS BIGINT) AS quota FROM r JOIN q USING (key)),
+k AS (SELECT key, block, sum(n_tokens) AS bt, any_value(tokens) AS tokens, any_value(quota) AS quota FROM d GROUP BY key, block),
+o AS (SELECT *, row_number() OVER v AS block_rank, coalesce(sum(bt) OVER (PARTITION BY key ORDER BY md5('mix|' || key || '|' || block), block ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM k WINDOW v AS (PARTITION BY key ORDER BY md5('mix|' || key || '|' || block), block)),
+u AS (SELECT d.*, sum(n_tokens) OVER (PARTITION BY key, block ORDER BY h2, doc_id, n_tokens ROWS UNBOUNDED PRECEDING) AS upto FROM d)
+SELECT u.doc_id, u.source, u.n_tokens, u.weight, u.block, CAST(block_rank AS INT) AS block_rank,
+ CAST(CASE WHEN u.tokens > 0 THEN u.quota // u.tokens ELSE 1 END + CASE WHEN u.tokens > 0 AND u.quota % u.tokens > 0 AND before + upto <= u.quota % u.tokens THEN 1 ELSE 0 END AS BIGINT) AS copies
+FROM u JOIN o USING (key, block)""",
     "op2_jaccard_join": f"""
 WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all({_LOWER.format("text")}, '[^\x20\x09-\x0D]+') AS w FROM documents),
 s AS (SELECT DISTINCT doc_id, array_to_string(CASE WHEN len(w) < 3 THEN w ELSE w[i : i + 2] END, ' ') AS s FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 2, least(len(w), 1)) + 1)) AS i FROM w)),
