@@ -75,3 +75,12 @@ TOOL_SCHEMAS = [
     {"name": "read_frame_text", "description": "All text of one frame, in reading order.", "parameters": {"type": "object", "properties": {"video_id": {"type": "string"}, "frame_idx": {"type": "integer"}}, "required": ["video_id", "frame_idx"]}},
     {"name": "inspect_roi", "description": "Text of a frame inside a region.", "parameters": {"type": "object", "properties": {"video_id": {"type": "string"}, "frame_idx": {"type": "integer"}, "roi": {"type": "array", "items": {"type": "number"}}}, "required": ["video_id", "frame_idx", "roi"]}},
 ]
+
+
+def quality_ratios(records: DataFrame) -> DataFrame:
+    """Shares of records with Vietnamese letters, with a frame id, and with a time stamp that fits the frame index."""
+    from ..functions.text import is_vietnamese
+
+    one = lambda c: F.avg(F.when(c, 1.0).otherwise(0.0))
+    good_time = (F.col("timestamp") >= 0) & ((F.col("frame_idx") == 0) | (F.col("timestamp") > 0))
+    return records.agg(F.count("*").alias("records"), one(is_vietnamese(F.col("text"))).alias("vietnamese"), one(F.coalesce(F.col("frame_id"), F.lit("")) != "").alias("with_id"), one(good_time).alias("with_time"))

@@ -136,3 +136,33 @@ def payloads(hits: DataFrame) -> DataFrame:
     frame = F.concat_ws(", ", "video_id", F.col("frame_idx").cast("string"))
     answer = F.coalesce(F.get("entities", F.lit(0)).value, F.col("text"))
     return hits.withColumns({"submission_kis": frame, "submission_qa": F.concat_ws(", ", frame, answer), "submission_trake": frame})
+
+
+def compact(hits: DataFrame) -> DataFrame:
+    """Nine columns of a hit, as tools return them."""
+    return hits.select("qid", "rank", "video_id", "frame_idx", F.col("text").alias("detected_text"), "confidence", "score", "entities", "submission_kis")
+
+
+def result_table(hits: DataFrame, most: int = 20, width: int = 23) -> DataFrame:
+    """What a console shows of the first hits: long texts cut."""
+    text = F.when(F.length("text") > width, F.concat(F.substring("text", 1, width), F.lit("..."))).otherwise(F.col("text"))
+    return hits.where(F.col("rank") <= most).select("qid", "rank", "video_id", "frame_idx", text.alias("text"), "score")
+
+
+def fuzzy_terms(index: DataFrame, words: list[str], most: int = 2) -> DataFrame:
+    """Terms of an index within an edit distance of words: word, term, distance, n (records that hold the term)."""
+    df = index.groupBy("term").agg(F.count_distinct("id").alias("n"))
+    wanted = F.explode(F.array(*[F.lit(w) for w in words])).alias("word")
+    near = df.select("term", "n", wanted).where(F.abs(F.length("term") - F.length("word")) <= most)
+    return near.withColumn("distance", F.levenshtein("word", "term", most)).where("distance >= 0").select("word", "term", "distance", "n")
+
+
+def parse_query(line: str) -> dict:
+    """`words --video ID --entity TYPE` as the arguments of search."""
+    head, *options = line.split("--")
+    out = {"query": head.strip(), "video_id": None, "entity_type": None}
+    for option in options:
+        name, _, value = option.strip().partition(" ")
+        if name in ("video", "entity") and value.strip():
+            out["video_id" if name == "video" else "entity_type"] = value.strip()
+    return out

@@ -311,6 +311,20 @@ def tracks_greedy(spark, t):
     return R.greedy_tracks(_detections(t)).drop("entities")
 
 
+@query(RECORDS_SQL + " SELECT count(*) AS records, avg(CASE WHEN length(regexp_replace(lower(text), '[^" + X.LOWER_MARKED + "]', '', 'g')) > 0 THEN 1.0 ELSE 0.0 END) AS vietnamese, 1.0::DOUBLE AS with_id, avg(CASE WHEN frame_idx = 0 OR ts > 0 THEN 1.0 ELSE 0.0 END) AS with_time FROM r")
+def quality_ratios(spark, t):
+    """A13."""
+    return D.quality_ratios(_records(t))
+
+
+@query("""WITH t AS (SELECT DISTINCT doc_id, unnest(string_split_regex(translate(lower(text), """ + _quoted(Q.FOLDED) + ", " + _quoted(Q.BASE) + """), '[^\\p{L}\\p{N}\\p{Co}]+')) AS term FROM documents), d AS (SELECT term, count(*) AS n FROM t WHERE term <> '' GROUP BY term)
+SELECT word, term, CAST(levenshtein(word, term) AS INT) AS distance, n FROM d CROSS JOIN (VALUES ('therin'), ('queaux'), ('schtz')) v(word) WHERE levenshtein(word, term) <= 1""")
+def fuzzy_terms(spark, t):
+    """Terms within an edit of words."""
+    rows = t("documents").select(F.col("doc_id").alias("id"), F.explode(Q.terms(F.col("text"))).alias("term"))
+    return Q.fuzzy_terms(rows, ["therin", "queaux", "schtz"], 1)
+
+
 @query("SELECT 'V' || conv_id AS video_id, CAST(turn // 2 * 75 AS BIGINT) AS frame_start, CAST(turn // 2 * 75 AS BIGINT) AS frame_end, CAST(1 AS BIGINT) AS occurrences, text FROM conversations")
 def tracks_disabled(spark, t):
     """2.9 with merging off: a record per detection."""

@@ -63,3 +63,18 @@ def test_readers(spark, tmp_path):
     (tmp_path / "log.jsonl").write_text('{"video_id": "V", "frame_idx": 3}\n\n{"video_id": "W"}\n')
     assert readers.checkpoint_records(spark, str(tmp_path / "log.jsonl")).count() == 2
     assert readers.benchmark_queries(spark).count() == 4
+
+
+def test_tools(spark):
+    from inkframe.functions import text as X
+    from inkframe.operators import search as Q
+    from inkframe.operators.tools import SceneTextTools
+
+    rows = records(spark).withColumn("confidence", F.lit(0.9)).withColumn("text", F.coalesce("text", F.lit(""))).withColumn("text_unsigned", X.to_unsigned(F.col("text")))
+    tools = SceneTextTools(rows)
+    hit = tools.search_ocr_text("pho thin")[0]
+    assert hit["video_id"] == "V" and hit["submission_kis"] == "V, 500" and hit["detected_text"] == "QUÁN PHỞ THÌN 60k"
+    assert tools.read_frame_text("V", 500)["total"] == 3 and tools.read_frame_text("V", 1)["total"] == 0
+    assert tools.inspect_roi("V", 500, [0, 0, 0.5, 0.8]).endswith("60k") and tools.inspect_roi("V", 500, [0.7, 0.7, 0.9, 0.9]) == ""
+    assert len(tools.extract_entities_in_video("V", "PRICE")) == 3 and len(tools.get_tool_schemas()) == 3
+    assert Q.parse_query("com tam --video V1 --entity PRICE") == {"query": "com tam", "video_id": "V1", "entity_type": "PRICE"}
