@@ -24,30 +24,71 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import regex
 import zstandard
 from pyarrow import fs
 from pyspark.sql import DataFrame, Window, functions as F
 
-from .hashing import chunks
+from .hashing import U, byte_table, chunks, mix, powers, prefix_sums, text_buffers
 from .scratch import Scratch
 
 MAGIC = b"INKPLN01"
 BLOCK = 1 << 16
-CACHED = 200_000
-#: Fixed value: the split pattern of the byte-level pre-tokenizer.
-SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-#: The same for texts below U+0250 without the separators U+001C to U+001F, on which libraries differ.
-_L, _N = "a-zA-Zªµº\xc0-\xd6\xd8-\xf6\xf8-ɏ", "0-9²³¹¼½¾"
-LATIN = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{_L}]+| ?[{_N}]+| ?[^\s{_L}{_N}]+|\s+(?!\S)|\s+")
-OUTSIDE = re.compile("[^\x00-\x1b\x20-ɏ]")
+#: Slots of an encoder's cache, and the longest entry it keeps.
+SLOTS, WIDEST = 1 << 19, 12
+#: Classes of bytes: 0 white space, 1 letter (every byte of a letter beyond ASCII counts), 2 digit, 3 other.
+_CLASS = np.full(256, 3, np.uint8)
+_CLASS[[9, 10, 11, 12, 13, 32]] = 0
+_CLASS[65:91] = _CLASS[97:123] = _CLASS[128:] = 1
+_CLASS[48:58] = 2
+#: Bytes that only texts have which go to the library whole: U+001C to U+001F, U+0080 to U+00BF, U+0250 and above.
+_ODD = np.zeros(256, bool)
+_ODD[28:32] = _ODD[0xC2] = _ODD[0xCA:] = True
+_TABLE = byte_table(fold_case=False)
+#: Endings that split off after an apostrophe, by their first letter.
+_ENDS_ALONE, _ENDS_PAIRED = b"stmd", (b"re", b"ve", b"ll")
+
+
+def split_tokens(data: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """First bytes of the pre-tokens of texts without odd bytes.
+
+    These are runs of one class. Of the white space before another run the last character stands apart: a space
+    belongs to that run, another character is a pre-token. An apostrophe without such a space takes its ending.
+    """
+    n = len(data)
+    kind = _CLASS[data]
+    edge = np.zeros(n + 4, bool)
+    edge[at[:-1][at[:-1] < n]] = True
+    start = edge[:n].copy()
+    start[1:] |= kind[1:] != kind[:-1]
+    after = np.flatnonzero(start[1:] & ~edge[1:n] & (kind[1:] != 0) & (kind[:-1] == 0)) + 1
+    start[after - 1] = True
+    start[after[data[after - 1] == 32]] = False
+    q = np.flatnonzero((data == 39) & start)
+    q = q[q + 1 < n]
+    q = q[(kind[q + 1] == 1) & ~edge[q + 1]]
+    if len(q):
+        wide = np.concatenate([data, np.zeros(4, np.uint8)])
+        letter = np.concatenate([kind, np.zeros(4, np.uint8)]) == 1
+        one = np.isin(wide[q + 1], np.frombuffer(_ENDS_ALONE, np.uint8))
+        two = np.zeros(len(q), bool)
+        for a, b in _ENDS_PAIRED:
+            two |= (wide[q + 1] == a) & (wide[q + 2] == b)
+        two &= ~edge[q + 2]
+        for some, size in ((q[one], 1), (q[two], 2)):
+            start[some + 1] = False
+            rest = some + 1 + size
+            rest = rest[letter[rest] & ~edge[rest]]
+            start[rest] = True
+    return np.flatnonzero(start)
 
 
 class Encoder:
-    """Ids of texts by a tokenizers file. The library encodes each distinct pre-token once; others come from a bounded cache.
+    """Ids of texts by a tokenizers file. The library encodes pre-tokens that a table of recent ones does not hold.
 
-    Byte-level BPE treats pre-tokens on their own, so a text's ids are those of its pre-tokens in turn. Texts
-    with special strings, or with characters on which pattern libraries may differ, go to the library whole.
+    Byte-level BPE treats pre-tokens on their own, so a text's ids are those of its pre-tokens in turn. Pre-tokens
+    are found and looked up by 64-bit hash as arrays. The table has one place for each hash, which the last comer
+    takes. Texts with special strings, or with characters on which pattern libraries may differ, go to the
+    library whole.
     """
 
     def __init__(self, path: str):
@@ -56,48 +97,113 @@ class Encoder:
         self.library = Tokenizer.from_file(path)
         spec = json.load(open(path, encoding="utf-8"))
         self.by_parts = spec.get("normalizer") is None and spec["pre_tokenizer"] == {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": True}
-        self.special = [t["content"] for t in spec["added_tokens"]]
+        self.special = [t["content"].encode() for t in spec["added_tokens"]]
         vocab = spec["model"]["vocab"]
         self.widths = np.zeros(max(vocab.values()) + 1, np.int64)  # bytes of each id: one symbol stands for one byte
         self.widths[list(vocab.values())] = [len(t) for t in vocab]
-        self.cache: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
-
-    def _learn(self, words: list[str]) -> None:
-        """Add words to the cache. Runs of letters after a space are encoded many at a time: joined, they split where they were joined."""
-        apart = []
-        joined = []
-        for w in words:
-            (joined if w[0] == " " and w[1:].isalpha() else apart).append(w)
+        self.keys = np.zeros(SLOTS, U)
+        self.sizes = np.zeros(SLOTS, np.uint8)
+        self.rows = np.zeros((SLOTS, WIDEST), "<u4")
+
+    def learn(self, words: list[bytes]) -> list[np.ndarray]:
+        """Ids of pre-tokens. Runs of letters after a space are encoded many at a time: joined, they split where they were joined."""
+        out: list[np.ndarray] = [None] * len(words)  # type: ignore[list-item]
+        apart, joined = [], []
+        for i, w in enumerate(words):
+            (joined if w[0] == 32 and _CLASS[w[-1]] == 1 and len(w) > 1 and _CLASS[w[1]] == 1 else apart).append(i)
         groups = [joined[i : i + 2000] for i in range(0, len(joined), 2000)]
-        found = self.library.encode_batch_fast(["".join(g) for g in groups], add_special_tokens=False)
+        found = self.library.encode_batch_fast([b"".join([words[i] for i in g]).decode() for g in groups], add_special_tokens=False)
         for group, e in zip(groups, found, strict=True):
             ids = np.array(e.ids, "<u4")
-            ends = np.cumsum([len(w.encode()) for w in group])
-            cuts = 4 * (np.searchsorted(np.cumsum(self.widths[ids]), ends) + 1)
-            raw, at = ids.tobytes(), 0
-            for w, to in zip(group, cuts.tolist(), strict=True):
-                self.cache[w], at = raw[at:to], to
-        for i in range(0, len(apart), 2000):
-            some = apart[i : i + 2000]
-            for w, e in zip(some, self.library.encode_batch_fast(some, add_special_tokens=False), strict=True):
-                self.cache[w] = np.array(e.ids, "<u4").tobytes()
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """Ids of each text as little-endian unsigned 32-bit integers."""
-        parts = [LATIN.findall(t) if self.by_parts and not OUTSIDE.search(t) and not any(s in t for s in self.special) else None for t in texts]
-        new = set().union(*(p for p in parts if p is not None))
-        if len(self.cache) + len(new) > CACHED:
-            self.older, self.cache = self.cache, {}
-        new -= self.cache.keys()
-        again = new & self.older.keys()
-        self.cache.update((w, self.older[w]) for w in again)
-        self._learn(list(new - again))
-        known = self.cache.__getitem__
-        out = [b"" if p is None else b"".join(map(known, p)) for p in parts]
-        for i, p in enumerate(parts):
-            if p is None:
-                out[i] = np.array(self.library.encode(texts[i], add_special_tokens=False).ids, "<u4").tobytes()
+            ends = np.cumsum([len(words[i]) for i in group])
+            cuts, at = np.searchsorted(np.cumsum(self.widths[ids]), ends) + 1, 0
+            for i, to in zip(group, cuts.tolist(), strict=True):
+                out[i], at = ids[at:to], to
+        for k in range(0, len(apart), 2000):
+            some = apart[k : k + 2000]
+            for i, e in zip(some, self.library.encode_batch_fast([words[i].decode() for i in some], add_special_tokens=False), strict=True):
+                out[i] = np.array(e.ids, "<u4")
+        return out
+
+    def _by_parts(self, data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of texts one after the other, and where each text's begin."""
+        starts = split_tokens(data, at)
+        ends = np.append(starts[1:], len(data))
+        p = prefix_sums(data, _TABLE)
+        h = mix(mix((p[ends] - p[starts]) * powers(len(p))[1][starts]) + (ends - starts).astype(U))
+        slot = (h & U(SLOTS - 1)).astype(np.int64)
+        size = np.where(self.keys[slot] == h, self.sizes[slot], 0).astype(np.int64)
+        missing = np.flatnonzero(size == 0)
+        long: dict[int, np.ndarray] = {}
+        if len(missing):
+            _, first, where = np.unique(h[missing], return_index=True, return_inverse=True)
+            new = missing[first]
+            raw = data.tobytes()
+            found = self.learn([raw[a:b] for a, b in zip(starts[new].tolist(), ends[new].tolist(), strict=True)])
+            many = np.array([len(f) for f in found])
+            size[missing] = many[where]
+            fits = np.flatnonzero(many <= WIDEST)
+            # hits are read before newcomers take places
+            own = np.zeros((len(new), WIDEST), "<u4")
+            mask = np.arange(WIDEST) < many[fits, None]
+            block = np.zeros((len(fits), WIDEST), "<u4")
+            block[mask] = np.concatenate([found[i] for i in fits]) if len(fits) else []
+            own[fits] = block
+            rows = self.rows[slot]
+            rows[missing] = own[where]
+            for i in np.flatnonzero(many > WIDEST).tolist():
+                for t in missing[where == i].tolist():
+                    long[t] = found[i]
+            to = slot[new[fits]]
+            self.keys[to], self.sizes[to], self.rows[to] = h[new[fits]], many[fits], block
+            # two newcomers may claim one place; the key and the row must come from the same one
+            last = dict(zip(to.tolist(), fits.tolist(), strict=True))
+            if len(last) < len(to):
+                pick = np.array(list(last.values()))
+                to = slot[new[pick]]
+                self.keys[to], self.sizes[to], self.rows[to] = h[new[pick]], many[pick], own[pick]
+        else:
+            rows = self.rows[slot]
+        begin = np.cumsum(size) - size
+        out = np.empty(int(size.sum()), "<u4")
+        mask = np.arange(WIDEST) < np.where(size > WIDEST, 0, size)[:, None]
+        if long:
+            out[(begin[:, None] + np.arange(WIDEST))[mask]] = rows[mask]
+            for t, ids in long.items():
+                out[begin[t] : begin[t] + len(ids)] = ids
+        else:
+            out[:] = rows[mask]
+        place = np.append(begin, len(out))[np.searchsorted(starts, at)]
+        return out, place
+
+    def encode(self, col: pa.Array) -> list[bytes]:
+        """Ids of each text as little-endian unsigned 32-bit integers; null counts as empty."""
+        data, at = text_buffers(col)
+        odd = np.zeros(len(at) - 1, bool)
+        if self.by_parts:
+            raw = data.tobytes()
+            spots = [np.flatnonzero(_ODD[data])]
+            c3 = np.flatnonzero(data[:-1] == 0xC3) if len(data) else np.zeros(0, np.int64)
+            spots.append(c3[(data[c3 + 1] == 0x97) | (data[c3 + 1] == 0xB7)])
+            for s in self.special:
+                spots.append(np.array([m.start() for m in re.finditer(re.escape(s), raw)], np.int64))
+            odd[np.searchsorted(at, np.concatenate(spots), "right") - 1] = True
+        else:
+            odd[:] = True
+        out: list[bytes] = [b""] * len(odd)
+        plain = np.flatnonzero(~odd & (np.diff(at) > 0))
+        if len(plain):
+            size = np.diff(at)[plain]
+            ends = np.cumsum(size)
+            joined = data if len(plain) == len(odd) else np.concatenate([data[at[i] : at[i + 1]] for i in plain])
+            ids, place = self._by_parts(joined, np.append(0, ends))
+            for k, i in enumerate(plain.tolist()):
+                out[i] = ids[place[k] : place[k + 1]].tobytes()
+        whole = np.flatnonzero(odd).tolist()
+        if whole:
+            found = self.library.encode_batch_fast([data[at[i] : at[i + 1]].tobytes().decode() for i in whole], add_special_tokens=False)
+            for i, e in zip(whole, found, strict=True):
+                out[i] = np.array(e.ids, "<u4").tobytes()
         return out
 
 
@@ -194,7 +300,7 @@ def _written(folder: str, tokenizer: str, end_id: int):
                 if writer is None:
                     store.create_dir(root, recursive=True)
                     writer = ShardWriter(store.open_output_stream(f"{root}/{name}", compression=None))
-                ids = _ENCODERS[tokenizer].encode(part.column("text").fill_null("").to_pylist())
+                ids = _ENCODERS[tokenizer].encode(part.column("text"))
                 for doc, own in zip(part.column("doc_id").to_pylist(), ids, strict=True):
                     writer.add(doc, own + end)
         if writer is not None:
