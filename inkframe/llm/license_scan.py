@@ -67,7 +67,7 @@ def scan(files: DataFrame, templates: dict[str, str], threshold: float) -> DataF
             if w not in telling:
                 telling.add(w)
                 rest -= v[w] ** 2
-    any_of = "|".join(w.replace(".", "[.]") for w in sorted(telling)) or "(?!)"
+    any_of = "(?<![a-z0-9])(?:" + ("|".join(w.replace(".", "[.]") for w in sorted(telling)) or "(?!)") + ")(?![a-z0-9])"
     unit = F.concat(F.split("text", "\n"), F.when(F.col("is_file"), F.array("text")).otherwise(F.array().cast("array<string>")))
     lines = files.where(F.lower("text").rlike(any_of)).select("row", F.posexplode(unit).alias("at", "line")).where(F.lower("line").rlike(any_of))
     spark = files.sparkSession
