@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 
 U = np.uint64
-PIECE = 1 << 20
+PIECE = 1 << 18
 _BASE = 0x9E3779B97F4A7C15
 _powers: dict[str, np.ndarray] = {}
 

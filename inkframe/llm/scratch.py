@@ -15,6 +15,14 @@ from pyspark.sql import DataFrame, SparkSession
 from ..ship import ensure_shipped
 
 _OWN: list[str] = []
+#: Rows of an Arrow batch, unless the session sets its own number: texts are long, and a batch is held in both processes.
+BATCH_ROWS = 500
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def small_batches(spark: SparkSession) -> None:
+    if spark.conf.get(_BATCH, None) is None:
+        spark.conf.set(_BATCH, BATCH_ROWS)
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -32,6 +40,7 @@ class Scratch:
 
     def __init__(self, spark: SparkSession, name: str):
         ensure_shipped(spark)
+        small_batches(spark)
         self.spark = spark
         self.base = f"{shared_dir(spark)}/inkframe/{name}-{uuid.uuid4().hex}"
 

@@ -34,7 +34,7 @@ LENGTH, GRAM = 400, 256
 BATCHES = 4
 _TABLE = byte_table(fold_case=False)
 _LOW = U((1 << 24) - 1)
-_SEGMENT = 4 << 20
+_SEGMENT = 1 << 19
 
 
 def _segments(at: np.ndarray, length: int) -> Iterator[tuple[int, int, int]]:
@@ -98,7 +98,7 @@ def _indexed(length: int, gram: int):
                 for i, x in enumerate(th.tolist()):
                     if x not in seen:
                         fresh.append(i)
-                        if len(seen) < 1 << 20:
+                        if len(seen) < 1 << 17:
                             seen.add(x)
                 if not fresh:
                     continue

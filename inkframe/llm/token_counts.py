@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..ship import ensure_shipped
 from .hashing import chunks
+from .scratch import small_batches
 
 #: The parts of the tokenizer's split pattern, and the white space of Unicode.
 SUFFIXES = r"'s|'t|'re|'ve|'m|'ll|'d"
@@ -180,6 +181,7 @@ def token_counts(docs: DataFrame, tokenizer: str, limit: int = 2048) -> DataFram
     bounded by one slice of a batch and the cache.
     """
     ensure_shipped(docs.sparkSession)
+    small_batches(docs.sparkSession)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     counted = rows.mapInArrow(_counted(tokenizer), "doc_id long, n_bytes long, n_tokens long")
     return counted.withColumn("over_limit", F.col("n_tokens") > limit)
