@@ -18,7 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .hashing import U, chunks, text_buffers
+from .hashing import U, chunks, text_buffers, trimmed
 from .scratch import Scratch
 
 LANES = 4096
@@ -151,7 +151,7 @@ def _scanned(search):
                 flat = pa.array([[x for s in spans[i] for x in s] if i in spans else [] for i in k], pa.list_(pa.int64()))
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("key"), pa.array(n_words, pa.int64()), flat, pa.array([sorted(items[i]) if i in items else [] for i in k], pa.list_(pa.string()))], ["doc_id", "key", "n_words", "spans", "items"])
 
-    return run
+    return trimmed(run)
 
 
 def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -16,7 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .hashing import chunks, text_buffers
+from .hashing import chunks, text_buffers, trimmed
 from .scratch import Scratch
 
 WINDOW, WIDTHS, FILTERS = 256, (2, 3, 4), 12
@@ -166,7 +166,7 @@ def _predicted(model):
                     score = [float(min(1.0, p[b])) if k else 0.0 for p, b, k in zip(prob, best, known, strict=True)]
                 yield pa.RecordBatch.from_arrays([*part.drop_columns(["text"]).columns, pa.array(lang, pa.string()), pa.array(score, pa.float64())], [*part.drop_columns(["text"]).schema.names, "lang_pred", "score"])
 
-    return run
+    return trimmed(run)
 
 
 def predict_language(docs: DataFrame, model: ByteConvNet | None) -> DataFrame:

@@ -27,7 +27,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .hashing import U, byte_table, chunks, mix, powers, prefix_sums, text_buffers
+from .hashing import U, byte_table, chunks, mix, powers, prefix_sums, text_buffers, trimmed
 from .scratch import Scratch
 
 LENGTH, GRAM = 400, 256
@@ -107,7 +107,7 @@ def _indexed(length: int, gram: int):
                 k, pos, l0, l1, g, span = anchors(*text_buffers(part.column("text")), length, gram)
                 yield pa.RecordBatch.from_arrays([pa.array(th[k]), pa.array(pos), pa.array(l0.astype(np.int16)), pa.array(l1.astype(np.int16)), pa.array(g.view(np.int64)), pa.array(span.view(np.int64))], ["th", "pos", "l0", "l1", "gram", "span"])
 
-    return run
+    return trimmed(run)
 
 
 class SuffixIndexFamily:
@@ -169,7 +169,7 @@ def _windows(length: int):
                         s = slice(a, a + 65536)
                         yield pa.RecordBatch.from_arrays([pa.array(h[s].view(np.int64)), pa.array(np.full(len(h[s]), th[k])), pa.array(i[s]), pa.array(open_[s])], ["h", "th", "i", "open"])
 
-    return run
+    return trimmed(run)
 
 
 def _removed(length: int):
@@ -200,7 +200,7 @@ def _removed(length: int):
                 kinds = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.list_(pa.int64())]
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), *(pa.array(c, t) for c, t in zip(zip(*out, strict=True), kinds, strict=True))], ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "spans"])
 
-    return run
+    return trimmed(run)
 
 
 def repeated_strings(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, batches: int = BATCHES) -> DataFrame:

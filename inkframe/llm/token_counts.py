@@ -19,7 +19,7 @@ import regex
 from pyspark.sql import DataFrame, functions as F
 
 from ..ship import ensure_shipped
-from .hashing import chunks
+from .hashing import chunks, trimmed
 from .scratch import small_batches
 
 #: The parts of the tokenizer's split pattern, and the white space of Unicode.
@@ -169,7 +169,7 @@ def _counted(path: str):
                 size = pa.array([len(t.encode()) for t in texts], pa.int64())
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), size, pa.array(_COUNTERS[path].counts(texts), pa.int64())], ["doc_id", "n_bytes", "n_tokens"])
 
-    return run
+    return trimmed(run)
 
 
 def token_counts(docs: DataFrame, tokenizer: str, limit: int = 2048) -> DataFrame:

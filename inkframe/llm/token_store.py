@@ -18,6 +18,7 @@ and nothing else.
 from __future__ import annotations
 
 import json
+import os
 import re
 import zlib
 from collections.abc import Iterator
@@ -28,13 +29,13 @@ import zstandard
 from pyarrow import fs
 from pyspark.sql import DataFrame, Window, functions as F
 
-from .hashing import U, byte_table, chunks, mix, powers, prefix_sums, text_buffers
+from .hashing import U, byte_table, chunks, mix, powers, prefix_sums, text_buffers, trimmed
 from .scratch import Scratch
 
 MAGIC = b"INKPLN01"
 BLOCK = 1 << 16
 #: Slots of an encoder's cache, and the longest entry it keeps.
-SLOTS, WIDEST = 1 << 19, 12
+SLOTS, WIDEST = 1 << 18, 12
 #: Classes of bytes: 0 white space, 1 letter (every byte of a letter beyond ASCII counts), 2 digit, 3 other.
 _CLASS = np.full(256, 3, np.uint8)
 _CLASS[[9, 10, 11, 12, 13, 32]] = 0
@@ -92,6 +93,8 @@ class Encoder:
     """
 
     def __init__(self, path: str):
+        # its threads would keep memory of their own, and the executor has given this task one core
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
@@ -307,7 +310,7 @@ def _written(folder: str, tokenizer: str, end_id: int):
             docs, size = writer.close()
             yield pa.RecordBatch.from_pydict({"shard": [task.partitionId()], "file": [f"{folder}/{name}"], "n_docs": [docs], "n_ids": [size]})
 
-    return run
+    return trimmed(run)
 
 
 def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -23,7 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .hashing import chunks
+from .hashing import chunks, trimmed
 from .language_id import held_out
 from .scratch import Scratch
 
@@ -222,7 +222,7 @@ def _scored(shared):
                 score = model.scores(texts) if model is not None else np.zeros(len(texts))
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(score, pa.float64())], ["doc_id", "score"])
 
-    return run
+    return trimmed(run)
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, most: int = 6000) -> DataFrame:
