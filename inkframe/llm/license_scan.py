@@ -4,6 +4,8 @@ All of it is DataFrame operations. A file's lines, and also the whole of a licen
 weighted by term frequency and by the inverse document frequency over all files. Only lines that hold a
 telling term are weighed: the telling terms are the heaviest of each template, as many as it takes for
 the rest of the template to stay below the threshold by itself (Cauchy-Schwarz), so no match is lost.
+A licence has several templates (licence_texts.py). Those of up to SHORT words also need all words that name
+the licence, so that the notice of another licence in the same phrase is not taken for it.
 A file without a licence of its own takes that of the nearest directory above it that has a licence file.
 """
 
@@ -13,9 +15,10 @@ import math
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from .licence_texts import TEXTS
 from .scratch import Scratch
 
-#: Short licence notices by name.
+#: Short licence notices by name; TEXTS has further templates.
 TEMPLATES = {
     "Apache-2.0": "Licensed under the Apache License, Version 2.0.",
     "BSD-3-Clause": "Redistribution and use in source and binary forms, with or without modification, are permitted.",
@@ -26,21 +29,25 @@ TEMPLATES = {
     "Proprietary": "All rights reserved.",
 }
 SEPARATOR = "[^a-z0-9.]+"
+WORD = "[a-z0-9](?:[a-z0-9.]*[a-z0-9])?"
+#: Templates of up to so many words must have all their words but these in what matches them.
+SHORT = 12
+UNNAMING = frozenset("a an and are as at available can com copyright distributed file found free governed http https in is license licence licensed of org or public released software source terms the this to under use version with work".split())
+#: A file that also holds another licence has that one, whatever the score: its copyright line often has these words.
+WEAKEST = "Proprietary"
 LICENCE_FILE = r"(?i)^(licen[cs]e|copying|notice)([.-].*)?$"
 
 
 def words(text: Column) -> Column:
     """Lower-cased words; a full stop counts only inside one."""
-    bare = F.transform(F.split(F.lower(text), SEPARATOR), lambda w: F.regexp_replace(w, "^[.]+|[.]+$", ""))
-    return F.filter(bare, lambda w: w != "")
+    return F.regexp_extract_all(F.lower(text), F.lit(WORD), F.lit(0))
 
 
 def document_frequencies(files: DataFrame, terms: list[str]) -> tuple[int, dict[str, int]]:
     """How many files there are, and how many hold each of the (few) terms."""
-    known = F.array(*map(F.lit, terms))
-    held = files.select(F.array_intersect(F.array_distinct(words(F.coalesce("text", F.lit("")))), known).alias("t"))
-    counts = held.select(F.count("*").alias("n"), *[F.count_if(F.array_contains("t", w)).alias(f"t{i}") for i, w in enumerate(terms)]).first()
-    return counts["n"], {w: counts[f"t{i}"] for i, w in enumerate(terms)}
+    held = F.filter(words(F.col("text")), lambda w: w.isin(terms))
+    counts = files.select(F.explode(F.array_distinct(held)).alias("term")).groupBy("term").agg(F.count("*").alias("n")).collect()
+    return files.count(), dict.fromkeys(terms, 0) | {r["term"]: r["n"] for r in counts}
 
 
 def _split(text: str) -> list[str]:
@@ -49,41 +56,64 @@ def _split(text: str) -> list[str]:
     return [w for w in (x.strip(".") for x in re.split(SEPARATOR, text.lower())) if w]
 
 
-def scan(files: DataFrame, templates: dict[str, str], threshold: float) -> DataFrame:
-    """row, licence, score of the files (row, path, text, is_file) that hold one; the best line counts, ties by name."""
-    bags = {name: _split(text) for name, text in templates.items()}
-    terms = sorted({w for bag in bags.values() for w in bag})
+def _any_of(found: set[str]) -> str:
+    """A pattern of the words as a tree of letters, so that few branches are tried at a place."""
+    tree: dict = {}
+    for w in found:
+        at = tree
+        for c in w:
+            at = at.setdefault(c, {})
+        at[""] = {}
+
+    def pattern(at: dict) -> str:
+        parts = [("[.]" if c == "." else c) + pattern(x) for c, x in sorted(at.items()) if c]
+        if not parts:
+            return ""
+        return parts[0] if len(parts) == 1 and "" not in at else f"(?:{'|'.join(parts)}){'?' if '' in at else ''}"
+
+    return "(?<![a-z0-9])" + (pattern(tree) or "(?!)") + "(?![a-z0-9])"
+
+
+def scan(files: DataFrame, templates: list[tuple[str, str]], threshold: float) -> DataFrame:
+    """row, licence, score of the files (row, path, text, is_file) that hold one of the templates (licence, text); the best unit counts, ties by name."""
+    bags = [_split(text) for _, text in templates]
+    terms = sorted({w for bag in bags for w in bag})
     n, df = document_frequencies(files, terms)
     idf = {w: round(math.log((n + 1) / (df[w] + 1)) + 1, 9) for w in terms}
     unknown = round(math.log(n + 1) + 1, 9)
-    weight = {name: {w: bag.count(w) * idf[w] for w in set(bag)} for name, bag in bags.items()}
-    size = {name: math.sqrt(sum(x * x for x in v.values())) for name, v in weight.items()}
+    weight = [{w: bag.count(w) * idf[w] for w in sorted(set(bag))} for bag in bags]
+    size = [math.sqrt(sum(x * x for x in v.values())) for v in weight]
     telling: set[str] = set()
-    for name, v in weight.items():
+    for v, whole in zip(weight, size, strict=True):
         rest = sum(x * x for w, x in v.items() if w not in telling)
         for w in sorted(v, key=lambda w: (-v[w], w)):
-            if rest < (0.999 * threshold * size[name]) ** 2:
+            if rest < (0.999 * threshold * whole) ** 2:
                 break
             if w not in telling:
                 telling.add(w)
                 rest -= v[w] ** 2
-    any_of = "(?<![a-z0-9])(?:" + ("|".join(w.replace(".", "[.]") for w in sorted(telling)) or "(?!)") + ")(?![a-z0-9])"
-    unit = F.concat(F.split("text", "\n"), F.when(F.col("is_file"), F.array("text")).otherwise(F.array().cast("array<string>")))
-    lines = files.where(F.lower("text").rlike(any_of)).select("row", F.posexplode(unit).alias("at", "line")).where(F.lower("line").rlike(any_of))
+    any_of = _any_of(telling)
     spark = files.sparkSession
-    known = spark.createDataFrame([(w, x) for w, x in idf.items()], "term string, idf double")
-    vectors = spark.createDataFrame([(name, w, x / size[name]) for name, v in weight.items() for w, x in v.items()], "licence string, term string, share double")
+    # the tables of templates are as large as the templates, some hundreds of rows
+    known = F.broadcast(spark.createDataFrame(list(idf.items()), "term string, idf double"))
+    naming = [set(bag) - UNNAMING if len(bag) <= SHORT else set() for bag in bags]
+    shares = [(t, w, x / size[t], w in naming[t]) for t, v in enumerate(weight) for w, x in v.items()]
+    vectors = F.broadcast(spark.createDataFrame(shares, "template int, term string, share double, names boolean"))
+    needed = F.broadcast(spark.createDataFrame([(t, name, len(naming[t])) for t, (name, _) in enumerate(templates)], "template int, licence string, n_names long"))
+
+    unit = F.concat(F.split("text", "\n"), F.when(F.col("is_file"), F.array("text")).otherwise(F.array().cast("array<string>")))
+    hits = files.where(F.lower("text").rlike(any_of))
+    lines = hits.select("row", F.posexplode(unit).alias("at", "line")).where(F.lower("line").rlike(any_of))
     counted = lines.select("row", "at", F.explode(words(F.col("line"))).alias("term")).groupBy("row", "at", "term").agg(F.count("*").alias("tf"))
-    counted = counted.join(F.broadcast(known), "term", "left").withColumn("w", F.col("tf") * F.coalesce("idf", F.lit(unknown)))
-    # both tables of templates are as large as the templates, some dozens of rows
+    counted = counted.join(known, "term", "left").withColumn("w", F.col("tf") * F.coalesce("idf", F.lit(unknown)))
     norms = counted.groupBy("row", "at").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
-    dots = counted.join(F.broadcast(vectors), "term").groupBy("row", "at", "licence").agg(F.sum(F.col("w") * F.col("share")).alias("dot"))
-    scored = dots.join(norms, ["row", "at"]).select("row", "licence", F.round(F.col("dot") / F.col("norm"), 6).alias("score")).where(F.col("score") >= threshold)
-    best = scored.groupBy("row").agg(F.min(F.struct((-F.col("score")).alias("s"), "licence")).alias("b"))
+    dots = counted.join(vectors, "term").groupBy("row", "at", "template").agg(F.sum(F.col("w") * F.col("share")).alias("dot"), F.count_if("names").alias("names"))
+    scored = dots.join(needed, "template").where("names = n_names").join(norms, ["row", "at"]).select("row", "licence", F.round(F.col("dot") / F.col("norm"), 6).alias("score")).where(F.col("score") >= threshold)
+    best = scored.groupBy("row").agg(F.min(F.struct((F.col("licence") == WEAKEST).alias("last"), (-F.col("score")).alias("s"), "licence")).alias("b"))
     return best.select("row", F.col("b.licence").alias("licence"), (-F.col("b.s")).alias("score"))
 
 
-def license_scan(files: DataFrame, templates: dict[str, str] | None = None, threshold: float = 0.6, is_licence_file: str = LICENCE_FILE) -> DataFrame:
+def license_scan(files: DataFrame, templates: dict[str, str | list[str]] | None = None, threshold: float = 0.6, is_licence_file: str = LICENCE_FILE) -> DataFrame:
     """Per row of files (path, text): path, own_license, own_score, license, inherited_from, depth.
 
     license is the row's own, or that of the nearest licence file (by the name pattern) in a directory above it, whose
@@ -93,6 +123,8 @@ def license_scan(files: DataFrame, templates: dict[str, str] | None = None, thre
     result. Other columns are kept, except that names that clash with the result's are taken by the result.
     """
     scratch = Scratch(files.sparkSession, "licences")
+    given = [*TEMPLATES.items(), *TEXTS.items()] if templates is None else templates.items()
+    listed = [(name, text) for name, texts in given for text in ([texts] if isinstance(texts, str) else texts)]
     made = {"own_license", "own_score", "license", "inherited_from", "depth"}
     extra = [c for c in files.columns if c not in made | {"path", "text"}]
     text = F.col("text").cast("string")
@@ -100,7 +132,7 @@ def license_scan(files: DataFrame, templates: dict[str, str] | None = None, thre
     base = files.select(F.struct(F.lit(0), *extra).alias("extra"), F.col("path").cast("string").alias("path"), text.alias("text"), F.coalesce(name.rlike(is_licence_file), F.lit(False)).alias("is_file"))
     # equal files have equal results, so that a row's key need not be its own
     base = base.withColumn("row", F.struct(F.xxhash64("path", "text"), F.hash("path", "text")))
-    found = scratch.write(scan(base.select("row", "path", "text", "is_file"), templates or TEMPLATES, threshold), "found")
+    found = scratch.write(scan(base.select("row", "path", "text", "is_file"), listed, threshold), "found")
     placed = base.drop("text").join(found, "row", "left").withColumn("dir", F.regexp_replace("path", "/?[^/]*$", ""))
     placed = scratch.write(placed.drop("row"), "placed")
     granted = placed.where("is_file and licence is not null").groupBy(F.col("dir").alias("above")).agg(F.min(F.struct((-F.col("score")).alias("s"), "licence")).alias("g")).select("above", F.col("g.licence").alias("granted"))

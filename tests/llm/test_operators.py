@@ -291,6 +291,35 @@ def test_license_scan(spark):
     assert license_scan(spark.createDataFrame([], "path string, text string")).count() == 0
 
 
+def test_license_headers(spark):
+    from inkframe.llm.license_scan import license_scan
+
+    want = {
+        "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the Software without restriction, including": "MIT",
+        "// SPDX-License-Identifier: MIT": "MIT",
+        "The MIT License (MIT)": "MIT",
+        "# SPDX-License-Identifier: GPL-2.0-or-later": "GPL-2.0",
+        "it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 2 of the License, or (at your option) any later version.": "GPL-2.0",
+        "it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.": "LGPL-3.0",
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this": "ISC",
+        "Boost Software License - Version 1.0": "BSL-1.0",
+        "This is free and unencumbered software released into the public domain.": "Unlicense",
+        "Licensed under CC BY 4.0.": "CC-BY-4.0",
+        "Licensed under CC BY-SA 4.0.": "CC-BY-SA-4.0",
+        "Licensed under CC BY-NC 4.0.": "CC-BY-NC-4.0",
+        "Licensed under the Eclipse Public License, version 2.0.": "EPL-2.0",
+        "Licensed under the Mozilla Public License, version 2.0.": "MPL-2.0",
+        "This work is licensed under the GNU General Public License, version 2.": "GPL-2.0",
+        "Licensed under the Foo License, Version 2.0.": None,
+        "Licensed under CC BY-SA 3.0.": None,
+        "SPDX-License-Identifier: Foo-1.0": None,
+        "License": None,
+    }
+    rows = [(f"x/{i}.txt", "some line\n" + t, t) for i, t in enumerate(want)] + [(f"n/{i}.txt", f"word{i} of the", "") for i in range(40)]
+    got = {r["t"]: r["own_license"] for r in license_scan(spark.createDataFrame(rows, "path string, text string, t string")).collect() if r["t"]}
+    assert got == want
+
+
 def test_pipeline_stages(spark, tmp_path):
     import corpus_pipeline as cp
 
