@@ -1,11 +1,13 @@
 """Licence scan: TF-IDF cosine of header lines and licence files to templates, then inheritance along paths.
 
-All of it is DataFrame operations. A file's lines, and also the whole of a licence file, are bags of words,
-weighted by term frequency and by the inverse document frequency over all files. Only lines that hold a
+All of it is DataFrame operations. A file's lines, its windows of as many words as a template has (across
+lines, at every word), and also the whole of a licence file, are bags of words, weighted by term frequency and by the inverse document frequency over all files. Only lines that hold a
 telling term are weighed: the telling terms are the heaviest of each template, as many as it takes for
 the rest of the template to stay below the threshold by itself (Cauchy-Schwarz), so no match is lost.
 A licence has several templates (licence_texts.py). Those of up to SHORT words also need all words that name
-the licence, so that the notice of another licence in the same phrase is not taken for it.
+the licence, so that the notice of another licence in the same phrase is not taken for it. A window needs HELD of
+its template's words. Running sums give each window's cosine but for repeated words in its norm, which only lower
+it; windows that this bound leaves are weighed exactly.
 A file without a licence of its own takes that of the nearest directory above it that has a licence file.
 """
 
@@ -13,7 +15,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from .licence_texts import TEXTS
 from .scratch import Scratch
@@ -33,6 +35,8 @@ WORD = "[a-z0-9](?:[a-z0-9.]*[a-z0-9])?"
 #: Templates of up to so many words must have all their words but these in what matches them.
 SHORT = 12
 UNNAMING = frozenset("a an and are as at available can com copyright distributed file found free governed http https in is license licence licensed of org or public released software source terms the this to under use version with work".split())
+#: Part of a template's distinct words that a window must hold; a few common words can have the weight of a short template.
+HELD = 0.75
 #: A file that also holds another licence has that one, whatever the score: its copyright line often has these words.
 WEAKEST = "Proprietary"
 LICENCE_FILE = r"(?i)^(licen[cs]e|copying|notice)([.-].*)?$"
@@ -74,7 +78,7 @@ def _any_of(found: set[str]) -> str:
     return "(?<![a-z0-9])" + (pattern(tree) or "(?!)") + "(?![a-z0-9])"
 
 
-def scan(files: DataFrame, templates: list[tuple[str, str]], threshold: float) -> DataFrame:
+def scan(files: DataFrame, templates: list[tuple[str, str]], threshold: float, scratch: Scratch) -> DataFrame:
     """row, licence, score of the files (row, path, text, is_file) that hold one of the templates (licence, text); the best unit counts, ties by name."""
     bags = [_split(text) for _, text in templates]
     terms = sorted({w for bag in bags for w in bag})
@@ -99,17 +103,46 @@ def scan(files: DataFrame, templates: list[tuple[str, str]], threshold: float) -
     naming = [set(bag) - UNNAMING if len(bag) <= SHORT else set() for bag in bags]
     shares = [(t, w, x / size[t], w in naming[t]) for t, v in enumerate(weight) for w, x in v.items()]
     vectors = F.broadcast(spark.createDataFrame(shares, "template int, term string, share double, names boolean"))
-    needed = F.broadcast(spark.createDataFrame([(t, name, len(naming[t])) for t, (name, _) in enumerate(templates)], "template int, licence string, n_names long"))
+    counts = [(t, name, len(naming[t]), len(weight[t]), len(bags[t])) for t, (name, _) in enumerate(templates)]
+    needed = F.broadcast(spark.createDataFrame(counts, "template int, licence string, n_names long, n_terms long, n_words int"))
+
+    def scored(units: DataFrame, *key: str) -> DataFrame:
+        """row, template, licence, score of units (row, key, term), against the template that is in the key or else all."""
+        counted = units.groupBy("row", *key, "term").agg(F.count("*").alias("tf")).join(known, "term", "left")
+        counted = counted.withColumn("w", F.col("tf") * F.coalesce("idf", F.lit(unknown)))
+        norms = counted.groupBy("row", *key).agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
+        dots = counted.join(vectors, ["term", *(c for c in key if c == "template")]).groupBy("row", *dict.fromkeys([*key, "template"])).agg(F.sum(F.col("w") * F.col("share")).alias("dot"), F.count_if("names").alias("names"), F.count("*").alias("held"))
+        met = dots.join(needed, "template").where("names = n_names").join(norms, ["row", *key])
+        return met.withColumn("score", F.round(F.col("dot") / F.col("norm"), 6)).where(F.col("score") >= threshold)
 
     unit = F.concat(F.split("text", "\n"), F.when(F.col("is_file"), F.array("text")).otherwise(F.array().cast("array<string>")))
     hits = files.where(F.lower("text").rlike(any_of))
     lines = hits.select("row", F.posexplode(unit).alias("at", "line")).where(F.lower("line").rlike(any_of))
-    counted = lines.select("row", "at", F.explode(words(F.col("line"))).alias("term")).groupBy("row", "at", "term").agg(F.count("*").alias("tf"))
-    counted = counted.join(known, "term", "left").withColumn("w", F.col("tf") * F.coalesce("idf", F.lit(unknown)))
-    norms = counted.groupBy("row", "at").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
-    dots = counted.join(vectors, "term").groupBy("row", "at", "template").agg(F.sum(F.col("w") * F.col("share")).alias("dot"), F.count_if("names").alias("names"))
-    scored = dots.join(needed, "template").where("names = n_names").join(norms, ["row", "at"]).select("row", "licence", F.round(F.col("dot") / F.col("norm"), 6).alias("score")).where(F.col("score") >= threshold)
-    best = scored.groupBy("row").agg(F.min(F.struct((F.col("licence") == WEAKEST).alias("last"), (-F.col("score")).alias("s"), "licence")).alias("b"))
+    by_line = scored(lines.select("row", "at", F.explode(words(F.col("line"))).alias("term")), "at").select("row", "licence", "score")
+
+    # a window may reach past the end of the file, where there are words without weight
+    longest = max(map(len, bags))
+    padded = F.concat(words(F.col("text")), F.array_repeat(F.lit(""), longest))
+    listed = scratch.write(hits.dropDuplicates(["row"]).select("row", F.posexplode(padded).alias("at", "term")), "words")
+    place = {w: i for i, w in enumerate(terms)}
+    numbered = F.broadcast(spark.createDataFrame([(w, i, x * x) for (w, i), x in zip(place.items(), idf.values(), strict=True)] + [("", -1, 0.0)], "term string, id int, square double"))
+    ids = listed.join(numbered, "term", "left").select("row", "at", "id", F.coalesce("square", F.lit(unknown * unknown)).alias("square"))
+    over = Window.partitionBy("row").orderBy("at")
+    so_far = over.rowsBetween(Window.unboundedPreceding, -1)
+    gain = [F.coalesce(F.element_at(F.expr(f"cast(split('{','.join(repr(v.get(w, 0.0) * idf[w] / size[t]) for w in terms)}', ',') as array<double>)"), F.when(F.col("id") >= 0, F.col("id") + 1)), F.lit(0.0)) for t, v in enumerate(weight)]
+    sums = ids.select("row", "at", "id", F.sum("square").over(so_far).alias("q"), *[F.sum(g).over(so_far).alias(f"g{t}") for t, g in enumerate(gain)])
+    found = []
+    for t, bag in enumerate(bags):
+        dot = F.lead(f"g{t}", len(bag)).over(over) - F.coalesce(f"g{t}", F.lit(0.0))
+        square = F.lead("q", len(bag)).over(over) - F.coalesce("q", F.lit(0.0))
+        found.append(F.when(dot >= 0.999 * threshold * F.sqrt(square), F.lit(t)))
+    near = sums.select("row", F.col("at").alias("start"), "id", F.array_compact(F.array(*found)).alias("found")).where("coalesce(id, 0) >= 0 and size(found) > 0")
+    near = near.select("row", "start", F.explode("found").alias("template")).join(needed.select("template", "n_words"), "template")
+    spots = near.select("row", "start", "template", F.explode(F.sequence(F.col("start"), F.col("start") + F.col("n_words") - 1)).alias("at"))
+    inside = spots.join(listed.where("term <> ''"), ["row", "at"]).select("row", "start", "template", "term")
+    by_window = scored(inside, "start", "template").where(F.col("held") >= HELD * F.col("n_terms")).select("row", "licence", "score")
+    scored_units = by_line.unionByName(by_window)
+    best = scored_units.groupBy("row").agg(F.min(F.struct((F.col("licence") == WEAKEST).alias("last"), (-F.col("score")).alias("s"), "licence")).alias("b"))
     return best.select("row", F.col("b.licence").alias("licence"), (-F.col("b.s")).alias("score"))
 
 
@@ -132,7 +165,7 @@ def license_scan(files: DataFrame, templates: dict[str, str | list[str]] | None
     base = files.select(F.struct(F.lit(0), *extra).alias("extra"), F.col("path").cast("string").alias("path"), text.alias("text"), F.coalesce(name.rlike(is_licence_file), F.lit(False)).alias("is_file"))
     # equal files have equal results, so that a row's key need not be its own
     base = base.withColumn("row", F.struct(F.xxhash64("path", "text"), F.hash("path", "text")))
-    found = scratch.write(scan(base.select("row", "path", "text", "is_file"), listed, threshold), "found")
+    found = scratch.write(scan(base.select("row", "path", "text", "is_file"), listed, threshold, scratch), "found")
     placed = base.drop("text").join(found, "row", "left").withColumn("dir", F.regexp_replace("path", "/?[^/]*$", ""))
     placed = scratch.write(placed.drop("row"), "placed")
     granted = placed.where("is_file and licence is not null").groupBy(F.col("dir").alias("above")).agg(F.min(F.struct((-F.col("score")).alias("s"), "licence")).alias("g")).select("above", F.col("g.licence").alias("granted"))

@@ -320,6 +320,25 @@ def test_license_headers(spark):
     assert got == want
 
 
+def test_license_windows(spark):
+    from inkframe.llm.license_scan import license_scan
+
+    prose = "quite many other words stand in one long paragraph here and go on for a while, "
+    rows = [
+        ("a.txt", "Some project by Jane Doe. Released under the MIT License.", "MIT"),
+        ("b.txt", prose * 20 + "Licensed under the Apache License, Version 2.0. " + prose * 20, "Apache-2.0"),
+        ("c.txt", "Copyright (c) 2020 Foo Inc. All rights reserved.", "Proprietary"),
+        ("d.py", "# x\n# This program is free software: you can redistribute it\n# and/or modify it under the terms of the GNU General Public License\n# as published by the Free Software Foundation, either version 3\n# of the License, or (at your option) any later version.\nx = 1", "GPL-3.0"),
+        ("e.c", "/* Released under\n * the MIT\n * License. */ int x;", "MIT"),
+        ("f.txt", "Copyright (c) 2020 Foo Inc. All rights reserved. " + prose + " Released under the MIT License.", "MIT"),
+        ("g.txt", prose + "the table is reserved for the license of all rights", None),
+        ("g.txt", prose + "the table is reserved for the license of all rights", None),
+    ]
+    rows += [(f"n/{i}.txt", f"word{i} of the", None) for i in range(40)]
+    got = [(r["path"], r["own_license"]) for r in license_scan(spark.createDataFrame(rows, "path string, text string, t string")).collect()]
+    assert sorted(got, key=str) == sorted([(p, t) for p, _, t in rows], key=str)
+
+
 def test_pipeline_stages(spark, tmp_path):
     import corpus_pipeline as cp
 
