@@ -150,7 +150,8 @@ def license_scan(files: DataFrame, templates: dict[str, str | list[str]] | None
     """Per row of files (path, text): path, own_license, own_score, license, inherited_from, depth.
 
     license is the row's own, or that of the nearest licence file (by the name pattern) in a directory above it, whose
-    path is inherited_from and whose level, from 1, is depth; both are null for an own licence and for none. Several
+    path is inherited_from and whose level is depth, from 1, or 0 and '' for the root of relative paths; both are null for an own
+    licence and for none. Roots of relative and of absolute paths are different directories. Several
     licence files in a directory: the best score counts, ties by licence name. Null or empty texts have no own licence, but
     inherit. Null paths inherit nothing. Repeated rows come back as often as given. An empty table gives an empty
     result. Other columns are kept, except that names that clash with the result's are taken by the result.
@@ -166,12 +167,13 @@ def license_scan(files: DataFrame, templates: dict[str, str | list[str]] | None
     # equal files have equal results, so that a row's key need not be its own
     base = base.withColumn("row", F.struct(F.xxhash64("path", "text"), F.hash("path", "text")))
     found = scratch.write(scan(base.select("row", "path", "text", "is_file"), listed, threshold, scratch), "found")
-    placed = base.drop("text").join(found, "row", "left").withColumn("dir", F.regexp_replace("path", "/?[^/]*$", ""))
+    placed = base.drop("text").join(found, "row", "left").withColumn("dir", F.regexp_replace("path", "/?[^/]*$", "")).withColumn("absolute", F.col("path").startswith("/"))
     placed = scratch.write(placed.drop("row"), "placed")
-    granted = placed.where("is_file and licence is not null").groupBy(F.col("dir").alias("above")).agg(F.min(F.struct((-F.col("score")).alias("s"), "licence")).alias("g")).select("above", F.col("g.licence").alias("granted"))
-    levels = placed.where("dir is not null").select("dir").distinct().withColumn("parts", F.split("dir", "/"))
-    chain = levels.select("dir", F.explode(F.sequence(F.lit(1), F.size("parts"))).alias("level"), "parts").select("dir", "level", F.array_join(F.slice("parts", F.lit(1), F.col("level")), "/").alias("above"))
-    near = chain.join(granted, "above").groupBy("dir").agg(F.max(F.struct("level", "above", "granted")).alias("n"))
-    out = placed.join(near, "dir", "left")
+    granted = placed.where("is_file and licence is not null").groupBy(F.col("dir").alias("above"), "absolute").agg(F.min(F.struct((-F.col("score")).alias("s"), "licence")).alias("g")).select("above", "absolute", F.col("g.licence").alias("granted"))
+    levels = placed.where("dir is not null").select("dir", "absolute").distinct().withColumn("parts", F.split("dir", "/"))
+    level = F.sequence(F.col("absolute").cast("int"), F.when(F.col("absolute") | (F.col("dir") != ""), F.size("parts")).otherwise(0))
+    chain = levels.select("dir", "absolute", F.explode(level).alias("level"), "parts").select("dir", "absolute", "level", F.array_join(F.slice("parts", F.lit(1), F.col("level")), "/").alias("above"))
+    near = chain.join(granted, ["above", "absolute"]).groupBy("dir", "absolute").agg(F.max(F.struct("level", "above", "granted")).alias("n"))
+    out = placed.join(near, ["dir", "absolute"], "left")
     taken = F.col("licence").isNull()
     return out.select(*[F.col("extra").getField(c).alias(c) for c in extra], "path", F.col("licence").alias("own_license"), F.col("score").alias("own_score"), F.coalesce("licence", F.col("n.granted")).alias("license"), F.when(taken, F.col("n.above")).alias("inherited_from"), F.when(taken, F.col("n.level")).cast("int").alias("depth"))

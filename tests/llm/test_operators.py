@@ -339,6 +339,18 @@ def test_license_windows(spark):
     assert sorted(got, key=str) == sorted([(p, t) for p, _, t in rows], key=str)
 
 
+def test_license_at_the_root(spark):
+    from inkframe.llm.license_scan import license_scan
+
+    mit, gpl = "Released under the MIT License.", "This work is licensed under the GNU General Public License, version 3."
+    rows = [("LICENSE", mit), ("src/x.py", "x"), ("a/b/y.py", None), ("z.py", ""), ("sub/LICENSE", gpl), ("sub/z.py", ""), ("/abs/x.py", ""), ("/opt/LICENSE", gpl), ("/opt/y.py", "")]
+    got = {r["path"]: (r["license"], r["inherited_from"], r["depth"]) for r in license_scan(spark.createDataFrame(rows, "path string, text string")).collect()}
+    assert got["src/x.py"] == got["a/b/y.py"] == got["z.py"] == ("MIT", "", 0)
+    assert got["sub/z.py"] == ("GPL-3.0", "sub", 1)
+    assert got["/abs/x.py"] == (None, None, None)
+    assert got["/opt/y.py"] == ("GPL-3.0", "/opt", 2)
+
+
 def test_pipeline_stages(spark, tmp_path):
     import corpus_pipeline as cp
 
