@@ -199,18 +199,25 @@ def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
 
 
 def _candidates(num: int, den: int, kind: str):
-    """Pairs worth an exact look: of each row with its pivot, with the nearest of other components, or all across components."""
+    """Pairs worth an exact look: of each row with its pivot, with the nearest of other components, all across components, or all."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[tuple[int, int]] = set()
         out: list[tuple[int, int]] = []
         for table in _groups(batches):
             t = _Rows(table, num, den)
-            comp = t.cls if kind == "pivots" else table.column("comp").to_numpy()
+            comp = t.cls if kind in ("pivots", "all") else table.column("comp").to_numpy()
             edges = np.flatnonzero(np.r_[True, t.region[1:] != t.region[:-1], True])
             for a, b in zip(edges[:-1], edges[1:], strict=True):
                 rows = np.arange(a, b)
-                if kind == "pivots":
+                if kind == "all":
+                    for k in range(len(rows) - 1):
+                        near, _ = t.near(rows[k], rows[k + 1 :])
+                        out += [(t.cls[rows[k]], t.cls[x]) for x in near]
+                        if len(out) > 50_000:
+                            yield from _told(out, seen)
+                            out = []
+                elif kind == "pivots":
                     while len(rows) > 1:
                         near, _ = t.near(rows[0], rows[1:])
                         out += [(t.cls[rows[0]], t.cls[x]) for x in near]
@@ -253,12 +260,31 @@ def _sets(k: int):
     return trimmed(run)
 
 
+def _described_regions(docs: DataFrame, words: int, num: int, den: int, scratch: Scratch) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Documents with their class and regions, classes, and the regions in which classes meet."""
+    spark = docs.sparkSession
+    hot = spark.sparkContext.broadcast(common_pivots(docs, words))
+    told = scratch.write(docs.mapInArrow(_described(words, num, den, hot), "doc_id long, n long, cls long, bits binary, regions array<long>"), "told")
+    classes = told.where("n > 0 and doc_id is not null").groupBy("cls").agg(F.min("doc_id").alias("rep"), F.max("n").alias("n"), F.max("bits").alias("bits"))
+    classes = scratch.write(classes, "classes")
+    over = Window.partitionBy("region")
+    met = told.where("doc_id is not null").select(F.explode("regions").alias("region"), "cls", "n").select("*", F.min("cls").over(over).alias("low"), F.max("cls").over(over).alias("high"))
+    met = met.where("low < high").select("region", "cls", "n").distinct()
+    # a document none of whose region is near in size has no link there
+    by_size = over.orderBy("n", "cls")
+    met = met.select("*", F.lag("n").over(by_size).alias("less"), F.lead("n").over(by_size).alias("more"))
+    met = met.where(F.coalesce(F.col("less") * den >= F.col("n") * num, F.lit(False)) | F.coalesce(F.col("n") * den >= F.col("more") * num, F.lit(False)))
+    met = scratch.write(met.select("region", "cls"), "met")
+    return told, classes, met
+
+
 def jaccard_groups(docs: DataFrame, words: int = 5, similarity: tuple[int, int] = (80, 100)) -> DataFrame:
     """Groups of documents that links of the given Jaccard similarity connect.
 
     docs needs doc_id (long) and text; other columns are ignored, whatever their names. Returns a row per
     input row: doc_id, n_shingles, component_id (least doc_id reachable, itself included), class_id (equal for
-    equal shingle sets; null for empty ones) and n_links (classes that links were confirmed with).
+    equal shingle sets; null for empty ones) and n_spanning (the links of its
+    class confirmed on the way to the components, only some of all; jaccard_links lists all).
 
     Null or blank text gives n_shingles 0, no link and component_id = doc_id. Repeated rows come back as often
     as they are given. Rows with a null doc_id take part in no group: component_id is null. An empty table
@@ -269,18 +295,8 @@ def jaccard_groups(docs: DataFrame, words: int = 5, similarity: tuple[int, int]
     spark = docs.sparkSession
     scratch = Scratch(spark, "jaccard")
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    hot = spark.sparkContext.broadcast(common_pivots(docs, words))
-    told = scratch.write(docs.mapInArrow(_described(words, num, den, hot), "doc_id long, n long, cls long, bits binary, regions array<long>"), "told")
-    classes = told.where("n > 0 and doc_id is not null").groupBy("cls").agg(F.min("doc_id").alias("rep"), F.max("n").alias("n"), F.max("bits").alias("bits"))
-    classes = scratch.write(classes, "classes")
+    told, classes, met = _described_regions(docs, words, num, den, scratch)
     over = Window.partitionBy("region")
-    met = told.where("doc_id is not null").select(F.explode("regions").alias("region"), "cls", "n").select("*", F.min("cls").over(over).alias("low"), F.max("cls").over(over).alias("high"))
-    met = met.where("low < high").select("region", "cls", "n").distinct()
-    # a document none of whose region is near in size has no link there
-    by_size = over.orderBy("n", "cls")
-    met = met.select("*", F.lag("n").over(by_size).alias("less"), F.lead("n").over(by_size).alias("more"))
-    met = met.where(F.coalesce(F.col("less") * den >= F.col("n") * num, F.lit(False)) | F.coalesce(F.col("n") * den >= F.col("more") * num, F.lit(False)))
-    met = scratch.write(met.select("region", "cls"), "met")
     table = classes.select("cls", "n", "bits")
     tested = scratch.write(_pairs(met.join(table, "cls"), num, den, "pivots"), "pairs")
 
@@ -317,18 +333,38 @@ def jaccard_groups(docs: DataFrame, words: int = 5, similarity: tuple[int, int]
         if not cut:
             break
         kind = "nearest" if more else "rest"
-    degree = links.select(F.explode(F.array("a", "b")).alias("cls")).groupBy("cls").agg(F.count("*").alias("n_links"))
+    degree = links.select(F.explode(F.array("a", "b")).alias("cls")).groupBy("cls").agg(F.count("*").alias("n_spanning"))
     placed = classes.select("cls", "rep").join(roots.withColumnRenamed("node", "cls"), "cls", "left").join(degree, "cls", "left")
     placed = placed.withColumn("root", F.coalesce("root", "cls"))
     least = placed.groupBy("root").agg(F.min("rep").alias("component_id"))
-    placed = placed.join(least, "root").select("cls", "component_id", F.coalesce("n_links", F.lit(0)).alias("n_links"))
+    placed = placed.join(least, "root").select("cls", "component_id", F.coalesce("n_spanning", F.lit(0)).alias("n_spanning"))
     scratch.drop("met", "pairs", "sets", *(f"{t}-{k}" for t in ("pairs", "sets") for k in range(1, step + 1)))
     out = told.select("doc_id", "n", F.when(F.col("n") > 0, F.col("cls")).alias("cls")).join(placed, "cls", "left")
-    return out.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")).alias("component_id"), F.col("cls").alias("class_id"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
+    return out.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")).alias("component_id"), F.col("cls").alias("class_id"), F.coalesce("n_spanning", F.lit(0)).cast("long").alias("n_spanning"))
+
+
+def jaccard_links(docs: DataFrame, words: int = 5, similarity: tuple[int, int] = (80, 100)) -> DataFrame:
+    """All links between different texts: a, b, the least doc_id of two classes of equal shingle sets, a < b, each pair once.
+
+    Arguments are those of jaccard_groups. A group of g mutually linked texts has g (g - 1) / 2 links, so the result and the
+    work can grow with the square of a group's size; links between equal sets are not listed.
+    """
+    num, den = similarity
+    scratch = Scratch(docs.sparkSession, "jaccard-links")
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    _, classes, met = _described_regions(docs, words, num, den, scratch)
+    pairs = scratch.write(_pairs(met.join(classes.select("cls", "n", "bits"), "cls"), num, den, "all"), "pairs")
+    wanted = pairs.select(F.explode(F.array("a", "b")).alias("cls")).distinct()
+    wanted = classes.join(wanted, "cls", "left_semi").select("cls", F.col("rep").alias("doc_id"))
+    texts = docs.join(wanted.hint("shuffle_hash"), "doc_id").dropDuplicates(["cls"])
+    sets = scratch.write(texts.select("cls", "text").mapInArrow(_sets(words), "cls long, shingles array<long>"), "sets")
+    reps = [classes.select(F.col("cls").alias(c), F.col("rep").alias(f"{c}_id")) for c in "ab"]
+    links = _confirmed(pairs, sets, num, den).join(reps[0], "a").join(reps[1], "b")
+    return links.select(F.least("a_id", "b_id").alias("a"), F.greatest("a_id", "b_id").alias("b"))
 
 
 def _pairs(met: DataFrame, num: int, den: int, kind: str) -> DataFrame:
-    cols = ["region", "cls", "n", "bits"] + ([] if kind == "pivots" else ["comp"])
+    cols = ["region", "cls", "n", "bits"] + ([] if kind in ("pivots", "all") else ["comp"])
     dealt = met.select(*cols).repartition("region").sortWithinPartitions("region", "cls")
     return dealt.mapInArrow(_candidates(num, den, kind), "a long, b long").distinct()
 

@@ -73,6 +73,16 @@ def test_jaccard_groups(spark, k, num):
     assert jaccard_groups(docs_of(spark, []), k, (num, 100)).count() == 0
 
 
+def test_jaccard_links_are_all_links(spark):
+    from inkframe.llm.jaccard_join import jaccard_links
+
+    rng = random.Random(4)
+    base = [rng.choice(WORDS) + str(i) for i in range(100)]
+    rows = [(i, " ".join([*base, f"end{i}"])) for i in range(14)] + [(50, " ".join([*base, "end3"])), (51, "else")]
+    pairs = [tuple(r) for r in jaccard_links(docs_of(spark, rows), 3, (90, 100)).select("a", "b").collect()]
+    assert sorted(pairs) == [(a, b) for a in range(14) for b in range(a + 1, 14)]
+
+
 def test_windows_of_common_pivots_meet():
     from inkframe.llm.jaccard_join import _window
 
