@@ -66,6 +66,17 @@ def vietnamese_forms(spark, t):
     return _values(spark, "s", SIGNS).select("k", X.to_unsigned(F.col("s")).alias("unsigned_form"), X.diacritics(F.col("s")).cast("bigint").alias("marks"), X.is_vietnamese(F.col("s")).alias("vietnamese"))
 
 
+@query(f"SELECT k, {_plain_sql('nfc_normalize(s)')} AS unsigned_form, length(regexp_replace(lower(s), '[^{X.LOWER_MARKED}]', '', 'g')) AS marks, length(regexp_replace(lower(s), '[^{X.LOWER_MARKED}]', '', 'g')) > 0 AS vietnamese FROM (SELECT CAST(doc_id AS VARCHAR) AS k, text AS s FROM documents UNION ALL SELECT 'sign' || k, s FROM {_sql_values('s', SIGNS)})")
+def vietnamese_forms_documents(spark, t):
+    """T2, M8, T18 on whole documents and signs."""
+    rows = _documents_and_signs(spark, t, F.col("text"))
+    return rows.select("k", X.to_unsigned(F.col("s")).alias("unsigned_form"), X.diacritics(F.col("s")).cast("bigint").alias("marks"), X.is_vietnamese(F.col("s")).alias("vietnamese"))
+
+
+def _documents_and_signs(spark, t, text) -> DataFrame:
+    return t("documents").select(F.col("doc_id").cast("string").alias("k"), text.alias("s")).unionByName(_values(spark, "s", SIGNS).select(F.concat(F.lit("sign"), "k").alias("k"), "s"))
+
+
 @query()
 def entity_spans(spark, t):
     """T4-T9 with spans, over documents and signs."""
@@ -75,8 +86,8 @@ def entity_spans(spark, t):
 
 @query()
 def entity_counts(spark, t):
-    """Entities of signs by type."""
-    rows = _values(spark, "s", SIGNS).select(F.lit("v").alias("video_id"), F.col("k").alias("frame_idx"), F.lit("").alias("timestamp_str"), F.col("k").alias("id"), X.entity_values(F.col("s")).alias("entities"))
+    """Entities of documents and signs by type."""
+    rows = _documents_and_signs(spark, t, X.clean_text(F.col("text"))).select(F.lit("v").alias("video_id"), F.col("k").alias("frame_idx"), F.lit("").alias("timestamp_str"), F.col("k").alias("id"), X.entity_values(F.col("s")).alias("entities"))
     return D.entity_counts(rows)
 
 
@@ -89,6 +100,17 @@ def frame_index(spark, t):
     return _values(spark, "name", NAMES).select("k", P.frame_index(F.col("name")).alias("frame_idx"))
 
 
+_INDEX_SQL = "coalesce(try_cast(nullif(regexp_extract(regexp_replace(split_part(name, '/', -1), '\\.[^.]*$', ''), '([0-9]+)', 1), '') AS BIGINT), 0)"
+
+
+@query(f"SELECT k, {_INDEX_SQL} AS frame_idx FROM (SELECT conv_id || '-' || turn AS k, 'V' || conv_id || '/keyframe_' || turn * 75 || '.webp' AS name FROM conversations UNION ALL SELECT 'name' || k, name FROM {_sql_values('name', NAMES)})")
+def frame_index_turns(spark, t):
+    """P1 on a name per turn of all conversations, and on NAMES."""
+    rows = t("conversations").selectExpr("concat_ws('-', conv_id, turn) as k", "concat('V', conv_id, '/keyframe_', turn * 75, '.webp') as name")
+    rows = rows.unionByName(_values(spark, "name", NAMES).select(F.concat(F.lit("name"), "k").alias("k"), "name"))
+    return rows.select("k", P.frame_index(F.col("name")).alias("frame_idx"))
+
+
 RATES = "(VALUES (0, 30.0), (1, 25.0), (2, 29.97), (3, 0.0)) f(m, fps)"
 INFO_SQL = f"""
 WITH frames AS (SELECT DISTINCT 'V' || conv_id AS video_id, turn * 75 + conv_id % 7 AS frame_idx, conv_id % 5 AS m, conv_id FROM conversations),

@@ -33,3 +33,11 @@ def test_query_equals_sql(spark, name):
 def test_rows_only(spark):
     for name in ("entity_spans", "entity_counts", "tracks_greedy"):
         assert entry.queries()[name](spark, SF).count() > 0
+
+
+def test_entities_of_documents_are_counted(spark, tmp_path):
+    sf, signs = str(tmp_path / "with"), str(tmp_path / "without")
+    spark.createDataFrame([(1, "Phở 45k và trà 5.000đ"), (2, "prose"), (3, None)], "doc_id long, text string").write.parquet(f"{sf}/documents.parquet")
+    spark.createDataFrame([], "doc_id long, text string").write.parquet(f"{signs}/documents.parquet")
+    found, alone = ({r["type"]: r["n"] for r in entry.queries()["entity_counts"](spark, at).collect()} for at in (sf, signs))
+    assert found["PRICE"] == alone["PRICE"] + 2
