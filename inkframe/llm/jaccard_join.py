@@ -158,11 +158,12 @@ def _described(k: int, num: int, den: int, hot):
         for batch in batches:
             for part in chunks(batch, "text"):
                 n, cls, table, regions = [], [], [], []
-                for s in shingle_sets(*text_buffers(part.column("text")), k):
+                named = part.column("doc_id").is_valid().to_pylist()
+                for s, has_id in zip(shingle_sets(*text_buffers(part.column("text")), k), named, strict=True):
                     n.append(len(s))
                     c = int(mix(np.array([mix(s ^ U(0x5851F42D4C957F2D)).sum() + U(len(s))], U)).view(np.int64)[0])
                     cls.append(c)
-                    if c in told or not len(s):
+                    if c in told or not len(s) or not has_id:
                         table.append(None)
                         regions.append(None)
                         continue

@@ -83,6 +83,15 @@ def test_jaccard_links_are_all_links(spark):
     assert sorted(pairs) == [(a, b) for a in range(14) for b in range(a + 1, 14)]
 
 
+def test_null_ids_hide_no_link(spark):
+    from inkframe.llm.jaccard_join import jaccard_groups
+
+    base = [f"w{i}" for i in range(100)]
+    one, two = " ".join([*base, "x"]), " ".join([*base, "y"])
+    got = jaccard_groups(docs_of(spark, [(None, one), (1, one), (2, two)]).coalesce(1), 3, (90, 100)).select("doc_id", "component_id").collect()
+    assert sorted(map(tuple, got), key=str) == [(1, 1), (2, 1), (None, None)]
+
+
 def test_windows_of_common_pivots_meet():
     from inkframe.llm.jaccard_join import _window
 
