@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import ctypes
 import functools
+import hashlib
 import sys
 from collections.abc import Callable, Iterator
 
@@ -100,11 +101,41 @@ def chunks(batch: pa.RecordBatch, text: str, most: int = PIECE) -> Iterator[pa.R
         first = last
 
 
-def word_hashes(data: np.ndarray, at: np.ndarray, separator: np.ndarray, table: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def lanes(data: np.ndarray) -> np.ndarray:
+    """A view of data, padded, that holds the eight bytes from every byte on as one little-endian word."""
+    wide = np.concatenate([data, np.zeros(8, np.uint8)])
+    return np.ndarray((len(data) + 1,), "<u8", wide, strides=(1,))
+
+
+#: Longer words are hashed one by one.
+LONG_WORD = 256
+_MASKS = np.array([(1 << (8 * k)) - 1 for k in range(8)] + [(1 << 64) - 1], U)
+
+
+def range_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, at: np.ndarray | None = None) -> np.ndarray:
+    """Hashes of byte ranges. Eight bytes at a time go through a mixing function, which leaves no algebraic structure.
+
+    at: what lanes(data) returned. Ranges of up to eight bytes of one length never collide.
+    """
+    at = lanes(data) if at is None else at
+    size = ends - starts
+    out = mix(at[starts] & _MASKS[np.minimum(size, 8)] ^ size.astype(U) * U(0x9E3779B97F4A7C15))
+    left = np.flatnonzero((size > 8) & (size <= LONG_WORD))
+    k = 8
+    while len(left):
+        rest = size[left] - k
+        out[left] = mix((out[left] ^ at[starts[left] + k] & _MASKS[np.minimum(rest, 8)]) * U(0xD6E8FEB86659FD93) + U(k))
+        left, k = left[rest > 8], k + 8
+    for i in np.flatnonzero(size > LONG_WORD).tolist():
+        digest = hashlib.blake2b(data[starts[i] : ends[i]].tobytes(), digest_size=8).digest()
+        out[i] = int.from_bytes(digest, "little")
+    return out
+
+
+def word_hashes(data: np.ndarray, at: np.ndarray, separator: np.ndarray, fold: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all words, and for each text the index of its first word (n+1 entries).
 
-    separator[b] tells whether byte b stands between words. Works in pieces that end with a word, so
-    memory does not follow the longest text but its longest word.
+    separator[b] tells whether byte b stands between words; fold[b] is the byte that stands for b.
     """
     n = len(data)
     if n == 0:
@@ -117,13 +148,11 @@ def word_hashes(data: np.ndarray, at: np.ndarray, separator: np.ndarray, table:
     after[-1], after[:-1] = True, gap[1:]
     starts = np.flatnonzero(~gap & (before | edge[:-1]))
     ends = np.flatnonzero(~gap & (after | edge[1:])) + 1
-    out = np.empty(len(starts), U)
-    i = 0
-    while i < len(starts):
-        low = starts[i]
-        j = max(i + 1, int(np.searchsorted(ends, low + PIECE, "right")))
-        p = prefix_sums(data[low : ends[j - 1]], table)
-        s, e = starts[i:j] - low, ends[i:j] - low
-        out[i:j] = (p[e] - p[s]) * powers(len(p))[1][s]
-        i = j
-    return mix(out), np.searchsorted(starts, at)
+    return range_hashes(data if fold is None else fold[data], starts, ends), np.searchsorted(starts, at)
+
+
+def folded() -> np.ndarray:
+    """The byte that stands for each byte: A-Z as a-z."""
+    out = np.arange(256, dtype=np.uint8)
+    out[65:91] += 32
+    return out

@@ -12,8 +12,8 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .jaccard_join import jaccard_groups
 
-    groups = jaccard_groups(_table(spark, sf_dir, "documents"), words=3, similarity=(90, 100))
-    return groups.select("doc_id", "n_shingles", "component_id")
+    groups = jaccard_groups(_table(spark, sf_dir, "documents"), words=3, similarity=(90, 100), count_links=True)
+    return groups.select("doc_id", "n_shingles", "component_id", "n_links")
 
 
 def tokenizer_path(name: str) -> str:
@@ -154,8 +154,8 @@ p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS same FROM s a JOIN s b ON
 e AS (SELECT a, b FROM p JOIN n x ON a = x.doc_id JOIN n y ON b = y.doc_id WHERE 100 * same >= 90 * (x.n + y.n - same)),
 u AS (SELECT a, b FROM e UNION SELECT b, a FROM e),
 r(a, b) AS (SELECT a, b FROM u UNION SELECT r.a, u.b FROM r JOIN u ON r.b = u.a)
-SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, least(d.doc_id, coalesce(m.m, d.doc_id)) AS component_id
-FROM documents d LEFT JOIN n USING (doc_id) LEFT JOIN (SELECT a AS doc_id, min(b) AS m FROM r GROUP BY a) m USING (doc_id)""",
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, least(d.doc_id, coalesce(m.m, d.doc_id)) AS component_id, coalesce(k.k, 0) AS n_links
+FROM documents d LEFT JOIN n USING (doc_id) LEFT JOIN (SELECT a AS doc_id, count(*) AS k FROM u GROUP BY a) k USING (doc_id) LEFT JOIN (SELECT a AS doc_id, min(b) AS m FROM r GROUP BY a) m USING (doc_id)""",
     "op6_decontaminate": f"""
 WITH d AS (SELECT doc_id, regexp_extract_all({_LOWER.format("text")}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
 i AS (SELECT item_id, regexp_extract_all({_LOWER.format("text")}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),

@@ -73,6 +73,91 @@ def test_jaccard_groups(spark, k, num):
     assert jaccard_groups(docs_of(spark, []), k, (num, 100)).count() == 0
 
 
+def brute_links(rows, k, num, den):
+    sets = []
+    for _, t in rows:
+        w = (t or "").encode().lower().split()
+        sets.append({tuple(w[i : i + k]) for i in range(len(w) - k + 1)} or ({tuple(w)} if w else set()))
+    return {d: sum(1 for j, b in enumerate(sets) if i != j and a and b and den * len(a & b) >= num * len(a | b)) for i, ((d, _), a) in enumerate(zip(rows, sets, strict=True))}
+
+
+@pytest.mark.parametrize("num", [80, 90])
+def test_large_clusters_keep_all_links(spark, num, monkeypatch):
+    """Copies with edits of three texts, in clusters of many blocks, some links of them only across borders."""
+    from inkframe.llm import jaccard_join as J
+
+    rng = random.Random(num)
+    base = [[rng.choice(WORDS) + str(rng.randrange(50)) for _ in range(n)] for n in (60, 90, 200)]
+    rows = []
+    for i in range(330):
+        w = list(base[i % 3])
+        for _ in range(rng.choice([0, 1, 2, 3, 4, 6])):
+            w[rng.randrange(len(w))] = f"x{rng.randrange(9)}"
+        rows.append((i, " ".join(w)))
+    want, links = brute_groups(rows, 3, num, 100), brute_links(rows, 3, num, 100)
+    for counting in (False, True):
+        got = J.jaccard_groups(docs_of(spark, rows), 3, (num, 100), count_links=counting).collect()
+        assert sorted(((r.doc_id, r.n_shingles, r.component_id) for r in got), key=str) == want
+    assert {r.doc_id: r.n_links for r in got} == links
+
+
+def test_metric_join_divides(monkeypatch):
+    """Cells, windows and sure links against brute force, with and without counting."""
+    from inkframe.llm import jaccard_join as J
+
+    rng = np.random.default_rng(5)
+    monkeypatch.setattr(J, "LEAF", 6)
+    monkeypatch.setattr(J, "PIVOTS", 5)
+    for turn in range(12):
+        centres = [np.unique(rng.integers(0, 1 << 62, 40).astype(np.uint64)) for _ in range(6)]
+        sets = []
+        for i in range(70):
+            c = centres[int(rng.integers(0, 6))]
+            sets.append(np.unique(np.concatenate([c[rng.random(len(c)) > 0.08], rng.integers(0, 1 << 62, int(rng.integers(1, 4))).astype(np.uint64)])))
+        side = np.full(70, -1) if turn % 2 else rng.integers(0, 2, 70)
+        pairs = [(a, b) for a in range(70) for b in range(a) if (side[a] < 0 or side[a] != side[b]) and 100 * len(np.intersect1d(sets[a], sets[b])) >= 80 * len(np.union1d(sets[a], sets[b]))]
+        for counting in (True, False):
+            join = J.MetricJoin(sets, np.arange(70), side, np.arange(1, 71), 80, 100, counting)
+            root = list(range(70))
+
+            def find(x):
+                while root[x] != x:
+                    x = root[x]
+                return x
+
+            for a, b in pairs:
+                root[find(a)] = find(b)
+            apart = {find(i): join.root[i] for i in range(70)}
+            assert [apart[find(i)] for i in range(70)] == join.root.tolist() and len(set(apart.values())) == len(apart)
+            if counting:
+                n = np.zeros(70, int)
+                for a, b in pairs:
+                    n[a] += b + 1
+                    n[b] += a + 1
+                assert n.tolist() == join.n_links.tolist()
+
+
+def thue_morse(n, a="a", b="b"):
+    return "".join(b if bin(i).count("1") % 2 else a for i in range(n))
+
+
+def test_words_of_thue_morse_do_not_collide(spark):
+    from inkframe.llm.jaccard_join import jaccard_groups
+
+    rows = [(i, thue_morse(n, *p)) for i, (n, p) in enumerate((n, p) for n in (1024, 2048, 4096) for p in ("ab", "ba"))]
+    got = jaccard_groups(docs_of(spark, rows), 3, (90, 100)).select("doc_id", "n_shingles", "component_id").collect()
+    assert sorted(map(tuple, got)) == [(i, 1, i) for i in range(6)]
+
+
+def test_a_doc_id_with_several_texts(spark):
+    from inkframe.llm.jaccard_join import jaccard_groups
+
+    base = [f"w{i}" for i in range(100)]
+    rows = [(1, " ".join([*base, "x"])), (1, "quite another text of some words"), (1, "quite another text of some words"), (2, " ".join([*base, "y"]))]
+    got = jaccard_groups(docs_of(spark, rows), 3, (90, 100)).select("doc_id", "n_shingles", "component_id").collect()
+    assert sorted(map(tuple, got)) == [(1, 4, 1), (1, 4, 1), (1, 99, 1), (2, 99, 1)]
+
+
 def test_jaccard_links_are_all_links(spark):
     from inkframe.llm.jaccard_join import jaccard_links
 
@@ -92,7 +177,7 @@ def test_null_ids_hide_no_link(spark):
     assert sorted(map(tuple, got), key=str) == [(1, 1), (2, 1), (None, None)]
 
 
-def test_windows_of_common_pivots_meet():
+def test_windows_meet():
     from inkframe.llm.jaccard_join import _window
 
     rng = np.random.default_rng(0)
