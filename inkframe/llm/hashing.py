@@ -109,7 +109,7 @@ def lanes(data: np.ndarray) -> np.ndarray:
 
 #: Longer words are hashed one by one.
 LONG_WORD = 256
-_MASKS = np.array([(1 << (8 * k)) - 1 for k in range(8)] + [(1 << 64) - 1], U)
+MASKS = np.array([(1 << (8 * k)) - 1 for k in range(8)] + [(1 << 64) - 1], U)
 
 
 def range_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, at: np.ndarray | None = None) -> np.ndarray:
@@ -119,12 +119,12 @@ def range_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, at: np.
     """
     at = lanes(data) if at is None else at
     size = ends - starts
-    out = mix(at[starts] & _MASKS[np.minimum(size, 8)] ^ size.astype(U) * U(0x9E3779B97F4A7C15))
+    out = mix(at[starts] & MASKS[np.minimum(size, 8)] ^ size.astype(U) * U(0x9E3779B97F4A7C15))
     left = np.flatnonzero((size > 8) & (size <= LONG_WORD))
     k = 8
     while len(left):
         rest = size[left] - k
-        out[left] = mix((out[left] ^ at[starts[left] + k] & _MASKS[np.minimum(rest, 8)]) * U(0xD6E8FEB86659FD93) + U(k))
+        out[left] = mix((out[left] ^ at[starts[left] + k] & MASKS[np.minimum(rest, 8)]) * U(0xD6E8FEB86659FD93) + U(k))
         left, k = left[rest > 8], k + 8
     for i in np.flatnonzero(size > LONG_WORD).tolist():
         digest = hashlib.blake2b(data[starts[i] : ends[i]].tobytes(), digest_size=8).digest()

@@ -18,9 +18,10 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from .scratch import Scratch
 
-#: Bounds of what the driver holds: pivots and probe vectors.
-PIVOTS, PROBES = 64, 1024
+#: Pivots grow as the square root of the vectors, from and up to these numbers; probe vectors. The driver and each task hold them.
+PIVOTS, PROBES = (64, 4096), 1024
 BLOCK, QUERY_BLOCK = 4096, 1024
+LEAST, MOST = -(1 << 63), (1 << 63) - 1
 
 
 def _clean(table: DataFrame) -> DataFrame:
@@ -29,10 +30,24 @@ def _clean(table: DataFrame) -> DataFrame:
     return rows.select("vec_id", F.transform("embedding", lambda v: F.floor(v * 256).cast("long")).alias("vector"))
 
 
+def _integers(col: pa.Array) -> np.ndarray:
+    """Rows of a list column; all have one length."""
+    return col.flatten().to_numpy(zero_copy_only=False).astype(np.int64).reshape(len(col), -1)
+
+
 def _matrix(col: pa.Array) -> np.ndarray:
-    """Rows of a list column; all have one length. Integers of doubles are exact below 2^53."""
-    flat = col.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
-    return flat.reshape(len(col), -1)
+    """The same as doubles, for bounds."""
+    return _integers(col).astype(np.float64)
+
+
+def products(q: np.ndarray, x: np.ndarray) -> np.ndarray:
+    """Exact inner products of integer rows: as doubles below 2^53, as 64-bit integers below 2^63, else as Python's."""
+    most = float(np.abs(q.astype(np.float64)).max(initial=0)) * float(np.abs(x.astype(np.float64)).max(initial=0)) * q.shape[1]
+    if most < 1 << 53:
+        return (q.astype(np.float64) @ x.T.astype(np.float64)).astype(np.int64)
+    if most < 1 << 62:
+        return q @ x.T
+    return q.astype(object) @ x.T.astype(object)
 
 
 def _grouped(pivots: np.ndarray):
@@ -45,7 +60,9 @@ def _grouped(pivots: np.ndarray):
             x = _matrix(batch.column("vector"))
             d = (x**2).sum(1)[:, None] + norm - 2 * (x @ pivots.T)
             g = d.argmin(1)
-            yield pa.RecordBatch.from_arrays([batch.column("vec_id"), batch.column("vector"), pa.array(g, pa.int32()), pa.array(np.maximum(d[np.arange(len(g)), g], 0))], ["vec_id", "vector", "grp", "d2"])
+            # differences of large numbers lose digits: the radius must not be less than it is
+            least = np.maximum(d[np.arange(len(g)), g], 0) + 1e-12 * ((x**2).sum(1) + norm[g])
+            yield pa.RecordBatch.from_arrays([batch.column("vec_id"), batch.column("vector"), pa.array(g, pa.int32()), pa.array(least)], ["vec_id", "vector", "grp", "d2"])
 
     return run
 
@@ -63,7 +80,7 @@ def _packed(label: str, most: int):
                 for i in range(a, b, most):
                     part = batch.slice(i, min(most, b - i))
                     ids = part.column("vec_id").to_numpy().astype("<i8").tobytes()
-                    yield pa.RecordBatch.from_arrays([pa.array([grp[a]], pa.int32()), pa.array([salt[a]], pa.int32()), pa.array([ids], pa.binary()), pa.array([_matrix(part.column("vector")).astype("<f8").tobytes()], pa.binary())], ["grp", "salt", f"{label}_ids", f"{label}_vectors"])
+                    yield pa.RecordBatch.from_arrays([pa.array([grp[a]], pa.int32()), pa.array([salt[a]], pa.int32()), pa.array([ids], pa.binary()), pa.array([_integers(part.column("vector")).astype("<i8").tobytes()], pa.binary())], ["grp", "salt", f"{label}_ids", f"{label}_vectors"])
 
     return run
 
@@ -76,16 +93,18 @@ def _sent(pivots: np.ndarray, radius: np.ndarray, size: np.ndarray, salts: np.nd
             if not batch.num_rows:
                 continue
             q, ids = _matrix(batch.column("vector")), batch.column("vec_id").to_numpy()
-            middle, reach = q @ pivots.T, np.sqrt((q**2).sum(1))[:, None] * radius
+            length = np.sqrt((q**2).sum(1))
+            middle, reach = q @ pivots.T, length[:, None] * radius
+            slack = 1e-3 + 1e-10 * length * (np.sqrt((pivots**2).sum(1)).max() + radius.max())
             # floors of what the k-th best can be: from real vectors, and from the groups' own lower bounds
             got = np.where(probe_ids == ids[:, None], -np.inf, q @ probes.T)
-            floor = np.sort(got, axis=1)[:, -k] if got.shape[1] >= k else np.full(len(q), -np.inf)
+            floor = np.partition(got, -k, axis=1)[:, -k] if got.shape[1] >= k else np.full(len(q), -np.inf)
             low = middle - reach
             order = np.argsort(-low, axis=1)
             enough = (np.cumsum(size[order], axis=1) > k).argmax(1)  # one more, as a query is not its own answer
             if size.sum() > k:
                 floor = np.maximum(floor, np.take_along_axis(low, order, 1)[np.arange(len(q)), enough])
-            who, grp = np.nonzero((middle + reach >= floor[:, None] - 1e-3) & (size > 0))
+            who, grp = np.nonzero((middle + reach >= (floor - slack)[:, None]) & (size > 0))
             many = salts[grp]
             who, grp, salt = np.repeat(who, many), np.repeat(grp, many), np.concatenate([np.arange(m) for m in many]) if len(many) else np.zeros(0)
             for i in range(0, len(who), 8192):
@@ -100,18 +119,24 @@ def _solved(k: int):
         for batch in batches:
             for row in batch.to_pylist():
                 xi, qi = np.frombuffer(row["x_ids"], "<i8"), np.frombuffer(row["q_ids"], "<i8")
-                x, q = np.frombuffer(row["x_vectors"], "<f8").reshape(len(xi), -1), np.frombuffer(row["q_vectors"], "<f8").reshape(len(qi), -1)
+                x, q = np.frombuffer(row["x_vectors"], "<i8").reshape(len(xi), -1), np.frombuffer(row["q_vectors"], "<i8").reshape(len(qi), -1)
                 order = np.argsort(xi, kind="stable")
                 xi, x = xi[order], x[order]
                 out = []
                 for i in range(0, len(qi), 128):
-                    score = q[i : i + 128] @ x.T
-                    score[xi == qi[i : i + 128, None]] = -np.inf
-                    best = np.argsort(-score, axis=1, kind="stable")[:, :k]  # ties: smaller id first
-                    top = np.take_along_axis(score, best, 1)
-                    some, rank = np.nonzero(np.isfinite(top))
-                    out.append((qi[i : i + 128][some], xi[best[some, rank]], top[some, rank].astype(np.int64)))
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*out, strict=True)], ["query_id", "vec_id", "score"])
+                    score = products(q[i : i + 128], x)
+                    # one more than k, as the query may be among them; ties: smaller id first
+                    best = np.argsort(-score, axis=1, kind="stable")[:, : k + 1]
+                    other = xi[best] != qi[i : i + 128, None]
+                    other &= np.cumsum(other, axis=1) <= k
+                    some, rank = np.nonzero(other)
+                    top = np.take_along_axis(score, best, 1)[some, rank]
+                    wide = ["" if LEAST <= v <= MOST else str(v) for v in top.tolist()] if top.dtype == object else [""] * len(top)
+                    top = np.array([min(max(v, LEAST), MOST) for v in top.tolist()], np.int64)
+                    out.append((qi[i : i + 128][some], xi[best[some, rank]], top, np.array(wide, object)))
+                cols = [np.concatenate(c) for c in zip(*out, strict=True)]
+                wide = pa.array([v or None for v in cols[3]], pa.string())
+                yield pa.RecordBatch.from_arrays([pa.array(cols[0]), pa.array(cols[1]), pa.array(cols[2], pa.int64()), wide], ["query_id", "vec_id", "score", "wide"])
 
     return run
 
@@ -119,37 +144,44 @@ def _solved(k: int):
 def knn_join(table: DataFrame, every: int = 50, k: int = 5) -> DataFrame:
     """The k best rows of table (vec_id, embedding) for each query, a row whose vec_id is divisible by `every`.
 
-    Components x become floor(256 x); the score is the integer inner product, ties go to the smaller vec_id, and a
-    query is not its own answer. Returns query_id, rank, vec_id, score. Vectors that are null or empty, or hold null
-    or non-finite components, and rows with a null id take part on neither side, nor do vectors of another length than
-    the commonest (the shorter, on a tie). Of rows that repeat a vec_id, the one that sorts first by its vector counts.
+    Components x become floor(256 x), taken to the nearest 64-bit integer; the score is the exact integer inner product, ties go to
+    the smaller vec_id, and a query is not its own answer. Scores beyond 64 bits are ranked exactly up to 38 digits and returned as the nearest 64-bit
+    integer. Returns query_id, rank, vec_id, score. Vectors that are null or empty, or hold null
+    or non-finite components, and rows with a null id take part on neither side. Vectors of different lengths have no inner
+    product: each length is a join of its own. Of rows that repeat a vec_id, the one that sorts first by its vector counts.
     An empty table gives an empty result. Other columns are ignored.
     """
     spark = table.sparkSession
     scratch = Scratch(spark, "knn")
     rows = _clean(table).groupBy("vec_id").agg(F.min("vector").alias("vector"))
     rows = scratch.write(rows, "rows")
-    sizes = rows.groupBy(F.size("vector").alias("d")).count().orderBy(F.desc("count"), "d").first()
-    schema = "query_id long, rank int, vec_id long, score long"
-    if sizes is None:
-        return spark.createDataFrame([], schema)
-    rows = rows.where(F.size("vector") == sizes["d"])
-    probe = rows.orderBy(F.xxhash64("vec_id")).limit(PROBES).collect()
-    probes, probe_ids = np.array([r["vector"] for r in probe], np.float64), np.array([r["vec_id"] for r in probe])
-    pivots = np.unique(probes, axis=0)
-    pivots = pivots[np.random.default_rng(0).permutation(len(pivots))[:PIVOTS]]
-    near = scratch.write(rows.mapInArrow(_grouped(pivots), "vec_id long, vector array<long>, grp int, d2 double"), "near")
+    sizes = [(r["d"], r["count"]) for r in rows.groupBy(F.size("vector").alias("d")).count().orderBy("d").collect()]  # a row per length
+    out = spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
+    for d, n in sizes:
+        one = _joined(rows.where(F.size("vector") == d), n, every, k, scratch, str(d))
+        out = one if len(sizes) == 1 else out.unionByName(one)
+    return out
+
+
+def _joined(rows: DataFrame, n: int, every: int, k: int, scratch: Scratch, tag: str) -> DataFrame:
+    """The join of n vectors of one length."""
+    probe = rows.orderBy(F.xxhash64("vec_id")).limit(PROBES + PIVOTS[1]).toArrow() if n > PROBES else rows.orderBy(F.xxhash64("vec_id")).toArrow()
+    held, held_ids = _matrix(probe.column("vector").combine_chunks()), probe.column("vec_id").to_numpy()
+    probes, probe_ids = held[:PROBES], held_ids[:PROBES]
+    pivots = np.unique(held, axis=0)
+    pivots = pivots[np.random.default_rng(0).permutation(len(pivots))[: int(np.clip(np.sqrt(n), *PIVOTS))]]
+    near = scratch.write(rows.mapInArrow(_grouped(pivots), "vec_id long, vector array<long>, grp int, d2 double"), f"near-{tag}")
     radius, size = np.zeros(len(pivots)), np.zeros(len(pivots))
     for r in near.groupBy("grp").agg(F.max("d2").alias("d2"), F.count("*").alias("n")).collect():  # a row per pivot
-        radius[r["grp"]], size[r["grp"]] = np.sqrt(r["d2"]) + 1e-6, r["n"]
+        radius[r["grp"]], size[r["grp"]] = np.sqrt(r["d2"]) * (1 + 1e-9) + 1e-6, r["n"]
     salts = np.maximum(1, np.ceil(size / BLOCK)).astype(np.int64)
-    many = F.element_at(F.array(*[F.lit(int(s)) for s in salts]), F.col("grp") + 1)
+    many = F.element_at(F.expr(f"cast(split('{','.join(map(str, salts.tolist()))}', ',') as array<int>)"), F.col("grp") + 1)
     data = near.withColumn("salt", F.pmod(F.xxhash64("vec_id"), many).cast("int")).drop("d2")
     kind = "grp int, salt int, {0}_ids binary, {0}_vectors binary"
     data = data.repartition("grp", "salt").sortWithinPartitions("grp", "salt").mapInArrow(_packed("x", BLOCK), kind.format("x"))
     asked = near.where(F.col("vec_id") % every == 0).select("vec_id", "vector").repartition(F.xxhash64("vec_id"))
     asked = asked.mapInArrow(_sent(pivots, radius, size, salts, probes, probe_ids, k), "vec_id long, vector array<long>, grp int, salt int")
     asked = asked.repartition("grp", "salt").sortWithinPartitions("grp", "salt").mapInArrow(_packed("q", QUERY_BLOCK), kind.format("q"))
-    local = data.join(asked, ["grp", "salt"]).select("x_ids", "x_vectors", "q_ids", "q_vectors").mapInArrow(_solved(k), "query_id long, vec_id long, score long")
-    over = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    local = data.join(asked, ["grp", "salt"]).select("x_ids", "x_vectors", "q_ids", "q_vectors").mapInArrow(_solved(k), "query_id long, vec_id long, score long, wide string")
+    over = Window.partitionBy("query_id").orderBy(F.desc("score"), F.col("wide").try_cast("decimal(38,0)").desc(), "vec_id")
     return local.withColumn("rank", F.row_number().over(over)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

@@ -9,7 +9,6 @@ its probabilities are the means over its windows.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -21,12 +20,11 @@ from .scratch import Scratch
 
 WINDOW, WIDTHS, FILTERS = 256, (2, 3, 4), 12
 _PAD = max(WIDTHS) - 1
-_LETTER = re.compile(r"[^\W\d_]")
 _STEP = 1 << 15
 
 
 def has_letter(text: str | None) -> bool:
-    return bool(text) and _LETTER.search(text) is not None
+    return bool(text) and any(map(str.isalpha, text))
 
 
 class ByteConvNet:

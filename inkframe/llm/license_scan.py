@@ -49,8 +49,9 @@ def words(text: Column) -> Column:
 
 def document_frequencies(files: DataFrame, terms: list[str]) -> tuple[int, dict[str, int]]:
     """How many files there are, and how many hold each of the (few) terms."""
-    held = F.filter(words(F.col("text")), lambda w: w.isin(terms))
-    counts = files.select(F.explode(F.array_distinct(held)).alias("term")).groupBy("term").agg(F.count("*").alias("n")).collect()
+    asked = F.broadcast(files.sparkSession.createDataFrame([(t,) for t in terms], "term string"))
+    held = files.select(F.explode(F.array_distinct(words(F.col("text")))).alias("term")).join(asked, "term")
+    counts = held.groupBy("term").agg(F.count("*").alias("n")).collect()
     return files.count(), dict.fromkeys(terms, 0) | {r["term"]: r["n"] for r in counts}
 
 
@@ -125,12 +126,16 @@ def scan(files: DataFrame, templates: list[tuple[str, str]], threshold: float, s
     padded = F.concat(words(F.col("text")), F.array_repeat(F.lit(""), longest))
     listed = scratch.write(hits.dropDuplicates(["row"]).select("row", F.posexplode(padded).alias("at", "term")), "words")
     place = {w: i for i, w in enumerate(terms)}
-    numbered = F.broadcast(spark.createDataFrame([(w, i, x * x) for (w, i), x in zip(place.items(), idf.values(), strict=True)] + [("", -1, 0.0)], "term string, id int, square double"))
-    ids = listed.join(numbered, "term", "left").select("row", "at", "id", F.coalesce("square", F.lit(unknown * unknown)).alias("square"))
-    over = Window.partitionBy("row").orderBy("at")
+    numbered = F.broadcast(spark.createDataFrame([(w, i, x * x, w in telling) for (w, i), x in zip(place.items(), idf.values(), strict=True)] + [("", -1, 0.0, False)], "term string, id int, square double, tells boolean"))
+    ids = listed.join(numbered, "term", "left").select("row", "at", "id", F.coalesce("square", F.lit(unknown * unknown)).alias("square"), F.coalesce("tells", F.lit(False)).alias("tells"))
+    # a window that matches has a telling term, so that only stretches around these are summed
+    along = Window.partitionBy("row").orderBy("at")
+    ids = ids.withColumn("near", F.max("tells").over(along.rowsBetween(-longest, longest))).where("near")
+    ids = ids.withColumn("stretch", F.col("at") - F.row_number().over(along))
+    over = Window.partitionBy("row", "stretch").orderBy("at")
     so_far = over.rowsBetween(Window.unboundedPreceding, -1)
     gain = [F.coalesce(F.element_at(F.expr(f"cast(split('{','.join(repr(v.get(w, 0.0) * idf[w] / size[t]) for w in terms)}', ',') as array<double>)"), F.when(F.col("id") >= 0, F.col("id") + 1)), F.lit(0.0)) for t, v in enumerate(weight)]
-    sums = ids.select("row", "at", "id", F.sum("square").over(so_far).alias("q"), *[F.sum(g).over(so_far).alias(f"g{t}") for t, g in enumerate(gain)])
+    sums = ids.select("row", "stretch", "at", "id", F.sum("square").over(so_far).alias("q"), *[F.sum(g).over(so_far).alias(f"g{t}") for t, g in enumerate(gain)])
     found = []
     for t, bag in enumerate(bags):
         dot = F.lead(f"g{t}", len(bag)).over(over) - F.coalesce(f"g{t}", F.lit(0.0))

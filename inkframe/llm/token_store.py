@@ -29,13 +29,13 @@ import zstandard
 from pyarrow import fs
 from pyspark.sql import DataFrame, Window, functions as F
 
-from .hashing import U, byte_table, chunks, mix, powers, prefix_sums, text_buffers, trimmed
+from .hashing import MASKS, U, chunks, lanes, mix, text_buffers, trimmed
 from .scratch import Scratch
 
 MAGIC = b"INKPLN01"
 BLOCK = 1 << 16
-#: Slots of an encoder's cache, and the longest entry it keeps.
-SLOTS, WIDEST = 1 << 18, 12
+#: Places of an encoder's table, the bytes of the longest pre-token there, and the ids that all its pre-tokens have at most.
+SLOTS, WIDEST, POOL = 1 << 20, 24, 1 << 22
 #: Classes of bytes: 0 white space, 1 letter (every byte of a letter beyond ASCII counts), 2 digit, 3 other.
 _CLASS = np.full(256, 3, np.uint8)
 _CLASS[[9, 10, 11, 12, 13, 32]] = 0
@@ -44,7 +44,6 @@ _CLASS[48:58] = 2
 #: Bytes that only texts have which go to the library whole: U+001C to U+001F, U+0080 to U+00BF, U+0250 and above.
 _ODD = np.zeros(256, bool)
 _ODD[28:32] = _ODD[0xC2] = _ODD[0xCA:] = True
-_TABLE = byte_table(fold_case=False)
 #: Endings that split off after an apostrophe, by their first letter.
 _ENDS_ALONE, _ENDS_PAIRED = b"stmd", (b"re", b"ve", b"ll")
 
@@ -83,13 +82,19 @@ def split_tokens(data: np.ndarray, at: np.ndarray) -> np.ndarray:
     return np.flatnonzero(start)
 
 
+def _ranges(begin: np.ndarray, many: np.ndarray) -> np.ndarray:
+    """The numbers begin, begin + 1, ... of each range, `many` of them, one range after the other."""
+    ends = np.cumsum(many)
+    return np.arange(ends[-1] if len(ends) else 0) + np.repeat(begin - ends + many, many)
+
+
 class Encoder:
     """Ids of texts by a tokenizers file. The library encodes pre-tokens that a table of recent ones does not hold.
 
     Byte-level BPE treats pre-tokens on their own, so a text's ids are those of its pre-tokens in turn. Pre-tokens
-    are found and looked up by 64-bit hash as arrays. The table has one place for each hash, which the last comer
-    takes. Texts with special strings, or with characters on which pattern libraries may differ, go to the
-    library whole.
+    are found and looked up as arrays. The table has one place for each hash, which the last comer takes, and holds the
+    bytes of its pre-tokens, which are compared; those longer than WIDEST bytes have a dictionary. Texts with special
+    strings, or with characters on which pattern libraries may differ, go to the library whole.
     """
 
     def __init__(self, path: str):
@@ -104,80 +109,96 @@ class Encoder:
         vocab = spec["model"]["vocab"]
         self.widths = np.zeros(max(vocab.values()) + 1, np.int64)  # bytes of each id: one symbol stands for one byte
         self.widths[list(vocab.values())] = [len(t) for t in vocab]
-        self.keys = np.zeros(SLOTS, U)
-        self.sizes = np.zeros(SLOTS, np.uint8)
-        self.rows = np.zeros((SLOTS, WIDEST), "<u4")
-
-    def learn(self, words: list[bytes]) -> list[np.ndarray]:
-        """Ids of pre-tokens. Runs of letters after a space are encoded many at a time: joined, they split where they were joined."""
-        out: list[np.ndarray] = [None] * len(words)  # type: ignore[list-item]
-        apart, joined = [], []
+        kind = np.uint16 if len(self.widths) <= 1 << 16 else np.uint32
+        self.held = np.zeros((WIDEST // 8, SLOTS), U)  # the bytes
+        self.width, self.many, self.at = np.zeros(SLOTS, np.uint8), np.zeros(SLOTS, np.uint8), np.zeros(SLOTS, np.int32)
+        self.pool, self.used = np.zeros(POOL, kind), 0
+        self.long: dict[bytes, tuple[int, int]] = {}
+
+    def learn(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of pre-tokens, one after the other, and how many each has. Runs of letters after a space are encoded many at a
+        time: joined, they split where they were joined."""
+        joined, apart = [], []
         for i, w in enumerate(words):
             (joined if w[0] == 32 and _CLASS[w[-1]] == 1 and len(w) > 1 and _CLASS[w[1]] == 1 else apart).append(i)
+        ids, many = [], np.zeros(len(words), np.int64)
         groups = [joined[i : i + 2000] for i in range(0, len(joined), 2000)]
         found = self.library.encode_batch_fast([b"".join([words[i] for i in g]).decode() for g in groups], add_special_tokens=False)
         for group, e in zip(groups, found, strict=True):
-            ids = np.array(e.ids, "<u4")
-            ends = np.cumsum([len(words[i]) for i in group])
-            cuts, at = np.searchsorted(np.cumsum(self.widths[ids]), ends) + 1, 0
-            for i, to in zip(group, cuts.tolist(), strict=True):
-                out[i], at = ids[at:to], to
+            own = np.array(e.ids, self.pool.dtype)
+            ids.append(own)
+            cuts = np.searchsorted(np.cumsum(self.widths[own]), np.cumsum([len(words[i]) for i in group])) + 1
+            many[group] = np.diff(cuts, prepend=0)
         for k in range(0, len(apart), 2000):
             some = apart[k : k + 2000]
             for i, e in zip(some, self.library.encode_batch_fast([words[i].decode() for i in some], add_special_tokens=False), strict=True):
-                out[i] = np.array(e.ids, "<u4")
-        return out
+                ids.append(np.array(e.ids, self.pool.dtype))
+                many[i] = len(e.ids)
+        # from the order of encoding to the order of words
+        order = np.array(joined + apart, np.int64)
+        begin = np.empty(len(words), np.int64)
+        begin[order] = np.cumsum(many[order]) - many[order]
+        flat = np.concatenate(ids) if ids else np.zeros(0, self.pool.dtype)
+        return flat[_ranges(begin, many)], many
+
+    def keep(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Where the ids of words now are in the pool, and how many."""
+        flat, many = self.learn(words)
+        if self.used + len(flat) > len(self.pool):
+            self.pool = np.concatenate([self.pool[: self.used], np.zeros(len(flat) + POOL // 4, self.pool.dtype)])
+        self.pool[self.used : self.used + len(flat)] = flat
+        begin = self.used + np.cumsum(many) - many
+        self.used += len(flat)
+        return begin, many
 
     def _by_parts(self, data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of texts one after the other, and where each text's begin."""
+        if self.used > POOL * 3 // 4:
+            self.pool, self.used = self.pool[:POOL].copy(), 0
+            self.many[:] = 0
+            self.long.clear()
         starts = split_tokens(data, at)
-        ends = np.append(starts[1:], len(data))
-        p = prefix_sums(data, _TABLE)
-        h = mix(mix((p[ends] - p[starts]) * powers(len(p))[1][starts]) + (ends - starts).astype(U))
+        size = np.diff(starts, append=len(data))
+        words = lanes(data)
+        own = np.zeros((WIDEST // 8, len(starts)), U)
+        own[0] = words[starts] & MASKS[np.minimum(size, 8)]
+        h = mix(own[0] ^ size.astype(U) * U(0x9E3779B97F4A7C15))
+        for k in range(1, WIDEST // 8):
+            more = np.flatnonzero(size > 8 * k)
+            own[k, more] = words[starts[more] + 8 * k] & MASKS[np.minimum(size[more] - 8 * k, 8)]
+            h[more] = mix((h[more] ^ own[k, more]) * U(0xD6E8FEB86659FD93))
         slot = (h & U(SLOTS - 1)).astype(np.int64)
-        size = np.where(self.keys[slot] == h, self.sizes[slot], 0).astype(np.int64)
-        missing = np.flatnonzero(size == 0)
-        long: dict[int, np.ndarray] = {}
+        many = self.many[slot].astype(np.int64)
+        same = (many > 0) & (self.width[slot] == size)
+        for k in range(WIDEST // 8):
+            same &= self.held[k][slot] == own[k]
+        begin = self.at[slot].astype(np.int64)
+        short = size <= WIDEST
+        missing = np.flatnonzero(~same & short)
         if len(missing):
             _, first, where = np.unique(h[missing], return_index=True, return_inverse=True)
             new = missing[first]
-            raw = data.tobytes()
-            found = self.learn([raw[a:b] for a, b in zip(starts[new].tolist(), ends[new].tolist(), strict=True)])
-            many = np.array([len(f) for f in found])
-            size[missing] = many[where]
-            fits = np.flatnonzero(many <= WIDEST)
-            # hits are read before newcomers take places
-            own = np.zeros((len(new), WIDEST), "<u4")
-            mask = np.arange(WIDEST) < many[fits, None]
-            block = np.zeros((len(fits), WIDEST), "<u4")
-            block[mask] = np.concatenate([found[i] for i in fits]) if len(fits) else []
-            own[fits] = block
-            rows = self.rows[slot]
-            rows[missing] = own[where]
-            for i in np.flatnonzero(many > WIDEST).tolist():
-                for t in missing[where == i].tolist():
-                    long[t] = found[i]
-            to = slot[new[fits]]
-            self.keys[to], self.sizes[to], self.rows[to] = h[new[fits]], many[fits], block
-            # two newcomers may claim one place; the key and the row must come from the same one
-            last = dict(zip(to.tolist(), fits.tolist(), strict=True))
-            if len(last) < len(to):
-                pick = np.array(list(last.values()))
-                to = slot[new[pick]]
-                self.keys[to], self.sizes[to], self.rows[to] = h[new[pick]], many[pick], own[pick]
-        else:
-            rows = self.rows[slot]
-        begin = np.cumsum(size) - size
-        out = np.empty(int(size.sum()), "<u4")
-        mask = np.arange(WIDEST) < np.where(size > WIDEST, 0, size)[:, None]
-        if long:
-            out[(begin[:, None] + np.arange(WIDEST))[mask]] = rows[mask]
-            for t, ids in long.items():
-                out[begin[t] : begin[t] + len(ids)] = ids
-        else:
-            out[:] = rows[mask]
-        place = np.append(begin, len(out))[np.searchsorted(starts, at)]
-        return out, place
+            # words of one hash that are not one word take turns on their own
+            alike = (own[:, missing] == own[:, new[where]]).all(axis=0) & (size[missing] == size[new[where]])
+            odd = missing[~alike]
+            found = np.concatenate([new, odd])
+            spot, n = self.keep([data[a : a + w].tobytes() for a, w in zip(starts[found].tolist(), size[found].tolist(), strict=True)])
+            begin[missing[alike]], many[missing[alike]] = spot[where[alike]], n[where[alike]]
+            begin[odd], many[odd] = spot[len(new) :], n[len(new) :]
+            place, one = np.unique(slot[new], return_index=True)
+            place, one = place[n[one] < 256], one[n[one] < 256]
+            self.many[place], self.at[place], self.width[place] = n[one], spot[one], size[new[one]]
+            self.held[:, place] = own[:, new[one]]
+        wide = np.flatnonzero(~short)
+        if len(wide):
+            raw = [data[a : a + w].tobytes() for a, w in zip(starts[wide].tolist(), size[wide].tolist(), strict=True)]
+            fresh = list(dict.fromkeys(w for w in raw if w not in self.long))
+            if fresh:
+                spot, n = self.keep(fresh)
+                self.long.update(zip(fresh, zip(spot.tolist(), n.tolist(), strict=True), strict=True))
+            begin[wide], many[wide] = np.array([self.long[w] for w in raw]).T
+        out = self.pool[_ranges(begin, many)].astype("<u4")
+        return out, np.append(np.cumsum(many) - many, len(out))[np.searchsorted(starts, at)]
 
     def encode(self, col: pa.Array) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers; null counts as empty."""

@@ -209,16 +209,58 @@ def brute_repeats(rows, length):
     return sorted(out, key=str)
 
 
-def test_repeated_strings(spark):
+def brute_passages(rows, words):
+    bags = [(t or "").encode().split() for _, t in rows]
+    seen = {}
+    for w in bags:
+        for i in range(len(w) - words + 1):
+            seen[tuple(w[i : i + words])] = seen.get(tuple(w[i : i + words]), 0) + 1
+    out = []
+    for (d, _), w in zip(rows, bags, strict=True):
+        out.append((d, len({j for i in range(len(w) - words + 1) if seen[tuple(w[i : i + words])] > 1 for j in range(i, i + words)})))
+    return sorted(out, key=str)
+
+
+@pytest.mark.parametrize("batches", [1, 4, 17])
+def test_repeated_strings(spark, batches):
+    """Up to 17 batches, so that the family has five levels."""
     from inkframe.llm.suffix_dedup import repeated_strings
 
     rng = random.Random(4)
     shared = ["".join(rng.choice("abcdé ") for _ in range(n)) for n in (30, 55, 90)]
     rows = [(i, "".join(rng.choice("abcdé ") for _ in range(rng.randrange(80))) + rng.choice(shared) + "".join(rng.choice("ab") for _ in range(rng.randrange(50)))) for i in range(40)]
     rows += [(50, rows[0][1]), (50, rows[0][1]), (51, "a" * 200), (52, "xy" * 70), (53, None), (54, ""), (None, shared[2]), (55, "short")]
-    got = repeated_strings(docs_of(spark, rows), length=40, gram=24).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256").collect()
-    assert sorted(map(tuple, got), key=str) == brute_repeats(rows, 40)
-    assert repeated_strings(docs_of(spark, []), 40, 24).count() == 0
+    passage = [" ".join(rng.choice("abcdefgh") for _ in range(n)) for n in (9, 12, 20)]
+    rows += [(60 + i, " ".join([rng.choice("xyz") * i, rng.choice(passage), rng.choice("xyz") * i, rng.choice(passage)])) for i in range(25)]
+    rows += [(90, "p q r s t u v w x"), (91, "p q r s t u v w x"), (92, " ".join("klmno" * 6))]
+    got = repeated_strings(docs_of(spark, rows), 40, 24, batches, 9, 4).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "passage_words").collect()
+    assert sorted((tuple(r)[:5] for r in got), key=str) == brute_repeats(rows, 40)
+    assert sorted(((r.doc_id, r.passage_words) for r in got), key=str) == brute_passages(rows, 9)
+    if batches == 1:
+        assert repeated_strings(docs_of(spark, []), 40, 24).count() == 0
+
+
+def test_strings_of_thue_morse_are_not_repeated(spark):
+    """Strings for which hashes that are sums of powers collide modulo 2**64."""
+    from inkframe.llm.suffix_dedup import repeated_strings
+
+    rows = [(1, thue_morse(2048) + "c"), (2, thue_morse(2048, "b", "a") + "d")]
+    got = repeated_strings(docs_of(spark, rows), 1600, 1100).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256").collect()
+    assert sorted(map(tuple, got)) == brute_repeats(rows, 1600)
+
+
+def test_segments_of_long_texts(monkeypatch):
+    """Anchors and windows of a text do not depend on how it is cut."""
+    from inkframe.llm import suffix_dedup as S
+
+    rng = np.random.default_rng(0)
+    data = rng.integers(97, 100, 5000).astype(np.uint8)
+    whole = S.anchors(S.Elements(data, np.array([0, 5000]), False), 40, 24)
+    monkeypatch.setattr(S, "_SEGMENT", 200)
+    parts = S.anchors(S.Elements(data, np.array([0, 5000]), False), 40, 24)
+    covered = lambda found: {int(p - a) + i for p, a, b in zip(found[1], found[2], found[3], strict=True) for i in range(int(a - b) + 1)}
+    assert covered(whole) == covered(parts) == set(range(5000 - 40 + 1))
+    assert dict(zip(whole[1].tolist(), whole[4].tolist(), strict=True)) == dict(zip(parts[1].tolist(), parts[4].tolist(), strict=True))
 
 
 ODD = ["", "   \n\t x", "a" * 3000, "<|endoftext|> hi <|startoftext|>x", "ΑΣΣ ΟΔΟΣ", "Ünïcødé ñandú İstanbul", "don't WE'LL 's ''s !'s x's's 'we're they'd'", "日本語 русский ١٢٣ ½", "\x1c a\x1fb\x85c\xa0d", "a×b÷c", "😀👍🏽", "x  y \n\n z\n", "'"]
@@ -261,6 +303,27 @@ def test_token_store_round_trip(spark):
     assert token_store(docs_of(spark, []), path).count() == 0
 
 
+def test_encoder_compares_bytes():
+    """Pre-tokens that hash alike, those beyond the table's width, and a table that fills up."""
+    from tokenizers import Tokenizer
+
+    from inkframe.llm import token_store as T
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    library, rng = Tokenizer.from_file(path), random.Random(7)
+    texts = [thue_morse(n, *p) + " " + thue_morse(n, *p[::-1]) for n in (1024, 2048) for p in ("ab", "ba")]
+    texts += ["".join(rng.choice("abcdefgh ") for _ in range(2000)) for _ in range(60)] + ["x" * 23, "x" * 24, "x" * 25, "\x00", "\x00\x00", "a\x00", "a"]
+    old = T.SLOTS, T.POOL
+    try:
+        T.SLOTS, T.POOL = 64, 3000
+        encoder = T.Encoder(path)
+        for i in range(0, len(texts), 7):
+            got = encoder.encode(pa.array(texts[i : i + 7]))
+            assert [np.frombuffer(g, "<u4").tolist() for g in got] == [e.ids for e in library.encode_batch(texts[i : i + 7], add_special_tokens=False)]
+    finally:
+        T.SLOTS, T.POOL = old
+
+
 def test_shard_file_blocks(tmp_path):
     from pyarrow import fs
 
@@ -309,14 +372,28 @@ def test_knn_join(spark):
     rng = np.random.default_rng(2)
     x = rng.normal(0, 0.2, (300, 8)).astype(np.float32)
     x[40:60] = x[40]
-    rows = [(i, v.tolist(), 0) for i, v in enumerate(x)] + [(1000, None, 0), (1001, [1.0, None] * 4, 0), (1002, [float("nan")] * 8, 0), (None, [0.1] * 8, 0), (1050, [0.5] * 7, 0)]
+    rows = [(i, v.tolist(), 0) for i, v in enumerate(x)] + [(1000, None, 0), (1001, [1.0, None] * 4, 0), (1002, [float("nan")] * 8, 0), (None, [0.1] * 8, 0), (1050, [0.5] * 7, 0), (1060, [0.25] * 7, 0), (1061, [0.5] * 7, 0)]
     got = knn_join(spark.createDataFrame(rows, "vec_id long, embedding array<float>, grp int"), every=10, k=5).collect()
     q = np.floor(256 * x.astype(np.float64)).astype(np.int64)
     want = [(i, r + 1, j, -s) for i in range(0, 300, 10) for r, (s, j) in enumerate(sorted((-int(q[i] @ q[j]), j) for j in range(300) if j != i)[:5])]
+    want += [(1050, 1, 1061, 128 * 128 * 7), (1050, 2, 1060, 128 * 64 * 7), (1060, 1, 1050, 64 * 128 * 7), (1060, 2, 1061, 64 * 128 * 7)]  # another length is a join of its own
     assert sorted(map(tuple, got)) == sorted(want)
     assert knn_join(spark.createDataFrame([], "vec_id long, embedding array<float>")).count() == 0
 
 
+@pytest.mark.parametrize("scale", [1e5, 1e9, 1e14])
+def test_knn_join_is_exact_at_any_size(spark, scale):
+    """Products beyond 2**53, beyond 64 bits, and vectors of very different lengths."""
+    from inkframe.llm.knn_join import LEAST, MOST, knn_join
+
+    rng = np.random.default_rng(3)
+    x = rng.normal(0, scale, (120, 6)) * rng.choice([1, 1e-3], (120, 1))
+    got = knn_join(spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>"), every=10, k=4).collect()
+    q = np.floor(256 * x).astype(np.int64).astype(object)
+    want = [(i, r + 1, j, min(max(-s, LEAST), MOST)) for i in range(0, 120, 10) for r, (s, j) in enumerate(sorted((-int(q[i] @ q[j]), j) for j in range(120) if j != i)[:4])]
+    assert sorted(map(tuple, got)) == sorted(want)
+
+
 def test_language_id(spark):
     from inkframe.llm.language_id import language_id
 
