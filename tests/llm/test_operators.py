@@ -192,6 +192,29 @@ def test_windows_meet():
         assert len(np.intersect1d(_window(x, hot[by], by, 80, 100), _window(y, hot[by], by, 80, 100))), (len(x), len(y))
 
 
+@pytest.mark.parametrize("few", [0, 1 << 20])
+def test_components(spark, few, monkeypatch, tmp_path):
+    from inkframe.llm import components as C
+    from inkframe.llm.scratch import Scratch
+
+    monkeypatch.setattr(C, "FEW", few)
+    rng = random.Random(6)
+    edges = [(rng.randrange(-50, 400), rng.randrange(-50, 400)) for _ in range(260)] + [(i, i + 1) for i in range(1000, 1060)] + [(5000, 5000)] + [(7000, i) for i in range(7001, 7050)]
+    root = {}
+
+    def find(x):
+        root.setdefault(x, x)
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for a, b in edges:
+        root[max(find(a), find(b))] = min(find(a), find(b))
+    got = C.components(spark.createDataFrame(edges, "a long, b long"), Scratch(spark, "test"), "t").collect()
+    assert sorted(map(tuple, got)) == sorted((x, find(x)) for x in {x for a, b in edges if a != b for x in (a, b)})
+    assert C.components(spark.createDataFrame([], "a long, b long"), Scratch(spark, "test"), "u").count() == 0
+
+
 def brute_repeats(rows, length):
     texts = [(t or "").encode() for _, t in rows]
     seen = {}
