@@ -23,8 +23,8 @@ from .scratch import Scratch
 
 LANES = 4096
 TABLE_BITS = 20
-#: Bytes of benchmark text that one search holds. A larger benchmark is searched in several passes.
-PASS_BYTES = 16 << 20
+#: Bytes of windows that the driver makes and one search holds. A larger benchmark is searched in several passes.
+PASS_BYTES = 160 << 20
 _WORD = np.zeros(256, bool)
 _WORD[48:58] = _WORD[97:123] = _WORD[65:91] = _WORD[128:] = True
 #: Separators become spaces, A-Z lower case.
@@ -163,15 +163,15 @@ def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("key"), batch.column("n_words"), pa.array(hit, pa.int64()), pa.array([len(x) for x in names], pa.int64()), pa.array(sums, pa.string()), batch.column("spans"), pa.array(names, pa.list_(pa.string()))], ["doc_id", "key", "n_words", "n_hit", "n_items", "items_sha256", "spans", "items"])
 
 
-def _passes(benchmark: DataFrame) -> Iterator[list[tuple[int, str | None]]]:
-    """The benchmark in parts of bounded size, read one after the other."""
-    part, size = [], 0
+def _passes(benchmark: DataFrame, size: int) -> Iterator[list[tuple[int, str | None]]]:
+    """The benchmark in parts with a bounded size of windows, read one after the other; an item is not divided."""
+    part, held = [], 0
     for row in benchmark.toLocalIterator():
         part.append((row[0], row[1]))
-        size += len(row[1])
-        if size > PASS_BYTES:
+        held += len(row[1]) * size
+        if held > PASS_BYTES:
             yield part
-            part, size = [], 0
+            part, held = [], 0
     yield part
 
 
@@ -183,7 +183,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, size: int = 10) -> Data
     text or with null item_id has none. Null document texts have no words; null and repeated doc_ids pass through.
     Other columns are ignored. An empty benchmark marks nothing; empty docs give an empty result.
 
-    One pass over docs without a shuffle, as long as the benchmark has less than PASS_BYTES of text. Beyond that,
+    One pass over docs without a shuffle, as long as the benchmark has less than PASS_BYTES / size of text. Beyond that,
     each part of the benchmark takes a pass, and a row's results of all passes meet by doc_id and text hash.
     """
     scratch = Scratch(docs.sparkSession, "decontaminate")
@@ -192,7 +192,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, size: int = 10) -> Data
     items = benchmark.select("item_id", F.col("text").cast("string")).where("item_id is not null and text is not null")
     kind = "doc_id long, key long, n_words long, spans array<long>, items array<string>"
     done = []
-    for k, part in enumerate(_passes(items)):
+    for k, part in enumerate(_passes(items, size)):
         search = docs.sparkSession.sparkContext.broadcast(PatternSearch(part, size))
         one = rows.mapInArrow(_scanned(search), kind)
         done.append(one if k == 0 else scratch.write(one.where("size(spans) > 0").distinct(), f"pass-{k}"))

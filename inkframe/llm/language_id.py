@@ -115,36 +115,45 @@ class ByteConvNet:
         return out
 
 
-def training_windows(texts: list[str], per_text: int, seed: int = 5) -> tuple[np.ndarray, np.ndarray]:
-    """Random windows of random lengths, some short; and the text each is from."""
-    rng = np.random.default_rng(seed)
-    rows, owner = [], []
-    for i, text in enumerate(texts):
-        raw = np.frombuffer(text.encode("utf-8", "surrogatepass"), np.uint8)
-        for _ in range(per_text):
-            size = WINDOW if rng.random() < 0.6 else int(rng.integers(12, WINDOW))
-            low = int(rng.integers(0, max(1, len(raw) - size + 1)))
-            row = np.zeros(WINDOW + _PAD, np.uint8)
-            part = raw[low : low + size]
-            row[: len(part)] = part
-            rows.append(row)
-            owner.append(i)
-    return np.array(rows, np.uint8).reshape(-1, WINDOW + _PAD), np.array(owner, np.int64)
-
-
-def train_language_model(labelled: DataFrame, most: int = 4000) -> ByteConvNet | None:
-    """Fit on at most `most` rows of (doc_id, text, lang), those whose hashed doc_ids are least. None without labels."""
+def training_windows(raw: np.ndarray, per_text: int, seed: int) -> np.ndarray:
+    """Random windows of a text's bytes, of random lengths, some short."""
+    rng = np.random.default_rng(seed & ((1 << 64) - 1))
+    rows = np.zeros((per_text, WINDOW + _PAD), np.uint8)
+    for row in rows:
+        size = WINDOW if rng.random() < 0.6 else int(rng.integers(12, WINDOW))
+        low = int(rng.integers(0, max(1, len(raw) - size + 1)))
+        part = raw[low : low + size]
+        row[: len(part)] = part
+    return rows
+
+
+def _cut(per_text: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in chunks(batch, "text"):
+                data, at = text_buffers(part.column("text"))
+                h, known = part.column("h").to_pylist(), [has_letter(t) for t in part.column("text").to_pylist()]
+                cut = [training_windows(data[at[i] : at[i + 1]], per_text, h[i]).tobytes() if known[i] else None for i in range(len(h))]
+                yield pa.RecordBatch.from_arrays([part.column("h"), part.column("lang"), pa.array(cut, pa.binary())], ["h", "lang", "windows"])
+
+    return trimmed(run)
+
+
+def train_language_model(labelled: DataFrame, most: int = 4000, per_text: int = 3) -> ByteConvNet | None:
+    """Fit on at most `most` rows of (doc_id, text, lang), those whose hashed doc_ids are least, and `per_text` windows of
+    each, which are cut on the executors. None without labels."""
     rows = labelled.where("text is not null and lang is not null").select("doc_id", "text", "lang", F.xxhash64("doc_id").alias("h"))
     rank = rows.select("h").orderBy("h").limit(most).agg(F.max("h")).first()[0]
     if rank is None:
         return None
-    sample = [r for r in rows.where(F.col("h") <= rank).orderBy("h", "text", "lang").limit(most).collect() if has_letter(r["text"])]
+    cut = rows.where(F.col("h") <= rank).select("text", "lang", "h").mapInArrow(_cut(per_text), "h long, lang string, windows binary")
+    sample = cut.where("windows is not null").orderBy("h", "lang", "windows").limit(most).collect()
     if not sample:
         return None
     languages = sorted({r["lang"] for r in sample})
-    x, owner = training_windows([r["text"] for r in sample], per_text=3)
+    x = np.frombuffer(b"".join(r["windows"] for r in sample), np.uint8).reshape(-1, WINDOW + _PAD)
     net = ByteConvNet(languages)
-    net.train(x, np.array([languages.index(r["lang"]) for r in sample])[owner])
+    net.train(x, np.repeat([languages.index(r["lang"]) for r in sample], per_text))
     net.pack()
     return net
 

@@ -25,6 +25,11 @@ def _hash(*parts: Column) -> Column:
     return F.conv(F.substring(F.md5(F.concat_ws("|", *parts)), 1, 12), 16, 10).cast("long")
 
 
+def _name() -> Column:
+    """What a row's places are drawn from: its doc_id and text, so that rows without an id or with one id spread like others."""
+    return F.concat_ws("|", F.coalesce(F.col("doc_id").cast("long").cast("string"), F.lit("null")), F.md5(F.coalesce(F.col("text").cast("string"), F.lit(""))))
+
+
 def source_totals(docs: DataFrame) -> DataFrame:
     return docs.groupBy("key").agg(F.sum("n_tokens").alias("tokens"), F.count("*").alias("docs"))
 
@@ -79,7 +84,7 @@ def plan_mix(docs: DataFrame, entropy: float | None = None, repeats: float | Non
     """
     scratch = Scratch(docs.sparkSession, "mixing")
     key = F.when(F.col("source").isNull(), F.lit("-")).otherwise(F.concat(F.lit("+"), F.col("source").cast("string")))
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), F.coalesce(F.regexp_count(F.col("text").cast("string"), F.lit(TOKEN)), F.lit(0)).cast("long").alias("n_tokens")).withColumn("key", key)
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), F.coalesce(F.regexp_count(F.col("text").cast("string"), F.lit(TOKEN)), F.lit(0)).cast("long").alias("n_tokens"), _name().alias("name")).withColumn("key", key)
     rows = scratch.write(rows, "rows")
     totals = scratch.write(source_totals(rows), "totals")
     seen = totals.agg(F.coalesce(F.sum("tokens"), F.lit(0)), F.coalesce(F.max("tokens"), F.lit(0))).first()
@@ -92,13 +97,18 @@ def plan_mix(docs: DataFrame, entropy: float | None = None, repeats: float | Non
     weight = F.round(power / F.lit(whole), 9)
     quota = F.greatest(F.floor(weight * F.lit(float(budget)) + 0.5), F.col("tokens")) if keep_all else F.floor(weight * F.lit(float(budget)) + 0.5)
     sources = totals.select("key", "tokens", weight.alias("weight"), quota.cast("long").alias("quota"), F.greatest(F.lit(1), F.ceil(F.col("tokens") / F.lit(block_tokens))).cast("long").alias("blocks"))
-    placed = rows.join(sources.select("key", "weight", "blocks"), "key").withColumn("block", F.pmod(_hash(F.lit(seed), F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))), F.col("blocks"))).drop("blocks")
+    placed = rows.join(sources.select("key", "weight", "blocks"), "key").withColumn("block", F.pmod(_hash(F.lit(seed), "name"), F.col("blocks"))).drop("blocks")
     placed = scratch.write(placed, "placed")
     blocks = placed.groupBy("key", "block").agg(F.sum("n_tokens").alias("block_tokens")).join(sources.drop("weight", "blocks"), "key")
-    order = Window.partitionBy("key").orderBy(F.md5(F.concat_ws("|", F.lit(seed), "key", "block")), "block")
-    before = F.coalesce(F.sum("block_tokens").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    blocks = blocks.select("key", "block", F.row_number().over(order).alias("block_rank"), F.when(F.col("tokens") > 0, F.floor(F.col("quota") / F.col("tokens"))).otherwise(1).cast("long").alias("rounds"), F.when(F.col("tokens") > 0, F.col("quota") % F.greatest("tokens", F.lit(1))).otherwise(0).alias("rest"), before.alias("before"))
-    inside = Window.partitionBy("key", "block").orderBy(_hash(F.lit(seed), F.lit("doc"), F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))), "doc_id", "n_tokens").rowsBetween(Window.unboundedPreceding, 0)
+    # the blocks of a source in the order of a hash: first by its leading digits, so that no task orders all of them
+    blocks = blocks.withColumn("place", F.md5(F.concat_ws("|", F.lit(seed), "key", "block"))).withColumn("part", F.substring("place", 1, 3))
+    parts, ahead = blocks.groupBy("key", "part").agg(F.sum("block_tokens").alias("t"), F.count("*").alias("n")), Window.partitionBy("key").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    parts = parts.select("key", "part", F.coalesce(F.sum("t").over(ahead), F.lit(0)).alias("tokens_ahead"), F.coalesce(F.sum("n").over(ahead), F.lit(0)).alias("blocks_ahead"))
+    order = Window.partitionBy("key", "part").orderBy("place", "block")
+    before = F.col("tokens_ahead") + F.coalesce(F.sum("block_tokens").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    blocks = blocks.join(parts, ["key", "part"])
+    blocks = blocks.select("key", "block", (F.col("blocks_ahead") + F.row_number().over(order)).cast("int").alias("block_rank"), F.when(F.col("tokens") > 0, F.floor(F.col("quota") / F.col("tokens"))).otherwise(1).cast("long").alias("rounds"), F.when(F.col("tokens") > 0, F.col("quota") % F.greatest("tokens", F.lit(1))).otherwise(0).alias("rest"), before.alias("before"))
+    inside = Window.partitionBy("key", "block").orderBy(_hash(F.lit(seed), F.lit("doc"), "name"), "name").rowsBetween(Window.unboundedPreceding, 0)
     out = placed.withColumn("upto", F.sum("n_tokens").over(inside)).join(blocks, ["key", "block"])
     copies = F.col("rounds") + F.when((F.col("rest") > 0) & (F.col("before") + F.col("upto") <= F.col("rest")), 1).otherwise(0)
     return out.select("doc_id", "source", "n_tokens", "weight", "block", "block_rank", copies.cast("long").alias("copies"))

@@ -10,6 +10,7 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three-word shingles at 0.9, with the number of links. Null, empty and repeated rows: see jaccard_groups."""
     from .jaccard_join import jaccard_groups
 
     groups = jaccard_groups(_table(spark, sf_dir, "documents"), words=3, similarity=(90, 100), count_links=True)
@@ -23,18 +24,21 @@ def tokenizer_path(name: str) -> str:
 
 
 def op4_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shards in the shared folder, read back. Null texts are the end id alone; null doc_ids come first; repeated rows each have their place."""
     from .token_store import token_store
 
     return token_store(_table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"), end_id=2).drop("file")
 
 
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A row per document; null and empty texts count 0, whole texts of any length are counted."""
     from .token_counts import token_counts
 
     return token_counts(_table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"), limit=2048)
 
 
 def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A row per document; null texts have no words, items without words no window, an empty benchmark marks nothing."""
     from .decontaminate import contamination
 
     found = contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), size=10)
@@ -42,30 +46,35 @@ def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A row per document; null texts and texts without a letter are und, as is all without labels to learn from."""
     from .language_id import language_id
 
     return language_id(_table(spark, sf_dir, "documents")).select("doc_id", "held_out", "lang_pred", "score")
 
 
 def op1_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A row per document with its copies. A null source is a source of its own; null and empty texts have 0 tokens; repeated rows are planned each."""
     from .mixing import plan_mix
 
     return plan_mix(_table(spark, sf_dir, "documents"), entropy=0.95, repeats=4.0)
 
 
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A row per document; null and empty texts score as texts without a toxic word; without both labels all scores are 0."""
     from .toxicity import toxicity
 
     return toxicity(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
 def op8_knn_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Up to 5 rows per query. Null vectors and vectors with null or non-finite components take no part; ties go to the smaller vec_id."""
     from .knn_join import knn_join
 
     return knn_join(_table(spark, sf_dir, "embeddings"), every=50, k=5)
 
 
 def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A row per document; null texts are empty, repeated rows are copies of each other. passage_words finds shorter passages of over 50 words."""
     from .suffix_dedup import repeated_strings
 
     return repeated_strings(_table(spark, sf_dir, "documents"), length=400).drop("spans")
@@ -129,7 +138,7 @@ ORACLE: dict[str, str] = {
     "op10_license_scan": _licence_sql(),
     "op1_source_mixing": """
 WITH RECURSIVE r AS (SELECT doc_id, source, CASE WHEN source IS NULL THEN '-' ELSE '+' || source END AS key, CAST(len(regexp_extract_all(coalesce(text, ''), '[^ \\t\\n\\x0B\\f\\r]+')) AS BIGINT) AS n_tokens,
- CAST('0x' || substr(md5('mix|' || coalesce(CAST(doc_id AS VARCHAR), 'null')), 1, 12) AS BIGINT) AS h1, CAST('0x' || substr(md5('mix|doc|' || coalesce(CAST(doc_id AS VARCHAR), 'null')), 1, 12) AS BIGINT) AS h2 FROM documents),
+ CAST('0x' || substr(md5('mix|' || name), 1, 12) AS BIGINT) AS h1, CAST('0x' || substr(md5('mix|doc|' || name), 1, 12) AS BIGINT) AS h2, name FROM (SELECT *, coalesce(CAST(doc_id AS VARCHAR), 'null') || '|' || md5(coalesce(text, '')) AS name FROM documents)),
 t AS (SELECT key, CAST(sum(n_tokens) AS BIGINT) AS tokens FROM r GROUP BY key),
 c AS (SELECT CAST(max(tokens) AS DOUBLE) AS mx, CAST(min(tokens) FILTER (tokens > 0) AS DOUBLE) AS mn, CAST(sum(tokens) AS DOUBLE) AS b, list(tokens / CAST((SELECT max(tokens) FROM t) AS DOUBLE)) FILTER (tokens > 0) AS l FROM t),
 s(i, lo, hi, flo, fhi) AS (SELECT 0, 0.0::DOUBLE, 1.0::DOUBLE, 0.0::DOUBLE, 1.0::DOUBLE UNION ALL
@@ -142,7 +151,7 @@ q AS (SELECT key, tokens, round(p / (SELECT sum(p) FROM w), 9) AS weight, b, gre
 d AS (SELECT r.*, weight, h1 % blocks AS block, tokens, CAST(floor(weight * b + 0.5) AS BIGINT) AS quota FROM r JOIN q USING (key)),
 k AS (SELECT key, block, sum(n_tokens) AS bt, any_value(tokens) AS tokens, any_value(quota) AS quota FROM d GROUP BY key, block),
 o AS (SELECT *, row_number() OVER v AS block_rank, coalesce(sum(bt) OVER (PARTITION BY key ORDER BY md5('mix|' || key || '|' || block), block ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM k WINDOW v AS (PARTITION BY key ORDER BY md5('mix|' || key || '|' || block), block)),
-u AS (SELECT d.*, sum(n_tokens) OVER (PARTITION BY key, block ORDER BY h2, doc_id, n_tokens ROWS UNBOUNDED PRECEDING) AS upto FROM d)
+u AS (SELECT d.*, sum(n_tokens) OVER (PARTITION BY key, block ORDER BY h2, name ROWS UNBOUNDED PRECEDING) AS upto FROM d)
 SELECT u.doc_id, u.source, u.n_tokens, u.weight, u.block, CAST(block_rank AS INT) AS block_rank,
  CAST(CASE WHEN u.tokens > 0 THEN u.quota // u.tokens ELSE 1 END + CASE WHEN u.tokens > 0 AND u.quota % u.tokens > 0 AND before + upto <= u.quota % u.tokens THEN 1 ELSE 0 END AS BIGINT) AS copies
 FROM u JOIN o USING (key, block)""",

@@ -1,7 +1,7 @@
 """Intermediate tables in the folder that all executors share.
 
-The folder is ``spark.checkpoint.dir`` of the session. Only where that is unset (tests, a laptop) a
-temporary folder is made and set. Lineage is cut by writing a table here and reading it again, so a
+The folder is ``spark.checkpoint.dir`` of the session. Only where that is unset and the master is local (tests, a laptop) a
+temporary folder is made; on a cluster an unset folder is an error, as executors would each write to their own disk. Lineage is cut by writing a table here and reading it again, so a
 lost executor costs only the tasks that ran on it.
 """
 
@@ -29,6 +29,8 @@ def shared_dir(spark: SparkSession) -> str:
     """URI of the shared folder, without a trailing slash."""
     found = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if not found:
+        if not spark.sparkContext.master.startswith("local["):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         if not _OWN:
             _OWN.append("file://" + tempfile.mkdtemp(prefix="inkframe-"))
         found = _OWN[0]

@@ -8,6 +8,7 @@ A pre-token's count is kept for later batches in a bounded cache.
 
 from __future__ import annotations
 
+import hashlib
 import json
 import re
 import unicodedata
@@ -45,11 +46,22 @@ def byte_symbols() -> list[str]:
     return out
 
 
+def check_rules(spec: dict) -> None:
+    steps = spec.get("normalizer") or {}
+    forms = [s.get("type") for s in steps.get("normalizers", [steps])]
+    first = spec.get("pre_tokenizer") or {}
+    parts = [s.get("type") for s in first.get("pretokenizers", [first])]
+    if spec["model"].get("type", "BPE") != "BPE" or "NFC" not in forms or "Lowercase" not in forms or set(forms) - {"NFC", "Lowercase", "Replace"} or parts != ["Split", "ByteLevel"]:
+        raise ValueError(f"not a tokenizer of this kind: normalisers {forms}, pre-tokenisers {parts}")
+
+
 class RankMerger:
     """Counts the symbols that byte sequences have after all merges."""
 
-    def __init__(self, path: str):
-        spec = json.load(open(path, encoding="utf-8"))
+    def __init__(self, text: str):
+        """text: what a tokenizers file holds. Raises ValueError for a file with other rules than those built in here."""
+        spec = json.loads(text)
+        check_rules(spec)
         model = spec["model"]
         vocab, end = model["vocab"], model.get("end_of_word_suffix") or ""
         self.special = [t["content"] for t in spec["added_tokens"]]
@@ -130,8 +142,8 @@ def pre_tokens(text: str) -> list[str]:
 
 
 class TokenCounter:
-    def __init__(self, path: str):
-        self.merger = RankMerger(path)
+    def __init__(self, text: str):
+        self.merger = RankMerger(text)
         self.special = re.compile("|".join(map(re.escape, self.merger.special)) or r"(?!)")
         self.cache: dict[str, int] = {}
 
@@ -159,15 +171,17 @@ class TokenCounter:
 _COUNTERS: dict[str, TokenCounter] = {}
 
 
-def _counted(path: str):
+def _counted(tokenizer, name: str):
+    """tokenizer: the broadcast text of a file, which executors need not see; name: its digest."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if path not in _COUNTERS:
-            _COUNTERS[path] = TokenCounter(path)
+        if name not in _COUNTERS:
+            _COUNTERS[name] = TokenCounter(tokenizer.value)
         for batch in batches:
             for part in chunks(batch, "text"):
                 texts = part.column("text").fill_null("").to_pylist()
                 size = pa.array([len(t.encode()) for t in texts], pa.int64())
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), size, pa.array(_COUNTERS[path].counts(texts), pa.int64())], ["doc_id", "n_bytes", "n_tokens"])
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), size, pa.array(_COUNTERS[name].counts(texts), pa.int64())], ["doc_id", "n_bytes", "n_tokens"])
 
     return trimmed(run)
 
@@ -175,13 +189,16 @@ def _counted(path: str):
 def token_counts(docs: DataFrame, tokenizer: str, limit: int = 2048) -> DataFrame:
     """doc_id, n_bytes, n_tokens, over_limit for each row of docs (doc_id, text; other columns are ignored).
 
-    tokenizer is the path of a tokenizers JSON file with a BPE model, NFC and lower-case normalisation and
-    byte-level symbols. Its special strings in a text count as one token each. Null texts are empty: 0 bytes,
+    tokenizer is the path, as the driver reads it, of a tokenizers JSON file with a BPE model, NFC and lower-case normalisation and
+    byte-level symbols; another kind of file is refused. Its special strings in a text count as one token each. Null texts are empty: 0 bytes,
     0 tokens. Null or repeated doc_ids pass through, one output row per input row. No shuffle; memory is
     bounded by one slice of a batch and the cache.
     """
     ensure_shipped(docs.sparkSession)
     small_batches(docs.sparkSession)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    counted = rows.mapInArrow(_counted(tokenizer), "doc_id long, n_bytes long, n_tokens long")
+    with open(tokenizer, encoding="utf-8") as f:
+        text = f.read()
+    shared, name = docs.sparkSession.sparkContext.broadcast(text), hashlib.sha256(text.encode()).hexdigest()
+    counted = rows.mapInArrow(_counted(shared, name), "doc_id long, n_bytes long, n_tokens long")
     return counted.withColumn("over_limit", F.col("n_tokens") > limit)

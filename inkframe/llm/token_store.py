@@ -17,6 +17,7 @@ and nothing else.
 
 from __future__ import annotations
 
+import hashlib
 import json
 import os
 import re
@@ -97,13 +98,14 @@ class Encoder:
     strings, or with characters on which pattern libraries may differ, go to the library whole.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, text: str):
+        """text: what a tokenizers file holds."""
         # its threads would keep memory of their own, and the executor has given this task one core
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
-        self.library = Tokenizer.from_file(path)
-        spec = json.load(open(path, encoding="utf-8"))
+        self.library = Tokenizer.from_str(text)
+        spec = json.loads(text)
         self.by_parts = spec.get("normalizer") is None and spec["pre_tokenizer"] == {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": True}
         self.special = [t["content"].encode() for t in spec["added_tokens"]]
         vocab = spec["model"]["vocab"]
@@ -310,12 +312,14 @@ class ShardReader:
 _ENCODERS: dict[str, Encoder] = {}
 
 
-def _written(folder: str, tokenizer: str, end_id: int):
+def _written(folder: str, tokenizer, name_of: str, end_id: int):
+    """tokenizer: the broadcast text of a file, which executors need not see; name_of: its digest."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        if tokenizer not in _ENCODERS:
-            _ENCODERS[tokenizer] = Encoder(tokenizer)
+        if name_of not in _ENCODERS:
+            _ENCODERS[name_of] = Encoder(tokenizer.value)
         task = TaskContext.get()
         store, root = fs.FileSystem.from_uri(folder)
         writer, name, end = None, f"shard-{task.partitionId():06d}-{task.taskAttemptId()}.ink", end_id.to_bytes(4, "little")
@@ -324,7 +328,7 @@ def _written(folder: str, tokenizer: str, end_id: int):
                 if writer is None:
                     store.create_dir(root, recursive=True)
                     writer = ShardWriter(store.open_output_stream(f"{root}/{name}", compression=None))
-                ids = _ENCODERS[tokenizer].encode(part.column("text"))
+                ids = _ENCODERS[name_of].encode(part.column("text"))
                 for doc, own in zip(part.column("doc_id").to_pylist(), ids, strict=True):
                     writer.add(doc, own + end)
         if writer is not None:
@@ -360,11 +364,14 @@ def write_tokens(docs: DataFrame, folder: str, tokenizer: str, end_id: int, scra
     """Encode docs (doc_id, text) into shard files in ascending order of doc_id; returns the manifest, a row per shard.
 
     Each text is followed by end_id. Null texts are empty, null doc_ids come first, and rows with the same doc_id
-    stand in the order of their texts. The manifest has shard, file, n_docs, n_ids.
+    stand in the order of their texts. The manifest has shard, file, n_docs, n_ids. tokenizer is a path that the driver reads.
     """
+    with open(tokenizer, encoding="utf-8") as f:
+        text = f.read()
+    shared, name = docs.sparkSession.sparkContext.broadcast(text), hashlib.sha256(text.encode()).hexdigest()
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     dealt = rows.repartitionByRange("doc_id", F.xxhash64("text")).sortWithinPartitions("doc_id", F.xxhash64("text"), "text")
-    return scratch.write(dealt.mapInArrow(_written(folder, tokenizer, end_id), "shard long, file string, n_docs long, n_ids long"), "manifest")
+    return scratch.write(dealt.mapInArrow(_written(folder, shared, name, end_id), "shard long, file string, n_docs long, n_ids long"), "manifest")
 
 
 def read_tokens(manifest: DataFrame) -> DataFrame:

@@ -5,11 +5,13 @@ that spans g letters weighs DECAY**g, and spans of more than SPAN letters weigh
 by marks, folded to plain letters, and stripped of what is not a letter; single letters that stand apart
 are one word. So `id-iot`, `i d i o t`, `idxiot` and an insult with a new ending stay close to the insult.
 
-A labelled sentence is a bag of words, and its score is that of its worst word: in training, each toxic
-text gives its witnesses, the words that set toxic texts apart, and clean texts give the rest, with the
-hardest added again. Each word becomes its kernel values with the landmarks, whitened by the landmarks' own
-kernel matrix (Nystroem); a linear SVM on these is the kernel SVM. As kernel values are dot products of
-explicit subsequence vectors, the trained machine folds into one weight per subsequence.
+Labelled are texts, not words, so the machine is trained with a multiple-instance loss: a text is a bag of words and its
+margin that of its worst word. A toxic text asks for one word on the toxic side, a clean one for none. Training goes in turns:
+each toxic text's witness is the word of greatest margin, unless none comes near (labels have errors); the words of clean texts
+are the other side, with the hardest added; then the machine is fitted anew. The first witnesses are the words that set toxic
+texts apart. Each word becomes its kernel values with the landmarks, whitened by the landmarks' own kernel matrix (Nystroem); a
+linear SVM on these is the kernel SVM. As kernel values are dot products of explicit subsequence vectors, the trained machine
+folds into one weight per subsequence. The margin decides: the score is a logistic function of it.
 """
 
 from __future__ import annotations
@@ -28,10 +30,9 @@ from .language_id import held_out
 from .scratch import Scratch
 
 DECAY, SPAN, LETTERS = 0.6, 6, 29
-LANDMARKS, CACHED = 128, 200_000
+LANDMARKS, CACHED, TURNS = 128, 200_000, 4
 _STANDS_FOR = str.maketrans("013457@$", "oieastas")
 _APART = re.compile(r"(?<!\S)(?:[^\W\d_][\s.\-_*]+){2,}[^\W\d_](?!\S)")
-_SENTENCE = re.compile(r"[.!?\n]+")
 
 
 def codes(word: str) -> list[int]:
@@ -116,9 +117,10 @@ def words_of(text: str) -> list[str]:
 
 
 class ToxicityModel:
-    def __init__(self, texts: list[str], labels: list[int]):
+    def __init__(self, texts: list[list[str]], labels: list[int]):
+        """texts: the words of each, as words_of gives them."""
         y = np.array(labels)
-        bags = [{w for s in _SENTENCE.split(t) for w in (re.sub(r"[\W\d_]+$|^[\W\d_]+", "", x.lower()) for x in words_of(s)) if w} for t in texts]
+        bags = [{w for w in (re.sub(r"[\W\d_]+$|^[\W\d_]+", "", x.lower()) for x in words) if w} for words in texts]
         seen = [Counter(), Counter()]
         for bag, label in zip(bags, labels, strict=True):
             seen[label].update(bag)
@@ -142,19 +144,24 @@ class ToxicityModel:
             witness.update(w for w in known if top > 0 and strength[w] >= 0.5 * top)
         good = [w for w in clean if codes(w) and w not in witness]
         negatives = set(good[:3000]) | {good[i] for i in rng.permutation(len(good))[:3000]}
-        # the same with a letter put in, so that the machine meets such words
-        longer = [w[: i] + "abcdefghijklmnopqrstuvwxyz"[c] + w[i:] for w in sorted(witness) if len(w) > 3 for i, c in [(int(rng.integers(2, len(w))), int(rng.integers(0, 26)))]]
-        positives = sorted(witness) + longer
-        for _ in range(3):
-            against = sorted(negatives)
+        toxic = [sorted(w for w in bag if codes(w)) for bag, label in zip(bags, labels, strict=True) if label]
+        listed = sorted({w for bag in toxic for w in bag})
+        place = {w: i for i, w in enumerate(listed)}
+        toxic = [np.array([place[w] for w in bag], np.int64) for bag in toxic if bag]
+        for _ in range(TURNS):
+            # with a letter put in, so that the machine meets such words
+            longer = [w[: i] + "abcdefghijklmnopqrstuvwxyz"[c] + w[i:] for w in sorted(witness) if len(w) > 3 for i, c in [(int(rng.integers(2, len(w))), int(rng.integers(0, 26)))]]
+            positives, against = sorted(witness) + longer, sorted(negatives - witness)
             x = self._features([codes(w) for w in positives + against])
             self._fold(linear_svm(x, np.r_[np.ones(len(positives)), -np.ones(len(against))], rounds=25))
-            # witnesses that only chance has chosen go, clean words that look toxic are added
             margin = self.margins(good)
             negatives |= {good[i] for i in np.argsort(-margin, kind="stable")[:1000] if margin[i] > -1}
-            told = self.margins(positives) if positives else np.zeros(0)
-            positives = [w for w, m in zip(positives, told, strict=True) if m > -0.5] or positives
-        self.calibration = logistic(self._summary(texts), y)
+            told = self.margins(listed)
+            best = np.array([bag[told[bag].argmax()] for bag in toxic], np.int64)
+            # a word that is as usual in clean texts is no witness, whatever it looks like
+            found = {listed[i] for i in best[told[best] > -0.5].tolist() if odds[listed[i]] > 0}
+            witness = found or witness
+        self.calibration = logistic(self.worst(texts)[:, None], y)
 
     def _features(self, words: list[list[int]]) -> np.ndarray:
         return np.vstack([kernel(words[i : i + 1000], self.landmarks) @ self.whiten for i in range(0, len(words), 1000)])
@@ -173,9 +180,8 @@ class ToxicityModel:
             out[i : i + 5_000][some] = (np.bincount(word, weight * self.weights[sub], minlength=len(coded)) + self.bias)[some]
         return out
 
-    def _summary(self, texts: list[str]) -> np.ndarray:
-        """Of each text the highest margin and how many words are on the toxic side."""
-        words = [words_of(t) for t in texts]
+    def worst(self, words: list[list[str]]) -> np.ndarray:
+        """The highest margin of the words of each text."""
         new = set().union(*words)
         if len(self.cache) + len(new) > CACHED:
             self.older, self.cache = self.cache, {}
@@ -184,31 +190,40 @@ class ToxicityModel:
         self.cache.update((w, self.older[w]) for w in again)
         new = list(new - again)
         self.cache.update(zip(new, self.margins(new).tolist(), strict=True))
-        out = np.zeros((len(texts), 2))
-        for i, w in enumerate(words):
-            margin = np.fromiter(map(self.cache.__getitem__, w), np.float64, len(w))
-            out[i] = (max(-2.0, margin.max()), np.log1p(np.count_nonzero(margin > 0))) if len(w) else (-2.0, 0.0)
-        return out
+        known = self.cache.__getitem__
+        return np.array([max(-2.0, max(map(known, w), default=-2.0)) for w in words])
 
     def scores(self, texts: list[str]) -> np.ndarray:
-        z = self._summary(texts) @ self.calibration[:-1] + self.calibration[-1]
+        z = self.worst([words_of(t) for t in texts]) * self.calibration[0] + self.calibration[1]
         return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
 
-def train_toxicity(labelled: DataFrame, docs: DataFrame, most: int = 6000) -> ToxicityModel | None:
+def _bags(most_words: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in chunks(batch, "text"):
+                words = [list(dict.fromkeys(words_of(t)))[:most_words] for t in part.column("text").to_pylist()]
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("toxic"), pa.array(words, pa.list_(pa.string()))], ["doc_id", "toxic", "words"])
+
+    return trimmed(run)
+
+
+def train_toxicity(labelled: DataFrame, docs: DataFrame, most: int = 6000, most_words: int = 4000) -> ToxicityModel | None:
     """Fit on at most `most` labelled rows, those whose hashed doc_ids are least. None unless both labels occur.
 
     labelled has doc_id and toxic (0 or 1), docs has doc_id and text. The sample, and with it what is broadcast
-    and collected, is bounded by `most` rows.
+    and collected, is bounded by `most` rows, and `most_words` different words of each. Of texts that share a doc_id the
+    one that sorts first is learned from.
     """
     ids = labelled.where("doc_id is not null and toxic in (0, 1)").select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic"))
     sample = ids.orderBy(F.xxhash64("doc_id"), "doc_id", "toxic").limit(most).collect()
     chosen = docs.sparkSession.createDataFrame(sample, ids.schema) if sample else ids.limit(0)
-    rows = docs.where("text is not null").join(F.broadcast(chosen), "doc_id").select("text", "toxic", "doc_id").limit(2 * most).collect()
-    rows = sorted(rows, key=lambda r: (r["doc_id"], r["text"], r["toxic"]))
+    rows = docs.where("text is not null").join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "toxic").agg(F.min("text").alias("text"))
+    rows = rows.mapInArrow(_bags(most_words), "doc_id long, toxic int, words array<string>").collect()
+    rows = sorted(rows, key=lambda r: (r["doc_id"], r["toxic"]))
     if len({r["toxic"] for r in rows}) < 2:
         return None
-    model = ToxicityModel([r["text"] for r in rows], [r["toxic"] for r in rows])
+    model = ToxicityModel([r["words"] for r in rows], [r["toxic"] for r in rows])
     model.cache, model.older = {}, {}
     return model
 

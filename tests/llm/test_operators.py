@@ -326,6 +326,13 @@ def test_token_store_round_trip(spark):
     assert token_store(docs_of(spark, []), path).count() == 0
 
 
+def test_other_tokenizers_are_refused():
+    from inkframe.llm.token_counts import TokenCounter
+
+    with pytest.raises(ValueError):
+        TokenCounter(open(public_tokenizers.path("byte_bpe_50k.json"), encoding="utf-8").read())
+
+
 def test_encoder_compares_bytes():
     """Pre-tokens that hash alike, those beyond the table's width, and a table that fills up."""
     from tokenizers import Tokenizer
@@ -339,7 +346,7 @@ def test_encoder_compares_bytes():
     old = T.SLOTS, T.POOL
     try:
         T.SLOTS, T.POOL = 64, 3000
-        encoder = T.Encoder(path)
+        encoder = T.Encoder(open(path, encoding="utf-8").read())
         for i in range(0, len(texts), 7):
             got = encoder.encode(pa.array(texts[i : i + 7]))
             assert [np.frombuffer(g, "<u4").tolist() for g in got] == [e.ids for e in library.encode_batch(texts[i : i + 7], add_special_tokens=False)]
