@@ -40,9 +40,13 @@ ENTITY_PATTERNS = {
 ENTITY = T.StructType([T.StructField("type", T.StringType()), T.StructField("value", T.StringType()), T.StructField("span", T.StructType([T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType())]))])
 
 
+#: The white space of Unicode.
+WHITE = "\t\n\x0b\x0c\r \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+
+
 def strip(c: Column) -> Column:
     """Without white space at either end, as Unicode defines it; null is empty."""
-    return F.regexp_replace(F.coalesce(c, F.lit("")), r"(?U)^\s+|\s+$", "")
+    return F.btrim(F.coalesce(c, F.lit("")), F.lit(WHITE))
 
 
 @pandas_udf(T.StringType())
@@ -52,7 +56,9 @@ def nfc(texts: pd.Series) -> pd.Series:
 
 
 def normalize_nfc(c: Column) -> Column:
-    return nfc(strip(c))
+    """Only texts with characters beyond ASCII have a normal form to find; the others are not sent to Python."""
+    s = strip(c)
+    return F.coalesce(nfc(F.when(F.octet_length(s) != F.char_length(s), s)), s)
 
 
 def clean_text(c: Column) -> Column:

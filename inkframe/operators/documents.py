@@ -26,11 +26,11 @@ def frame_documents(records: DataFrame, order: str = "id", separator: str = " |
     return grouped.select("frame_id", _joined(F.col("texts"), separator).alias("ocr_text"), *first, F.concat(head, rest).alias("entities"), order)
 
 
-def bulk_lines(records: DataFrame, order: str = "id", index: str = "ocr") -> DataFrame:
-    """Action and document lines for a bulk load; `part` 0 is the action."""
+def bulk_lines(records: DataFrame, order: str = "id", index: str = "frames_ocr") -> DataFrame:
+    """Action and document lines for a bulk load; `part` 0 is the action, which alone names the frame's id."""
     docs = frame_documents(records, order, " ")
     action = F.to_json(F.struct(F.struct(F.lit(index).alias("_index"), F.col("frame_id").alias("_id")).alias("index")))
-    body = F.to_json(F.struct("frame_id", "video_id", "frame_idx", "ocr_text"))
+    body = F.to_json(F.struct("ocr_text", F.coalesce("video_id", F.lit("")).alias("video_id"), F.coalesce("frame_idx", F.lit(0)).alias("frame_idx"), F.coalesce("timestamp", F.lit(0.0)).alias("timestamp")))
     return docs.select("frame_id", F.posexplode(F.array(action, body)).alias("part", "line"))
 
 
@@ -52,6 +52,37 @@ def roi_text(records: DataFrame, roi: Column) -> DataFrame:
     return inside.groupBy("video_id", "frame_idx").agg(_joined(_ordered(F.col("text"), *order), " ").alias("text"), F.count("*").alias("total"))
 
 
+def detection_struct(records: DataFrame) -> Column:
+    """What tools tell of a detection; columns that records lack are left out."""
+    have = [c for c in ("id", "frame_idx", "timestamp_str", "text", "confidence", "entities") if c in records.columns]
+    return F.struct(*have, bbox_norm().alias("bbox_norm"))
+
+
+def bbox_norm() -> Column:
+    return F.array("bbox_ymin", "bbox_xmin", "bbox_ymax", "bbox_xmax")
+
+
+def frame_answers(records: DataFrame) -> DataFrame:
+    """Per (video, frame), in reading order: total_detections, full_transcription, detections, extracted_entities."""
+    order = (F.col("bbox_ymin"), F.col("bbox_xmin"), F.col("id"))
+    grouped = records.groupBy("video_id", "frame_idx").agg(F.count("*").alias("total_detections"), _ordered(F.coalesce("text", F.lit("")), *order).alias("texts"), _ordered(detection_struct(records), *order).alias("detections"), F.flatten(F.filter(_ordered(F.col("entities"), *order), lambda e: e.isNotNull())).alias("extracted_entities"))
+    return grouped.select("video_id", "frame_idx", "total_detections", F.array_join("texts", " | ").alias("full_transcription"), "detections", "extracted_entities")
+
+
+def roi_answers(records: DataFrame, roi: Column) -> DataFrame:
+    """Per (video, frame) with a detection whose centre is in the region: matched_text and detections, in reading order."""
+    inside = records.where(center_in(box("bbox_ymin", "bbox_xmin", "bbox_ymax", "bbox_xmax"), roi))
+    order = (F.col("bbox_ymin"), F.col("bbox_xmin"), F.col("id"))
+    return inside.groupBy("video_id", "frame_idx").agg(F.array_join(_ordered(F.coalesce("text", F.lit("")), *order), " ").alias("matched_text"), _ordered(detection_struct(records), *order).alias("detections"))
+
+
+def entity_answers(records: DataFrame, entity_type: str | None = None) -> DataFrame:
+    """One row per entity of the records, with the text and the box of its detection; optionally of one type, whatever its case."""
+    rows = records.select("video_id", "frame_idx", "timestamp_str", "id", F.col("text").alias("raw_text"), bbox_norm().alias("bbox_norm"), F.posexplode("entities").alias("pos", "e"))
+    rows = rows.select("video_id", "frame_idx", "timestamp_str", "id", "pos", "raw_text", F.col("e.type").alias("entity_type"), F.col("e.value").alias("entity_value"), "bbox_norm")
+    return rows if entity_type is None else rows.where(F.upper("entity_type") == entity_type.upper())
+
+
 def video_entities(records: DataFrame, entity_type: str | None = None) -> DataFrame:
     """One row per entity of the records, optionally of one type, whatever its case."""
     rows = records.select("video_id", "frame_idx", "timestamp_str", "id", F.posexplode("entities").alias("pos", "e"))
@@ -70,10 +101,43 @@ def run_summary(frames: DataFrame, records: DataFrame) -> DataFrame:
     return a.crossJoin(b)  # one row each
 
 
+#: Names of tools, their parameters and the types of entities.
 TOOL_SCHEMAS = [
-    {"name": "search_ocr_text", "description": "Find frames by the text they show.", "parameters": {"type": "object", "properties": {"query_text": {"type": "string"}, "top_k": {"type": "integer", "default": 20}, "entity_type": {"type": "string"}}, "required": ["query_text"]}},
-    {"name": "read_frame_text", "description": "All text of one frame, in reading order.", "parameters": {"type": "object", "properties": {"video_id": {"type": "string"}, "frame_idx": {"type": "integer"}}, "required": ["video_id", "frame_idx"]}},
-    {"name": "inspect_roi", "description": "Text of a frame inside a region.", "parameters": {"type": "object", "properties": {"video_id": {"type": "string"}, "frame_idx": {"type": "integer"}, "roi": {"type": "array", "items": {"type": "number"}}}, "required": ["video_id", "frame_idx", "roi"]}},
+    {
+        "name": "search_ocr_text",
+        "description": "Find moments of videos by the words, signs or numbers that they show.",
+        "parameters": {
+            "type": "object",
+            "properties": {
+                "query_text": {"type": "string", "description": "Words to look for, with or without Vietnamese marks."},
+                "top_k": {"type": "integer", "description": "How many results at most (20 if not given)."},
+                "entity_type": {"type": "string", "enum": ["PRICE", "LICENSE_PLATE", "PHONE_NUMBER", "NUMBER", "TIME"], "description": "Only texts that hold an entity of this type."},
+            },
+            "required": ["query_text"],
+        },
+    },
+    {
+        "name": "read_frame_text",
+        "description": "All text of one frame of a video, in reading order.",
+        "parameters": {
+            "type": "object",
+            "properties": {"video_id": {"type": "string", "description": "The video, such as L01_V001."}, "frame_idx": {"type": "integer", "description": "The frame's index in the video."}},
+            "required": ["video_id", "frame_idx"],
+        },
+    },
+    {
+        "name": "inspect_roi_text",
+        "description": "The text inside a region of one frame.",
+        "parameters": {
+            "type": "object",
+            "properties": {
+                "video_id": {"type": "string", "description": "The video."},
+                "frame_idx": {"type": "integer", "description": "The frame's index."},
+                "roi": {"type": "array", "items": {"type": "number"}, "description": "ymin, xmin, ymax, xmax as parts of the image, from 0 to 1."},
+            },
+            "required": ["video_id", "frame_idx", "roi"],
+        },
+    },
 ]
 
 

@@ -34,6 +34,10 @@ def evaluate(hits: DataFrame, truth: DataFrame) -> DataFrame:
     return out.withColumn("final_score", F.round(sum(F.col(f"r_at_{k}") for k in CUTS) / len(CUTS), 4))
 
 
-def benchmark_means(scores: DataFrame) -> DataFrame:
+def benchmark_means(scores: DataFrame, seconds: float | None = None) -> DataFrame:
+    """Means over the queries, zeros if there is none. seconds: what the batch of searches took; latency_ms is a query's share."""
     cols = [f"r_at_{k}" for k in CUTS] + ["final_score"]
-    return scores.agg(F.count("*").alias("n_queries"), *[F.coalesce(F.sum(c), F.lit(0.0)).__truediv__(F.greatest(F.count("*"), F.lit(1))).alias(c) for c in cols])
+    n = F.greatest(F.count("*"), F.lit(1))
+    means = [(F.coalesce(F.sum(c), F.lit(0.0)) / n).alias(c) for c in cols]
+    latency = [] if seconds is None else [F.round(F.lit(seconds * 1000.0) / n, 3).alias("latency_ms")]
+    return scores.agg(F.count("*").alias("n_queries"), *means, *latency)

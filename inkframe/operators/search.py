@@ -13,6 +13,8 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from ..functions.text import clean_text, query_tokens, to_unsigned
 
 K1, B, LEAST_IDF = 1.2, 0.75, 1e-6
+#: Up to so many terms and prefixes of a batch of queries are filtered by name.
+MOST_LISTED = 400
 
 
 def _fold() -> tuple[str, str]:
@@ -68,19 +70,33 @@ def _occurrences(p: DataFrame, index: DataFrame) -> DataFrame:
     return starts.groupBy("qid", "tok", "id", "col").agg(F.count("*").alias("tf"))
 
 
-def bm25(records: DataFrame, queries: DataFrame, index: DataFrame | None = None) -> DataFrame:
+def asked_postings(index: DataFrame, p: DataFrame) -> DataFrame:
+    """The postings whose terms the phrases ask for. With few terms asked, as a filter that reaches the scan of a written
+    index, which is sorted by term; else the joins have to find them."""
+    steps = p.select("tok", "size", F.posexplode("terms").alias("k", "want"))
+    asked = steps.select("want", ((F.col("tok") >= 0) & (F.col("k") == F.col("size") - 1)).alias("prefix")).distinct().limit(MOST_LISTED + 1).collect()
+    if len(asked) > MOST_LISTED:
+        return index
+    exact, heads = ([r["want"] for r in asked if r["prefix"] == b] for b in (False, True))
+    wanted = F.col("term").isin(exact)
+    for h in heads:
+        wanted = wanted | F.col("term").startswith(h)
+    return index.where(wanted)
+
+
+def bm25(records: DataFrame, queries: DataFrame, index: DataFrame | None = None, sizes: DataFrame | None = None) -> DataFrame:
     """(qid, id, bm25) of every record that has a content token of the query; less is better, as the index engine has it.
 
-    index holds the postings of records; give a written or cached table where many batches are asked.
+    index holds the postings of records, sizes (id, d) their lengths; give the tables of a written index where many batches are asked.
     """
     index = postings(records) if index is None else index
+    sizes = index.groupBy("id").agg(F.count("*").alias("d")) if sizes is None else sizes
     p = phrases(queries)
-    tf = _occurrences(p, index)
-    sizes = index.groupBy("id").agg(F.count("*").alias("d"))
+    tf = _occurrences(p, asked_postings(index, p))
     stats = records.select("id").join(sizes, "id", "left").agg(F.count("*").alias("n_rows"), (F.sum(F.coalesce("d", F.lit(0))) / F.count("*")).alias("mean"))
     tokens = p.where("tok >= 0").groupBy("qid").agg(F.count("*").alias("n_tokens"))
-    tf = tf.withColumn("df", F.count("*").over(Window.partitionBy("qid", "tok", "col")))
-    rows = tf.join(sizes, "id").crossJoin(F.broadcast(stats)).join(tokens, "qid")  # stats is one row
+    df = tf.groupBy("qid", "tok", "col").agg(F.count("*").alias("df"))  # a row per phrase and column
+    rows = tf.join(df, ["qid", "tok", "col"]).join(sizes, "id").crossJoin(F.broadcast(stats)).join(tokens, "qid")  # stats is one row
     idf = F.log((F.col("n_rows") - F.col("df") + 0.5) / (F.col("df") + 0.5))
     idf = F.when(idf <= 0, LEAST_IDF).otherwise(idf)
     part = idf * F.col("tf") * (K1 + 1) / (F.col("tf") + K1 * (1 - B + B * F.col("d") / F.col("mean")))
@@ -95,14 +111,14 @@ def relevance(bm25_score: Column, confidence: Column, contained: Column) -> Colu
     return 0.7 / (1 + F.abs(bm25_score)) + 0.3 * confidence + F.when(contained, 0.5).otherwise(0.0)
 
 
-def search(records: DataFrame, queries: DataFrame, top_k: int = 100, video_id: str | None = None, entity_type: str | None = None, min_confidence: float = 0.30, entity_first: bool = False, index: DataFrame | None = None) -> DataFrame:
+def search(records: DataFrame, queries: DataFrame, top_k: int = 100, video_id: str | None = None, entity_type: str | None = None, min_confidence: float = 0.30, entity_first: bool = False, index: DataFrame | None = None, sizes: DataFrame | None = None) -> DataFrame:
     """Ranked hits of each query (qid, query) in records (id, video_id, frame_idx, text, text_unsigned, confidence, entities).
 
     Candidates are the best 2 top_k by BM25 among rows of enough confidence (and of the video); then the entity type is
     asked for, the best row of each frame stays, and the first top_k are ranked by relevance. entity_first asks for the
     entity before candidates are cut.
     """
-    found = bm25(records, queries, index).join(records, "id").where(F.col("confidence") >= min_confidence)
+    found = bm25(records, queries, index, sizes).join(records, "id").where(F.col("confidence") >= min_confidence)
     if video_id is not None:
         found = found.where(F.col("video_id") == video_id)
     has = F.lit(True) if entity_type is None else F.exists("entities", lambda e: F.upper(e.type) == entity_type.upper())
@@ -121,16 +137,26 @@ def search(records: DataFrame, queries: DataFrame, top_k: int = 100, video_id: s
 def like_search(records: DataFrame, text: str, top_k: int = 100) -> DataFrame:
     """The fallback: records whose text or search form holds the query, by confidence; every score is 1."""
     u = F.lit(text)
-    hit = F.col("text").like(F.concat(F.lit("%"), u, F.lit("%"))) | F.col("text_unsigned").like(F.concat(F.lit("%"), u, F.lit("%")))
+    pattern = F.concat(F.lit("%"), u, F.lit("%"))
+    hit = F.like("text", pattern) | F.like("text_unsigned", pattern)
     return records.where(hit).orderBy(F.desc("confidence"), "id").limit(2 * top_k).withColumn("score", F.lit(1.0))
 
 
 def keyword_counts(records: DataFrame, words: list[str]) -> DataFrame:
-    """How many records hold each word, whatever its case."""
+    """How many records hold each word as part of their text, whatever its case."""
     held = [F.count_if(F.lower("text").contains(w.lower())).alias(w) for w in words]
     return records.agg(*held).unpivot([], words, "word", "n")
 
 
+def match_counts(index: DataFrame, texts: list[str], column: str = "text") -> DataFrame:
+    """How many records hold each text as a phrase of index terms in a column: text, n. A text without terms matches nothing."""
+    spark = index.sparkSession
+    asked = spark.createDataFrame([(t,) for t in texts], "qid string").withColumn("terms", terms(F.col("qid"))).select("qid", F.lit(-1).alias("tok"), "terms", F.size("terms").alias("size"))
+    tf = _occurrences(asked, asked_postings(index.where(F.col("col") == column), asked))
+    counts = tf.groupBy("qid").agg(F.count("*").alias("n"))
+    return asked.join(counts, "qid", "left").select(F.col("qid").alias("text"), F.coalesce("n", F.lit(0)).alias("n"))
+
+
 def payloads(hits: DataFrame) -> DataFrame:
     """Answer strings of hits: a frame, a frame with an answer, and a moment."""
     frame = F.concat_ws(", ", "video_id", F.col("frame_idx").cast("string"))
@@ -139,8 +165,12 @@ def payloads(hits: DataFrame) -> DataFrame:
 
 
 def compact(hits: DataFrame) -> DataFrame:
-    """Nine columns of a hit, as tools return them."""
-    return hits.select("qid", "rank", "video_id", "frame_idx", F.col("text").alias("detected_text"), "confidence", "score", "entities", "submission_kis")
+    """The columns of a hit that tools return, after qid and rank; without a time stamp or boxes these are null."""
+    have = set(hits.columns)
+    stamp = F.col("timestamp_str") if "timestamp_str" in have else F.lit(None).cast("string")
+    edges = ["bbox_ymin", "bbox_xmin", "bbox_ymax", "bbox_xmax"]
+    box = F.col("bbox_norm") if "bbox_norm" in have else F.array(*edges) if have.issuperset(edges) else F.lit(None).cast("array<double>")
+    return hits.select("qid", "rank", "video_id", "frame_idx", stamp.alias("timestamp_str"), F.col("text").alias("detected_text"), "confidence", box.alias("bbox_norm"), "entities", "submission_kis", "submission_qa")
 
 
 def result_table(hits: DataFrame, most: int = 20, width: int = 23) -> DataFrame:

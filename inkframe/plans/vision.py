@@ -15,37 +15,65 @@ from ..functions.text import clean_text, extract_entities, unsigned_of_clean
 
 
 class FrameReader(Protocol):
-    """Finds text in an image. One instance serves a Python worker for as long as it lives."""
+    """Finds text in an image. One instance serves a Python worker for as long as it lives.
+
+    A reader may also have read_batch(images) -> list of what read gives, for models that are faster on many at a time.
+    """
 
     def read(self, image: bytes) -> dict:
-        """width, height, scale, and lines: polygon, printed, printed_conf, marked, marked_conf of each."""
+        """width, height, scale, and lines: polygon, printed, printed_conf, marked, marked_conf of each. Raises ValueError if the
+        bytes are no image."""
 
 
-LINES = "path string, width int, height int, scale double, ord bigint, polygon array<array<int>>, printed string, printed_conf double, marked string, marked_conf double"
+LINES = "path string, width int, height int, scale double, ord bigint, polygon array<array<int>>, printed string, printed_conf double, marked string, marked_conf double, error string"
+EMPTY = "the image is empty or cannot be read"
 _READERS: dict[str, FrameReader] = {}
 
 
-def read_images(images: DataFrame, make: Callable[[], FrameReader], key: str) -> DataFrame:
-    """images (path, content) -> a row per text line. make() runs once per worker; a failing model fails the task."""
+def _found(reader: FrameReader, images: list[bytes]) -> list[dict]:
+    """What a reader finds in each image; images that it refuses have an error."""
+    if hasattr(reader, "read_batch"):
+        try:
+            return reader.read_batch(images)
+        except ValueError:  # one of them is no image
+            pass
+    out = []
+    for image in images:
+        try:
+            out.append(reader.read(image))
+        except ValueError as e:
+            out.append({"error": str(e) or EMPTY})
+    return out
+
+
+def read_images(images: DataFrame, make: Callable[[], FrameReader], key: str, batch_size: int = 16) -> DataFrame:
+    """images (path, content) -> a row per text line, and one with an error for each image that is missing, empty or unreadable.
+
+    make() runs once per worker; a failing model fails the task. Up to batch_size images are read at a time.
+    """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         if key not in _READERS:
             _READERS[key] = make()
         for batch in batches:
-            rows = []
-            for path, content in zip(batch["path"], batch["content"], strict=True):
-                if not content:
-                    continue
-                found = _READERS[key].read(content)
-                for i, line in enumerate(found["lines"]):
-                    rows.append((path, found["width"], found["height"], found.get("scale", 1.0), i, line["polygon"], line.get("printed"), line.get("printed_conf"), line.get("marked"), line.get("marked_conf")))
-            yield pd.DataFrame(rows, columns=[c.split()[0] for c in LINES.split(", ")])
+            rows = [(path, *[None] * 9, EMPTY) for path, content in zip(batch["path"], batch["content"], strict=True) if not content]
+            full = [(path, content) for path, content in zip(batch["path"], batch["content"], strict=True) if content]
+            for k in range(0, len(full), batch_size):
+                some = full[k : k + batch_size]
+                for (path, _), found in zip(some, _found(_READERS[key], [c for _, c in some]), strict=True):
+                    if "error" in found:
+                        rows.append((path, *[None] * 9, found["error"]))
+                        continue
+                    for i, line in enumerate(found["lines"]):
+                        rows.append((path, found["width"], found["height"], found.get("scale", 1.0), i, line["polygon"], line.get("printed"), line.get("printed_conf"), line.get("marked"), line.get("marked_conf"), None))
+            yield pd.DataFrame(rows, columns=[c.split()[0] for c in LINES.split(", ")]).astype({"width": "Int32", "height": "Int32", "ord": "Int64", "scale": "Float64", "printed_conf": "Float64", "marked_conf": "Float64"})
 
     return images.select("path", "content").mapInPandas(run, LINES)
 
 
 def detections(lines: DataFrame, min_area: float = 80.0, min_confidence: float = 0.40) -> DataFrame:
     """Lines -> cleaned detections: small polygons and unsure or blank texts go; boxes, search form and entities come."""
+    lines = lines.where("error is null")
     vote = hybrid_vote(F.col("printed"), F.col("printed_conf"), F.col("marked"), F.col("marked_conf"))
     rows = lines.where(usable_polygon(F.col("polygon"), min_area)).withColumn("v", vote).where(recognized(F.col("v.text"), F.col("v.conf"), min_confidence))
     b = polygon_box(F.col("polygon"), F.col("width"), F.col("height"))
@@ -68,3 +96,13 @@ def blur_score(pixels: pd.Series, width: pd.Series, height: pd.Series) -> pd.Ser
 
 def is_blurry(score: Column, least: float = 40.0) -> Column:
     return score < least
+
+
+def frame_errors(lines: DataFrame) -> DataFrame:
+    """path and error of the images that gave none of their text."""
+    return lines.where("error is not null").select("path", "error")
+
+
+def paired(found: Column, results: Column) -> Column:
+    """Structs of two arrays of structs, by position; the longer one's rest has nulls for the other."""
+    return F.arrays_zip(found.alias("found"), results.alias("result"))

@@ -249,13 +249,25 @@ def fulltext_filtered(spark, t):
 o AS (SELECT qid, video_id, frame_idx, row_number() OVER (PARTITION BY qid ORDER BY score DESC, c) AS rank FROM i),
 tr AS (SELECT 'q' || i AS qid, 'Vsrc' || i AS video, 0 AS s, 500 AS e FROM range(6) t(i)),
 m AS (SELECT tr.qid, rank, CASE WHEN rank IS NOT NULL AND o.video_id = video AND frame_idx BETWEEN s AND e THEN 1.0 ELSE 0.0 END AS r FROM tr LEFT JOIN o ON tr.qid = o.qid AND rank <= 100)
-SELECT qid, coalesce(max(r) FILTER (rank <= 1), 0) AS r_at_1, coalesce(max(r) FILTER (rank <= 5), 0) AS r_at_5, coalesce(max(r) FILTER (rank <= 20), 0) AS r_at_20, coalesce(max(r) FILTER (rank <= 50), 0) AS r_at_50, coalesce(max(r) FILTER (rank <= 100), 0) AS r_at_100 FROM m GROUP BY qid""")
+SELECT qid, coalesce(max(r) FILTER (rank <= 1), 0) AS r_at_1, coalesce(max(r) FILTER (rank <= 5), 0) AS r_at_5, coalesce(max(r) FILTER (rank <= 20), 0) AS r_at_20, coalesce(max(r) FILTER (rank <= 50), 0) AS r_at_50, coalesce(max(r) FILTER (rank <= 100), 0) AS r_at_100, min(rank) FILTER (r > 0) AS best_rank,
+ CAST((coalesce(max(r) FILTER (rank <= 1), 0) + coalesce(max(r) FILTER (rank <= 5), 0) + coalesce(max(r) FILTER (rank <= 20), 0) + coalesce(max(r) FILTER (rank <= 50), 0) + coalesce(max(r) FILTER (rank <= 100), 0)) / 5 AS DOUBLE) AS final_score FROM m GROUP BY qid""")
 def batch_search_eval(spark, t):
     """A batch of searches against known frame ranges."""
     records, index = _indexed(t)
     hits = Q.search(records, _searches(spark), top_k=100, index=index).select("qid", "rank", "video_id", "frame_idx")
     truth = spark.range(6).selectExpr("concat('q', id) qid", "'KIS' type", "concat('Vsrc', id) video", "0L start", "500L end", "'' answer")
-    return E.evaluate(hits, truth).select("qid", *[F.col(f"r_at_{k}").cast("decimal(2,1)").alias(f"r_at_{k}") for k in E.CUTS])
+    scores = E.evaluate(hits, truth)
+    return scores.select("qid", *[F.col(f"r_at_{k}").cast("decimal(2,1)").alias(f"r_at_{k}") for k in E.CUTS], F.col("best_rank").cast("bigint").alias("best_rank"), F.round("final_score", 4).alias("final_score"))
+
+
+@query("""WITH s AS (SELECT p_partkey, CASE WHEN p_size > 30 THEN 1 ELSE 0 END AS a, CASE WHEN p_size > 10 THEN 1 ELSE 0 END AS b FROM part)
+SELECT count(*) AS n_queries, round(avg(a), 9) AS r_at_1, round(avg(b), 9) AS r_at_100, round(avg((a + 4 * b) / 5.0::DOUBLE), 9) AS final_score, round(2500.0::DOUBLE / count(*), 3) AS latency_ms FROM s""")
+def benchmark_means(spark, t):
+    """Means over queries, with the share of a batch's time."""
+    hits = t("part").where("p_size > 10").selectExpr("p_partkey qid", "case when p_size > 30 then 1 else 3 end rank", "'V' video_id", "1L frame_idx")
+    truth = t("part").selectExpr("p_partkey qid", "'KIS' type", "'V' video", "0L start", "5L end", "'' answer")
+    means = E.benchmark_means(E.evaluate(hits, truth), 2.5)
+    return means.select("n_queries", *[F.round(c, 9).alias(c) for c in ("r_at_1", "r_at_100", "final_score")], "latency_ms")
 
 
 @query("SELECT w AS word, (SELECT count(*) FROM documents WHERE contains(lower(text), w)) AS n FROM (VALUES ('license'), ('the'), ('idiot'), ('haus')) v(w)")
@@ -275,23 +287,152 @@ RECORDS_SQL = """WITH r AS (SELECT conv_id * 100 + turn AS id, 'V' || conv_id AS
 
 
 @query(RECORDS_SQL + """ SELECT video_id || '_' || frame_idx AS frame_id, string_agg(trim(text), ' | ' ORDER BY id) FILTER (trim(coalesce(text, '')) <> '') AS ocr_text, any_value(video_id) AS video_id, any_value(frame_idx) AS frame_idx,
- arg_min(ts, id) AS timestamp, 'u' || any_value(conv_id) AS youtube_url FROM r GROUP BY video_id, frame_idx""".replace("GROUP BY video_id, frame_idx", "GROUP BY r.video_id, r.frame_idx").replace("any_value(video_id) AS video_id, any_value(frame_idx) AS frame_idx", "r.video_id, r.frame_idx"))
+ arg_min(ts, id) AS timestamp, 'u' || any_value(conv_id) AS youtube_url,
+ array_to_string(list_concat(arg_min(['ROLE:' || role, 'Turn:' || turn % 2], id), list_sort(list_distinct(list_filter(flatten(list(['ROLE:' || role, 'Turn:' || turn % 2])), lambda e: NOT list_contains(arg_min(['ROLE:' || role, 'Turn:' || turn % 2], id), e))))), ',') AS entities FROM r GROUP BY video_id, frame_idx""".replace("GROUP BY video_id, frame_idx", "GROUP BY r.video_id, r.frame_idx").replace("any_value(video_id) AS video_id, any_value(frame_idx) AS frame_idx", "r.video_id, r.frame_idx"))
 def frame_documents(spark, t):
-    """A1."""
-    return D.frame_documents(_records(t)).select("frame_id", "ocr_text", "video_id", "frame_idx", "timestamp", "youtube_url")
+    """With the ordered union of entities, in which ROLE sorts before Turn."""
+    return D.frame_documents(_records(t)).select("frame_id", "ocr_text", "video_id", "frame_idx", "timestamp", "youtube_url", _named("entities"))
+
+
+def _named(entities: str):
+    return F.array_join(F.transform(entities, lambda e: F.concat_ws(":", e["type"], e["value"])), ",").alias(entities)
 
 
-@query(RECORDS_SQL + """, d AS (SELECT video_id || '_' || frame_idx AS frame_id, video_id, frame_idx, string_agg(trim(text), ' ' ORDER BY id) FILTER (trim(text) <> '') AS body FROM r GROUP BY video_id, frame_idx)
-SELECT frame_id, 0 AS part, md5('{"index":{"_index":"ocr","_id":"' || frame_id || '"}}') AS digest FROM d""")
+@query(RECORDS_SQL + """, d AS (SELECT video_id || '_' || frame_idx AS frame_id, video_id, frame_idx, string_agg(trim(text), ' ' ORDER BY id) FILTER (trim(text) <> '') AS body, arg_min(ts, id) AS ts FROM r GROUP BY video_id, frame_idx)
+SELECT frame_id, 0 AS part, '{"index":{"_index":"frames_ocr","_id":"' || frame_id || '"}}' AS line FROM d
+UNION ALL SELECT frame_id, 1, CAST(json_object('ocr_text', coalesce(body, ''), 'video_id', video_id, 'frame_idx', frame_idx, 'timestamp', ts) AS VARCHAR) FROM d""")
 def bulk_actions(spark, t):
-    """A2, K4: the action lines of a bulk load."""
-    return D.bulk_lines(_records(t)).where("part = 0").select("frame_id", "part", F.md5("line").alias("digest"))
+    """A2, K4: both lines of each frame in a bulk load."""
+    return D.bulk_lines(_records(t)).select("frame_id", "part", "line")
 
 
-@query(RECORDS_SQL + " SELECT video_id, frame_idx, string_agg(trim(text), ' | ' ORDER BY y, x, id) FILTER (trim(text) <> '') AS text, count(*) AS total FROM r GROUP BY video_id, frame_idx")
+@query(RECORDS_SQL + " SELECT video_id, frame_idx, string_agg(trim(text), ' | ' ORDER BY y, x, id) FILTER (trim(text) <> '') AS text, count(*) AS total, string_agg('ROLE:' || role || ',Turn:' || turn % 2, ',' ORDER BY y, x, id) AS entities FROM r GROUP BY video_id, frame_idx")
 def read_frame(spark, t):
     """A9, O4."""
-    return D.read_frames(_records(t)).drop("entities")
+    return D.read_frames(_records(t)).select("video_id", "frame_idx", "text", "total", _named("entities"))
+
+
+@query(RECORDS_SQL + """ SELECT video_id, frame_idx, count(*) AS total_detections, string_agg(coalesce(text, ''), ' | ' ORDER BY y, x, id) AS full_transcription, string_agg(CAST(id AS VARCHAR), ',' ORDER BY y, x, id) AS ids,
+ string_agg(printf('%.2f %.2f', y, x + 0.1::DOUBLE), ',' ORDER BY y, x, id) AS boxes, string_agg('ROLE:' || role || ',Turn:' || turn % 2, ',' ORDER BY y, x, id) AS extracted_entities FROM r GROUP BY video_id, frame_idx""")
+def tool_read_frame(spark, t):
+    """API2, API6: the answer about every frame."""
+    rows = D.frame_answers(_records(t))
+    box = F.transform("detections", lambda d: F.format_string("%.2f %.2f", d["bbox_norm"][0], d["bbox_norm"][3]))
+    return rows.select("video_id", "frame_idx", "total_detections", "full_transcription", F.array_join(F.transform("detections", lambda d: d["id"].cast("string")), ",").alias("ids"), F.array_join(box, ",").alias("boxes"), _named("extracted_entities"))
+
+
+@query(RECORDS_SQL + """ SELECT video_id, frame_idx, string_agg(coalesce(text, ''), ' ' ORDER BY y, x, id) AS matched_text, string_agg(CAST(id AS VARCHAR), ',' ORDER BY y, x, id) AS ids FROM r
+ WHERE (y + (y + 0.1::DOUBLE)) / 2 BETWEEN 0.2 AND 0.9 AND (x + (x + 0.1::DOUBLE)) / 2 BETWEEN 0.1 AND 0.8 GROUP BY video_id, frame_idx""")
+def tool_inspect_roi(spark, t):
+    """API3: the answer about a region of every frame."""
+    rows = D.roi_answers(_records(t), G.box(F.lit(0.2), F.lit(0.1), F.lit(0.9), F.lit(0.8)))
+    return rows.select("video_id", "frame_idx", "matched_text", F.array_join(F.transform("detections", lambda d: d["id"].cast("string")), ",").alias("ids"))
+
+
+@query(RECORDS_SQL + " SELECT video_id, frame_idx, id, coalesce(text, '') AS raw_text, 'Turn' AS entity_type, CAST(turn % 2 AS VARCHAR) AS entity_value, printf('%.2f %.2f', y, x) AS corner FROM r")
+def tool_extract_entities(spark, t):
+    """API4: entities of a type, whatever its case, with the text and the box of their detections."""
+    rows = D.entity_answers(_records(t), "TURN")
+    return rows.select("video_id", "frame_idx", "id", F.coalesce("raw_text", F.lit("")).alias("raw_text"), "entity_type", "entity_value", F.format_string("%.2f %.2f", F.col("bbox_norm")[0], F.col("bbox_norm")[1]).alias("corner"))
+
+
+@query(RECORDS_SQL + """ SELECT id, video_id || ', ' || frame_idx AS submission_kis, video_id || ', ' || frame_idx || ', ' || CASE WHEN turn % 3 = 0 THEN coalesce(text, '') ELSE role END AS submission_qa,
+ video_id || ', ' || frame_idx AS submission_trake, coalesce(text, '') AS detected_text, printf('%.2f', y) AS top FROM r""")
+def hit_payloads(spark, t):
+    """Answer strings and the compact form of hits, a third of them without entities."""
+    hits = _records(t).withColumns({"entities": F.when(F.col("id") % 100 % 3 != 0, F.col("entities")), "text": F.coalesce("text", F.lit("")), "qid": F.col("id"), "rank": F.lit(1), "confidence": F.lit(0.5)})
+    short = Q.compact(Q.payloads(hits))
+    trake = Q.payloads(hits).select(F.col("id").alias("qid"), "submission_trake")
+    return short.join(trake, "qid").select(F.col("qid").alias("id"), "submission_kis", "submission_qa", "submission_trake", "detected_text", F.format_string("%.2f", F.col("bbox_norm")[0]).alias("top"))
+
+
+@query("SELECT 'V' || conv_id || '_' || turn * 75 AS frame_id, 'V' || conv_id AS video_id, turn * 75 AS frame_idx, round_even(turn * 300 / 1000.0::DOUBLE, 3) AS timestamp, turn * 300 AS timestamp_ms, '00:00:00.000' AS timestamp_str, turn * 75 AS frame_start, CAST(1 AS BIGINT) AS occurrences, coalesce(text, '') AS text, 0.0::DOUBLE AS confidence, turn / 10.0::DOUBLE AS bbox_xmin, '[]' AS entities_json FROM conversations")
+def flat_records(spark, t):
+    """Defaults of the record table's columns."""
+    from .sources.sinks import flat_records as flat
+
+    rows = t("conversations").selectExpr("concat('V', conv_id) as video_id", "turn * 75 as frame_idx", "turn * 300 as timestamp_ms", "text", "array(0D, cast(turn as double) / 10, 0.5D, 0.6D) as bbox_norm")
+    return flat(rows).select("frame_id", "video_id", "frame_idx", "timestamp", "timestamp_ms", "timestamp_str", "frame_start", "occurrences", "text", "confidence", "bbox_xmin", "entities_json")
+
+
+@query("""WITH f AS (SELECT DISTINCT conv_id, turn * 75 AS idx, conv_id % 3 = 0 AS listed, conv_id % 2 = 0 AND turn % 2 = 0 AS told FROM conversations),
+g AS (SELECT *, CASE WHEN told THEN idx + 1000 ELSE idx END AS frame_idx, CASE WHEN listed THEN 30.0 WHEN conv_id % 2 = 0 THEN 50.0 ELSE 25.0 END::DOUBLE AS fps FROM f),
+h AS (SELECT *, CASE WHEN told THEN CAST(idx * 997 + 5 AS BIGINT) ELSE CAST(floor(round_even(frame_idx / fps, 3) * 1000.0) AS BIGINT) END AS timestamp_ms, CASE WHEN told THEN round_even((idx * 997 + 5) / 1000.0::DOUBLE, 3) ELSE round_even(frame_idx / fps, 3) END AS timestamp FROM g)
+SELECT 'V' || conv_id || '_' || frame_idx AS frame_id, 'V' || conv_id AS video_id, frame_idx, timestamp, timestamp_ms, fps,
+ CASE WHEN told AND idx % 4 = 0 THEN 'given' ELSE printf('%02d:%02d.%03d', timestamp_ms // 60000, timestamp_ms // 1000 % 60, timestamp_ms % 1000) END AS timestamp_str FROM h""")
+def metadata_override(spark, t):
+    """What per-video metadata say of a frame goes before what its name says; names with and without extension."""
+    conv = t("conversations").selectExpr("conv_id", "concat('V', conv_id) video_id", "turn", "turn * 75 idx").distinct()
+    told = conv.where("conv_id % 2 = 0 and turn % 2 = 0").select("video_id", F.concat(F.lit("keyframe_"), F.col("idx").cast("string"), F.when(F.col("idx") % 4 == 0, ".webp").otherwise("")).alias("k"), F.struct((F.col("idx") + 1000).alias("frame_idx"), (F.col("idx") * 997 + 5).alias("timestamp_ms"), F.when(F.col("idx") % 4 == 0, "given").alias("timestamp_str")).alias("v"))
+    told = told.groupBy("video_id").agg(F.map_from_entries(F.collect_list(F.struct("k", "v"))).alias("frames"))
+    metadata = conv.where("conv_id % 2 = 0").select("video_id").distinct().join(told, "video_id", "left").withColumn("fps", F.lit("50"))
+    fps = conv.where("conv_id % 3 = 0").select("video_id", F.lit(30.0).alias("fps")).distinct()
+    none = spark.createDataFrame([], "frame_id string, rel_path string"), spark.createDataFrame([], "video_id string, watch_url string")
+    info = P.frame_info(conv.select("video_id", F.concat(F.lit("a/keyframe_"), F.col("idx").cast("string"), F.lit(".webp")).alias("image_name")), fps, *none, metadata)
+    return info.select("frame_id", "video_id", "frame_idx", "timestamp", "timestamp_ms", "fps", "timestamp_str")
+
+
+@query("SELECT p_partkey, CASE WHEN p_partkey % 5 = 0 THEN 'unknown' ELSE 'V' || p_partkey % 9 END AS video_id FROM part")
+def index_catalogue(spark, t):
+    """S3: the video that an entry of an index is listed under."""
+    rows = t("part").selectExpr("cast(p_partkey as string) frame_id", "case when p_partkey % 5 = 0 then concat('k_', p_partkey, '.webp') when p_partkey % 2 = 0 then concat('V', p_partkey % 9, '\\\\k.webp') else concat('V', p_partkey % 9, '/x/k.webp') end rel_path")
+    return P.catalogue(rows).select(F.col("frame_id").cast("bigint").alias("p_partkey"), "video_id")
+
+
+@query("SELECT 'V' || conv_id AS video_id, turn FROM conversations WHERE 'V' || conv_id IN (SELECT DISTINCT 'V' || conv_id AS v FROM conversations ORDER BY v LIMIT 7)")
+def first_videos(spark, t):
+    """API11: the frames of the first videos."""
+    return P.first_videos(t("conversations").selectExpr("concat('V', conv_id) video_id", "turn"), 7)
+
+
+@query("SELECT doc_id AS id, CAST((doc_id * 7 % 80) / 100.0::DOUBLE + 0.2::DOUBLE AS DOUBLE) AS confidence, 1.0::DOUBLE AS score FROM documents WHERE text LIKE '%the er%' OR lower(text) LIKE '%the er%' ORDER BY confidence DESC, id LIMIT 60")
+def like_search(spark, t):
+    """The fallback by substring."""
+    rows = t("documents").select(F.col("doc_id").alias("id"), "text", F.lower("text").alias("text_unsigned"), ((F.col("doc_id") * 7 % 80) / 100.0 + 0.2).alias("confidence"))
+    return Q.like_search(rows, "the er", 30).select("id", "confidence", "score")
+
+
+@query("""WITH h AS (SELECT p_partkey, p_partkey % 2 = 0 AS qa, 'V' || p_partkey % 3 AS video_id, p_size AS frame_idx, lower(p_name) AS u, p_brand AS ent FROM part),
+r AS (SELECT p_partkey, CASE WHEN video_id = 'V1' AND frame_idx BETWEEN 10 AND 40 THEN 1.0 ELSE 0.0 END AS kis, qa, u, ent, CASE p_partkey % 5 WHEN 0 THEN '' WHEN 1 THEN 'brand#1' ELSE 'a' END AS a FROM h)
+SELECT p_partkey, CAST(CASE WHEN NOT qa THEN kis WHEN kis = 1.0 AND (a = '' OR contains(u, a) OR contains(lower(ent), a)) THEN 1.0 ELSE 0.0 END AS DECIMAL(2,1)) AS r_at_1, CAST(CASE WHEN NOT qa THEN kis WHEN kis = 1.0 AND (a = '' OR contains(u, a) OR contains(lower(ent), a)) THEN 1.0 ELSE 0.0 END AS DOUBLE) AS final_score FROM r""")
+def qa_scores(spark, t):
+    """A hit for each part, half of them answers to questions."""
+    part = t("part").selectExpr("p_partkey qid", "p_partkey", "concat('V', p_partkey % 3) video_id", "cast(p_size as bigint) frame_idx", "lower(p_name) text_unsigned", "array(named_struct('type', 'B', 'value', p_brand)) entities")
+    truth = part.selectExpr("qid", "case when p_partkey % 2 = 0 then 'QA' else 'KIS' end type", "'V1' video", "10L start", "40L end", "case p_partkey % 5 when 0 then '' when 1 then 'Brand#1' else 'A' end answer")
+    scores = E.evaluate(part.withColumn("rank", F.lit(1)), truth)
+    return scores.select(F.col("qid").alias("p_partkey"), F.col("r_at_1").cast("decimal(2,1)").alias("r_at_1"), F.round("final_score", 4).alias("final_score"))
+
+
+@query("""SELECT p_partkey, CASE WHEN greatest(w, h) <= 1600 AND least(w, h) <= 640 THEN 1.0 ELSE round(1600.0::DOUBLE / greatest(w, h), 6) END AS scale, CASE WHEN greatest(w, h) <= 1600 AND least(w, h) <= 640 THEN w ELSE CAST(trunc(w * (1600.0::DOUBLE / greatest(w, h))) AS INT) END AS width
+FROM (SELECT p_partkey, CAST(p_partkey * 13 % 2400 + 40 AS INT) AS w, CAST(p_size * 31 + 20 AS INT) AS h FROM part)""")
+def detection_sizes(spark, t):
+    """M4: the size at which an image goes to detection."""
+    size = G.detection_size(F.col("w"), F.col("h"), 1600, 640)
+    return t("part").selectExpr("p_partkey", "cast(p_partkey * 13 % 2400 + 40 as int) w", "cast(p_size * 31 + 20 as int) h").select("p_partkey", F.round(size.scale, 6).alias("scale"), size.width.alias("width"))
+
+
+@query("""WITH p AS (SELECT p_partkey, p_size AS s, p_partkey % 7 AS k FROM part), q AS (SELECT p_partkey, [[k, 1], [k + 20 + s, 2], [k + 22 + s, 30 + s], [k + 1, 33 + s]] AS c FROM p),
+o AS (SELECT p_partkey, unnest([c[3], c[1], c[4], c[2]]) AS pt, unnest([0, 1, 2, 3]) AS i FROM q)
+SELECT p_partkey, arg_min(pt, [pt[1] + pt[2], i])[1] AS tl_x, arg_min(pt, [pt[2] - pt[1], i])[1] AS tr_x, arg_min(pt, [-(pt[1] + pt[2]), i])[2] AS br_y, arg_min(pt, [-(pt[2] - pt[1]), i])[2] AS bl_y FROM o GROUP BY p_partkey""")
+def polygon_corners(spark, t):
+    """M7: the corners of a quadrilateral given in any order."""
+    rows = t("part").selectExpr("p_partkey", "p_size s", "cast(p_partkey % 7 as int) k").withColumn("c", F.expr("array(array(k + 22 + s, 30 + s), array(k, 1), array(k + 1, 33 + s), array(k + 20 + s, 2))"))
+    c = G.corners(F.col("c"))
+    return rows.select("p_partkey", c[0][0].cast("bigint").alias("tl_x"), c[1][0].cast("bigint").alias("tr_x"), c[2][1].cast("bigint").alias("br_y"), c[3][1].cast("bigint").alias("bl_y"))
+
+
+@query("SELECT p_partkey FROM part WHERE (p_partkey % 100) / 100.0::DOUBLE >= 0.40 AND p_partkey % 9 <> 0")
+def recognised_lines(spark, t):
+    """Unsure and blank readings go."""
+    rows = t("part").selectExpr("p_partkey", "case when p_partkey % 9 = 0 then ' ' else p_name end s", "(p_partkey % 100) / 100D p")
+    return rows.where(G.recognized(F.col("s"), F.col("p"))).select("p_partkey")
+
+
+@query("SELECT w AS text, (SELECT count(*) FROM documents WHERE list_contains(list_transform(list_filter(string_split_regex(translate(lower(text), " + _quoted(Q.FOLDED) + ", " + _quoted(Q.BASE) + "), '[^\\p{L}\\p{N}\\p{Co}]+'), lambda x: x <> ''), lambda x: x), w)) AS n FROM (VALUES ('license'), ('the'), ('haus')) v(w)")
+def match_counts(spark, t):
+    """How many records an index term matches."""
+    records = t("documents").select(F.col("doc_id").alias("id"), "text", F.lit("").alias("text_unsigned"))
+    return Q.match_counts(Q.postings(records), ["license", "the", "haus"])
 
 
 @query(RECORDS_SQL + " SELECT video_id, frame_idx, string_agg(trim(text), ' ' ORDER BY y, x, id) FILTER (trim(text) <> '') AS text, count(*) AS total FROM r WHERE (y + (y + 0.1::DOUBLE)) / 2 BETWEEN 0 AND 0.5 AND (x + (x + 0.1::DOUBLE)) / 2 BETWEEN 0 AND 0.8 GROUP BY video_id, frame_idx")
@@ -339,10 +480,14 @@ def quality_ratios(spark, t):
     return D.quality_ratios(_records(t))
 
 
-@query("""WITH t AS (SELECT DISTINCT doc_id, unnest(string_split_regex(translate(lower(text), """ + _quoted(Q.FOLDED) + ", " + _quoted(Q.BASE) + """), '[^\\p{L}\\p{N}\\p{Co}]+')) AS term FROM documents), d AS (SELECT term, count(*) AS n FROM t WHERE term <> '' GROUP BY term)
-SELECT word, term, CAST(levenshtein(word, term) AS INT) AS distance, n FROM d CROSS JOIN (VALUES ('therin'), ('queaux'), ('schtz')) v(word) WHERE levenshtein(word, term) <= 1""")
+@query("""WITH t AS (SELECT DISTINCT doc_id, unnest(string_split_regex(translate(lower(text), """ + _quoted(Q.FOLDED) + ", " + _quoted(Q.BASE) + """), '[^\\p{L}\\p{N}\\p{Co}]+')) AS term FROM documents), d AS (SELECT term, count(*) AS n FROM t WHERE term <> '' GROUP BY term),
+e AS (SELECT word, term, n, CASE WHEN word = term THEN 0 WHEN length(word) = length(term) THEN len(list_filter(range(1, length(word) + 1), lambda i: substr(word, i, 1) <> substr(term, i, 1)))
+ WHEN length(word) = length(term) + 1 AND len(list_filter(range(1, length(word) + 1), lambda i: substr(word, 1, i - 1) || substr(word, i + 1) = term)) > 0 THEN 1
+ WHEN length(term) = length(word) + 1 AND len(list_filter(range(1, length(term) + 1), lambda i: substr(term, 1, i - 1) || substr(term, i + 1) = word)) > 0 THEN 1 ELSE 2 END AS distance
+ FROM d CROSS JOIN (VALUES ('therin'), ('queaux'), ('schtz')) v(word))
+SELECT word, term, CAST(distance AS INT) AS distance, n FROM e WHERE distance <= 1""")
 def fuzzy_terms(spark, t):
-    """Terms within an edit of words."""
+    """Terms within an edit of words. Distances up to 1 are spelled out in SQL, as levenshtein there counts bytes."""
     rows = t("documents").select(F.col("doc_id").alias("id"), F.explode(Q.terms(F.col("text"))).alias("term"))
     return Q.fuzzy_terms(rows, ["therin", "queaux", "schtz"], 1)
 
@@ -353,10 +498,10 @@ def tracks_disabled(spark, t):
     return R.untracked(_detections(t)).select("video_id", "frame_start", "frame_end", "occurrences", "text")
 
 
-@query("SELECT c_custkey AS video_id FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_custkey IS NOT NULL)")
+@query("SELECT c_custkey AS video_id FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_custkey IS NOT NULL AND o_orderkey % 20 = 0)")
 def resume_pending(spark, t):
     """Videos that no run has finished."""
-    return P.pending(t("customer").select(F.col("c_custkey").alias("video_id")), t("orders").select(F.col("o_custkey").alias("video_id")))
+    return P.pending(t("customer").select(F.col("c_custkey").alias("video_id")), t("orders").where("o_orderkey % 20 = 0").select(F.col("o_custkey").alias("video_id")))
 
 
 @query("SELECT p_partkey, regexp_replace(trim(v), '(?i)\\.mp4$', '') AS video_id, coalesce(try_cast(regexp_replace(f, '\\s+', '', 'g') AS BIGINT), 0) AS frame_idx, rtrim(substr(trim(p_name), 1, 100)) AS answer FROM (SELECT p_partkey, p_name, ' L' || p_partkey || CASE p_partkey % 3 WHEN 0 THEN '.mp4' WHEN 1 THEN '.MP4' ELSE '' END || ' ' AS v, CASE p_partkey % 4 WHEN 0 THEN '12 ' || p_partkey WHEN 1 THEN 'x' ELSE '' || p_partkey END AS f FROM part)")
@@ -369,14 +514,13 @@ def clean_fields(spark, t):
 @query(_ranked("0.30", "true", "100") + """,
 o AS (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY score DESC, c) AS rank FROM i),
 n AS (SELECT qid, CASE qid WHEN 'q0' THEN 'a_kis' WHEN 'q1' THEN 'b_TRAKE' ELSE 'c_' || qid END AS name FROM q)
-SELECT name, count(*) AS n, count(*) FILTER (frame_idx % 2 = 0) AS even FROM o JOIN n USING (qid) GROUP BY name""")
+SELECT name, CAST(rank AS INT) AS rank, video_id || ',' || frame_idx AS line FROM o JOIN n USING (qid) WHERE rank <= 100""")
 def submission_rows(spark, t):
     """Answer rows by kind of query."""
     records, index = _indexed(t)
     hits = Q.search(records, _searches(spark), top_k=100, index=index)
     names = _searches(spark).select("qid", F.when(F.col("qid") == "q0", "a_kis").when(F.col("qid") == "q1", "b_TRAKE").otherwise(F.concat(F.lit("c_"), "qid")).alias("name"))
-    rows = K.answer_rows(hits, names)
-    return rows.groupBy("name").agg(F.count("*").alias("n"), F.count_if(F.get("fields", F.lit(1)).cast("bigint") % 2 == 0).alias("even"))
+    return K.answer_rows(hits, names).select("name", "rank", K.csv_line(F.col("fields")).alias("line"))
 
 
 @query("SELECT p_partkey, CASE WHEN contains(n, '\"') OR contains(n, ',') THEN '\"' || replace(n, '\"', '\"\"') || '\"' ELSE n END || ',' || p_partkey AS line FROM (SELECT p_partkey, CASE p_partkey % 3 WHEN 0 THEN p_name || ', x' WHEN 1 THEN p_name || ' \"q\"' ELSE p_name END AS n FROM part)")

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from ..functions.text import strip
+
 IMAGES = "*.{webp,WEBP,jpg,JPG,png,PNG,jpeg,JPEG}"
 RECORDS = "frame_id string, video_id string, frame_idx bigint, timestamp double, timestamp_ms bigint, timestamp_str string, youtube_url string, frame_start bigint, frame_end bigint, occurrences bigint, text string, text_unsigned string, confidence double, bbox_norm array<double>, polygon array<array<int>>, entities array<struct<type: string, value: string, span: array<int>>>"
 METADATA = "fps string, frames map<string, struct<frame_idx: bigint, timestamp_ms: bigint, timestamp_str: string>>"
@@ -59,7 +61,7 @@ def checkpoint_records(spark: SparkSession, path: str) -> DataFrame:
 def query_files(spark: SparkSession, folder: str) -> DataFrame:
     """qid (the file's stem), query of text files."""
     rows = _whole(spark, f"{folder.rstrip('/')}/*.txt")
-    return rows.select(F.regexp_replace(F.element_at(F.split("file", "/"), -1), r"\.txt$", "").alias("qid"), F.trim("value").alias("query"))
+    return rows.select(F.regexp_replace(F.element_at(F.split("file", "/"), -1), r"\.txt$", "").alias("qid"), strip(F.col("value")).alias("query"))
 
 
 def answer_csvs(spark: SparkSession, folder: str) -> DataFrame:

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+import json
+
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..operators.documents import bulk_lines, frame_documents
 from ..operators.search import postings
+from .readers import checkpoint_records
 
 
 def flat_records(records: DataFrame) -> DataFrame:
@@ -43,6 +46,35 @@ def write_index(records: DataFrame, path: str) -> None:
     """records (with id) and postings, the latter sorted by term so that a scan for a term or prefix skips row groups."""
     records.write.mode("overwrite").parquet(f"{path}/records")
     postings(records).repartitionByRange("term").sortWithinPartitions("term", "id", "col", "pos").write.mode("overwrite").parquet(f"{path}/postings")
+    written = records.sparkSession.read.parquet(f"{path}/postings")
+    written.groupBy("id").agg(F.count("*").alias("d")).write.mode("overwrite").parquet(f"{path}/sizes")
+
+
+def read_index(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """records, postings and sizes of a written index."""
+    return tuple(spark.read.parquet(f"{path}/{t}") for t in ("records", "postings", "sizes"))
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at)
+
+
+def open_index(spark: SparkSession, folders: list[str], logs: list[str]) -> tuple[DataFrame, DataFrame, DataFrame] | None:
+    """The first written index among folders; else one built, beside it, from the first log of records that has any; else None."""
+    for folder in folders:
+        if exists(spark, f"{folder}/sizes/_SUCCESS"):
+            return read_index(spark, folder)
+    for log in logs:
+        if exists(spark, log):
+            rows = checkpoint_records(spark, log)
+            if rows.limit(1).count():
+                at = f"{log.rstrip('/')}.index"
+                rows = rows.withColumn("id", F.xxhash64("video_id", "frame_idx", "text", "frame_start", "frame_end")).withColumn("entities", F.transform("entities", lambda e: F.struct(e["type"].alias("type"), e["value"].alias("value"))))
+                edges = [F.get("bbox_norm", F.lit(i)).alias(n) for i, n in enumerate(("bbox_ymin", "bbox_xmin", "bbox_ymax", "bbox_xmax"))]
+                write_index(rows.dropDuplicates(["id"]).select("*", *edges).drop("bbox_norm", "polygon"), at)
+                return read_index(spark, at)
+    return None
 
 
 def write_frame_documents(records: DataFrame, path: str) -> None:
@@ -50,10 +82,39 @@ def write_frame_documents(records: DataFrame, path: str) -> None:
     frame_documents(records).drop("id").write.mode("overwrite").json(path)
 
 
-def write_bulk(records: DataFrame, path: str) -> None:
+def keyed_documents(records: DataFrame) -> DataFrame:
+    """frame_id and the document that it is the key of in a JSON object: text, video, frame, time, link, entities."""
+    body = F.struct("ocr_text", F.coalesce("video_id", F.lit("")).alias("video_id"), F.coalesce("frame_idx", F.lit(0)).alias("frame_idx"), F.coalesce("timestamp", F.lit(0.0)).alias("timestamp"), F.coalesce("youtube_url", F.lit("")).alias("youtube_url"), "entities")
+    return frame_documents(records).select("id", "frame_id", F.to_json(body).alias("document"))
+
+
+def write_keyed_documents(records: DataFrame, path: str) -> None:
+    """One JSON object of all frame documents by frame_id, in the order of their first records, at a path of any store that Spark writes.
+
+    A single file has a single writer: rows come to it a partition at a time. For more than one reader's worth, write_frame_documents.
+    """
+    spark = records.sparkSession
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    out = at.getFileSystem(spark._jsc.hadoopConfiguration()).create(at, True)
+    try:
+        first = True
+        for r in keyed_documents(records).orderBy("id").toLocalIterator():
+            out.write(bytearray((("{" if first else ",") + "\n" + json.dumps(r["frame_id"], ensure_ascii=False) + ": " + r["document"]).encode()))
+            first = False
+        out.write(bytearray(("{}" if first else "\n}").encode()))
+    finally:
+        out.close()
+
+
+def write_bulk(records: DataFrame, path: str, index: str = "frames_ocr") -> None:
     """Action and document lines; the two lines of a frame stay together."""
-    bulk_lines(records).repartition("frame_id").sortWithinPartitions("frame_id", "part").select("line").write.mode("overwrite").text(path)
+    bulk_lines(records, index=index).repartition("frame_id").sortWithinPartitions("frame_id", "part").select("line").write.mode("overwrite").text(path)
 
 
 def append_checkpoint(records: DataFrame, path: str) -> None:
     records.write.mode("append").json(path)
+
+
+def append_done(videos: DataFrame, path: str) -> None:
+    """Add to the list of finished videos; what a run that broke off has appended without this is not counted."""
+    videos.select("video_id").distinct().write.mode("append").parquet(path)

@@ -1,3 +1,6 @@
+import json
+
+import pytest
 from pyspark.sql import functions as F
 
 from inkframe.functions import spatial as G
@@ -18,7 +21,8 @@ def test_frame_documents(spark):
     assert got["500"]["ocr_text"] == "QUÁN PHỞ THÌN 60k | top" and got["500"]["timestamp"] == 1.0
     assert [e["value"] for e in got["500"]["entities"]] == ["60k", "60k", "5"] and got["7"]["ocr_text"] == ""
     lines = D.bulk_lines(records(spark)).where("frame_id = '500'").orderBy("part").collect()
-    assert '"_id":"500"' in lines[0]["line"] and "PHỞ THÌN 60k top" in lines[1]["line"]
+    assert json.loads(lines[0]["line"]) == {"index": {"_index": "frames_ocr", "_id": "500"}}
+    assert json.loads(lines[1]["line"]) == {"ocr_text": "QUÁN PHỞ THÌN 60k top", "video_id": "V", "frame_idx": 500, "timestamp": 1.0}
 
 
 def test_reads(spark):
@@ -59,10 +63,63 @@ def test_packaging(spark, tmp_path):
 def test_readers(spark, tmp_path):
     (tmp_path / "q").mkdir()
     (tmp_path / "q/a.txt").write_text("  find it \n")
-    assert [tuple(r) for r in readers.query_files(spark, str(tmp_path / "q")).collect()] == [("a", "find it")] or readers.query_files(spark, str(tmp_path / "q")).count() == 1
+    assert [tuple(r) for r in readers.query_files(spark, str(tmp_path / "q")).collect()] == [("a", "find it")]
     (tmp_path / "log.jsonl").write_text('{"video_id": "V", "frame_idx": 3}\n\n{"video_id": "W"}\n')
     assert readers.checkpoint_records(spark, str(tmp_path / "log.jsonl")).count() == 2
     assert readers.benchmark_queries(spark).count() == 4
+    (tmp_path / "bench.json").write_text(json.dumps([{"query_id": "x", "type": "QA", "query_text": "pho", "ground_truth": {"video_id": "V", "frame_range": [3, 9], "answer": "60k"}}, {"query_id": "y", "type": "KIS", "query_text": "com", "ground_truth": {"video_id": "W", "frame_range": [0, 1]}}]))
+    assert sorted(map(tuple, readers.benchmark_queries(spark, str(tmp_path / "bench.json")).collect())) == [("x", "QA", "pho", "V", 3, 9, "60k"), ("y", "KIS", "com", "W", 0, 1, "")]
+    (tmp_path / "answers").mkdir()
+    (tmp_path / "answers/one.csv").write_text("V,1\nW,2\n")
+    assert sorted(map(tuple, readers.answer_csvs(spark, str(tmp_path / "answers")).collect())) == [("one", "V,1"), ("one", "W,2")]
+
+
+def test_settings(tmp_path):
+    pytest.importorskip("yaml")
+    (tmp_path / "a.yaml").write_text("deduplicator:\n  max_frame_gap: 15\n")
+    (tmp_path / "b.yaml").write_text("")
+    assert readers.settings(str(tmp_path / "a.yaml")) == {"deduplicator": {"max_frame_gap": 15}} and readers.settings(str(tmp_path / "b.yaml")) == {}
+
+
+def test_documents_in_one_object(spark, tmp_path):
+    sinks.write_keyed_documents(records(spark), str(tmp_path / "ocr.json"))
+    got = json.loads((tmp_path / "ocr.json").read_text(encoding="utf-8"))
+    assert list(got) == ["500", "7"] and got["7"] == {"ocr_text": "", "video_id": "W", "frame_idx": 7, "timestamp": 2.0, "youtube_url": "w", "entities": []}
+    assert got["500"]["ocr_text"] == "QUÁN PHỞ THÌN 60k | top" and [e["value"] for e in got["500"]["entities"]] == ["60k", "60k", "5"]
+    sinks.write_keyed_documents(records(spark).limit(0), str(tmp_path / "none.json"))
+    assert json.loads((tmp_path / "none.json").read_text()) == {}
+
+
+def test_open_index(spark, tmp_path):
+    from inkframe.operators import search as Q
+
+    log = tmp_path / "log.jsonl"
+    assert sinks.open_index(spark, [str(tmp_path / "no")], [str(log)]) is None
+    rows = [{"frame_id": "1", "video_id": "V", "frame_idx": 5, "text": "CƠM TẤM 45k", "text_unsigned": "com tam 45k", "confidence": 0.9, "frame_start": 5, "frame_end": 5, "bbox_norm": [0.1, 0.2, 0.3, 0.4], "entities": [{"type": "PRICE", "value": "45k", "span": [8, 11]}]}]
+    log.write_text("\n".join(map(json.dumps, rows + rows)) + "\n")
+    found, index, sizes = sinks.open_index(spark, [str(tmp_path / "no")], [str(log)])
+    ask = spark.createDataFrame([("q", "com tam")], "qid string, query string")
+    assert [tuple(r) for r in Q.search(found, ask, index=index, sizes=sizes).select("video_id", "frame_idx").collect()] == [("V", 5)]
+    again = sinks.open_index(spark, [str(log) + ".index"], [])
+    assert again[0].count() == 1 and again[2].first()["d"] == 6
+    assert sorted(map(tuple, Q.match_counts(index, ["cơm tấm", "tam com", "45k", "-"]).collect())) == [("-", 0), ("45k", 1), ("cơm tấm", 1), ("tam com", 0)]
+    assert Q.like_search(found, "TẤM").count() == 1 and Q.like_search(found, "x").count() == 0
+    assert Q.result_table(Q.search(found, ask), width=3).first()["text"] == "CƠM..."
+
+
+def test_command_line(spark, tmp_path, capsys):
+    from inkframe import cli
+
+    rows = records(spark).withColumn("confidence", F.lit(0.9)).withColumn("text", F.coalesce("text", F.lit(""))).withColumn("text_unsigned", F.lower("text"))
+    rows.write.parquet(str(tmp_path / "r"))
+    cli.main(["bulk", str(tmp_path / "r"), str(tmp_path / "bulk"), "--index-name", "i"])
+    assert spark.read.text(str(tmp_path / "bulk")).where("value like '%\"_index\":\"i\"%'").count() == 2
+    cli.main(["demo", str(tmp_path / "r"), "top"])
+    told = capsys.readouterr().out
+    assert json.loads(told[told.index("{") :])["frame"]["total_detections"] == 3
+    cli.main(["search", str(tmp_path / "r"), "top --video V"])
+    cli.main(["evaluate", str(tmp_path / "r")])
+    assert "latency_ms" in capsys.readouterr().out
 
 
 def test_tools(spark):
@@ -72,9 +129,18 @@ def test_tools(spark):
 
     rows = records(spark).withColumn("confidence", F.lit(0.9)).withColumn("text", F.coalesce("text", F.lit(""))).withColumn("text_unsigned", X.to_unsigned(F.col("text")))
     tools = SceneTextTools(rows)
-    hit = tools.search_ocr_text("pho thin")[0]
-    assert hit["video_id"] == "V" and hit["submission_kis"] == "V, 500" and hit["detected_text"] == "QUÁN PHỞ THÌN 60k"
-    assert tools.read_frame_text("V", 500)["total"] == 3 and tools.read_frame_text("V", 1)["total"] == 0
-    assert tools.inspect_roi("V", 500, [0, 0, 0.5, 0.8]).endswith("60k") and tools.inspect_roi("V", 500, [0.7, 0.7, 0.9, 0.9]) == ""
-    assert len(tools.extract_entities_in_video("V", "PRICE")) == 3 and len(tools.get_tool_schemas()) == 3
+    hit = tools.tool_search_ocr("pho thin")[0]
+    assert list(hit) == ["video_id", "frame_idx", "timestamp_str", "detected_text", "confidence", "bbox_norm", "entities", "submission_kis", "submission_qa"]
+    assert hit["video_id"] == "V" and hit["submission_kis"] == "V, 500" and hit["submission_qa"] == "V, 500, 60k" and hit["detected_text"] == "QUÁN PHỞ THÌN 60k" and hit["bbox_norm"] == [0.1, 0.1, 0.3, 0.6]
+    frame = tools.tool_read_frame_text("V", 500)
+    assert list(frame) == ["video_id", "frame_idx", "total_detections", "full_transcription", "detections", "extracted_entities"]
+    assert frame["total_detections"] == 3 and frame["full_transcription"] == "top |    | QUÁN PHỞ THÌN 60k" and [d["id"] for d in frame["detections"]] == [3, 2, 1] and len(frame["extracted_entities"]) == 4
+    assert tools.tool_read_frame_text("V", 1) == {"video_id": "V", "frame_idx": 1, "total_detections": 0, "full_transcription": "", "detections": [], "extracted_entities": []}
+    roi = tools.tool_inspect_roi("V", 500, [0, 0, 0.5, 0.8])
+    assert roi["matched_text"].endswith("60k") and roi["roi"] == [0, 0, 0.5, 0.8] and len(roi["detections"]) == 3
+    assert tools.tool_inspect_roi("V", 500, [0.7, 0.7, 0.9, 0.9])["matched_text"] == ""
+    found = tools.tool_extract_entities_in_video("V", "price")
+    assert len(found) == 3 and found[0] == {"video_id": "V", "frame_idx": 500, "timestamp_str": "a", "raw_text": "QUÁN PHỞ THÌN 60k", "entity_type": "PRICE", "entity_value": "60k", "bbox_norm": [0.1, 0.1, 0.3, 0.6]}
+    schemas = tools.get_tool_schemas()
+    assert [s["name"] for s in schemas] == ["search_ocr_text", "read_frame_text", "inspect_roi_text"] and schemas[0]["parameters"]["properties"]["entity_type"]["enum"][0] == "PRICE"
     assert Q.parse_query("com tam --video V1 --entity PRICE") == {"query": "com tam", "video_id": "V1", "entity_type": "PRICE"}
