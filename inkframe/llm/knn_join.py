@@ -2,10 +2,10 @@
 
 Vectors and queries are grouped by their nearest pivot. The summary of a group of vectors is its pivot p,
 its size and its radius r, the greatest distance of a member from p. For a query q every member x has
-q.p - |q| r <= q.x <= q.p + |q| r. The k-th best score of q is at least the k-th best among a bounded set
-of real vectors, and at least what the groups' lower bounds promise; a group whose upper bound is below
-that cannot matter to q. Each query goes only to the groups that can, meets their vectors block by block,
-and the blocks' answers are merged.
+q.p - |q| r <= q.x <= q.p + |q| r. Each query is first solved in one group, that of the pivot with the greatest product. The
+k-th best score of q is at least the k-th best there, at least the k-th best among a bounded set of real vectors, and at
+least what the groups' lower bounds promise; a group whose upper bound is below that cannot matter to q. Then each query
+goes only to the other groups that can, meets their vectors block by block, and all answers are merged.
 """
 
 from __future__ import annotations
@@ -85,8 +85,8 @@ def _packed(label: str, most: int):
     return run
 
 
-def _sent(pivots: np.ndarray, radius: np.ndarray, size: np.ndarray, salts: np.ndarray, probes: np.ndarray, probe_ids: np.ndarray, k: int):
-    """Each query with every (group, salt) that its bounds leave."""
+def _sent(pivots: np.ndarray, radius: np.ndarray, size: np.ndarray, salts: np.ndarray, probes: np.ndarray, probe_ids: np.ndarray, k: int, first: bool):
+    """Each query with every (group, salt) that its bounds leave, or first with those of one group alone."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -96,15 +96,19 @@ def _sent(pivots: np.ndarray, radius: np.ndarray, size: np.ndarray, salts: np.nd
             length = np.sqrt((q**2).sum(1))
             middle, reach = q @ pivots.T, length[:, None] * radius
             slack = 1e-3 + 1e-10 * length * (np.sqrt((pivots**2).sum(1)).max() + radius.max())
+            middle[:, size == 0] = -np.inf
+            own = middle.argmax(axis=1)
             # floors of what the k-th best can be: from real vectors, and from the groups' own lower bounds
             got = np.where(probe_ids == ids[:, None], -np.inf, q @ probes.T)
             floor = np.partition(got, -k, axis=1)[:, -k] if got.shape[1] >= k else np.full(len(q), -np.inf)
+            if not first:
+                floor = np.fmax(floor, batch.column("floor").to_numpy(zero_copy_only=False))
             low = middle - reach
             order = np.argsort(-low, axis=1)
             enough = (np.cumsum(size[order], axis=1) > k).argmax(1)  # one more, as a query is not its own answer
             if size.sum() > k:
                 floor = np.maximum(floor, np.take_along_axis(low, order, 1)[np.arange(len(q)), enough])
-            who, grp = np.nonzero((middle + reach >= (floor - slack)[:, None]) & (size > 0))
+            who, grp = (np.arange(len(q)), own) if first else np.nonzero((middle + reach >= (floor - slack)[:, None]) & (size > 0) & (np.arange(len(size)) != own[:, None]))
             many = salts[grp]
             who, grp, salt = np.repeat(who, many), np.repeat(grp, many), np.concatenate([np.arange(m) for m in many]) if len(many) else np.zeros(0)
             for i in range(0, len(who), 8192):
@@ -180,8 +184,18 @@ def _joined(rows: DataFrame, n: int, every: int, k: int, scratch: Scratch, tag:
     kind = "grp int, salt int, {0}_ids binary, {0}_vectors binary"
     data = data.repartition("grp", "salt").sortWithinPartitions("grp", "salt").mapInArrow(_packed("x", BLOCK), kind.format("x"))
     asked = near.where(F.col("vec_id") % every == 0).select("vec_id", "vector").repartition(F.xxhash64("vec_id"))
-    asked = asked.mapInArrow(_sent(pivots, radius, size, salts, probes, probe_ids, k), "vec_id long, vector array<long>, grp int, salt int")
-    asked = asked.repartition("grp", "salt").sortWithinPartitions("grp", "salt").mapInArrow(_packed("q", QUERY_BLOCK), kind.format("q"))
-    local = data.join(asked, ["grp", "salt"]).select("x_ids", "x_vectors", "q_ids", "q_vectors").mapInArrow(_solved(k), "query_id long, vec_id long, score long, wide string")
     over = Window.partitionBy("query_id").orderBy(F.desc("score"), F.col("wide").try_cast("decimal(38,0)").desc(), "vec_id")
-    return local.withColumn("rank", F.row_number().over(over)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+
+    def answers(queries: DataFrame, first: bool) -> DataFrame:
+        sent = queries.mapInArrow(_sent(pivots, radius, size, salts, probes, probe_ids, k, first), "vec_id long, vector array<long>, grp int, salt int")
+        sent = sent.repartition("grp", "salt").sortWithinPartitions("grp", "salt").mapInArrow(_packed("q", QUERY_BLOCK), kind.format("q"))
+        return data.join(sent, ["grp", "salt"]).select("x_ids", "x_vectors", "q_ids", "q_vectors").mapInArrow(_solved(k), "query_id long, vec_id long, score long, wide string")
+
+    def best(found: DataFrame) -> DataFrame:
+        return found.withColumn("rank", F.row_number().over(over)).where(F.col("rank") <= k)
+
+    found = scratch.write(best(answers(asked, True)), f"first-{tag}")
+    # a score at the lower end of 64 bits may be less than that
+    floors = found.where((F.col("rank") == k) & (F.col("score") > LEAST)).select(F.col("query_id").alias("vec_id"), F.col("score").cast("double").alias("floor"))
+    rest = answers(asked.join(floors, "vec_id", "left"), False)
+    return best(found.drop("rank").unionByName(rest)).select("query_id", "rank", "vec_id", "score")
