@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ..operators.frames import catalogue, first_videos, frame_index, frame_info, pending
 from ..operators.tracks import DETECTION, greedy_tracks, untracked
 from ..sources import readers, sinks
-from .vision import FrameReader, detections, frame_errors, read_images
+from .vision import EMPTY, FrameReader, detections, frame_errors, read_images
 
 
 def index_images(images: DataFrame, make: Callable[[], FrameReader], key: str, fps: DataFrame, index: DataFrame, urls: DataFrame, metadata: DataFrame | None = None, done: DataFrame | None = None, threshold: float = 0.85, max_gap: int = 120, merge: bool = True) -> DataFrame:
@@ -35,6 +35,8 @@ def process_single_frame(spark: SparkSession, path: str, make: Callable[[], Fram
     images = spark.read.format("binaryFile").load(path).select("path", "content")
     lines = read_images(images, make, key).cache()
     try:
+        if not images.limit(1).count():  # Spark's reader leaves out files of no bytes
+            return {"error": EMPTY}
         wrong = frame_errors(lines).first()
         if wrong is not None:
             return {"error": wrong["error"]}
@@ -98,7 +100,7 @@ def process_from_index_json(spark: SparkSession, index_json: str, keyframes_root
 
 def process_dataset(spark: SparkSession, keyframes_root: str, make: Callable[[], FrameReader], key: str, output: str, metadata_root: str | None = None, fps_file: str | None = None, index_file: str | None = None, urls_file: str | None = None, checkpoint: bool = True, videos: int | None = None, **options) -> dict:
     """Index all images in folders below a root, a folder being a video, or those of the first `videos` of them."""
-    images = readers.keyframes(spark, keyframes_root)
+    images = readers.keyframes(spark, keyframes_root).unionByName(readers.empty_images(spark, keyframes_root))
     images = images if videos is None else first_videos(images, videos)
     return _resumed(spark, images, make, key, output, dimensions(spark, fps_file, index_file, urls_file, metadata_root), checkpoint, **options)
 

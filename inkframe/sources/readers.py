@@ -22,6 +22,20 @@ def keyframes(spark: SparkSession, root: str, content: bool = True) -> DataFrame
     return rows.select("path", F.element_at(parts, -2).alias("video_id"), F.element_at(parts, -1).alias("image_name"), *(["content"] if content else []))
 
 
+def empty_images(spark: SparkSession, root: str) -> DataFrame:
+    """The images of no bytes below root, which Spark's reader leaves out, in the columns of keyframes with null content.
+
+    Takes the list of files that the driver makes for every scan.
+    """
+    found = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", IMAGES).load(root)
+    plain = lambda c: F.regexp_replace(c, "^([a-z0-9]+):/+", "$1:/")
+    listed = spark.createDataFrame([(p,) for p in found.inputFiles()], "path string")
+    listed = listed.select(plain(F.url_decode(F.replace("path", F.lit("+"), F.lit("%2B")))).alias("path")).distinct()
+    parts = F.split("path", "/")
+    left = listed.join(found.select(plain(F.col("path")).alias("path")), "path", "left_anti")
+    return left.select("path", F.element_at(parts, -2).alias("video_id"), F.element_at(parts, -1).alias("image_name"), F.lit(None).cast("binary").alias("content"))
+
+
 def videos(spark: SparkSession, root: str) -> DataFrame:
     return keyframes(spark, root, content=False).select("video_id").distinct()
 

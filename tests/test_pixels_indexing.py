@@ -94,7 +94,7 @@ def test_images_without_text_and_errors(spark, tmp_path):
     root = keyframes(tmp_path / "k", {"V1": {"keyframe_0.jpg": SIGN, "keyframe_75.jpg": b"", "keyframe_150.jpg": b"bad", "keyframe_225.jpg": b"9,9:"}})
     from inkframe.sources import readers
 
-    images = readers.keyframes(spark, root).unionByName(spark.createDataFrame([("gone", "V1", "x.jpg", None)], "path string, video_id string, image_name string, content binary"))
+    images = readers.keyframes(spark, root).unionByName(readers.empty_images(spark, root)).unionByName(spark.createDataFrame([("gone", "V1", "x.jpg", None)], "path string, video_id string, image_name string, content binary"))
     for make in (Reader, BatchReader):
         lines = vision.read_images(images, make, make.__name__, batch_size=2).cache()
         assert sorted((r["path"].rsplit("/")[-1], r["error"]) for r in vision.frame_errors(lines).collect()) == [("gone", vision.EMPTY), ("keyframe_150.jpg", "no image"), ("keyframe_75.jpg", vision.EMPTY)]
