@@ -157,10 +157,13 @@ def _indexed(length: int, gram: int, words: bool):
 
 
 class SuffixIndexFamily:
-    """Levels of sampled suffix arrays, and the matches that scans have found; see the module's docstring."""
+    """Levels of sampled suffix arrays, and the matches that scans have found; see the module's docstring.
 
-    def __init__(self, scratch: Scratch, tag: str):
-        self.scratch, self.tag, self.count = scratch, tag, 0
+    A text is in one batch only. With across, what starts more than once in one text alone is no match.
+    """
+
+    def __init__(self, scratch: Scratch, tag: str, across: bool = False):
+        self.scratch, self.tag, self.count, self.across = scratch, tag, 0, across
         self.levels: list[DataFrame | None] = []
         self.names: list[str] = []
         self.matches: list[DataFrame] = []
@@ -168,21 +171,21 @@ class SuffixIndexFamily:
     @staticmethod
     def array(entries: DataFrame) -> DataFrame:
         """The array of one batch of anchors."""
-        return entries.groupBy("head", "gram").agg(F.count("*").alias("n"), F.min("span").alias("low"), F.max("span").alias("high"))
+        return entries.groupBy("head", "gram").agg(F.count("*").alias("n"), F.min("span").alias("low"), F.max("span").alias("high"), (F.min("th") < F.max("th")).alias("texts"))
 
     @staticmethod
     def merged(*arrays: DataFrame) -> DataFrame:
         out = arrays[0]
         for a in arrays[1:]:
             out = out.unionByName(a)
-        return out.groupBy("head", "gram").agg(F.sum("n").alias("n"), F.min("low").alias("low"), F.max("high").alias("high"))
+        return out.groupBy("head", "gram").agg(F.sum("n").alias("n"), F.min("low").alias("low"), F.max("high").alias("high"), (F.max("texts") | (F.count("*") > 1)).alias("texts"))
 
     def add(self, entries: DataFrame) -> None:
         """Scan a batch against the levels, then index it: levels of its size are merged into it, from the smallest on."""
         kept = [level for level in self.levels if level is not None]
         new = self.array(entries)
         new = self.scratch.write(new.sortWithinPartitions("head", "gram"), f"{self.tag}-array-{self.count}")
-        found = new.where("n > 1").select("head", "gram", (F.col("low") != F.col("high")).alias("mixed"))
+        found = new.where("texts" if self.across else "n > 1").select("head", "gram", (F.col("low") != F.col("high")).alias("mixed"))
         for level in kept:
             old = level.select("head", "gram", F.col("low").alias("l"), F.col("high").alias("h"))
             both = new.join(old, ["head", "gram"])
@@ -299,28 +302,37 @@ def _keyed(rows: DataFrame, scratch: Scratch) -> tuple[Column, DataFrame]:
         salt += 1
 
 
-def marks_of(texts: DataFrame, length: int, gram: int, words: bool, batches: int, scratch: Scratch) -> DataFrame:
-    """th, a, b: stretches of texts (th, text), equal texts once, that strings of `length` elements cover which also start elsewhere."""
+def marks_of(texts: DataFrame, length: int, gram: int, words: bool, across: bool, batches: int, scratch: Scratch) -> DataFrame:
+    """th, marks: stretches of texts (th, text), equal texts once, that strings of `length` elements cover which also start
+    elsewhere, with across in another text."""
     tag = "words" if words else "bytes"
     kind = "th long, pos long, l0 short, l1 short, gram long, span long, head int"
     entries = scratch.write(texts.mapInArrow(_indexed(length, gram, words), kind), f"{tag}-entries")
     # the same text may have been indexed by several tasks
-    family = SuffixIndexFamily(scratch, tag)
+    family = SuffixIndexFamily(scratch, tag, across)
     for b in range(batches):
         family.add(entries.where(F.pmod("th", F.lit(batches)) == b))
     found = scratch.write(entries.join(family.repeated(), ["head", "gram"]).drop("head"), f"{tag}-found")
     scratch.drop(f"{tag}-entries")
     family.drop()
 
-    kinds = found.where("mixed").groupBy("gram", "span").agg(F.count("*").alias("n"), F.min(F.struct("th", "pos", "l0", "l1")).alias("spot"))
-    kinds = scratch.write(kinds, f"{tag}-kinds")
-    whole = found.where("not mixed").select("th", "pos", "l0", "l1").unionByName(found.where("mixed").join(kinds.where("n > 1").select("gram", "span"), ["gram", "span"], "left_semi").select("th", "pos", "l0", "l1"))
+    spot = F.struct("th", "pos", "l0", "l1")
+    kinds = found.where("mixed").groupBy("gram", "span").agg(F.count("*").alias("n"), F.min(spot).alias("spot"), F.max(spot).alias("last"))
+    kinds = scratch.write(kinds.withColumn("recurs", F.col("spot.th") < F.col("last.th") if across else F.col("n") > 1), f"{tag}-kinds")
+    whole = found.where("not mixed").select("th", "pos", "l0", "l1").unionByName(found.where("mixed").join(kinds.where("recurs").select("gram", "span"), ["gram", "span"], "left_semi").select("th", "pos", "l0", "l1"))
     sure = whole.select("th", (F.col("pos") - F.col("l0")).alias("a"), (F.col("pos") - F.col("l1") + length).alias("b"))
 
-    spots = kinds.select("spot.*", "n").groupBy("th").agg(F.collect_list(F.struct("pos", "l0", "l1", "n")).alias("spots"))
+    if across:
+        # kinds of one text at all their places, the others in two texts
+        alone = found.where("mixed").join(kinds.where("not recurs").select("gram", "span"), ["gram", "span"], "left_semi").select("th", "pos", "l0", "l1", F.lit(1).alias("n"))
+        spots = alone.unionByName(kinds.where("recurs").select(F.explode(F.array("spot", "last")).alias("s")).select("s.*", F.lit(2).alias("n")))
+    else:
+        spots = kinds.select("spot.*", F.least("n", F.lit(2)).cast("int").alias("n"))
+    spots = spots.groupBy("th").agg(F.collect_list(F.struct("pos", "l0", "l1", "n")).alias("spots"))
     windows = texts.join(spots.hint("shuffle_hash"), "th").mapInArrow(_windows(length, gram, words), "h long, h2 long, th long, i long, open boolean")
     windows = scratch.write(windows, f"{tag}-windows")
-    twice = windows.groupBy("h", "h2").agg(F.min(F.struct("th", "i")).alias("x"), F.max(F.struct("th", "i")).alias("y")).where("x <> y").select("h", "h2")
+    place = F.col("th") if across else F.struct("th", "i")
+    twice = windows.groupBy("h", "h2").agg(F.min(place).alias("x"), F.max(place).alias("y")).where("x <> y").select("h", "h2")
     some = windows.where("open").join(twice, ["h", "h2"], "left_semi").select("th", F.col("i").alias("a"), (F.col("i") + length).alias("b"))
     return scratch.write(sure.unionByName(some).groupBy("th").agg(F.collect_list(F.struct("a", "b")).alias("marks")), f"{tag}-marks")
 
@@ -330,7 +342,7 @@ def repeated_strings(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, ba
 
     Removed are the bytes that a string of `length` bytes covers which also starts elsewhere in this or another
     text; strings do not cross texts. Null texts are empty. Texts shorter than `length` lose nothing. passage_words
-    counts the words (runs of non-white-space) that a string of `passage` words covers which also starts elsewhere; it removes nothing.
+    counts the words (runs of non-white-space) that a string of `passage` words covers which also is in another row; it removes nothing.
     Null and repeated doc_ids pass through, a row each; rows with equal texts are copies of each other. An empty table gives an
     empty result. Other columns are ignored. Spans are offsets into UTF-8 bytes. Texts of any length are taken whole, in segments
     of bounded size. See the module's docstring for what rests on hashes.
@@ -345,8 +357,8 @@ def repeated_strings(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, ba
     key, copies = _keyed(long_rows, scratch)
     long_rows = long_rows.withColumn("th", key)
     texts = long_rows.select("th", "text")
-    marks = marks_of(texts, length, gram, False, batches, scratch)
-    passages = marks_of(texts, passage, passage_gram, True, batches, scratch).withColumnRenamed("marks", "passages")
+    marks = marks_of(texts, length, gram, False, False, batches, scratch)
+    passages = marks_of(texts, passage, passage_gram, True, True, batches, scratch).withColumnRenamed("marks", "passages")
     told = scratch.write(marks.join(passages, "th", "full_outer").join(copies, "th", "full_outer"), "told")
     scratch.drop(*(f"{t}-{n}" for t in ("bytes", "words") for n in ("found", "windows", "kinds", "marks")))
     out = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, spans array<long>, passage_words long"

@@ -235,12 +235,12 @@ def brute_repeats(rows, length):
 def brute_passages(rows, words):
     bags = [(t or "").encode().split() for _, t in rows]
     seen = {}
-    for w in bags:
+    for k, w in enumerate(bags):
         for i in range(len(w) - words + 1):
-            seen[tuple(w[i : i + words])] = seen.get(tuple(w[i : i + words]), 0) + 1
+            seen.setdefault(tuple(w[i : i + words]), set()).add(k)
     out = []
     for (d, _), w in zip(rows, bags, strict=True):
-        out.append((d, len({j for i in range(len(w) - words + 1) if seen[tuple(w[i : i + words])] > 1 for j in range(i, i + words)})))
+        out.append((d, len({j for i in range(len(w) - words + 1) if len(seen[tuple(w[i : i + words])]) > 1 for j in range(i, i + words)})))
     return sorted(out, key=str)
 
 
@@ -274,6 +274,7 @@ def test_repeated_strings(spark):
     passage = [" ".join(rng.choice("abcdefgh") for _ in range(n)) for n in (9, 12, 20)]
     rows += [(60 + i, " ".join([rng.choice("xyz") * i, rng.choice(passage), rng.choice("xyz") * i, rng.choice(passage)])) for i in range(25)]
     rows += [(90, "p q r s t u v w x"), (91, "p q r s t u v w x"), (92, " ".join("klmno" * 6))]
+    rows += [(95 + i, " ".join(["efgh"[i] * 3, *("klmno" * 4), "abc"[i % 3], *passage[1].split()[:11], *("klmno" * 3)])) for i in range(4)]
     got = repeated_strings(docs_of(spark, rows), 40, 24, 4, 9, 4).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "passage_words").collect()
     assert sorted((tuple(r)[:5] for r in got), key=str) == brute_repeats(rows, 40)
     assert sorted(((r.doc_id, r.passage_words) for r in got), key=str) == brute_passages(rows, 9)
