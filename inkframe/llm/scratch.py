@@ -37,6 +37,12 @@ def shared_dir(spark: SparkSession) -> str:
     return found.rstrip("/") if "://" in found else "file://" + found.rstrip("/")
 
 
+def drop_all(spark: SparkSession) -> None:
+    """Delete the tables of all runs in the shared folder; to be called when no result of theirs will be read again."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/inkframe")
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
 class Scratch:
     """The tables of one run of one operator, each in a folder of its own."""
 

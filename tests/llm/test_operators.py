@@ -603,3 +603,47 @@ def test_pipeline_stages(spark, tmp_path):
     assert seen["near_duplicates"] == [*range(60), 102]
     assert seen["leaks"] == [*range(60)]
     assert set(seen["mixing"]) == set(range(60)) and len(seen["tokens"]) == len(seen["mixing"])
+
+
+@pytest.mark.parametrize("kind", ["none", "odd"])
+def test_pipeline_of_odd_tables(spark, tmp_path, kind):
+    """No documents, or null and repeated ids, null and empty texts, null sources; an empty benchmark."""
+    import corpus_pipeline as cp
+
+    rng = random.Random(11)
+    a, b, c, d = (" ".join(rng.choice(WORDS) + rng.choice(["ing", "the", "er"]) for _ in range(40)) for _ in range(4))
+    rows = [(None, a), (None, a), (None, b), (5, c), (5, c), (5, d), (6, None), (7, ""), (8, c)] if kind == "odd" else []
+    at = str(tmp_path)
+    spark.createDataFrame([(i, t, "en", None if i == 8 else "s", 1) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long").coalesce(1).write.parquet(f"{at}/documents.parquet")
+    spark.createDataFrame([], "item_id long, text string").write.parquet(f"{at}/benchmark.parquet")
+    docs, seen = spark.read.parquet(f"{at}/documents.parquet"), {}
+    for name, stage in cp.STAGES[:-1]:
+        stage(spark, docs, at).write.parquet(f"{at}/out-{name}")
+        docs = spark.read.parquet(f"{at}/out-{name}")
+        seen[name] = sorted({(r["doc_id"], r["text"]) for r in docs.collect()}, key=str)
+    want = sorted({r for r in rows if r[1]}, key=str)
+    assert seen["language"] == want
+    assert seen["near_duplicates"] == seen["leaks"] == seen["mixing"] == [r for r in want if r[0] != 8]
+    tokens = cp.tokens(spark, docs, at).collect()
+    assert len(tokens) == docs.count() and all(r["n_tokens"] > 1 for r in tokens)
+
+
+def test_long_texts(spark):
+    """Texts of some MB, alone in a slice and longer than a segment, through the operators that cut them."""
+    from tokenizers import Tokenizer
+
+    from inkframe.llm.suffix_dedup import repeated_strings
+    from inkframe.llm.token_counts import token_counts
+    from inkframe.llm.token_store import token_store
+
+    rng = random.Random(12)
+    words = ["".join(rng.choice("abcdefghij") for _ in range(rng.randint(1, 9))) for _ in range(4000)]
+    long_one = " ".join(rng.choice(words) for _ in range(350_000))
+    part = long_one[700_000:700_700]
+    docs = docs_of(spark, [(1, long_one), (2, part)])
+    got = {r["doc_id"]: r for r in repeated_strings(docs, batches=1).collect()}
+    assert got[1]["n_removed"] == got[2]["n_removed"] == len(part) and got[1]["n_spans"] == 1 and got[1]["spans"] == [700_000, 700_700]
+    for name, made in (("word_bpe_49k.json", token_counts), ("byte_bpe_50k.json", token_store)):
+        path = public_tokenizers.path(name)
+        n = len(Tokenizer.from_file(path).encode(long_one, add_special_tokens=False).ids)
+        assert made(docs, path).where("doc_id = 1").first()["n_tokens"] == n + (made is token_store)
