@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import functools
 import re
 import unicodedata
+from collections import Counter
 from difflib import SequenceMatcher
 
 import pandas as pd
@@ -139,6 +141,25 @@ def similarity(a: str | None, b: str | None) -> float:
     return 1.0 if a == b else SequenceMatcher(None, a, b).ratio()
 
 
+@functools.lru_cache(maxsize=1 << 14)
+def _letters_of(text: str) -> tuple[str, Counter]:
+    folded = text.strip().lower()
+    return folded, Counter(folded)
+
+
+def similar(a: str | None, b: str | None, threshold: float) -> bool:
+    """similarity(a, b) >= threshold. Lengths, and then letters in any order, bound the ratio, so that few texts are compared."""
+    if not a or not b:
+        return threshold <= 0.0
+    (a, in_a), (b, in_b) = _letters_of(a), _letters_of(b)
+    if a == b:
+        return threshold <= 1.0
+    total = len(a) + len(b)
+    if 2.0 * min(len(a), len(b)) / total < threshold or 2.0 * sum(min(n, in_b[c]) for c, n in in_a.items()) / total < threshold:
+        return False
+    return SequenceMatcher(None, a, b).ratio() >= threshold
+
+
 @pandas_udf(T.DoubleType())
 def text_similarity(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([similarity(x, y) for x, y in zip(a, b, strict=True)], dtype="float64")

@@ -17,7 +17,7 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import DataFrame, Window, functions as F
 
-from ..functions.text import similarity
+from ..functions.text import similar
 
 BOX = ["bbox_ymin", "bbox_xmin", "bbox_ymax", "bbox_xmax"]
 CARRIED = ["frame_id", "frame_idx", "timestamp", "timestamp_ms", "timestamp_str", "youtube_url", "text", "text_unsigned", *BOX, "polygon_json"]
@@ -38,7 +38,7 @@ def near_boxes(a: dict, b: dict, least_iou: float = 0.25, most_distance: float =
 def same_track(a: dict, b: dict, threshold: float) -> bool:
     if not near_boxes(a, b):
         return False
-    return similarity(a["text_unsigned"], b["text_unsigned"]) >= threshold or similarity(a["text"], b["text"]) >= threshold
+    return similar(a["text_unsigned"], b["text_unsigned"], threshold) or similar(a["text"], b["text"], threshold)
 
 
 class Tracker:

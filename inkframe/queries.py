@@ -564,6 +564,8 @@ def stream_tracks(spark, t):
     stream = stream.withColumn("at", F.col("ts").cast("timestamp"))
     name = f"stream_{uuid.uuid4().hex}"
     writer = session_tracks(stream, ["user_id", "event_type"], "at", "1 day").writeStream.format("memory").queryName(name).outputMode("complete").trigger(availableNow=True)
-    shared = spark.conf.get("spark.checkpoint.dir", None)
+    shared = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
+    if not shared and not spark.sparkContext.master.startswith("local["):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     writer.option("checkpointLocation", f"{shared.rstrip('/')}/{name}" if shared else tempfile.mkdtemp()).start().awaitTermination()
     return spark.table(name).select("user_id", "event_type", F.col("first_at").cast("timestamp_ntz").alias("first_at"), F.col("last_at").cast("timestamp_ntz").alias("last_at"), "occurrences")

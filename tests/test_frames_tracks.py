@@ -104,3 +104,54 @@ def test_blur(spark):
     flat, edge = bytes(16), bytes([0, 0, 255, 255] * 4)
     rows = spark.createDataFrame([(flat, 4, 4), (edge, 4, 4), (None, 0, 0)], "p binary, w int, h int").select(vision.blur_score("p", "w", "h").alias("b")).collect()
     assert rows[0]["b"] == 0 and rows[1]["b"] > 40 and rows[2]["b"] == 0
+
+
+def test_similar_is_the_ratio():
+    import random
+
+    from inkframe.functions.text import similar, similarity
+
+    rng = random.Random(3)
+    texts = [None, "", " ", "Phở", " phở "] + ["".join(rng.choice("abcdé ") for _ in range(rng.randrange(1, 12))) for _ in range(60)]
+    for a in texts:
+        for b in texts:
+            for t in (0.0, 0.5, 0.8, 1.0):
+                assert similar(a, b, t) == (similarity(a, b) >= t), (a, b, t)
+
+
+def naive_tracks(rows, threshold, max_gap):
+    """The sequential rule over a whole video, without sessions: (start, end, count, best confidence) of each track."""
+    from inkframe.functions.text import similarity
+
+    tracks, done = [], []
+    for frame in sorted({r["frame_idx"] for r in rows}):
+        done += [t for t in tracks if frame - t["end"] > max_gap]
+        tracks = [t for t in tracks if frame - t["end"] <= max_gap]
+        joined = []
+        for d in sorted((r for r in rows if r["frame_idx"] == frame), key=lambda r: r["ord"]):
+            fit = [t for t in tracks if not any(t is j for j in joined) and R.near_boxes(t["last"], d) and max(similarity(t["last"]["text_unsigned"], d["text_unsigned"]), similarity(t["last"]["text"], d["text"])) >= threshold]
+            if fit:
+                joined.append(fit[0])
+                fit[0].update(last=d, end=frame, n=fit[0]["n"] + 1, best=max(fit[0]["best"], d["confidence"]))
+            else:
+                tracks.append({"last": d, "start": frame, "end": frame, "n": 1, "best": d["confidence"]})
+    return sorted((t["start"], t["end"], t["n"], round(t["best"], 4)) for t in done + tracks)
+
+
+def test_greedy_tracks_of_a_table(spark):
+    """All conversations as videos, row by row against the rule as it reads."""
+    import os
+
+    from inkframe import queries
+
+    sf = "/root/testdata/sf0.001"
+    if not os.path.isdir(sf):
+        pytest.skip("no tables")
+    rows = queries._detections(lambda name: spark.read.parquet(f"{sf}/{name}.parquet"))
+    videos = {}
+    for r in rows.collect():
+        videos.setdefault(r["video_id"], []).append(r.asDict())
+    got = {}
+    for r in R.greedy_tracks(rows, 0.5, 120).collect():
+        got.setdefault(r["video_id"], []).append((r["frame_start"], r["frame_end"], r["occurrences"], r["confidence"]))
+    assert {v: sorted(t) for v, t in got.items()} == {v: naive_tracks(d, 0.5, 120) for v, d in videos.items()}
