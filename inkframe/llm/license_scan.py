@@ -117,34 +117,34 @@ def scan(files: DataFrame, templates: list[tuple[str, str]], threshold: float, s
         return met.withColumn("score", F.round(F.col("dot") / F.col("norm"), 6)).where(F.col("score") >= threshold)
 
     unit = F.concat(F.split("text", "\n"), F.when(F.col("is_file"), F.array("text")).otherwise(F.array().cast("array<string>")))
-    hits = files.where(F.lower("text").rlike(any_of))
+    # few files, read from here on: the pattern is tried once on each text
+    hits = scratch.write(files.where(F.lower("text").rlike(any_of)).dropDuplicates(["row"]), "hits")
     lines = hits.select("row", F.posexplode(unit).alias("at", "line")).where(F.lower("line").rlike(any_of))
     by_line = scored(lines.select("row", "at", F.explode(words(F.col("line"))).alias("term")), "at").select("row", "licence", "score")
 
     # a window may reach past the end of the file, where there are words without weight
     longest = max(map(len, bags))
     padded = F.concat(words(F.col("text")), F.array_repeat(F.lit(""), longest))
-    listed = scratch.write(hits.dropDuplicates(["row"]).select("row", F.posexplode(padded).alias("at", "term")), "words")
-    place = {w: i for i, w in enumerate(terms)}
-    numbered = F.broadcast(spark.createDataFrame([(w, i, x * x, w in telling) for (w, i), x in zip(place.items(), idf.values(), strict=True)] + [("", -1, 0.0, False)], "term string, id int, square double, tells boolean"))
-    ids = listed.join(numbered, "term", "left").select("row", "at", "id", F.coalesce("square", F.lit(unknown * unknown)).alias("square"), F.coalesce("tells", F.lit(False)).alias("tells"))
-    # a window that matches has a telling term, so that only stretches around these are summed
+    numbered = F.broadcast(spark.createDataFrame([(w, x * x, w in telling) for w, x in idf.items()] + [("", 0.0, False)], "term string, square double, tells boolean"))
+    listed = hits.select("row", F.posexplode(padded).alias("at", "term")).join(numbered, "term", "left")
+    # a window that matches has a telling term, so that only stretches around these are looked at
     along = Window.partitionBy("row").orderBy("at")
-    ids = ids.withColumn("near", F.max("tells").over(along.rowsBetween(-longest, longest))).where("near")
-    ids = ids.withColumn("stretch", F.col("at") - F.row_number().over(along))
-    over = Window.partitionBy("row", "stretch").orderBy("at")
-    so_far = over.rowsBetween(Window.unboundedPreceding, -1)
-    gain = [F.coalesce(F.element_at(F.expr(f"cast(split('{','.join(repr(v.get(w, 0.0) * idf[w] / size[t]) for w in terms)}', ',') as array<double>)"), F.when(F.col("id") >= 0, F.col("id") + 1)), F.lit(0.0)) for t, v in enumerate(weight)]
-    sums = ids.select("row", "stretch", "at", "id", F.sum("square").over(so_far).alias("q"), *[F.sum(g).over(so_far).alias(f"g{t}") for t, g in enumerate(gain)])
-    found = []
-    for t, bag in enumerate(bags):
-        dot = F.lead(f"g{t}", len(bag)).over(over) - F.coalesce(f"g{t}", F.lit(0.0))
-        square = F.lead("q", len(bag)).over(over) - F.coalesce("q", F.lit(0.0))
-        found.append(F.when(dot >= 0.999 * threshold * F.sqrt(square), F.lit(t)))
-    near = sums.select("row", F.col("at").alias("start"), "id", F.array_compact(F.array(*found)).alias("found")).where("coalesce(id, 0) >= 0 and size(found) > 0")
-    near = near.select("row", "start", F.explode("found").alias("template")).join(needed.select("template", "n_words"), "template")
+    listed = listed.withColumn("near", F.max(F.coalesce("tells", F.lit(False))).over(along.rowsBetween(-longest, longest))).where("near")
+    listed = listed.select("row", (F.col("at") - F.row_number().over(along)).alias("stretch"), "at", "term", F.coalesce("square", F.lit(unknown * unknown)).alias("square"))
+    listed = scratch.write(listed, "words")
+    # and most of its template's words, so that few templates are left for a stretch
+    held = listed.select("row", "stretch", "term").distinct().join(vectors, "term").groupBy("row", "stretch", "template").agg(F.count("*").alias("held"), F.count_if("names").alias("names"))
+    tried = held.join(needed, "template").where((F.col("names") == F.col("n_names")) & (F.col("held") >= HELD * F.col("n_terms"))).select("row", "stretch", "template", "n_words")
+    gains = F.broadcast(spark.createDataFrame([(t, w, x * idf[w] / size[t]) for t, v in enumerate(weight) for w, x in v.items()], "template int, term string, gain double"))
+    each = listed.join(tried, ["row", "stretch"]).join(gains, ["template", "term"], "left")
+    so_far = Window.partitionBy("row", "stretch", "template").orderBy("at").rowsBetween(Window.unboundedPreceding, -1)
+    total = lambda c: F.coalesce(F.sum(c).over(so_far), F.lit(0.0))
+    sums = each.select("row", "stretch", "template", "at", "term", "n_words", total("square").alias("q"), total(F.coalesce("gain", F.lit(0.0))).alias("g"))
+    ends = sums.select("row", "stretch", "template", (F.col("at") - F.col("n_words")).alias("at"), F.col("q").alias("q_end"), F.col("g").alias("g_end"))
+    near = sums.where("term <> ''").join(ends, ["row", "stretch", "template", "at"])
+    near = near.where(F.col("g_end") - F.col("g") >= 0.999 * threshold * F.sqrt(F.col("q_end") - F.col("q"))).select("row", F.col("at").alias("start"), "template", "n_words")
     spots = near.select("row", "start", "template", F.explode(F.sequence(F.col("start"), F.col("start") + F.col("n_words") - 1)).alias("at"))
-    inside = spots.join(listed.where("term <> ''"), ["row", "at"]).select("row", "start", "template", "term")
+    inside = spots.join(listed.where("term <> ''").select("row", "at", "term"), ["row", "at"]).select("row", "start", "template", "term")
     by_window = scored(inside, "start", "template").where(F.col("held") >= HELD * F.col("n_terms")).select("row", "licence", "score")
     scored_units = by_line.unionByName(by_window)
     best = scored_units.groupBy("row").agg(F.min(F.struct((F.col("licence") == WEAKEST).alias("last"), (-F.col("score")).alias("s"), "licence")).alias("b"))
