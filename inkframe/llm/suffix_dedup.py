@@ -165,8 +165,8 @@ class SuffixIndexFamily:
     def __init__(self, scratch: Scratch, tag: str, across: bool = False):
         self.scratch, self.tag, self.count, self.across = scratch, tag, 0, across
         self.levels: list[DataFrame | None] = []
-        self.names: list[str] = []
         self.matches: list[DataFrame] = []
+        self.tables: list[str] = []
 
     @staticmethod
     def array(entries: DataFrame) -> DataFrame:
@@ -180,34 +180,34 @@ class SuffixIndexFamily:
             out = out.unionByName(a)
         return out.groupBy("head", "gram").agg(F.sum("n").alias("n"), F.min("low").alias("low"), F.max("high").alias("high"), (F.max("texts") | (F.count("*") > 1)).alias("texts"))
 
-    def add(self, entries: DataFrame) -> None:
-        """Scan a batch against the levels, then index it: levels of its size are merged into it, from the smallest on."""
+    def _written(self, array: DataFrame, name: str) -> DataFrame:
+        self.tables.append(f"{self.tag}-{name}")
+        return self.scratch.write(array.sortWithinPartitions("head", "gram"), self.tables[-1])
+
+    def add(self, entries: DataFrame, last: bool = False) -> None:
+        """Scan a batch against the levels, then index it: levels of its size are merged into it, from the smallest on.
+
+        The last batch of a run whose index is not kept need only be scanned.
+        """
         kept = [level for level in self.levels if level is not None]
-        new = self.array(entries)
-        new = self.scratch.write(new.sortWithinPartitions("head", "gram"), f"{self.tag}-array-{self.count}")
+        new = self._written(self.array(entries), f"array-{self.count}")
         found = new.where("texts" if self.across else "n > 1").select("head", "gram", (F.col("low") != F.col("high")).alias("mixed"))
         for level in kept:
             old = level.select("head", "gram", F.col("low").alias("l"), F.col("high").alias("h"))
             both = new.join(old, ["head", "gram"])
             found = found.unionByName(both.select("head", "gram", (F.least("low", "l") != F.greatest("high", "h")).alias("mixed")))
-        self.matches.append(self.scratch.write(found, f"{self.tag}-matches-{self.count}"))
+        self.matches.append(found)
+        self.count += 1
+        if last:
+            return
         gone, level = [new], 0
-        names = [f"{self.tag}-array-{self.count}"]
         while level < len(self.levels) and self.levels[level] is not None:
             gone.append(self.levels[level])
-            names.append(self.names[level])
             self.levels[level] = None
             level += 1
         if level == len(self.levels):
             self.levels.append(None)
-            self.names.append("")
-        if len(gone) == 1:
-            self.names[level], self.levels[level] = names[0], new
-        else:
-            self.names[level] = f"{self.tag}-level-{level}-{self.count}"
-            self.levels[level] = self.scratch.write(self.merged(*gone).sortWithinPartitions("head", "gram"), self.names[level])
-            self.scratch.drop(*names)
-        self.count += 1
+        self.levels[level] = new if len(gone) == 1 else self._written(self.merged(*gone), f"level-{level}-{self.count}")
 
     def repeated(self) -> DataFrame:
         """head, gram and mixed (occurrences have different spans) of the anchors that start more than once."""
@@ -217,7 +217,8 @@ class SuffixIndexFamily:
         return run.groupBy("head", "gram").agg(F.max("mixed").alias("mixed"))
 
     def drop(self) -> None:
-        self.scratch.drop(*(n for n, level in zip(self.names, self.levels, strict=True) if level is not None), *(f"{self.tag}-matches-{i}" for i in range(self.count)))
+        """Delete the arrays, also those that merged ones stand for, as matches read them until then."""
+        self.scratch.drop(*self.tables)
 
 
 def _windows(length: int, gram: int, words: bool):
@@ -311,7 +312,7 @@ def marks_of(texts: DataFrame, length: int, gram: int, words: bool, across: bool
     # the same text may have been indexed by several tasks
     family = SuffixIndexFamily(scratch, tag, across)
     for b in range(batches):
-        family.add(entries.where(F.pmod("th", F.lit(batches)) == b))
+        family.add(entries.where(F.pmod("th", F.lit(batches)) == b), last=b == batches - 1)
     found = scratch.write(entries.join(family.repeated(), ["head", "gram"]).drop("head"), f"{tag}-found")
     scratch.drop(f"{tag}-entries")
     family.drop()
