@@ -117,20 +117,21 @@ def scan(files: DataFrame, templates: list[tuple[str, str]], threshold: float, s
         return met.withColumn("score", F.round(F.col("dot") / F.col("norm"), 6)).where(F.col("score") >= threshold)
 
     unit = F.concat(F.split("text", "\n"), F.when(F.col("is_file"), F.array("text")).otherwise(F.array().cast("array<string>")))
-    # few files, read from here on: the pattern is tried once on each text
-    hits = scratch.write(files.where(F.lower("text").rlike(any_of)).dropDuplicates(["row"]), "hits")
+    # few files, read from here on: the pattern is tried once on each text, and words are found once.
+    # A window may reach past the end of the file, where there are words without weight
+    longest = max(map(len, bags))
+    padded = F.concat(words(F.col("text")), F.array_repeat(F.lit(""), longest))
+    hits = scratch.write(files.where(F.lower("text").rlike(any_of)).dropDuplicates(["row"]).withColumn("w", padded), "hits")
     lines = hits.select("row", F.posexplode(unit).alias("at", "line")).where(F.lower("line").rlike(any_of))
     by_line = scored(lines.select("row", "at", F.explode(words(F.col("line"))).alias("term")), "at").select("row", "licence", "score")
 
-    # a window may reach past the end of the file, where there are words without weight
-    longest = max(map(len, bags))
-    padded = F.concat(words(F.col("text")), F.array_repeat(F.lit(""), longest))
-    numbered = F.broadcast(spark.createDataFrame([(w, x * x, w in telling) for w, x in idf.items()] + [("", 0.0, False)], "term string, square double, tells boolean"))
-    listed = hits.select("row", F.posexplode(padded).alias("at", "term")).join(numbered, "term", "left")
-    # a window that matches has a telling term, so that only stretches around these are looked at
+    # a window that matches has a telling term, so that only stretches around these leave a file
+    told = F.array_compact(F.transform("w", lambda t, i: F.when(t.isin(sorted(telling)), i)))
+    around = F.array_distinct(F.flatten(F.transform(told, lambda p: F.sequence(F.greatest(p - longest, F.lit(0)), F.least(p + longest, F.size("w") - 1)))))
+    squares = F.broadcast(spark.createDataFrame([(w, x * x) for w, x in idf.items()] + [("", 0.0)], "term string, square double"))
+    listed = hits.select("row", F.explode(F.transform(around, lambda p: F.struct(p.alias("at"), F.element_at("w", p + 1).alias("term")))).alias("x")).select("row", "x.at", "x.term")
     along = Window.partitionBy("row").orderBy("at")
-    listed = listed.withColumn("near", F.max(F.coalesce("tells", F.lit(False))).over(along.rowsBetween(-longest, longest))).where("near")
-    listed = listed.select("row", (F.col("at") - F.row_number().over(along)).alias("stretch"), "at", "term", F.coalesce("square", F.lit(unknown * unknown)).alias("square"))
+    listed = listed.join(squares, "term", "left").select("row", (F.col("at") - F.row_number().over(along)).alias("stretch"), "at", "term", F.coalesce("square", F.lit(unknown * unknown)).alias("square"))
     listed = scratch.write(listed, "words")
     # and most of its template's words, so that few templates are left for a stretch
     held = listed.select("row", "stretch", "term").distinct().join(vectors, "term").groupBy("row", "stretch", "template").agg(F.count("*").alias("held"), F.count_if("names").alias("names"))
