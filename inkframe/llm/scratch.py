@@ -7,6 +7,7 @@ lost executor costs only the tasks that ran on it.
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 
@@ -60,6 +61,11 @@ class Scratch:
         df.write.mode("overwrite").parquet(self.path(table))
         return self.spark.read.schema(df.schema).parquet(self.path(table))
 
+    def release(self) -> None:
+        """Let Spark delete the shuffle files of finished jobs: it does so when the driver has collected what stood for them."""
+        gc.collect()
+        self.spark._jvm.System.gc()
+
     def drop(self, *tables: str) -> None:
         """Delete tables that nothing will read again."""
         jvm = self.spark._jvm

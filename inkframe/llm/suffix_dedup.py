@@ -18,8 +18,8 @@ Marking. If all occurrences of a match have one span, all its windows recur. Oth
 recur do, and one occurrence of each remaining kind is compared with the others window by window.
 Texts that occur twice are repeated as a whole, and only their first occurrence in a task is indexed.
 
-Hashes are of 64 bits and nonlinear: the hash of 2 k elements mixes those of its halves. A match needs equal hashes of GRAM
-elements and of a span or of two kinds of a window, that is 128 bits; texts are equal if their MD5 is.
+Hashes are nonlinear: the hash of 2 k elements mixes those of its halves. A match needs equal 64-bit hashes of GRAM
+elements and of a span, or 96 bits of two hashes of a window; texts are equal if their MD5 is.
 """
 
 from __future__ import annotations
@@ -34,7 +34,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from .hashing import U, chunks, lanes, mix, text_buffers, trimmed, word_hashes
 from .scratch import Scratch
 
-LENGTH, GRAM = 400, 160
+LENGTH, GRAM = 400, 256
 #: A passage has more than 50 words.
 PASSAGE, PASSAGE_GRAM = 51, 16
 BATCHES = 4
@@ -244,7 +244,7 @@ def _windows(length: int, gram: int, words: bool):
                     h, h2 = covering(e.grams(a, b, gram), i[some] - begin, np.full(len(i[some]), length), gram, length)
                     for c in range(0, len(h), 65536):
                         s = slice(c, c + 65536)
-                        yield pa.RecordBatch.from_arrays([pa.array(h[s].view(np.int64)), pa.array(h2[s].view(np.int64)), pa.array(np.full(len(h[s]), th[k])), pa.array(i[some][s]), pa.array(open_[some][s])], ["h", "h2", "th", "i", "open"])
+                        yield pa.RecordBatch.from_arrays([pa.array(h[s].view(np.int64)), pa.array((h2[s] >> U(33)).astype(np.int32)), pa.array(np.full(len(h[s]), th[k])), pa.array(i[some][s]), pa.array(open_[some][s])], ["h", "h2", "th", "i", "open"])
 
     return trimmed(run)
 
@@ -316,6 +316,8 @@ def marks_of(texts: DataFrame, length: int, gram: int, words: bool, across: bool
     found = scratch.write(entries.join(family.repeated(), ["head", "gram"]).drop("head"), f"{tag}-found")
     scratch.drop(f"{tag}-entries")
     family.drop()
+    del entries, family
+    scratch.release()
 
     spot = F.struct("th", "pos", "l0", "l1")
     kinds = found.where("mixed").groupBy("gram", "span").agg(F.count("*").alias("n"), F.min(spot).alias("spot"), F.max(spot).alias("last"))
@@ -330,12 +332,14 @@ def marks_of(texts: DataFrame, length: int, gram: int, words: bool, across: bool
     else:
         spots = kinds.select("spot.*", F.least("n", F.lit(2)).cast("int").alias("n"))
     spots = spots.groupBy("th").agg(F.collect_list(F.struct("pos", "l0", "l1", "n")).alias("spots"))
-    windows = texts.join(spots.hint("shuffle_hash"), "th").mapInArrow(_windows(length, gram, words), "h long, h2 long, th long, i long, open boolean")
+    windows = texts.join(spots.hint("shuffle_hash"), "th").mapInArrow(_windows(length, gram, words), "h long, h2 int, th long, i long, open boolean")
     windows = scratch.write(windows, f"{tag}-windows")
-    place = F.col("th") if across else F.struct("th", "i")
+    place = F.col("th") if across else F.xxhash64("th", "i")
     twice = windows.groupBy("h", "h2").agg(F.min(place).alias("x"), F.max(place).alias("y")).where("x <> y").select("h", "h2")
     some = windows.where("open").join(twice, ["h", "h2"], "left_semi").select("th", F.col("i").alias("a"), (F.col("i") + length).alias("b"))
-    return scratch.write(sure.unionByName(some).groupBy("th").agg(F.collect_list(F.struct("a", "b")).alias("marks")), f"{tag}-marks")
+    marks = scratch.write(sure.unionByName(some).groupBy("th").agg(F.collect_list(F.struct("a", "b")).alias("marks")), f"{tag}-marks")
+    scratch.drop(*(f"{tag}-{n}" for n in ("found", "windows", "kinds")))
+    return marks
 
 
 def repeated_strings(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, batches: int = BATCHES, passage: int = PASSAGE, passage_gram: int = PASSAGE_GRAM) -> DataFrame:
@@ -359,9 +363,11 @@ def repeated_strings(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, ba
     long_rows = long_rows.withColumn("th", key)
     texts = long_rows.select("th", "text")
     marks = marks_of(texts, length, gram, False, False, batches, scratch)
+    scratch.release()
     passages = marks_of(texts, passage, passage_gram, True, True, batches, scratch).withColumnRenamed("marks", "passages")
+    scratch.release()
     told = scratch.write(marks.join(passages, "th", "full_outer").join(copies, "th", "full_outer"), "told")
-    scratch.drop(*(f"{t}-{n}" for t in ("bytes", "words") for n in ("found", "windows", "kinds", "marks")))
+    scratch.drop("bytes-marks", "words-marks")
     out = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, spans array<long>, passage_words long"
     none = F.lit(0).cast("long")
     short = rows.where(F.octet_length("text") < least).select("doc_id", F.octet_length("text").cast("long").alias("n_bytes"), none.alias("n_removed"), none.alias("n_spans"), F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"), F.array().cast("array<long>").alias("spans"), none.alias("passage_words"))
