@@ -142,6 +142,7 @@ def _cut(per_text: int):
 def train_language_model(labelled: DataFrame, most: int = 4000, per_text: int = 3) -> ByteConvNet | None:
     """Fit on at most `most` rows of (doc_id, text, lang), those whose hashed doc_ids are least, and `per_text` windows of
     each, which are cut on the executors. None without labels."""
+    Scratch(labelled.sparkSession, "language")  # executors need the package from here on
     rows = labelled.where("text is not null and lang is not null").select("doc_id", "text", "lang", F.xxhash64("doc_id").alias("h"))
     rank = rows.select("h").orderBy("h").limit(most).agg(F.max("h")).first()[0]
     if rank is None:
