@@ -6,7 +6,7 @@ Sampled suffixes. A window is a string of LENGTH elements. Among the suffixes th
 elements left, each window picks the one whose next GRAM elements hash lowest, its anchor. Equal windows pick alike,
 so an anchor that starts only one suffix of the corpus rules out all windows that picked it. The suffix
 array of a batch of texts is made of the suffixes at anchors, about one in (LENGTH - GRAM) / 2 elements. It is ordered
-by their first bytes and then by the hash of GRAM elements, and has a row for each of these: n, how often it starts,
+by their first two bytes (by part of the hash of the first word) and then by the hash of GRAM elements, and has a row for each of these: n, how often it starts,
 and the least and greatest span, the hash of all that the windows of an anchor cover.
 
 The family. Level i is empty or indexes 2**i batches. A new batch's array is scanned against the levels: what starts
@@ -18,8 +18,8 @@ Marking. If all occurrences of a match have one span, all its windows recur. Oth
 recur do, and one occurrence of each remaining kind is compared with the others window by window.
 Texts that occur twice are repeated as a whole, and only their first occurrence in a task is indexed.
 
-Hashes are nonlinear: the hash of 2 k elements mixes those of its halves. A match needs equal 64-bit hashes of GRAM
-elements and of a span, or 96 bits of two hashes of a window; texts are equal if their MD5 is.
+Hashes are nonlinear: the hash of 2 k elements mixes those of its halves. A match needs equal keys of GRAM elements (48 bits of
+a hash) and a 64-bit hash of a span, or 95 bits of two hashes of a window; texts are equal if their MD5 is.
 """
 
 from __future__ import annotations
@@ -149,9 +149,10 @@ def _indexed(length: int, gram: int, words: bool):
                 if len(fresh) < len(th):
                     part, th = part.take(pa.array(fresh)), th[fresh]
                 k, pos, l0, l1, g, span, head = anchors(Elements(*text_buffers(part.column("text")), words), length, gram)
-                # the order of unsigned bytes as that of a signed number
-                cols = [th[k], pos, l0.astype(np.int16), l1.astype(np.int16), g.view(np.int64), span.view(np.int64), ((head >> U(32)).astype(np.int64) - (1 << 31)).astype(np.int32)]
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols], ["th", "pos", "l0", "l1", "gram", "span", "head"])
+                # the first two bytes, in the order of a signed number, and 48 bits of the hash: what these confuse, spans tell apart
+                key = ((head >> U(48)) << U(48) | g >> U(16)) ^ U(1 << 63)
+                cols = [th[k], pos, l0.astype(np.int16), l1.astype(np.int16), key.view(np.int64), span.view(np.int64)]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols], ["th", "pos", "l0", "l1", "gram", "span"])
 
     return trimmed(run)
 
@@ -171,18 +172,18 @@ class SuffixIndexFamily:
     @staticmethod
     def array(entries: DataFrame) -> DataFrame:
         """The array of one batch of anchors."""
-        return entries.groupBy("head", "gram").agg(F.count("*").alias("n"), F.min("span").alias("low"), F.max("span").alias("high"), (F.min("th") < F.max("th")).alias("texts"))
+        return entries.groupBy("gram").agg(F.count("*").alias("n"), F.min("span").alias("low"), F.max("span").alias("high"), (F.min("th") < F.max("th")).alias("texts"))
 
     @staticmethod
     def merged(*arrays: DataFrame) -> DataFrame:
         out = arrays[0]
         for a in arrays[1:]:
             out = out.unionByName(a)
-        return out.groupBy("head", "gram").agg(F.sum("n").alias("n"), F.min("low").alias("low"), F.max("high").alias("high"), (F.max("texts") | (F.count("*") > 1)).alias("texts"))
+        return out.groupBy("gram").agg(F.sum("n").alias("n"), F.min("low").alias("low"), F.max("high").alias("high"), (F.max("texts") | (F.count("*") > 1)).alias("texts"))
 
     def _written(self, array: DataFrame, name: str) -> DataFrame:
         self.tables.append(f"{self.tag}-{name}")
-        return self.scratch.write(array.sortWithinPartitions("head", "gram"), self.tables[-1])
+        return self.scratch.write(array.sortWithinPartitions("gram"), self.tables[-1])
 
     def add(self, entries: DataFrame, last: bool = False) -> None:
         """Scan a batch against the levels, then index it: levels of its size are merged into it, from the smallest on.
@@ -191,11 +192,11 @@ class SuffixIndexFamily:
         """
         kept = [level for level in self.levels if level is not None]
         new = self._written(self.array(entries), f"array-{self.count}")
-        found = new.where("texts" if self.across else "n > 1").select("head", "gram", (F.col("low") != F.col("high")).alias("mixed"))
+        found = new.where("texts" if self.across else "n > 1").select("gram", (F.col("low") != F.col("high")).alias("mixed"))
         for level in kept:
-            old = level.select("head", "gram", F.col("low").alias("l"), F.col("high").alias("h"))
-            both = new.join(old, ["head", "gram"])
-            found = found.unionByName(both.select("head", "gram", (F.least("low", "l") != F.greatest("high", "h")).alias("mixed")))
+            old = level.select("gram", F.col("low").alias("l"), F.col("high").alias("h"))
+            both = new.join(old, "gram")
+            found = found.unionByName(both.select("gram", (F.least("low", "l") != F.greatest("high", "h")).alias("mixed")))
         self.matches.append(found)
         self.count += 1
         if last:
@@ -210,11 +211,11 @@ class SuffixIndexFamily:
         self.levels[level] = new if len(gone) == 1 else self._written(self.merged(*gone), f"level-{level}-{self.count}")
 
     def repeated(self) -> DataFrame:
-        """head, gram and mixed (occurrences have different spans) of the anchors that start more than once."""
+        """gram and mixed (occurrences have different spans) of the anchors that start more than once."""
         run = self.matches[0]
         for m in self.matches[1:]:
             run = run.unionByName(m)
-        return run.groupBy("head", "gram").agg(F.max("mixed").alias("mixed"))
+        return run.groupBy("gram").agg(F.max("mixed").alias("mixed"))
 
     def drop(self) -> None:
         """Delete the arrays, also those that merged ones stand for, as matches read them until then."""
@@ -249,14 +250,21 @@ def _windows(length: int, gram: int, words: bool):
     return trimmed(run)
 
 
-def _united(marks: list[dict] | None) -> list[list[int]]:
-    spans: list[list[int]] = []
-    for a, b in sorted((m["a"], m["b"]) for m in marks or ()):
-        if spans and a <= spans[-1][1]:
-            spans[-1][1] = max(b, spans[-1][1])
-        else:
-            spans.append([a, b])
-    return spans
+def _listed(col: pa.Array) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Starts and ends of the marks of each row of a column of lists; null is none."""
+    at, known = col.offsets.to_numpy(), col.is_valid().to_pylist()
+    a, b = (col.values.field(c).to_numpy(zero_copy_only=False) for c in ("a", "b"))
+    return [(a[i:j], b[i:j]) if k else (a[:0], b[:0]) for i, j, k in zip(at[:-1].tolist(), at[1:].tolist(), known, strict=True)]
+
+
+def _united(a: np.ndarray, b: np.ndarray) -> list[list[int]]:
+    """The maximal stretches that marks cover."""
+    if not len(a):
+        return []
+    order = np.argsort(a, kind="stable")
+    a, end = a[order], np.maximum.accumulate(b[order])
+    first = np.flatnonzero(np.r_[True, a[1:] > end[:-1]])
+    return [[x, y] for x, y in zip(a[first].tolist(), end[np.r_[first[1:] - 1, len(a) - 1]].tolist(), strict=True)]
 
 
 _OUT = {"doc_id": pa.int64(), "n_bytes": pa.int64(), "n_removed": pa.int64(), "n_spans": pa.int64(), "kept_sha256": pa.string(), "spans": pa.list_(pa.int64()), "passage_words": pa.int64()}
@@ -267,18 +275,18 @@ def _removed(length: int, passage: int):
         for batch in batches:
             for part in chunks(batch, "text"):
                 data, at = text_buffers(part.column("text"))
-                copies, marks, passages = (part.column(c).to_pylist() for c in ("copies", "marks", "passages"))
+                copies, marks, passages = part.column("copies").to_pylist(), _listed(part.column("marks")), _listed(part.column("passages"))
                 out = []
                 for k in range(part.num_rows):
                     own = data[at[k] : at[k + 1]]
                     copied = (copies[k] or 1) > 1
-                    spans = [[0, len(own)]] if copied and len(own) >= length else _united(marks[k])
+                    spans = [[0, len(own)]] if copied and len(own) >= length else _united(*marks[k])
                     if copied:
                         gap = np.r_[True, _SPACE[own]]
                         n = int(np.count_nonzero(gap[:-1] & ~gap[1:]))
                         told = n if n >= passage else 0
                     else:
-                        told = sum(b - a for a, b in _united(passages[k]))
+                        told = sum(b - a for a, b in _united(*passages[k]))
                     digest, end = hashlib.sha256(), 0
                     for a, b in spans:
                         digest.update(own[end:a])
@@ -307,13 +315,13 @@ def marks_of(texts: DataFrame, length: int, gram: int, words: bool, across: bool
     """th, marks: stretches of texts (th, text), equal texts once, that strings of `length` elements cover which also start
     elsewhere, with across in another text."""
     tag = "words" if words else "bytes"
-    kind = "th long, pos long, l0 short, l1 short, gram long, span long, head int"
+    kind = "th long, pos long, l0 short, l1 short, gram long, span long"
     entries = scratch.write(texts.mapInArrow(_indexed(length, gram, words), kind), f"{tag}-entries")
     # the same text may have been indexed by several tasks
     family = SuffixIndexFamily(scratch, tag, across)
     for b in range(batches):
         family.add(entries.where(F.pmod("th", F.lit(batches)) == b), last=b == batches - 1)
-    found = scratch.write(entries.join(family.repeated(), ["head", "gram"]).drop("head"), f"{tag}-found")
+    found = scratch.write(entries.join(family.repeated(), "gram"), f"{tag}-found")
     scratch.drop(f"{tag}-entries")
     family.drop()
     del entries, family

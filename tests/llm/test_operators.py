@@ -254,13 +254,13 @@ def test_levels_of_the_family(spark):
     rows = [(i, "".join(rng.choice("abcd") for _ in range(20)) + rng.choice(shared) + "".join(rng.choice("abcd") for _ in range(20))) for i in range(60)]
     texts = spark.createDataFrame(rows, "th long, text string").repartition(1)
     family = S.SuffixIndexFamily(Scratch(spark, "levels"), "t")
-    entries = texts.mapInArrow(S._indexed(40, 24, False), "th long, pos long, l0 short, l1 short, gram long, span long, head int").cache()
+    entries = texts.mapInArrow(S._indexed(40, 24, False), "th long, pos long, l0 short, l1 short, gram long, span long").cache()
     for b in range(17):
         family.add(entries.where(F.pmod("th", F.lit(17)) == b))
     assert [level is not None for level in family.levels] == [True, False, False, False, True]
-    want = S.SuffixIndexFamily.array(entries).where("n > 1").select("head", "gram", (F.col("low") != F.col("high")).alias("mixed"))
+    want = S.SuffixIndexFamily.array(entries).where("n > 1").select("gram", (F.col("low") != F.col("high")).alias("mixed"))
     assert sorted(map(tuple, family.repeated().collect())) == sorted(map(tuple, want.collect()))
-    order = [(r["head"], r["gram"]) for r in family.levels[4].collect()]
+    order = [r["gram"] for r in family.levels[4].collect()]
     assert sum(a > b for a, b in zip(order[:-1], order[1:], strict=True)) < 4  # sorted within partitions
 
 
