@@ -91,7 +91,31 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan(_table(spark, sf_dir, "documents").select("doc_id", "text", path.alias("path")), threshold=0.6)
 
 
+def op11_cow_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A row per remaining file. Clients and changes without an id take no part; a change without a change_id or op sets; see upsert for the rest."""
+    from .upsert import client_upsert
+
+    return client_upsert(_table(spark, sf_dir, "clients"), _table(spark, sf_dir, "client_changes"))
+
+
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A row per part, order of the five filters and step. Null texts are empty, a null source is the part ''; repeated rows count each."""
+    from .filter_audit import filter_audit
+
+    return filter_audit(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+def op13_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A row per document; shards differ by one row at most. Null texts are empty; rows of null or repeated doc_ids are rows like others."""
+    from .sharding import shard_documents
+
+    return shard_documents(_table(spark, sf_dir, "documents"), shards=8)
+
+
 QUERIES = {
+    "op11_cow_upsert": op11_cow_upsert,
+    "op12_filter_audit": op12_filter_audit,
+    "op13_sharding": op13_sharding,
     "op10_license_scan": op10_license_scan,
     "op3_suffix_dedup": op3_suffix_dedup,
     "op1_source_mixing": op1_source_mixing,
@@ -133,8 +157,28 @@ r AS (SELECT dir, arg_max(granted, level) AS granted, arg_max(above, level) AS a
 SELECT doc_id, path, own AS own_license, own_score, coalesce(own, granted) AS license, CASE WHEN own IS NULL THEN above END AS inherited_from, CAST(CASE WHEN own IS NULL THEN level END AS INT) AS depth FROM p LEFT JOIN r USING (dir)"""
 
 
+_AUDIT_SQL = """
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(source, '') AS part, coalesce(text, '') AS text FROM documents),
+w AS (SELECT rid, word, count(*) AS n FROM (SELECT rid, unnest(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) AS word FROM d) GROUP BY rid, word),
+t AS (SELECT rid, sum(n) AS words, count(*) AS kinds FROM w GROUP BY rid),
+e AS (SELECT text, min(doc_id) AS least FROM d GROUP BY text),
+l AS (SELECT doc_id, max(CASE WHEN quality = 1 THEN 1 ELSE 0 END) AS good, max(CASE WHEN toxic = 1 THEN 1 ELSE 0 END) AS toxic FROM labels GROUP BY doc_id),
+f AS (SELECT part, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic, CASE WHEN coalesce(words, 0) < 200 THEN 1 ELSE 0 END + CASE WHEN 100 * coalesce(kinds, 0) < 50 * coalesce(words, 0) THEN 2 ELSE 0 END
+ + CASE WHEN 100 * (length(text) - length(regexp_replace(text, '[A-Z]', '', 'g'))) > 2 * length(text) THEN 4 ELSE 0 END + CASE WHEN regexp_matches(text, '[#$%&*|]') THEN 8 ELSE 0 END + CASE WHEN doc_id > least THEN 16 ELSE 0 END AS m
+ FROM d LEFT JOIN t USING (rid) LEFT JOIN e USING (text) LEFT JOIN l USING (doc_id)),
+c AS (SELECT part, m, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic FROM f GROUP BY part, m),
+g AS (SELECT * FROM (VALUES ('A', 1), ('B', 2), ('C', 4), ('D', 8), ('E', 16)) v(f, v)),
+p AS (SELECT o, [a, b, x, y, z] AS fs FROM (SELECT a.f || b.f || x.f || y.f || z.f AS o, a.v AS a, b.v AS b, x.v AS x, y.v AS y, z.v AS z FROM g a JOIN g b ON b.f <> a.f JOIN g x ON x.f NOT IN (a.f, b.f) JOIN g y ON y.f NOT IN (a.f, b.f, x.f) JOIN g z ON z.f NOT IN (a.f, b.f, x.f, y.f))),
+s AS (SELECT o AS filter_order, k AS step, fs[k] AS f, coalesce(list_sum(fs[1 : k - 1]), 0)::INT AS b FROM p, range(1, 6) r(k)),
+a AS (SELECT part, filter_order, CAST(step AS INT) AS step, f, sum(CASE WHEN m & (f | b) = 0 THEN n ELSE 0 END) AS kept, sum(CASE WHEN m & f <> 0 AND m & b = 0 THEN n ELSE 0 END) AS removed, sum(CASE WHEN m & f <> 0 AND m & b <> 0 THEN n ELSE 0 END) AS redundant,
+ sum(CASE WHEN m = f THEN n ELSE 0 END) AS unique_fails, sum(CASE WHEN m & f <> 0 AND m & b = 0 THEN good ELSE 0 END) AS good_lost, sum(CASE WHEN m & f <> 0 AND m & b = 0 THEN toxic ELSE 0 END) AS toxic_lost FROM c, s GROUP BY part, filter_order, step, f)
+SELECT part, filter_order, step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed, CAST(redundant AS BIGINT) AS redundant, CAST(unique_fails AS BIGINT) AS unique_fails, CAST(good_lost AS BIGINT) AS good_lost, CAST(toxic_lost AS BIGINT) AS toxic_lost,
+ CAST(sum(removed) OVER (PARTITION BY part, f) AS BIGINT) AS shapley FROM a"""
+
+
 #: DuckDB SQL by query name; what SQL cannot express is tested against brute force.
 ORACLE: dict[str, str] = {
+    "op12_filter_audit": _AUDIT_SQL,
     "op10_license_scan": _licence_sql(),
     "op1_source_mixing": """
 WITH RECURSIVE r AS (SELECT doc_id, source, CASE WHEN source IS NULL THEN '-' ELSE '+' || source END AS key, CAST(len(regexp_extract_all(coalesce(text, ''), '[^ \\t\\n\\x0B\\f\\r]+')) AS BIGINT) AS n_tokens,

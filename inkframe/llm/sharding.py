@@ -1,10 +1,10 @@
 """Shards of equal size that keep linked documents together, by balanced label propagation.
 
 Documents with one link key (by default: equal texts) are linked. Each linked document starts in a random shard. In a round the documents of a key
-see by a join how many of them each shard holds, and move to the shard with most of them, if it has room for all: those
-bound for a shard are let in by a hash until its quota is used. A group too large for any room fills the best shard that has some, and goes on to the
-next one in later rounds, always from a shard with fewer of its documents to one with more. What a shard has beyond its capacity at the end,
-and the documents without links, fill all shards to sizes at most one apart. Places come from one global order, so no task sees a shard whole.
+see by a join how many of them each shard holds, and move to the shard with most of them. Quotas say how many may enter: what fits beside those who leave in
+the same round. A small group moves as a whole or not at all. A large one, which may be more than a shard holds, moves document by document, from shards with fewer of it to the one with
+most that is not full of large groups yet; small groups then leave where they are crowded. What a shard has beyond its capacity at the end,
+and the documents without links (propagation ends when less than a thousandth of all rows would move), fill all shards to counts at most one apart. Places come from one global order, so no task sees a shard whole.
 
 What leaves the executors are sums over shards. A key is one row in each round; a frequent key's row is broadcast (there are at most HOT of these),
 so that its documents stay where they are dealt.
@@ -19,7 +19,7 @@ from .scratch import Scratch
 
 #: Keys that hold more than this part of all rows are frequent; there are at most as many as the part says.
 HOT = 1000
-ROUNDS = 12
+ROUNDS = 10
 
 
 def _unit(*what: Column) -> Column:
@@ -39,37 +39,63 @@ def _of(values: list[int], shard: Column) -> Column:
     return F.get(F.array(*[F.lit(int(v)).cast("long") for v in values]), shard.cast("int"))
 
 
+def _shares(flow: list[list[int]], room: list[int]) -> list[float]:
+    """What part of those bound for each shard may go there: as much as fits beside what leaves it. flow[s][t]: from s to t."""
+    k = len(room)
+    share = [1.0] * k
+    for _ in range(200):
+        into = [sum(flow[s][t] for s in range(k)) for t in range(k)]
+        out = [sum(flow[t][u] * share[u] for u in range(k)) for t in range(k)]
+        share = [min(share[t], max(0.0, (room[t] + out[t]) / into[t])) if into[t] else 0.0 for t in range(k)]
+    return share
+
+
 def _propagate(linked: DataFrame, capacity: list[int], total: int, rounds: int, scratch: Scratch) -> DataFrame:
-    """linked (rid, key) -> (rid, key, shard)."""
+    """linked (rid, key) -> (rid, key, shard, large). A group is large if it has more than an eighth of a shard."""
     k = len(capacity)
+    all_, large = range(k), F.col("n") * 8 > max(capacity)
     state = scratch.write(linked.select("rid", "key", F.pmod(F.xxhash64("rid", F.lit("first")), F.lit(k)).cast("int").alias("shard")), "state-0")
+    slack = max(capacity) // 50  # the last places of a shard are filled when nothing else moves
     for step in range(1, rounds + 1):
-        load = {r["shard"]: r["n"] for r in state.groupBy("shard").agg(F.count("*").alias("n")).collect()}  # a row per shard
-        room = [max(0, c - load.get(s, 0)) for s, c in enumerate(capacity)]
-        votes = state.groupBy("key").agg(F.count("*").alias("n"), *[F.count_if(F.col("shard") == s).alias(f"c{s}") for s in range(k)]).where("n > 1")
-        cells = [F.struct((F.lit(room[s]) >= F.col("n") - F.col(f"c{s}")).alias("fits"), F.col(f"c{s}").alias("c"), F.xxhash64("key", F.lit(s)).alias("h"), F.lit(s).alias("s")) for s in range(k)]
-        open_ = [c for s, c in enumerate(cells) if room[s]]
-        if not open_:
-            break
-        votes = votes.withColumn("best", F.array_max(F.array(*open_))).withColumn("cells", F.array(*cells))
-        # where a group fits as a whole, all of it goes there; else only from shards with fewer of it
-        lesser = lambda x, b: (x["s"] != b["s"]) & (b["fits"] | (F.struct(x["c"], x["h"]) < F.struct(b["c"], b["h"])))
-        leaving = F.aggregate("cells", F.lit(0).cast("long"), lambda t, x: t + F.when(lesser(x, F.col("best")), x["c"]).otherwise(F.lit(0)))
-        votes = scratch.write(votes.withColumn("leaving", leaving).where("leaving > 0").select("key", "n", "best", "cells"), f"votes-{step}")
-        bound = {r["s"]: r["n"] for r in votes.groupBy(F.col("best.s").alias("s")).agg(F.sum(F.aggregate("cells", F.lit(0).cast("long"), lambda t, x: t + F.when(lesser(x, F.col("best")), x["c"]).otherwise(F.lit(0)))).alias("n")).collect()}
-        if not bound:
+        groups = state.groupBy("key").agg(F.count("*").alias("n"), *[F.count_if(F.col("shard") == s).alias(f"c{s}") for s in all_])
+        groups = scratch.write(groups.withColumn("large", large), f"groups-{step}")
+        load = {r["large"]: r for r in groups.groupBy("large").agg(*[F.sum(f"c{s}").alias(f"c{s}") for s in all_]).collect()}  # two rows
+        by_large, by_small = ([load[b][f"c{s}"] if b in load else 0 for s in all_] for b in (True, False))
+        beside = [c - n for c, n in zip(capacity, by_large, strict=True)]
+        room = [b - n for b, n in zip(beside, by_small, strict=True)]
+        # a large group goes where it is most, and on when a shard is full of large groups
+        tie = [F.xxhash64("key", F.lit(s)) for s in all_]
+        open_ = [F.struct(F.col(f"c{s}").alias("c"), F.lit(True).alias("r"), tie[s].alias("h"), F.lit(s).alias("s")) for s in all_ if beside[s] > slack]
+        # a small one also, whole; from a shard that large ones crowd, some small groups have to go where there is room
+        crowded = [F.lit(-min(room[s], 0)) > _unit(F.col("key"), F.lit(s), F.lit(step)) * by_small[s] for s in all_]
+        whole = [F.struct(F.when(crowded[s], -1).otherwise(F.col(f"c{s}")).alias("c"), F.lit(room[s] > 0).alias("r"), tie[s].alias("h"), F.lit(s).alias("s")) for s in all_]
+        best = F.array_max(F.array(*whole))
+        groups = groups.withColumn("best", F.when(F.col("large"), F.array_max(F.array(*open_))).otherwise(best) if open_ else F.when(~F.col("large"), best))
+        leaves = [(F.col("best.s") != s) & (~F.col("large") | (F.struct(F.col(f"c{s}"), tie[s]) < F.struct("best.c", "best.h"))) for s in all_]
+        groups = groups.withColumn("leaves", F.array(*[F.coalesce(x & (F.col(f"c{s}") > 0), F.lit(False)) for s, x in enumerate(leaves)])).where(F.exists("leaves", lambda x: x))
+        bound = groups.groupBy("large", F.col("best.s").alias("to")).agg(*[F.sum(F.when(F.get("leaves", F.lit(s)), F.col(f"c{s}")).otherwise(0)).alias(f"c{s}") for s in all_]).collect()  # a row for each shard, twice
+        wish = sum(r[f"c{s}"] for r in bound for s in all_)
+        if not wish or slack == 0 and wish * 1000 < total:
             break
-        share = [min(1.0, room[s] / bound[s]) if bound.get(s) else 0.0 for s in range(k)]
-        let_in = F.get(F.array(*[F.lit(x) for x in share]), F.col("best.s"))
-        # a group that is large beside the room is let in document by document
-        luck = F.when(F.col("n") * 16 > _of(room, F.col("best.s")), _unit(F.col("rid"), F.lit(step))).otherwise(_unit(F.col("key"), F.lit(step)))
-        moves = lesser(F.get("cells", F.col("shard")), F.col("best")) & (luck < let_in)
-        moved = _by_key(state, votes, total).select("rid", "key", F.when(moves, F.col("best.s")).otherwise(F.col("shard")).alias("shard"))
-        quiet = F.broadcast(votes.where(F.col("n") * HOT > total).select("key"))  # frequent keys are bounded; the others leave by an ordinary anti join
-        rest = state.join(quiet, "key", "left_anti").join(votes.where(F.col("n") * HOT <= total).select("key"), "key", "left_anti")
+        slack = slack if wish * 1000 >= total and step < rounds // 2 else 0
+        flow = {b: [[0] * k for _ in all_] for b in (True, False)}
+        for r in bound:
+            for s in all_:
+                flow[r["large"]][s][r["to"]] = r[f"c{s}"]
+        shares = {True: [min(1.0, beside[t] / n) if (n := sum(flow[True][s][t] for s in all_)) else 0.0 for t in all_]}
+        net = [sum(flow[True][s][t] * shares[True][t] - flow[True][t][s] * shares[True][s] for s in all_) for t in all_]
+        shares[False] = _shares(flow[False], [r - n for r, n in zip(room, net, strict=True)])
+        let_in = F.when(F.col("large"), F.get(F.array(*map(F.lit, shares[True])), F.col("best.s"))).otherwise(F.get(F.array(*map(F.lit, shares[False])), F.col("best.s")))
+        # a large group is let in document by document, a small one as a whole
+        luck = F.when(F.col("large"), _unit(F.col("rid"), F.lit(step))).otherwise(_unit(F.col("key"), F.lit(step)))
+        told = scratch.write(groups.select("key", "n", "leaves", F.col("best.s").alias("to"), "large", let_in.alias("let_in")), f"moves-{step}")
+        moved = _by_key(state, told, total).select("rid", "key", F.when(F.get("leaves", F.col("shard")) & (luck < F.col("let_in")), F.col("to")).otherwise(F.col("shard")).alias("shard"))
+        often = F.col("n") * HOT > total
+        rest = state.join(F.broadcast(told.where(often).select("key")), "key", "left_anti").join(told.where(~often).select("key"), "key", "left_anti")
         state = scratch.write(moved.unionByName(rest), f"state-{step}")
-        scratch.drop(f"state-{step - 1}", f"votes-{step}")
-    return state
+        scratch.drop(f"state-{step - 1}", f"groups-{step}", f"moves-{step}")
+    sizes = state.groupBy("key").agg(F.count("*").alias("n"))
+    return _by_key(state, sizes, total).select("rid", "key", "shard", large.alias("large"))
 
 
 def shard_documents(docs: DataFrame, shards: int = 8, link: Column | None = None, rounds: int = ROUNDS) -> DataFrame:
@@ -89,9 +115,9 @@ def shard_documents(docs: DataFrame, shards: int = 8, link: Column | None = None
     groups = scratch.write(rows.where("key is not null").groupBy("key").agg(F.count("*").alias("n")).where("n > 1"), "groups")
     linked = _by_key(rows.where("key is not null").select("rid", "key"), groups, total)
     state = _propagate(linked, capacity, total, rounds, scratch)
-    placed = rows.join(state.select("rid", F.col("shard").alias("own")), "rid", "left")
-    placed = placed.withColumn("own", F.coalesce("own", F.lit(shards))).withColumn("tie", F.coalesce("key", F.xxhash64("rid")))
-    order = ranked(placed, ["own", "tie", "rid"], scratch, "order")
+    placed = rows.join(state.select("rid", F.col("shard").alias("own"), "large"), "rid", "left")
+    placed = placed.withColumn("own", F.coalesce("own", F.lit(shards))).withColumn("small", ~F.coalesce("large", F.lit(False))).withColumn("tie", F.coalesce("key", F.xxhash64("rid")))
+    order = ranked(placed, ["own", "small", "tie", "rid"], scratch, "order")
     load = {r["own"]: r["n"] for r in placed.groupBy("own").agg(F.count("*").alias("n")).collect()}
     load = [load.get(s, 0) for s in range(shards)]
     held = [min(a, c) for a, c in zip(load, capacity, strict=True)]
