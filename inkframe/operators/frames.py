@@ -102,8 +102,3 @@ def first_videos(frames: DataFrame, most: int) -> DataFrame:
     """Frames of the first videos in the order of their ids."""
     ids = frames.select("video_id").distinct().orderBy("video_id").limit(most)
     return frames.join(F.broadcast(ids), "video_id", "left_semi")
-
-
-def newest(rows: DataFrame, keys: list[str], order: Column) -> DataFrame:
-    """The last row of each key."""
-    return rows.withColumn("_r", F.row_number().over(Window.partitionBy(*keys).orderBy(order.desc()))).where("_r = 1").drop("_r")

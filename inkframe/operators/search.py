@@ -18,23 +18,31 @@ MOST_LISTED = 400
 
 
 def _fold() -> tuple[str, str]:
-    """Letters of Latin scripts that are a plain letter with a single mark."""
+    """What lower case still has to become in an index term, and what of it vanishes: letters of Latin scripts that are a plain letter with a single mark,
+    letters whose case-folded form is another letter, and the marks themselves, which last as they have nothing to become."""
     import unicodedata
 
-    marked = {}
-    for code in [*range(0xC0, 0x250), *range(0x1E00, 0x1F00)]:
-        c = chr(code)
+    marked, marks = {}, set()
+    for code in [*range(0x80, 0x250), *range(0x370, 0x400), *range(0x1E00, 0x1F00)]:
+        c = chr(code).lower()
         parts = unicodedata.normalize("NFD", c)
-        if c == c.lower() and len(parts) == 2 and parts[0].isascii() and parts[0].isalpha():
+        if len(c) == 1 and len(parts) == 2 and parts[0].isascii() and parts[0].isalpha():
             marked[c] = parts[0]
-    return "".join(marked), "".join(marked.values())
+            marks.add(parts[1])
+        elif len(c.casefold()) == 1 and c.casefold() != c:
+            marked[c] = c.casefold()
+    return "".join(marked) + "".join(sorted(marks)), "".join(marked.values())
 
 
 FOLDED, BASE = _fold()
 
 
 def terms(c: Column) -> Column:
-    """Lower-cased runs of letters and digits; letters with one mark lose it."""
+    """Lower-cased runs of letters and digits; letters with one mark lose it, and marks that such letters have vanish, also from other letters.
+
+    As the index engine has it from U+0080 to U+2FFF, but for letters younger than its tables (Unicode 6.1, among them lower-case Cherokee) and
+    characters that those tables do not know, which the engine takes for letters and this function for gaps.
+    """
     folded = F.translate(F.lower(F.coalesce(c, F.lit(""))), FOLDED, BASE)
     return F.filter(F.split(folded, r"[^\p{L}\p{N}\p{Co}]+"), lambda t: t != "")
 
@@ -111,16 +119,9 @@ def relevance(bm25_score: Column, confidence: Column, contained: Column) -> Colu
     return 0.7 / (1 + F.abs(bm25_score)) + 0.3 * confidence + F.when(contained, 0.5).otherwise(0.0)
 
 
-def search(records: DataFrame, queries: DataFrame, top_k: int = 100, video_id: str | None = None, entity_type: str | None = None, min_confidence: float = 0.30, entity_first: bool = False, index: DataFrame | None = None, sizes: DataFrame | None = None) -> DataFrame:
-    """Ranked hits of each query (qid, query) in records (id, video_id, frame_idx, text, text_unsigned, confidence, entities).
-
-    Candidates are the best 2 top_k by BM25 among rows of enough confidence (and of the video); then the entity type is
-    asked for, the best row of each frame stays, and the first top_k are ranked by relevance. entity_first asks for the
-    entity before candidates are cut.
-    """
-    found = bm25(records, queries, index, sizes).join(records, "id").where(F.col("confidence") >= min_confidence)
-    if video_id is not None:
-        found = found.where(F.col("video_id") == video_id)
+def _ranked(found: DataFrame, queries: DataFrame, top_k: int, entity_type: str | None, entity_first: bool) -> DataFrame:
+    """Hits from found (qid, bm25 and the columns of records): the best 2 top_k by bm25, of these those with the entity type, the best of each frame, and
+    the first top_k by relevance. entity_first asks for the entity before candidates are cut."""
     has = F.lit(True) if entity_type is None else F.exists("entities", lambda e: F.upper(e.type) == entity_type.upper())
     if entity_first:
         found = found.where(has)
@@ -134,12 +135,44 @@ def search(records: DataFrame, queries: DataFrame, top_k: int = 100, video_id: s
     return found.drop("_c", "_f", "_k", "_u")
 
 
-def like_search(records: DataFrame, text: str, top_k: int = 100) -> DataFrame:
-    """The fallback: records whose text or search form holds the query, by confidence; every score is 1."""
-    u = F.lit(text)
-    pattern = F.concat(F.lit("%"), u, F.lit("%"))
-    hit = F.like("text", pattern) | F.like("text_unsigned", pattern)
-    return records.where(hit).orderBy(F.desc("confidence"), "id").limit(2 * top_k).withColumn("score", F.lit(1.0))
+def _asked_of(records: DataFrame, min_confidence: float, video_id: str | None) -> DataFrame:
+    rows = records.where(F.col("confidence") >= min_confidence)
+    return rows if video_id is None else rows.where(F.col("video_id") == video_id)
+
+
+def search(records: DataFrame, queries: DataFrame, top_k: int = 100, video_id: str | None = None, entity_type: str | None = None, min_confidence: float = 0.30, entity_first: bool = False, index: DataFrame | None = None, sizes: DataFrame | None = None, substrings: bool = False) -> DataFrame:
+    """Ranked hits of each query (qid, query) in records (id, video_id, frame_idx, text, text_unsigned, confidence, entities).
+
+    Candidates are the best 2 top_k by BM25 among rows of enough confidence (and of the video); then the entity type is
+    asked for, the best row of each frame stays, and the first top_k are ranked by relevance. entity_first asks for the
+    entity before candidates are cut. substrings: without an index, as like_search does.
+    """
+    if substrings:
+        return like_search(records, queries, top_k, video_id, entity_type, min_confidence, entity_first)
+    found = bm25(records, queries, index, sizes).join(_asked_of(records, min_confidence, video_id), "id")
+    return _ranked(found, queries, top_k, entity_type, entity_first)
+
+
+CAPITALS, SMALL = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+
+def like_search(records: DataFrame, queries: DataFrame, top_k: int = 100, video_id: str | None = None, entity_type: str | None = None, min_confidence: float = 0.30, entity_first: bool = False) -> DataFrame:
+    """The fallback where there is no index: records whose search form holds the query's, or whose text holds its clean text, ranked as those of
+    search with a BM25 of 1. % and _ in a query stand for any characters and for one; of letters only those of ASCII match in either
+    case. Queries of white space alone find nothing. All records are read once for a batch, of at most MOST_LISTED queries.
+    """
+    asked = queries.select("qid", clean_text(F.col("query")).alias("clean")).select("qid", "clean", to_unsigned(F.col("clean")).alias("u")).where("u <> ''").limit(MOST_LISTED + 1).collect()
+    if len(asked) > MOST_LISTED:
+        raise ValueError(f"a batch without an index has at most {MOST_LISTED} queries")
+    low = lambda c: F.translate(c, CAPITALS, SMALL)
+    rows = _asked_of(records, min_confidence, video_id).withColumns({"_t": low(F.col("text")), "_s": low(F.col("text_unsigned"))})
+    kind = queries.schema["qid"].dataType
+    # clean texts have no control characters, so that one can stand for the escape character of patterns
+    like = lambda c, q: F.coalesce(F.like(c, low(F.lit(f"%{q}%")), F.lit("\x01")), F.lit(False))
+    met = [F.when(like("_s", r["u"]) | like("_t", r["clean"]), F.lit(r["qid"]).cast(kind)) for r in asked]
+    none = F.array().cast(f"array<{kind.simpleString()}>")
+    found = rows.select("*", F.explode(F.array_compact(F.array(*met)) if met else none).alias("qid")).drop("_t", "_s").withColumn("bm25", F.lit(1.0))
+    return _ranked(found, queries, top_k, entity_type, entity_first)
 
 
 def keyword_counts(records: DataFrame, words: list[str]) -> DataFrame:

@@ -60,12 +60,6 @@ def text_unsigned(spark, t):
     return rows.select("doc_id", "clean", X.unsigned_of_clean(F.col("clean")).alias("search_form"))
 
 
-@query(f"SELECT k, {_plain_sql('nfc_normalize(s)')} AS unsigned_form, length(regexp_replace(lower(s), '[^{X.LOWER_MARKED}]', '', 'g')) AS marks, length(regexp_replace(lower(s), '[^{X.LOWER_MARKED}]', '', 'g')) > 0 AS vietnamese FROM {_sql_values('s', SIGNS)}")
-def vietnamese_forms(spark, t):
-    """T2, M8, T18 on signs."""
-    return _values(spark, "s", SIGNS).select("k", X.to_unsigned(F.col("s")).alias("unsigned_form"), X.diacritics(F.col("s")).cast("bigint").alias("marks"), X.is_vietnamese(F.col("s")).alias("vietnamese"))
-
-
 @query(f"SELECT k, {_plain_sql('nfc_normalize(s)')} AS unsigned_form, length(regexp_replace(lower(s), '[^{X.LOWER_MARKED}]', '', 'g')) AS marks, length(regexp_replace(lower(s), '[^{X.LOWER_MARKED}]', '', 'g')) > 0 AS vietnamese FROM (SELECT CAST(doc_id AS VARCHAR) AS k, text AS s FROM documents UNION ALL SELECT 'sign' || k, s FROM {_sql_values('s', SIGNS)})")
 def vietnamese_forms_documents(spark, t):
     """T2, M8, T18 on whole documents and signs."""
@@ -94,12 +88,6 @@ def entity_counts(spark, t):
 NAMES = ["L21_V001/keyframe_75.webp", "L21_V001_150.jpg", "frame_0150.png", "a/b/0042.webp", "cover.jpg", "Keyframe_9x8.JPG"]
 
 
-@query(f"SELECT k, coalesce(try_cast(nullif(regexp_extract(regexp_replace(split_part(name, '/', -1), '\\.[^.]*$', ''), '([0-9]+)', 1), '') AS BIGINT), 0) AS frame_idx FROM {_sql_values('name', NAMES)}")
-def frame_index(spark, t):
-    """P1."""
-    return _values(spark, "name", NAMES).select("k", P.frame_index(F.col("name")).alias("frame_idx"))
-
-
 _INDEX_SQL = "coalesce(try_cast(nullif(regexp_extract(regexp_replace(split_part(name, '/', -1), '\\.[^.]*$', ''), '([0-9]+)', 1), '') AS BIGINT), 0)"
 
 
@@ -385,24 +373,47 @@ def first_videos(spark, t):
     return P.first_videos(t("conversations").selectExpr("concat('V', conv_id) video_id", "turn"), 7)
 
 
-@query("SELECT doc_id AS id, CAST((doc_id * 7 % 80) / 100.0::DOUBLE + 0.2::DOUBLE AS DOUBLE) AS confidence, 1.0::DOUBLE AS score FROM documents WHERE text LIKE '%the er%' OR lower(text) LIKE '%the er%' ORDER BY confidence DESC, id LIMIT 60")
+LIKES = [("q0", "the Er"), ("q1", "Cơm"), ("q2", "con_la"), ("q3", "the%haus"), ("q4", "  ")]
+_LIKED = f"translate({{0}}, {_quoted(Q.CAPITALS)}, {_quoted(Q.SMALL)})"
+
+
+@query(f"""WITH recs AS (SELECT doc_id AS id, 'V' || source AS video_id, doc_id AS frame_idx, {_clean_sql('text')} || CASE WHEN doc_id % 50 = 0 THEN ' Cơm Tấm' ELSE '' END AS text, CAST((doc_id * 7 % 80) / 100.0::DOUBLE + 0.2::DOUBLE AS DOUBLE) AS confidence FROM documents),
+r AS (SELECT *, {_plain_sql('text')} AS text_unsigned FROM recs),
+q AS (SELECT qid, {_clean_sql('query')} AS c, {_plain_sql(_clean_sql('query'))} AS u FROM (VALUES {', '.join(f"('{a}', {_quoted(b)})" for a, b in LIKES)}) v(qid, query)),
+f AS (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY confidence DESC, id) AS n FROM r, q WHERE u <> '' AND confidence >= 0.5 AND video_id <> 'Vsrc0' AND ({_LIKED.format('text_unsigned')} LIKE {_LIKED.format("'%' || u || '%'")} OR {_LIKED.format('text')} LIKE {_LIKED.format("'%' || c || '%'")})),
+h AS (SELECT * FROM f WHERE n <= 60 QUALIFY row_number() OVER (PARTITION BY qid ORDER BY n) <= 30)
+SELECT qid, id, round(confidence, 6) AS confidence, round(0.35 + 0.3 * confidence + CASE WHEN contains(text_unsigned, u) THEN 0.5 ELSE 0 END, 3) AS score FROM h""")
 def like_search(spark, t):
-    """The fallback by substring."""
-    rows = t("documents").select(F.col("doc_id").alias("id"), "text", F.lower("text").alias("text_unsigned"), ((F.col("doc_id") * 7 % 80) / 100.0 + 0.2).alias("confidence"))
-    return Q.like_search(rows, "the er", 30).select("id", "confidence", "score")
+    """The fallback by substring: marked and unmarked queries, patterns, a bound of confidence below which records hold the words."""
+    rows = _corpus(t).withColumn("text", F.concat("text", F.when(F.col("id") % 50 == 0, " Cơm Tấm").otherwise("")))
+    rows = rows.withColumn("text_unsigned", X.unsigned_of_clean(F.col("text"))).where("video_id <> 'Vsrc0'")
+    return Q.search(rows, spark.createDataFrame(LIKES, "qid string, query string"), 30, min_confidence=0.5, substrings=True).select("qid", "id", F.round("confidence", 6).alias("confidence"), F.round("score", 3).alias("score"))
 
 
-@query("""WITH h AS (SELECT p_partkey, p_partkey % 2 = 0 AS qa, 'V' || p_partkey % 3 AS video_id, p_size AS frame_idx, lower(p_name) AS u, p_brand AS ent FROM part),
-r AS (SELECT p_partkey, CASE WHEN video_id = 'V1' AND frame_idx BETWEEN 10 AND 40 THEN 1.0 ELSE 0.0 END AS kis, qa, u, ent, CASE p_partkey % 5 WHEN 0 THEN '' WHEN 1 THEN 'brand#1' ELSE 'a' END AS a FROM h)
-SELECT p_partkey, CAST(CASE WHEN NOT qa THEN kis WHEN kis = 1.0 AND (a = '' OR contains(u, a) OR contains(lower(ent), a)) THEN 1.0 ELSE 0.0 END AS DECIMAL(2,1)) AS r_at_1, CAST(CASE WHEN NOT qa THEN kis WHEN kis = 1.0 AND (a = '' OR contains(u, a) OR contains(lower(ent), a)) THEN 1.0 ELSE 0.0 END AS DOUBLE) AS final_score FROM r""")
+_QA_HIT = "(a = '' OR contains(u, a) OR contains(e1, a) OR contains(e2, a))"
+
+
+@query(f"""WITH h AS (SELECT p_partkey, p_partkey % 2 = 0 AS qa, 'V' || p_partkey % 3 AS video_id, p_size AS frame_idx, lower(p_name) AS u, lower(p_brand) AS e1, CASE p_partkey % 3 WHEN 1 THEN '150 nghin' ELSE 'da lat' END AS e2 FROM part),
+r AS (SELECT p_partkey, CASE WHEN video_id = 'V1' AND frame_idx BETWEEN 10 AND 40 THEN 1.0 ELSE 0.0 END AS kis, qa, u, e1, e2, CASE p_partkey % 5 WHEN 0 THEN '' WHEN 1 THEN 'brand#1' WHEN 2 THEN '150 nghin' WHEN 3 THEN 'da la' ELSE 'a' END AS a FROM h)
+SELECT p_partkey, CAST(CASE WHEN NOT qa THEN kis WHEN kis = 1.0 AND {_QA_HIT} THEN 1.0 ELSE 0.0 END AS DECIMAL(2,1)) AS r_at_1, CAST(CASE WHEN NOT qa THEN kis WHEN kis = 1.0 AND {_QA_HIT} THEN 1.0 ELSE 0.0 END AS DOUBLE) AS final_score FROM r""")
 def qa_scores(spark, t):
-    """A hit for each part, half of them answers to questions."""
-    part = t("part").selectExpr("p_partkey qid", "p_partkey", "concat('V', p_partkey % 3) video_id", "cast(p_size as bigint) frame_idx", "lower(p_name) text_unsigned", "array(named_struct('type', 'B', 'value', p_brand)) entities")
-    truth = part.selectExpr("qid", "case when p_partkey % 2 = 0 then 'QA' else 'KIS' end type", "'V1' video", "10L start", "40L end", "case p_partkey % 5 when 0 then '' when 1 then 'Brand#1' else 'A' end answer")
+    """A hit for each part, half of them answers to questions, some of which only a marked entity holds."""
+    part = t("part").selectExpr("p_partkey qid", "p_partkey", "concat('V', p_partkey % 3) video_id", "cast(p_size as bigint) frame_idx", "lower(p_name) text_unsigned", "array(named_struct('type', 'B', 'value', p_brand), named_struct('type', 'PRICE', 'value', case p_partkey % 3 when 1 then '150 nghìn' else 'Đà Lạt' end)) entities")
+    truth = part.selectExpr("qid", "case when p_partkey % 2 = 0 then 'QA' else 'KIS' end type", "'V1' video", "10L start", "40L end", "case p_partkey % 5 when 0 then '' when 1 then 'Brand#1' when 2 then '150 nghìn' when 3 then 'Đà La' else 'A' end answer")
     scores = E.evaluate(part.withColumn("rank", F.lit(1)), truth)
     return scores.select(F.col("qid").alias("p_partkey"), F.col("r_at_1").cast("decimal(2,1)").alias("r_at_1"), F.round("final_score", 4).alias("final_score"))
 
 
+_MARKED = "CASE doc_id % 4 WHEN 0 THEN 'ax̂b' WHEN 1 THEN 'İstanbul' WHEN 2 THEN 'nǵa ſo' ELSE '' END"
+
+
+@query(f"SELECT doc_id, CAST(len(ts) AS INT) AS n, array_to_string(ts, ' ') AS terms FROM (SELECT doc_id, list_filter(string_split_regex({_FOLD.format(f"coalesce(text, '') || ' ' || {_MARKED}")}, '[^\\p{{L}}\\p{{N}}\\p{{Co}}]+'), lambda x: x <> '') AS ts FROM documents)")
+def index_terms(spark, t):
+    """The index terms of whole documents, to each of which a word with combining marks or an odd letter is added."""
+    ts = Q.terms(F.concat_ws(" ", F.coalesce("text", F.lit("")), F.expr(_MARKED)))
+    return t("documents").select("doc_id", ts.alias("ts")).select("doc_id", F.size("ts").alias("n"), F.array_join("ts", " ").alias("terms"))
+
+
 @query("""SELECT p_partkey, CASE WHEN greatest(w, h) <= 1600 AND least(w, h) <= 640 THEN 1.0 ELSE round(1600.0::DOUBLE / greatest(w, h), 6) END AS scale, CASE WHEN greatest(w, h) <= 1600 AND least(w, h) <= 640 THEN w ELSE CAST(trunc(w * (1600.0::DOUBLE / greatest(w, h))) AS INT) END AS width
 FROM (SELECT p_partkey, CAST(p_partkey * 13 % 2400 + 40 AS INT) AS w, CAST(p_size * 31 + 20 AS INT) AS h FROM part)""")
 def detection_sizes(spark, t):

@@ -72,3 +72,45 @@ def test_evaluation(spark):
     assert [got["a"][f"r_at_{k}"] for k in E.CUTS] == [0, 1, 1, 1, 1] and got["a"]["final_score"] == 0.8 and got["a"]["best_rank"] == 4
     assert got["b"]["final_score"] == got["c"]["final_score"] == 0 and got["c"]["best_rank"] is None
     assert E.benchmark_means(E.evaluate(hits, truth)).first()["final_score"] == pytest.approx(0.8 / 3)
+
+
+def test_terms_of_every_letter(spark):
+    """Between plain letters, as the index engine splits them from U+0080 to U+2FFF: letters, digits and the marks that vanish."""
+    import unicodedata
+
+    db = sqlite3.connect(":memory:")
+    db.execute("create virtual table t using fts5(x)")
+    db.execute("create virtual table v using fts5vocab(t, 'instance')")
+    old = unicodedata.ucd_3_2_0
+    codes = [c for c in range(0x80, 0x3000) if unicodedata.category(chr(c))[0] in "LNZPC" and old.category(chr(c)) != "Cn" or chr(c) in Q.FOLDED]
+    db.executemany("insert into t(rowid, x) values (?, ?)", [(c, f"a{chr(c)}b") for c in codes])
+    want = {}
+    for term, doc in db.execute("select term, doc from v order by doc, offset"):
+        want.setdefault(doc, []).append(term)
+    rows = spark.createDataFrame([(c, f"a{chr(c)}b") for c in codes], "c int, s string")
+    got = {r["c"]: r["t"] for r in rows.select("c", Q.terms(F.col("s")).alias("t")).collect()}
+    wrong = [hex(c) for c in codes if got[c] != want[c] and not 0x13A0 <= c < 0x1400]
+    assert len(wrong) <= 12, wrong
+
+
+def test_substrings(spark):
+    rows = [(1, "V1", 0, "Cơm Tấm", "com tam", 0.9, [("PRICE", "45k")]), (2, "V2", 75, "COM rang", "com rang", 0.2, []), (3, "V2", 75, "xôi", "xoi 100%", 0.8, [("TIME", "7h30")]), (4, "V2", 75, "xôi com", "xoi com", 0.7, []), (5, "V3", 0, None, None, 0.9, None)]
+    records = spark.createDataFrame(rows, "id long, video_id string, frame_idx long, text string, text_unsigned string, confidence double, entities array<struct<type: string, value: string>>")
+
+    def found(query, **more):
+        asked = spark.createDataFrame([("q", query)], "qid string, query string")
+        return [(r["id"], r["score"]) for r in Q.search(records, asked, substrings=True, **more).orderBy("rank").collect()]
+
+    assert found("cơm") == [(1, 1.12), (4, 1.06)] and found("COM") == [(1, 1.12), (4, 1.06)]
+    assert found("com", min_confidence=0.1, video_id="V2") == [(4, 1.06)]  # of one frame the surer record
+    assert found("xôi") == [(3, 1.09)] and found("0%", entity_type="time") == [(3, 1.09)] and found("xôi", entity_type="PRICE") == []
+    assert found("c_m") == [(1, 0.62), (4, 0.56)] and found(" \t") == [] and found("\\") == []
+    assert Q.like_search(records, spark.createDataFrame([], "qid string, query string")).count() == 0
+
+
+def test_marked_entities_answer(spark):
+    hits = spark.createDataFrame([("a", 1, "V", 5, "xe", [("PRICE", "150 nghìn")]), ("b", 1, "V", 5, "xe", [("X", "150"), ("X", "nghin")]), ("c", 1, "V", 5, "đà lạt", None)], "qid string, rank int, video_id string, frame_idx long, text_unsigned string, entities array<struct<type: string, value: string>>")
+    truth = spark.createDataFrame([(q, "QA", "V", 0, 9, "150 nghìn") for q in "ab"] + [("c", "QA", "V", 0, 9, ""), ("d", "QA", "V", 0, 9, "x")], "qid string, type string, video string, start long, end long, answer string")
+    assert {r["qid"]: r["r_at_1"] for r in E.evaluate(hits, truth).collect()} == {"a": 1.0, "b": 0.0, "c": 1.0, "d": 0.0}
+    with pytest.raises(Exception, match="need text_unsigned"):
+        E.evaluate(hits.drop("entities"), truth).collect()
