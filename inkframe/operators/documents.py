@@ -31,7 +31,7 @@ def bulk_lines(records: DataFrame, order: str = "id", index: str = "frames_ocr")
     docs = frame_documents(records, order, " ")
     action = F.to_json(F.struct(F.struct(F.lit(index).alias("_index"), F.col("frame_id").alias("_id")).alias("index")))
     body = F.to_json(F.struct("ocr_text", F.coalesce("video_id", F.lit("")).alias("video_id"), F.coalesce("frame_idx", F.lit(0)).alias("frame_idx"), F.coalesce("timestamp", F.lit(0.0)).alias("timestamp")))
-    return docs.select("frame_id", F.posexplode(F.array(action, body)).alias("part", "line"))
+    return docs.select("frame_id", "video_id", F.posexplode(F.array(action, body)).alias("part", "line"))
 
 
 def read_frames(records: DataFrame, separator: str = " | ") -> DataFrame:

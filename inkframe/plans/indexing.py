@@ -18,13 +18,18 @@ def index_images(images: DataFrame, make: Callable[[], FrameReader], key: str, f
     """images (path, video_id, image_name, content) -> records. Videos in done are skipped."""
     if done is not None:
         images = pending(images, done)
+    rows = detected(images, make, key, fps, index, urls, metadata)
+    return greedy_tracks(rows, threshold, max_gap) if merge else untracked(rows)
+
+
+def detected(images: DataFrame, make: Callable[[], FrameReader], key: str, fps: DataFrame, index: DataFrame, urls: DataFrame, metadata: DataFrame | None = None) -> DataFrame:
+    """images -> detections (schema DETECTION) with what is known of their frames."""
     lines = detections(read_images(images, make, key))
     info = frame_info(images.select("video_id", "image_name").distinct(), fps, index, urls, metadata)
     named = images.select("path", "video_id", "image_name")
     rows = lines.join(named.withColumn("frame_idx", frame_index(F.col("image_name"))), "path").join(info.drop("fps"), ["video_id", "frame_idx"])
     rows = rows.withColumn("entities", F.transform("entities", lambda e: F.to_json(e))).withColumn("polygon_json", F.to_json("polygon"))
-    rows = rows.select(*[c.split()[0] for c in DETECTION.split(", ")])
-    return greedy_tracks(rows, threshold, max_gap) if merge else untracked(rows)
+    return rows.select(*[c.split()[0] for c in DETECTION.split(", ")])
 
 
 def process_single_frame(spark: SparkSession, path: str, make: Callable[[], FrameReader], key: str, video_id: str = "sample_video", dims: dict | None = None) -> dict:
@@ -70,10 +75,9 @@ def _resumed(spark: SparkSession, images: DataFrame, make: Callable[[], FrameRea
     records = records.withColumn("entities_json", F.concat(F.lit("["), F.array_join("entities", ","), F.lit("]"))).drop("entities")
     n_frames = frames.count()
     if n_frames:
-        names = [r["video_id"] for r in left.collect()]
         # a run that broke off after its records and before its list leaves rows that the next run must not keep twice
         records.withColumn("run", F.lit(uuid.uuid4().hex)).write.mode("append" if checkpoint else "overwrite").parquet(log)
-        sinks.append_done(spark.createDataFrame([(v,) for v in names], "video_id string"), listed) if checkpoint else None
+        sinks.append_done(left, listed) if checkpoint else None
     table = spark.createDataFrame([], records.schema)
     if sinks.exists(spark, log):
         told = spark.read.parquet(log)
@@ -82,7 +86,8 @@ def _resumed(spark: SparkSession, images: DataFrame, make: Callable[[], FrameRea
     written = export(spark, table, output)
     seconds = time.time() - began
     totals = written.agg(F.count("*").alias("n")).first()
-    return {"total_videos": videos.count(), "processed_videos": videos.count() if not checkpoint else spark.read.parquet(listed).distinct().count() if sinks.exists(spark, listed) else 0, "total_frames": n_frames, "total_ocr_records": totals["n"], "total_time_sec": round(seconds, 2), "avg_fps": round(n_frames / seconds, 2), "records_path": f"{output}/records", "index_path": f"{output}/index", "documents_path": f"{output}/ocr.json", "bulk_path": f"{output}/bulk"}
+    n_videos = videos.count()
+    return {"total_videos": n_videos, "processed_videos": n_videos if not checkpoint else spark.read.parquet(listed).distinct().count() if sinks.exists(spark, listed) else 0, "total_frames": n_frames, "total_ocr_records": totals["n"], "total_time_sec": round(seconds, 2), "avg_fps": round(n_frames / seconds, 2), "records_path": f"{output}/records", "index_path": f"{output}/index", "documents_path": f"{output}/ocr.json", "bulk_path": f"{output}/bulk"}
 
 
 def process_from_index_json(spark: SparkSession, index_json: str, keyframes_root: str, make: Callable[[], FrameReader], key: str, output: str, fps_file: str | None = None, urls_file: str | None = None, checkpoint: bool = True, **options) -> dict:
@@ -105,6 +110,15 @@ def process_dataset(spark: SparkSession, keyframes_root: str, make: Callable[[],
     return _resumed(spark, images, make, key, output, dimensions(spark, fps_file, index_file, urls_file, metadata_root), checkpoint, **options)
 
 
+def process_stream(spark: SparkSession, keyframes_root: str, make: Callable[[], FrameReader], key: str, output: str, dims: dict | None = None, files_a_batch: int = 1000, **options) -> None:
+    """Index the images below a root that no earlier call has seen, as a stream; see streaming.indexing. Files of no bytes are no images."""
+    from ..streaming.indexing import image_stream, index_stream
+
+    known = dimensions(spark, **(dims or {}))
+    detect = lambda rows: detected(rows, make, key, known["fps"], known["index"], known["urls"], known["metadata"])
+    index_stream(image_stream(spark, keyframes_root, files_a_batch), output, detect, **options).awaitTermination()
+
+
 def process_video_keyframes(images: DataFrame, video_id: str, make: Callable[[], FrameReader], key: str, dims: dict, **options) -> DataFrame:
     """The records of one video's images."""
     return index_images(images.where(F.col("video_id") == video_id), make, key, dims["fps"], dims["index"], dims["urls"], dims["metadata"], **options)

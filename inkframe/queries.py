@@ -474,9 +474,51 @@ def tracks_exact(spark, t):
     return R.exact_tracks(rows, ["user_id", "event_type"], "at", 86400, "value")
 
 
+def _stream_of(spark, source: DataFrame) -> DataFrame:
+    """The files of a table as a stream, a file at a time."""
+    path = source.inputFiles()[0].rsplit("/", 1)[0]
+    stream = spark.readStream.schema(source.schema).option("maxFilesPerTrigger", 1)
+    return stream.parquet(path) if path.endswith(".parquet") else stream.option("pathGlobFilter", source.inputFiles()[0].rsplit("/", 1)[1]).parquet(path)
+
+
+def _detected(conversations: DataFrame) -> DataFrame:
+    return conversations.selectExpr("concat('V', conv_id) video_id", "concat(conv_id, '-', turn) frame_id", "cast(floor(turn / 2) * 75 as bigint) frame_idx", "cast(turn as double) timestamp", "turn * 1000 timestamp_ms", "'' timestamp_str", "'' youtube_url", "turn as ord", "text", "lower(text) text_unsigned", "(turn * 37 % 100) / 100D confidence", "0.1D bbox_ymin", "0.1D bbox_xmin", "0.3D bbox_ymax", "0.5D bbox_xmax", "'[]' polygon_json", "array(role) entities")
+
+
 def _detections(t) -> DataFrame:
-    rows = t("conversations").selectExpr("concat('V', conv_id) video_id", "concat(conv_id, '-', turn) frame_id", "cast(floor(turn / 2) * 75 as bigint) frame_idx", "cast(turn as double) timestamp", "turn * 1000 timestamp_ms", "'' timestamp_str", "'' youtube_url", "turn as ord", "text", "lower(text) text_unsigned", "(turn * 37 % 100) / 100D confidence", "0.1D bbox_ymin", "0.1D bbox_xmin", "0.3D bbox_ymax", "0.5D bbox_xmax", "'[]' polygon_json", "array(role) entities")
-    return rows
+    return _detected(t("conversations"))
+
+
+# with equal texts alone the rule is one of gaps: the k-th detection of a text in a frame joins the k-th open track of that text
+_EQUAL_SQL = """WITH r AS (SELECT 'V' || conv_id AS video_id, CAST(turn // 2 * 75 AS BIGINT) AS f, turn, text, trim(lower(text)) AS u FROM conversations),
+n AS (SELECT *, row_number() OVER (PARTITION BY video_id, u, f ORDER BY turn) AS k FROM r WHERE u <> ''),
+c AS (SELECT *, CASE WHEN f - lag(f) OVER (PARTITION BY video_id, u, k ORDER BY f) > 120 THEN 1 ELSE 0 END AS cut FROM n),
+g AS (SELECT *, sum(cut) OVER (PARTITION BY video_id, u, k ORDER BY f) AS track FROM c),
+x AS (SELECT video_id, min(f) AS frame_start, max(f) AS frame_end, count(*) AS occurrences, u FROM g GROUP BY video_id, u, k, track UNION ALL SELECT video_id, f, f, 1, '' FROM r WHERE coalesce(u, '') = '')
+SELECT video_id, frame_start, frame_end, CAST(occurrences AS BIGINT) AS occurrences, u AS text FROM x"""
+
+
+def _track_rows(records: DataFrame) -> DataFrame:
+    return records.select("video_id", "frame_start", "frame_end", "occurrences", F.trim(F.lower(F.coalesce("text", F.lit("")))).alias("text"))
+
+
+@query(_EQUAL_SQL)
+def tracks_equal(spark, t):
+    """2.9, J7: greedy merging where only equal texts are alike, which SQL can say."""
+    return _track_rows(R.greedy_tracks(_detections(t), threshold=1.0))
+
+
+@query(_EQUAL_SQL)
+def stream_index(spark, t):
+    """2.11, K6, U1: conversations as a stream of detections, a file a batch, into tables by video."""
+    from .sources import sinks
+    from .sources.shared import new_folder
+    from .streaming.indexing import index_stream
+
+    out = new_folder(spark, "stream-index")
+    stream = _stream_of(spark, t("conversations")).withColumn("video_id", F.concat(F.lit("V"), "conv_id"))
+    index_stream(stream, out, _detected, threshold=1.0).awaitTermination()
+    return _track_rows(sinks.read_records(spark, f"{out}/records"))
 
 
 @query()
@@ -561,22 +603,12 @@ k AS (SELECT *, sum(cut) OVER (PARTITION BY user_id, event_type ORDER BY ts) AS
 SELECT user_id, event_type, min(ts) AS first_at, max(ts) AS last_at, count(*) AS occurrences FROM k GROUP BY user_id, event_type, track""")
 def stream_tracks(spark, t):
     """2.11: the events file as a stream, all that is there, in session windows."""
-    import tempfile
-    import uuid
-
+    from .sources.shared import new_folder
     from .streaming.tracks import session_tracks
 
-    source = t("events")
-    path = source.inputFiles()[0].rsplit("/", 1)[0]
-    if path.endswith("events.parquet"):
-        stream = spark.readStream.schema(source.schema).parquet(path)
-    else:
-        stream = spark.readStream.schema(source.schema).option("pathGlobFilter", "events.parquet").parquet(path)
-    stream = stream.withColumn("at", F.col("ts").cast("timestamp"))
-    name = f"stream_{uuid.uuid4().hex}"
-    writer = session_tracks(stream, ["user_id", "event_type"], "at", "1 day").writeStream.format("memory").queryName(name).outputMode("complete").trigger(availableNow=True)
-    shared = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
-    if not shared and not spark.sparkContext.master.startswith("local["):
-        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-    writer.option("checkpointLocation", f"{shared.rstrip('/')}/{name}" if shared else tempfile.mkdtemp()).start().awaitTermination()
-    return spark.table(name).select("user_id", "event_type", F.col("first_at").cast("timestamp_ntz").alias("first_at"), F.col("last_at").cast("timestamp_ntz").alias("last_at"), "occurrences")
+    stream = _stream_of(spark, t("events")).withColumn("at", F.col("ts").cast("timestamp"))
+    folder = new_folder(spark, "stream-tracks")
+    tracks = session_tracks(stream, ["user_id", "event_type"], "at", "1 day")
+    done = tracks.writeStream.outputMode("complete").option("checkpointLocation", f"{folder}/checkpoint").trigger(availableNow=True)
+    done.foreachBatch(lambda rows, batch: rows.write.mode("overwrite").parquet(f"{folder}/tracks")).start().awaitTermination()
+    return spark.read.schema(tracks.schema).parquet(f"{folder}/tracks").select("user_id", "event_type", F.col("first_at").cast("timestamp_ntz").alias("first_at"), F.col("last_at").cast("timestamp_ntz").alias("last_at"), "occurrences")

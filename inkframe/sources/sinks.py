@@ -37,11 +37,57 @@ def flat_records(records: DataFrame) -> DataFrame:
     )
 
 
+RECORDS = "frame_id string, video_id string, frame_idx bigint, timestamp double, timestamp_ms bigint, timestamp_str string, youtube_url string, frame_start bigint, frame_end bigint, occurrences bigint, text string, text_unsigned string, confidence double, bbox_ymin double, bbox_xmin double, bbox_ymax double, bbox_xmax double, polygon_json string, entities_json string"
+ENTITIES = "array<struct<type: string, value: string, span: struct<start: int, end: int>>>"
+
+
+def with_id(records: DataFrame) -> DataFrame:
+    return records.withColumn("id", F.xxhash64("video_id", "frame_idx", "text", "frame_start", "frame_end"))
+
+
+def _in_order(rows: DataFrame, *order: str) -> DataFrame:
+    """Dealt out by ranges of the order, so that a long video is several files, each in order."""
+    return rows.repartitionByRange(*order).sortWithinPartitions(*order)
+
+
 def write_records(records: DataFrame, path: str, by_video: bool = False, mode: str = "overwrite") -> None:
-    writer = flat_records(records).write.mode(mode).option("compression", "snappy")
+    """The record table in the order of video and first frame."""
+    writer = _in_order(flat_records(records), "video_id", "frame_start", "frame_idx").write.mode(mode).option("compression", "snappy")
     (writer.partitionBy("video_id") if by_video else writer).parquet(path)
 
 
+def replace_partitions(rows: DataFrame, path: str, keys: list[str], order: list[str], kind: str = "parquet") -> None:
+    """Write rows under the values of keys; partitions that rows have are replaced, all others stay."""
+    dealt = _in_order(rows, *keys, *order)
+    dealt = dealt.select("line", *keys) if kind == "text" else dealt
+    dealt.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*keys).format(kind).save(path)
+
+
+def read_partitions(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """What replace_partitions has written, the keys as the schema says; a key that was empty comes back as an empty string."""
+    rows = spark.read.schema(schema).parquet(path) if exists(spark, path) else spark.createDataFrame([], schema)
+    names = [c.split()[0] for c in schema.split(", ")]
+    return rows.select(*[F.coalesce(c, F.lit("")).alias(c) if c == "video_id" else F.col(c) for c in names])
+
+
+def read_records(spark: SparkSession, path: str) -> DataFrame:
+    """The record table by video, with id and typed entities, as searches and documents take it."""
+    return with_id(read_partitions(spark, path, RECORDS)).withColumn("entities", F.from_json("entities_json", ENTITIES))
+
+
+def replace_videos(records: DataFrame, folder: str) -> None:
+    """Replace the videos of records, and no others, in the record table, the frame documents and the bulk lines below a folder.
+
+    Documents and lines are made from the table as written. A video without records keeps what it had.
+    """
+    spark = records.sparkSession
+    flat = flat_records(records)
+    replace_partitions(flat, f"{folder}/records", ["video_id"], ["frame_start", "frame_idx"])
+    table = read_records(spark, f"{folder}/records").join(records.select("video_id").distinct(), "video_id", "left_semi")
+    replace_partitions(frame_documents(table).drop("id"), f"{folder}/frames", ["video_id"], ["frame_id"], "json")
+    replace_partitions(bulk_lines(table), f"{folder}/bulk", ["video_id"], ["frame_id", "part"], "text")
+
+
 def write_index(records: DataFrame, path: str) -> None:
     """records (with id) and postings, the latter sorted by term so that a scan for a term or prefix skips row groups."""
     records.write.mode("overwrite").parquet(f"{path}/records")
