@@ -92,23 +92,53 @@ def asked_postings(index: DataFrame, p: DataFrame) -> DataFrame:
     return index.where(wanted)
 
 
-def bm25(records: DataFrame, queries: DataFrame, index: DataFrame | None = None, sizes: DataFrame | None = None) -> DataFrame:
+def _part(n_rows: Column, mean: Column) -> Column:
+    """What a phrase adds to the score of a record, from the columns tf, df and d."""
+    idf = F.log((n_rows - F.col("df") + 0.5) / (F.col("df") + 0.5))
+    idf = F.when(idf <= 0, LEAST_IDF).otherwise(idf)
+    return idf * F.col("tf") * (K1 + 1) / (F.col("tf") + K1 * (1 - B + B * F.col("d") / mean))
+
+
+def _indexed_bm25(p: DataFrame, index) -> DataFrame:
+    """bm25 over the segments of an index. The phrases of a batch come to the driver, which numbers them; matches are scored where their record is."""
+    spark = p.sparkSession
+    listed = [r.asDict() | {"ph": i} for i, r in enumerate(p.where("size > 0").collect())]
+    tokens = {r["qid"]: r["n"] for r in p.where("tok >= 0").groupBy("qid").agg(F.count("*").alias("n")).collect()}
+    asked = [(r["ph"], r["qid"], r["tok"] < 0, tokens[r["qid"]]) for r in listed if r["qid"] in tokens]
+    kind = p.schema["qid"].dataType.simpleString()
+    named = F.broadcast(spark.createDataFrame(asked, f"ph int, qid {kind}, entire boolean, n_tokens bigint"))  # a row a phrase of the batch
+    if not asked or not index.segments:
+        return spark.createDataFrame([], f"qid {kind}, id bigint, bm25 double")
+    tf, (n_rows, mean) = index.matches(listed), index.sizes()
+    df = F.broadcast(tf.groupBy("ph", "col").agg(F.count("*").alias("df")))  # two rows a phrase
+    rows = tf.join(df, ["ph", "col"]).join(named, "ph").withColumn("part", _part(F.lit(n_rows), F.lit(float(mean))))
+    score = F.lit(0.0)
+    sums = []
+    for c in ("text", "text_unsigned"):
+        here, entire = F.col("col") == c, F.col("entire")
+        sums += [F.sum(F.when(here & entire, F.col("part")).otherwise(0.0)).alias(f"whole_{c}"), F.sum(F.when(here & ~entire, F.col("part")).otherwise(0.0)).alias(f"any_{c}"), F.count_if(here & ~entire).alias(f"hit_{c}")]
+        score = score + F.col(f"whole_{c}") + F.col(f"any_{c}") * F.when(F.col(f"hit_{c}") == F.col("n_tokens"), 2).otherwise(1)
+    return rows.groupBy("qid", "id", "n_tokens").agg(*sums).select("qid", "id", (-score).alias("bm25"))
+
+
+def bm25(records: DataFrame, queries: DataFrame, index=None, sizes: DataFrame | None = None) -> DataFrame:
     """(qid, id, bm25) of every record that has a content token of the query; less is better, as the index engine has it.
 
-    index holds the postings of records, sizes (id, d) their lengths; give the tables of a written index where many batches are asked.
+    index holds the postings of records, sizes (id, d) their lengths; give the tables of a written index where many batches are asked, or better the
+    segments of one (sources.segments.TermIndex).
     """
+    p = phrases(queries)
+    if hasattr(index, "matches"):
+        return _indexed_bm25(p, index)
     index = postings(records) if index is None else index
     sizes = index.groupBy("id").agg(F.count("*").alias("d")) if sizes is None else sizes
-    p = phrases(queries)
-    tf = _occurrences(p, asked_postings(index, p))
-    stats = records.select("id").join(sizes, "id", "left").agg(F.count("*").alias("n_rows"), (F.sum(F.coalesce("d", F.lit(0))) / F.count("*")).alias("mean"))
+    tf = _occurrences(p, asked_postings(index, p)).join(sizes, "id")
+    told = records.select("id").join(sizes, "id", "left").agg(F.count("*").alias("n_rows"), (F.sum(F.coalesce("d", F.lit(0))) / F.count("*")).alias("mean")).first()
+    stats = [F.lit(told["n_rows"]).alias("n_rows"), F.lit(float(told["mean"] or 0.0)).alias("mean")]
     tokens = p.where("tok >= 0").groupBy("qid").agg(F.count("*").alias("n_tokens"))
     df = tf.groupBy("qid", "tok", "col").agg(F.count("*").alias("df"))  # a row per phrase and column
-    rows = tf.join(df, ["qid", "tok", "col"]).join(sizes, "id").crossJoin(F.broadcast(stats)).join(tokens, "qid")  # stats is one row
-    idf = F.log((F.col("n_rows") - F.col("df") + 0.5) / (F.col("df") + 0.5))
-    idf = F.when(idf <= 0, LEAST_IDF).otherwise(idf)
-    part = idf * F.col("tf") * (K1 + 1) / (F.col("tf") + K1 * (1 - B + B * F.col("d") / F.col("mean")))
-    rows = rows.withColumn("part", part)
+    rows = tf.join(df, ["qid", "tok", "col"]).select("*", *stats).join(tokens, "qid")
+    rows = rows.withColumn("part", _part(F.col("n_rows"), F.col("mean")))
     per = rows.groupBy("qid", "id", "col", "n_tokens").agg(F.count_if(F.col("tok") >= 0).alias("hit"), F.coalesce(F.sum(F.when(F.col("tok") >= 0, F.col("part"))), F.lit(0.0)).alias("any"), F.coalesce(F.sum(F.when(F.col("tok") < 0, F.col("part"))), F.lit(0.0)).alias("whole"))
     per = per.withColumn("score", F.col("whole") + F.col("any") * F.when(F.col("hit") == F.col("n_tokens"), 2).otherwise(1))
     return per.groupBy("qid", "id").agg((-F.sum("score")).alias("bm25"))
@@ -119,14 +149,19 @@ def relevance(bm25_score: Column, confidence: Column, contained: Column) -> Colu
     return 0.7 / (1 + F.abs(bm25_score)) + 0.3 * confidence + F.when(contained, 0.5).otherwise(0.0)
 
 
-def _ranked(found: DataFrame, queries: DataFrame, top_k: int, entity_type: str | None, entity_first: bool) -> DataFrame:
-    """Hits from found (qid, bm25 and the columns of records): the best 2 top_k by bm25, of these those with the entity type, the best of each frame, and
-    the first top_k by relevance. entity_first asks for the entity before candidates are cut."""
-    has = F.lit(True) if entity_type is None else F.exists("entities", lambda e: F.upper(e.type) == entity_type.upper())
-    if entity_first:
-        found = found.where(has)
+def _best(found: DataFrame, top_k: int) -> DataFrame:
+    """The best 2 top_k of each query's by bm25 (qid, id, bm25, confidence), with their places _c."""
     best = (F.col("bm25"), F.col("confidence").desc(), F.col("id"))
-    found = found.withColumn("_c", F.row_number().over(Window.partitionBy("qid").orderBy(*best))).where(F.col("_c") <= 2 * top_k).where(has)
+    return found.withColumn("_c", F.row_number().over(Window.partitionBy("qid").orderBy(*best))).where(F.col("_c") <= 2 * top_k)
+
+
+def _has(entity_type: str | None) -> Column:
+    return F.lit(True) if entity_type is None else F.exists("entities", lambda e: F.upper(e.type) == entity_type.upper())
+
+
+def _ranked(best: DataFrame, queries: DataFrame, top_k: int, entity_type: str | None) -> DataFrame:
+    """Hits from the best candidates, with the columns of records: those with the entity type, the best of each frame, and the first top_k by relevance."""
+    found = best.where(_has(entity_type))
     found = found.withColumn("_f", F.row_number().over(Window.partitionBy("qid", "video_id", "frame_idx").orderBy("_c"))).where("_f = 1")
     found = found.withColumn("_k", F.row_number().over(Window.partitionBy("qid").orderBy("_c"))).where(F.col("_k") <= top_k)
     wanted = queries.select("qid", to_unsigned(clean_text(F.col("query"))).alias("_u"))
@@ -140,7 +175,7 @@ def _asked_of(records: DataFrame, min_confidence: float, video_id: str | None) -
     return rows if video_id is None else rows.where(F.col("video_id") == video_id)
 
 
-def search(records: DataFrame, queries: DataFrame, top_k: int = 100, video_id: str | None = None, entity_type: str | None = None, min_confidence: float = 0.30, entity_first: bool = False, index: DataFrame | None = None, sizes: DataFrame | None = None, substrings: bool = False) -> DataFrame:
+def search(records: DataFrame, queries: DataFrame, top_k: int = 100, video_id: str | None = None, entity_type: str | None = None, min_confidence: float = 0.30, entity_first: bool = False, index=None, sizes: DataFrame | None = None, substrings: bool = False) -> DataFrame:
     """Ranked hits of each query (qid, query) in records (id, video_id, frame_idx, text, text_unsigned, confidence, entities).
 
     Candidates are the best 2 top_k by BM25 among rows of enough confidence (and of the video); then the entity type is
@@ -149,8 +184,11 @@ def search(records: DataFrame, queries: DataFrame, top_k: int = 100, video_id: s
     """
     if substrings:
         return like_search(records, queries, top_k, video_id, entity_type, min_confidence, entity_first)
-    found = bm25(records, queries, index, sizes).join(_asked_of(records, min_confidence, video_id), "id")
-    return _ranked(found, queries, top_k, entity_type, entity_first)
+    slim = _asked_of(records, min_confidence, video_id)
+    slim = (slim.where(_has(entity_type)) if entity_first else slim).select("id", "confidence")
+    # candidates are cut before they get their texts
+    best = _best(bm25(records, queries, index, sizes).join(slim, "id"), top_k).drop("confidence")
+    return _ranked(best.join(records, "id"), queries, top_k, entity_type)
 
 
 CAPITALS, SMALL = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -172,7 +210,7 @@ def like_search(records: DataFrame, queries: DataFrame, top_k: int = 100, video_
     met = [F.when(like("_s", r["u"]) | like("_t", r["clean"]), F.lit(r["qid"]).cast(kind)) for r in asked]
     none = F.array().cast(f"array<{kind.simpleString()}>")
     found = rows.select("*", F.explode(F.array_compact(F.array(*met)) if met else none).alias("qid")).drop("_t", "_s").withColumn("bm25", F.lit(1.0))
-    return _ranked(found, queries, top_k, entity_type, entity_first)
+    return _ranked(_best(found.where(_has(entity_type)) if entity_first else found, top_k), queries, top_k, entity_type)
 
 
 def keyword_counts(records: DataFrame, words: list[str]) -> DataFrame:
