@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import gc
 import tempfile
+import time
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -62,9 +63,12 @@ class Scratch:
         return self.spark.read.schema(df.schema).parquet(self.path(table))
 
     def release(self) -> None:
-        """Let Spark delete the shuffle files of finished jobs: it does so when the driver has collected what stood for them."""
-        gc.collect()
-        self.spark._jvm.System.gc()
+        """Let Spark delete the shuffle files of finished jobs: it does so when the driver has collected what stood for them. What Python lets go
+        of reaches the JVM a little later, so that a second round finds more."""
+        for _ in range(2):
+            gc.collect()
+            self.spark._jvm.System.gc()
+            time.sleep(0.5)
 
     def drop(self, *tables: str) -> None:
         """Delete tables that nothing will read again."""

@@ -29,7 +29,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from .hashing import U, chunks, lanes, mix, text_buffers, trimmed, word_hashes
 from .scratch import Scratch
@@ -341,12 +341,12 @@ def marks_of(texts: DataFrame, length: int, gram: int, words: bool, across: bool
         spots = kinds.select("spot.*", F.least("n", F.lit(2)).cast("int").alias("n"))
     spots = spots.groupBy("th").agg(F.collect_list(F.struct("pos", "l0", "l1", "n")).alias("spots"))
     windows = texts.join(spots.hint("shuffle_hash"), "th").mapInArrow(_windows(length, gram, words), "h long, h2 int, th long, i long, open boolean")
-    windows = scratch.write(windows, f"{tag}-windows")
     place = F.col("th") if across else F.xxhash64("th", "i")
-    twice = windows.groupBy("h", "h2").agg(F.min(place).alias("x"), F.max(place).alias("y")).where("x <> y").select("h", "h2")
-    some = windows.where("open").join(twice, ["h", "h2"], "left_semi").select("th", F.col("i").alias("a"), (F.col("i") + length).alias("b"))
+    # one exchange of windows, which are not written otherwise
+    equal = Window.partitionBy("h", "h2")
+    some = windows.withColumns({"x": F.min(place).over(equal), "y": F.max(place).over(equal)}).where("open and x <> y").select("th", F.col("i").alias("a"), (F.col("i") + length).alias("b"))
     marks = scratch.write(sure.unionByName(some).groupBy("th").agg(F.collect_list(F.struct("a", "b")).alias("marks")), f"{tag}-marks")
-    scratch.drop(*(f"{tag}-{n}" for n in ("found", "windows", "kinds")))
+    scratch.drop(*(f"{tag}-{n}" for n in ("found", "kinds")))
     return marks
 
 
