@@ -1,8 +1,7 @@
-"""Vectorised hashing of words and byte windows over Arrow text buffers.
+"""Vectorised hashing of words and byte ranges over Arrow text buffers.
 
-A text is a run of bytes b. With a random 64-bit table T and an odd base M the prefix sums
-P[i] = sum_{j<i} T[b_j] * M^j (mod 2^64) give the hash of any substring as (P[e] - P[s]) * M^-s,
-which does not depend on where the substring stands. All steps are numpy array operations.
+A range goes through a mixing function eight bytes at a time, so that hashes have no algebraic structure; words longer than LONG_WORD are
+hashed one by one with BLAKE2. All steps but these are numpy array operations.
 """
 
 from __future__ import annotations
@@ -18,8 +17,6 @@ import pyarrow as pa
 
 U = np.uint64
 PIECE = 1 << 18
-_BASE = 0x9E3779B97F4A7C15
-_powers: dict[str, np.ndarray] = {}
 
 
 def release_memory() -> None:
@@ -52,32 +49,6 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> U(31))
 
 
-def byte_table(fold_case: bool) -> np.ndarray:
-    """Random words for the 256 bytes; with fold_case, A-Z have those of a-z."""
-    table = mix(np.arange(1, 257, dtype=U) * U(0xD1342543DE82EF95))
-    if fold_case:
-        table[65:91] = table[97:123]
-    return table
-
-
-def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """M^0..M^(n-1) and their inverses modulo 2^64."""
-    if len(_powers.get("up", ())) < n:
-        size = max(n, PIECE + 4096)
-        for name, base in (("up", _BASE), ("down", pow(_BASE, -1, 1 << 64))):
-            steps = np.full(size, base, U)
-            steps[0] = 1
-            _powers[name] = np.cumprod(steps)
-    return _powers["up"][:n], _powers["down"][:n]
-
-
-def prefix_sums(data: np.ndarray, table: np.ndarray) -> np.ndarray:
-    """P[0..n] of the bytes."""
-    out = np.zeros(len(data) + 1, U)
-    np.cumsum(table[data] * powers(len(data))[0], out=out[1:])
-    return out
-
-
 def text_buffers(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """UTF-8 bytes of a string column, one text after the other, and the n+1 offsets; null counts as empty."""
     if col.null_count:
