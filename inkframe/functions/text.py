@@ -6,11 +6,12 @@ import functools
 import re
 import unicodedata
 from collections import Counter
+from collections.abc import Callable, Iterator
 from difflib import SequenceMatcher
 
 import pandas as pd
 from pyspark.sql import Column, functions as F, types as T
-from pyspark.sql.functions import pandas_udf
+from pyspark.sql.functions import pandas_udf, udtf
 
 TONES = ["", "̀", "́", "̉", "̃", "̣"]
 
@@ -99,38 +100,89 @@ def query_tokens(unsigned: Column) -> Column:
     return F.when(F.size(content) > 0, content).otherwise(words)
 
 
+#: A letter, digit or underscore, and the edge of a run of them. Java's own \b counts combining marks in, Python's does not.
+#: Java looks behind by 16-bit units: {1,2} lets it find one character of two of them.
+WORD = r"[\p{L}\p{N}_]"
+EDGE = f"(?:(?<!{WORD}{{1,2}})(?={WORD})|(?<={WORD}{{1,2}})(?!{WORD}))"
+BLOCK = 256
+
+
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """body(value) with value computed once, also where body names it inside other lambdas."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def running_sums(lengths: Column) -> Column:
+    """The sum of each int and all before it. Folds copy what they append to, so blocks are summed first, then summed up inside."""
+
+    def sums(a: Column, start: Column) -> Column:
+        zero = F.struct(start.alias("t"), F.array().cast("array<int>").alias("r"))
+        return F.aggregate(a, zero, lambda s, x: F.struct((s["t"] + x).alias("t"), F.concat(s["r"], F.array(s["t"] + x)).alias("r")), lambda s: s["r"])
+
+    def blocks(a: Column) -> Column:
+        return F.transform(F.sequence(F.lit(0), ((F.size(a) - 1) / BLOCK).cast("int")), lambda b: F.slice(a, b * BLOCK + 1, F.lit(BLOCK)))
+
+    def joined(parts: Column) -> Column:
+        totals = F.transform(parts, lambda p: F.aggregate(p, F.lit(0), lambda s, x: s + x))
+        return F.flatten(let(sums(totals, F.lit(0)), lambda ends: F.transform(parts, lambda p, i: sums(p, F.coalesce(F.get(ends, i - 1), F.lit(0))))))
+
+    return let(lengths, lambda a: F.when(F.size(a) > 0, let(blocks(a), joined)).otherwise(F.array().cast("array<int>")))
+
+
+def _pattern(kind: str) -> Column:
+    pattern, cased = ENTITY_PATTERNS[kind]
+    # all entities begin with a digit or +, which is looked for first
+    return F.lit(("(?U)" if cased else "(?iuU)") + r"(?=[\d+])" + pattern.replace(r"\b", EDGE))
+
+
+def _where_digits(c: Column, of: Callable[[str, Column], Column], kind: str) -> Column:
+    """Entities of all types, listed by type; a text without a digit, also a null, has none."""
+    return let(F.coalesce(c, F.lit("")), lambda s: F.when(s.rlike(r"\p{Nd}"), F.concat(*[of(k, s) for k in ENTITY_PATTERNS])).otherwise(F.array().cast(kind)))
+
+
 def entity_values(c: Column) -> Column:
-    """array<struct<type, value>> of all entities, by built-in functions alone."""
-    parts = []
-    for kind, (pattern, cased) in ENTITY_PATTERNS.items():
-        found = F.regexp_extract_all(F.coalesce(c, F.lit("")), F.lit(("(?U)" if cased else "(?iuU)") + pattern), F.lit(1))
-        parts.append(F.transform(found, _typed(kind)))
-    return F.concat(*parts)
+    """array<struct<type, value>> of all entities."""
+
+    def of(kind: str, s: Column) -> Column:
+        return F.transform(F.regexp_extract_all(s, _pattern(kind), F.lit(1)), lambda v: F.struct(F.lit(kind).alias("type"), (F.upper(v) if kind == "LICENSE_PLATE" else v).alias("value")))
 
+    return _where_digits(c, of, "array<struct<type: string, value: string>>")
 
-def _typed(kind: str):
-    def entity(v: Column) -> Column:
-        return F.struct(F.lit(kind).alias("type"), (F.upper(v) if kind == "LICENSE_PLATE" else v).alias("value"))
 
-    return entity
+def extract_entities(c: Column) -> Column:
+    """array<struct<type, value, span>>: entities with the span of each in characters, by built-in functions alone.
+
+    Texts between entities and entities alternate, so a start is the sum of all lengths before it.
+    """
+
+    def of(kind: str, s: Column) -> Column:
+        def spans(values: Column) -> Column:
+            steps = F.transform(F.slice(F.split(s, _pattern(kind), -1), F.lit(1), F.size(values)), lambda p, i: F.char_length(p) + F.coalesce(F.char_length(F.get(values, i - 1)), F.lit(0)))
+            return F.zip_with(values, running_sums(steps), lambda v, at: F.struct(F.lit(kind).alias("type"), (F.upper(v) if kind == "LICENSE_PLATE" else v).alias("value"), F.struct(at.alias("start"), (at + F.char_length(v)).alias("end")).alias("span")))
+
+        return let(F.regexp_extract_all(s, _pattern(kind), F.lit(1)), spans)
+
+    return _where_digits(c, of, f"array<{ENTITY.simpleString()}>")
 
 
 _COMPILED = {k: re.compile(p, 0 if cased else re.IGNORECASE) for k, (p, cased) in ENTITY_PATTERNS.items()}
 
 
-@pandas_udf(T.ArrayType(ENTITY))
-def extract_entities(texts: pd.Series) -> pd.Series:
-    """Entities with the character span of each."""
+def plain_entities(text: str | None) -> Iterator[tuple]:
+    """pos, type, value, start, end of the entities of one text, by Python's re."""
+    pos = 0
+    for kind, pattern in _COMPILED.items():
+        for m in pattern.finditer(text or ""):
+            yield pos, kind, m.group(1).upper() if kind == "LICENSE_PLATE" else m.group(1), m.start(), m.end()
+            pos += 1
+
 
-    def one(text: str | None) -> list[dict]:
-        out = []
-        for kind, pattern in _COMPILED.items():
-            for m in pattern.finditer(text or ""):
-                value = m.group(1).upper() if kind == "LICENSE_PLATE" else m.group(1)
-                out.append({"type": kind, "value": value, "span": {"start": m.start(), "end": m.end()}})
-        return out
+@udtf(returnType="pos: int, type: string, value: string, start: int, `end`: int")
+class TextEntities:
+    """Entities of one text as rows, for LATERAL joins in SQL."""
 
-    return texts.map(one, na_action=None)
+    def eval(self, text: str):
+        yield from plain_entities(text)
 
 
 def similarity(a: str | None, b: str | None) -> float:
@@ -179,6 +231,19 @@ def clean_answer(c: Column, most: int = 100) -> Column:
 
 
 def register(spark) -> None:
-    """The Python functions under SQL names."""
-    for name, f in {"vn_nfc": nfc, "text_ratio": text_similarity, "extract_entities": extract_entities}.items():
+    """Functions for SQL: vn_nfc, text_ratio; the table function text_entities; vn_clean, vn_strip, vn_normal, vn_plain, vn_unsigned and vn_marks, which are SQL themselves
+    (only texts beyond ASCII go to Python, for their normal form). They last as long as the session."""
+    for name, f in {"vn_nfc": nfc, "text_ratio": text_similarity}.items():
         spark.udf.register(name, f)
+    spark.udtf.register("text_entities", TextEntities)
+    white = f"'{''.join(f'{chr(92)}u{ord(c):04x}' for c in WHITE)}'"
+    bodies = {
+        "vn_strip": f"btrim(coalesce(s, ''), {white})",
+        "vn_normal": "CASE WHEN octet_length(s) = char_length(s) THEN vn_strip(s) ELSE vn_nfc(vn_strip(s)) END",
+        "vn_clean": r"vn_strip(regexp_replace(regexp_replace(coalesce(vn_normal(s), ''), '[\\x00-\\x1f\\x7f-\\x9f]', ''), '(?U)\\s+', ' '))",
+        "vn_plain": f"translate(s, '{MARKED}', '{PLAIN}')",
+        "vn_unsigned": "vn_strip(lower(vn_plain(coalesce(vn_normal(s), ''))))",
+    }
+    for name, body in bodies.items():
+        spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION {name}(s STRING) RETURNS STRING RETURN {body}")
+    spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION vn_marks(s STRING) RETURNS INT RETURN char_length(regexp_replace(lower(coalesce(s, '')), '[^{LOWER_MARKED}]', ''))")

@@ -71,20 +71,63 @@ def _documents_and_signs(spark, t, text) -> DataFrame:
     return t("documents").select(F.col("doc_id").cast("string").alias("k"), text.alias("s")).unionByName(_values(spark, "s", SIGNS).select(F.concat(F.lit("sign"), "k").alias("k"), "s"))
 
 
-@query()
+#: The entity patterns where both edges of each run of word characters are marked by the characters 1 and 2, as SQL has no look-around.
+_MARK = "\\x01\\x02"
+_SQL_PATTERNS = {
+    "PRICE": rf"(?i)\x02(\p{{Nd}}+(?:{_MARK}[.,]{_MARK}\p{{Nd}}+)?(?:{_MARK} +{_MARK})?(?:k|vnđ|vnd|đ|nghìn|ngàn|triệu|tr))\x01",
+    "LICENSE_PLATE": rf"(?i)\x02([0-9]{{2}}(?:{_MARK}[- ]{_MARK})?[A-Z]{{1,2}}[0-9]?(?:{_MARK}[- ]{_MARK})?[0-9]{{3,5}}(?:{_MARK}\.{_MARK}[0-9]{{2}})?)\x01",
+    "PHONE_NUMBER": rf"\x02((?:0|\+{_MARK}84)[235789][0-9]{{8}})\x01",
+    "TIME": rf"(?i)\x02([0-2]?[0-9](?:h|{_MARK}:{_MARK})[0-5][0-9](?:{_MARK}:{_MARK}[0-5][0-9])?)\x01",
+    "NUMBER": rf"\x02(\p{{Nd}}+(?:{_MARK}\.{_MARK}\p{{Nd}}+)?)\x01",
+}
+
+
+def _entities_sql(texts: str) -> str:
+    """CTEs ending in e(rid, k, o, i, type, value, piece): entities of texts (k, s), and how many characters lie between one and the next."""
+    bare = "translate({0}, chr(1) || chr(2), '')"
+    kinds = " UNION ALL ".join(
+        f"SELECT rid, k, {o} AS o, '{kind}' AS type, [{bare.format('upper(x)' if kind == 'LICENSE_PLATE' else 'x')} FOR x IN regexp_extract_all(m, '{p}', 1)] AS v, [length({bare.format('x')}) FOR x IN string_split_regex(m, '{p}')] AS pieces FROM marked"
+        for o, (kind, p) in enumerate(_SQL_PATTERNS.items())
+    )
+    return rf"""WITH texts AS ({texts}),
+marked AS (SELECT row_number() OVER () AS rid, k, regexp_replace(s, '([\p{{L}}\p{{N}}_]+)', chr(1) || chr(2) || '\1' || chr(1) || chr(2), 'g') AS m FROM texts), kinds AS ({kinds}),
+e AS (SELECT rid, k, o, type, generate_subscripts(v, 1) AS i, unnest(v) AS value, unnest(pieces[1:len(v)]) AS piece FROM kinds WHERE len(v) > 0)"""
+
+
+_DOCUMENT_ENTITIES_SQL = _entities_sql(f"SELECT CAST(doc_id AS VARCHAR) AS k, {_clean_sql('text')} AS s FROM documents")
+_SPANS_SQL = """, placed AS (SELECT rid, k, o, i, type, value, sum(piece + coalesce(gone, 0)) OVER (PARTITION BY rid, o ORDER BY i) AS start FROM (SELECT *, lag(length(value)) OVER (PARTITION BY rid, o ORDER BY i) AS gone FROM e))
+SELECT k, CAST(row_number() OVER (PARTITION BY rid ORDER BY o, i) - 1 AS INTEGER) AS pos, type, value, CAST(start AS INTEGER) AS start, CAST(start + length(value) AS INTEGER) AS "end" FROM placed"""
+_SIGNS_SQL = f" UNION ALL SELECT 'sign' || k, s FROM {_sql_values('s', SIGNS)}"
+
+
+@query(_entities_sql(f"SELECT CAST(doc_id AS VARCHAR) AS k, {_clean_sql('text')} AS s FROM documents{_SIGNS_SQL}") + _SPANS_SQL)
 def entity_spans(spark, t):
     """T4-T9 with spans, over documents and signs."""
-    rows = t("documents").select(F.col("doc_id").cast("string").alias("k"), X.clean_text(F.col("text")).alias("s")).unionByName(_values(spark, "s", SIGNS).select(F.concat(F.lit("sign"), "k").alias("k"), "s"))
+    rows = _documents_and_signs(spark, t, X.clean_text(F.col("text")))
     return rows.select("k", F.posexplode(X.extract_entities(F.col("s"))).alias("pos", "e")).select("k", "pos", "e.type", "e.value", F.col("e.span.start").alias("start"), F.col("e.span.end").alias("end"))
 
 
-@query()
+@query(_entities_sql(f"SELECT CAST(doc_id AS VARCHAR) AS k, {_clean_sql('text')} AS s FROM documents{_SIGNS_SQL}") + " SELECT type, count(*) AS n, count(DISTINCT value) AS n_values FROM e GROUP BY type")
 def entity_counts(spark, t):
     """Entities of documents and signs by type."""
     rows = _documents_and_signs(spark, t, X.clean_text(F.col("text"))).select(F.lit("v").alias("video_id"), F.col("k").alias("frame_idx"), F.lit("").alias("timestamp_str"), F.col("k").alias("id"), X.entity_values(F.col("s")).alias("entities"))
     return D.entity_counts(rows)
 
 
+@query(_DOCUMENT_ENTITIES_SQL + _SPANS_SQL)
+def lateral_entities(spark, t):
+    """T4-T9 in SQL alone: a table function joined laterally to the cleaned texts."""
+    X.register(spark)
+    return spark.sql("SELECT CAST(d.doc_id AS STRING) AS k, e.pos, e.type, e.value, e.start, e.end FROM (SELECT doc_id, vn_clean(text) AS s FROM {docs}) d, LATERAL text_entities(d.s) e", docs=t("documents"))
+
+
+@query(f"SELECT source, {_plain_sql(_clean_sql('text'))} = {_plain_sql('nfc_normalize(text)')} AS same, count(*) AS n, sum(length(regexp_replace(lower(text), '[^{X.LOWER_MARKED}]', '', 'g'))) AS marks FROM (SELECT source, coalesce(text, '') AS text FROM documents) GROUP BY ALL")
+def sql_functions(spark, t):
+    """T1-T3, M8 in SQL alone: how many texts of each source cleaning leaves the same in search form, and their letters with marks."""
+    X.register(spark)
+    return spark.sql("SELECT source, vn_unsigned(vn_clean(text)) = vn_unsigned(text) AS same, count(*) AS n, sum(vn_marks(text)) AS marks FROM {docs} GROUP BY ALL", docs=t("documents"))
+
+
 NAMES = ["L21_V001/keyframe_75.webp", "L21_V001_150.jpg", "frame_0150.png", "a/b/0042.webp", "cover.jpg", "Keyframe_9x8.JPG"]
 
 

@@ -1,4 +1,4 @@
-import sqlite3  # noqa: F401  (used by test_search)
+import random
 
 from pyspark.sql import functions as F
 
@@ -36,6 +36,27 @@ def test_entities(spark):
     assert all(texts[i][e["span"]["start"] : e["span"]["end"]].upper() == e["value"].upper() for i, r in enumerate(spans) for e in r)
 
 
+def test_entities_equal_plain_patterns(spark):
+    """Native spans against Python's re, on random texts of what patterns and word edges are made of."""
+    rng = random.Random(5)
+    parts = ["4", "0912345678", "+84912345678", "51F", "-", " ", ".", ",", ":", "h", "k", "K", "đ", "Đ", "nghìn", "tr", "a", "_", "\u0301", "²", "٣", "𝟡", "é", "(", "59-X3 123.45", "7h30", "21:15:00", "12.5", "\u00a0", "😀"]
+    texts = ["".join(rng.choices(parts, k=rng.randint(0, 14))) for _ in range(3000)] + [None, "", "1 " * 5000, "9k " * 1300 + "x"]
+    plain = [[r[1:] for r in X.plain_entities(t)] for t in texts]
+    assert [[(e["type"], e["value"], e["span"]["start"], e["span"]["end"]) for e in r] for r in col(spark, texts, X.extract_entities)] == plain
+    assert [[(e["type"], e["value"]) for e in r] for r in col(spark, texts, X.entity_values)] == [[e[:2] for e in r] for r in plain]
+
+
+def test_sql_functions(spark):
+    X.register(spark)
+    texts = ["Cơm\tTấm  Ba", " ñandú\u00a0", None, "", "Quán 45k"]
+    spark.createDataFrame(list(enumerate(texts)), "k int, s string").createOrReplaceTempView("signs_of_test")
+    rows = spark.sql("SELECT k, vn_clean(s) AS c, vn_unsigned(s) AS u, vn_marks(s) AS m FROM signs_of_test ORDER BY k").collect()
+    assert [r["c"] for r in rows] == col(spark, texts, X.clean_text) and [r["u"] for r in rows] == col(spark, texts, X.to_unsigned)
+    assert [r["m"] for r in rows] == col(spark, texts, X.diacritics)
+    found = spark.sql("SELECT k, e.* FROM signs_of_test, LATERAL text_entities(s) e ORDER BY k, pos").collect()
+    assert [tuple(r) for r in found] == [(4, 0, "PRICE", "45k", 5, 8)]
+
+
 def test_similarity(spark):
     assert X.similarity("CƠM TẤM BA GHIỀN", "COM TAM BA GHIEN") == 0.8125
     assert X.similarity("", "a") == 0 and X.similarity("  ", " ") == 1 and X.similarity(None, "a") == 0
