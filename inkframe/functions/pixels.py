@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 import numpy as np
 
 #: sRGB to XYZ (D65), and the white point.
@@ -76,6 +78,8 @@ def from_lab(lab: np.ndarray) -> np.ndarray:
 
 def contrasted(rgb: np.ndarray, clip: float = 2.0, grid: tuple[int, int] = (8, 8)) -> np.ndarray:
     """The image with its lightness equalised; colours stay."""
+    if rgb.ndim == 2:
+        return equalized(rgb, clip, grid)
     lab = to_lab(rgb)
     lab[..., 0] = equalized(lab[..., 0], clip, grid)
     return from_lab(lab)
@@ -142,6 +146,18 @@ def rectified(image: np.ndarray, polygon: np.ndarray) -> np.ndarray:
     return np.clip(np.round(out), 0, 255).astype(np.uint8)
 
 
+def netpbm(content: bytes) -> np.ndarray:
+    """A binary gray (P5) or colour (P6) map of 8-bit samples. ValueError if the bytes are none, or too few."""
+    head = re.match(rb"P([56])\s+(\d+)\s+(\d+)\s+255\s", content)
+    if head is None:
+        raise ValueError("no 8-bit binary map")
+    kind, w, h = (int(x) for x in head.groups())
+    shape = (h, w) if kind == 5 else (h, w, 3)
+    if not w or not h or len(content) - head.end() < np.prod(shape):
+        raise ValueError("a map of too few bytes")
+    return np.frombuffer(content, np.uint8, int(np.prod(shape)), head.end()).reshape(shape)
+
+
 def prepared(rgb: np.ndarray, most: int = 1600, least: int = 640, blurry_below: float = 40.0, contrast: bool = True) -> dict:
     """image, scale, blur_score, is_blurry: sharpness is that of the input; then contrast, then size."""
     score = laplacian_variance(rgb)

@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Callable, Iterator
 from typing import Protocol
 
 import numpy as np
 import pandas as pd
+from pyspark.resource import ExecutorResourceRequests, ResourceProfile, ResourceProfileBuilder, TaskResourceRequests
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 from pyspark.sql.functions import pandas_udf
 
+from ..functions import pixels
 from ..functions.spatial import hybrid_vote, polygon_box, recognized, rescale_polygon, usable_polygon
 from ..functions.text import clean_text, extract_entities, unsigned_of_clean
 
@@ -46,10 +49,31 @@ def _found(reader: FrameReader, images: list[bytes]) -> list[dict]:
     return out
 
 
-def read_images(images: DataFrame, make: Callable[[], FrameReader], key: str, batch_size: int = 16) -> DataFrame:
+def first_that_works(*choices: Callable[[], FrameReader]) -> Callable[[], FrameReader]:
+    """A make for read_images: the first choice that can be made on a worker, such as one on its device before one without. The last one's error counts."""
+
+    def make() -> FrameReader:
+        for choice in choices[:-1]:
+            try:
+                return choice()
+            except Exception as e:
+                warnings.warn(f"{getattr(choice, '__name__', choice)}: {e!r}; the next choice is taken", stacklevel=2)
+        return choices[-1]()
+
+    return make
+
+
+def device_profile(device: str = "gpu", a_task: float = 1.0, an_executor: int = 1, cores: int = 4, script: str = "") -> ResourceProfile:
+    """What the stage of a model asks of the cluster: executors with devices, and the part of one that a task has."""
+    executor = ExecutorResourceRequests().cores(cores).resource(device, an_executor, script)
+    return ResourceProfileBuilder().require(executor).require(TaskResourceRequests().cpus(1).resource(device, a_task)).build
+
+
+def read_images(images: DataFrame, make: Callable[[], FrameReader], key: str, batch_size: int = 16, profile: ResourceProfile | None = None) -> DataFrame:
     """images (path, content) -> a row per text line, and one with an error for each image that is missing, empty or unreadable.
 
     make() runs once per worker; a failing model fails the task. Up to batch_size images are read at a time.
+    With a profile (device_profile) the stage is scheduled by it, where the cluster manager can.
     """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -68,7 +92,63 @@ def read_images(images: DataFrame, make: Callable[[], FrameReader], key: str, ba
                         rows.append((path, found["width"], found["height"], found.get("scale", 1.0), i, line["polygon"], line.get("printed"), line.get("printed_conf"), line.get("marked"), line.get("marked_conf"), None))
             yield pd.DataFrame(rows, columns=[c.split()[0] for c in LINES.split(", ")]).astype({"width": "Int32", "height": "Int32", "ord": "Int64", "scale": "Float64", "printed_conf": "Float64", "marked_conf": "Float64"})
 
-    return images.select("path", "content").mapInPandas(run, LINES)
+    return images.select("path", "content").mapInPandas(run, LINES, profile=profile)
+
+
+PREPARED = "path string, pixels binary, width int, height int, channels int, scale double, blur_score double, is_blurry boolean, error string"
+CROPS = "path string, ord int, pixels binary, width int, height int, channels int, error string"
+
+
+def _decoded(content: bytes | None, decode: Callable[[bytes], np.ndarray]) -> tuple[np.ndarray | None, str | None]:
+    if not content:
+        return None, EMPTY
+    try:
+        return decode(content), None
+    except ValueError as e:
+        return None, str(e) or EMPTY
+
+
+def _flat(image: np.ndarray) -> tuple[bytes, int, int, int]:
+    return image.tobytes(), image.shape[1], image.shape[0], 1 if image.ndim == 2 else image.shape[2]
+
+
+def prepare_images(images: DataFrame, decode: Callable[[bytes], np.ndarray] = pixels.netpbm, **options) -> DataFrame:
+    """images (path, content) -> a row each: the pixels that a detector takes (contrast, then size), row by row, their shape and scale, and the sharpness of
+    the input; or an error. decode gives uint8 arrays, or raises ValueError. options are those of pixels.prepared. One image is held at a time.
+    """
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for path, content in zip(batch["path"], batch["content"], strict=True):
+                image, error = _decoded(content, decode)
+                if image is None:
+                    row = (path, None, None, None, None, None, None, None, error)
+                else:
+                    found = pixels.prepared(image, **options)
+                    row = (path, *_flat(found["image"]), found["scale"], found["blur_score"], bool(found["is_blurry"]), None)
+                yield pd.DataFrame([row], columns=[c.split()[0] for c in PREPARED.split(", ")])
+
+    return images.select("path", "content").mapInPandas(run, PREPARED)
+
+
+def crop_lines(images: DataFrame, decode: Callable[[bytes], np.ndarray] = pixels.netpbm) -> DataFrame:
+    """images (path, content, polygons: four corners each) -> a row per polygon: that part of the image as an upright rectangle. An image that cannot be
+    read has one row, with an error; one without polygons none."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        names = [c.split()[0] for c in CROPS.split(", ")]
+        for batch in batches:
+            for path, content, polygons in zip(batch["path"], batch["content"], batch["polygons"], strict=True):
+                if polygons is None or not len(polygons):
+                    continue
+                image, error = _decoded(content, decode)
+                if image is None:
+                    yield pd.DataFrame([(path, None, None, None, None, None, error)], columns=names)
+                    continue
+                for i, polygon in enumerate(polygons):
+                    yield pd.DataFrame([(path, i, *_flat(pixels.rectified(image, np.array([list(p) for p in polygon]))), None)], columns=names)
+
+    return images.select("path", "content", "polygons").mapInPandas(run, CROPS)
 
 
 def detections(lines: DataFrame, min_area: float = 80.0, min_confidence: float = 0.40) -> DataFrame:
@@ -82,7 +162,7 @@ def detections(lines: DataFrame, min_area: float = 80.0, min_confidence: float =
 
 
 @pandas_udf(T.DoubleType())
-def blur_score(pixels: pd.Series, width: pd.Series, height: pd.Series) -> pd.Series:
+def blur_score(raws: pd.Series, width: pd.Series, height: pd.Series) -> pd.Series:
     """Variance of the four-neighbour Laplacian of gray images (bytes, row by row); 0 for an empty image."""
 
     def one(raw: bytes | None, w: int, h: int) -> float:
@@ -91,7 +171,7 @@ def blur_score(pixels: pd.Series, width: pd.Series, height: pd.Series) -> pd.Ser
         g = np.pad(np.frombuffer(raw, np.uint8).reshape(h, w).astype(np.float64), 1, mode="reflect" if min(w, h) > 1 else "edge")
         return float((g[:-2, 1:-1] + g[2:, 1:-1] + g[1:-1, :-2] + g[1:-1, 2:] - 4 * g[1:-1, 1:-1]).var())
 
-    return pd.Series([one(p, w, h) for p, w, h in zip(pixels, width, height, strict=True)], dtype="float64")
+    return pd.Series([one(p, w, h) for p, w, h in zip(raws, width, height, strict=True)], dtype="float64")
 
 
 def is_blurry(score: Column, least: float = 40.0) -> Column:

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .functions import spatial as G, text as X
 from .operators import documents as D, evaluate as E, frames as P, packaging as K, search as Q, tracks as R
+from .plans import vision as V
 from .ship import ensure_shipped
 
 QUERIES, ORACLE = {}, {}
@@ -469,6 +470,18 @@ def index_terms(spark, t):
     return t("documents").select("doc_id", ts.alias("ts")).select("doc_id", F.size("ts").alias("n"), F.array_join("ts", " ").alias("terms"))
 
 
+@query()
+def image_preparation(spark, t):
+    """M1-M5: the bytes of each whole text as a gray image 64 wide (the last row filled up with zeros), prepared for a detector of sides 24 to 96; its pixels by
+    their digest. An empty text is no image. Tested against a plain loop."""
+    size = F.coalesce(F.octet_length("text"), F.lit(0))
+    high = F.ceil(size / 64).cast("int")
+    content = F.when(size > 0, F.concat(F.encode(F.concat(F.lit("P5 64 "), high.cast("string"), F.lit(" 255\n")), "utf-8"), F.rpad(F.encode("text", "utf-8"), high * 64, F.lit(b"\x00"))))
+    images = t("documents").select(F.col("doc_id").cast("string").alias("path"), content.alias("content"))
+    rows = V.prepare_images(images, most=96, least=24)
+    return rows.select(F.col("path").cast("bigint").alias("doc_id"), "width", "height", "channels", "scale", "blur_score", "is_blurry", "error", F.sha2("pixels", 256).alias("pixels_sha256"))
+
+
 @query("""SELECT p_partkey, CASE WHEN greatest(w, h) <= 1600 AND least(w, h) <= 640 THEN 1.0 ELSE round(1600.0::DOUBLE / greatest(w, h), 6) END AS scale, CASE WHEN greatest(w, h) <= 1600 AND least(w, h) <= 640 THEN w ELSE CAST(trunc(w * (1600.0::DOUBLE / greatest(w, h))) AS INT) END AS width
 FROM (SELECT p_partkey, CAST(p_partkey * 13 % 2400 + 40 AS INT) AS w, CAST(p_size * 31 + 20 AS INT) AS h FROM part)""")
 def detection_sizes(spark, t):

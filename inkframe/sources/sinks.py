@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-import json
-
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..operators.documents import bulk_lines, frame_documents
 from ..operators.search import postings
 from .readers import checkpoint_records
+from .single_file import write_single_file
 
 
 def flat_records(records: DataFrame) -> DataFrame:
@@ -135,21 +134,10 @@ def keyed_documents(records: DataFrame) -> DataFrame:
 
 
 def write_keyed_documents(records: DataFrame, path: str) -> None:
-    """One JSON object of all frame documents by frame_id, in the order of their first records, at a path of any store that Spark writes.
-
-    A single file has a single writer: rows come to it a partition at a time. For more than one reader's worth, write_frame_documents.
-    """
-    spark = records.sparkSession
-    at = spark._jvm.org.apache.hadoop.fs.Path(path)
-    out = at.getFileSystem(spark._jsc.hadoopConfiguration()).create(at, True)
-    try:
-        first = True
-        for r in keyed_documents(records).orderBy("id").toLocalIterator():
-            out.write(bytearray((("{" if first else ",") + "\n" + json.dumps(r["frame_id"], ensure_ascii=False) + ": " + r["document"]).encode()))
-            first = False
-        out.write(bytearray(("{}" if first else "\n}").encode()))
-    finally:
-        out.close()
+    """One JSON object of all frame documents by frame_id, in the order of their first records. Tasks write parts and the commit joins them."""
+    key = F.to_json(F.array(F.coalesce("frame_id", F.lit(""))))
+    entry = F.concat(F.substring(key, F.lit(2), F.char_length(key) - 2), F.lit(": "), "document")
+    write_single_file(keyed_documents(records).select("id", entry.alias("text")), path, ["id"], head="{\n", between=",\n", tail="\n}", empty="{}")
 
 
 def write_bulk(records: DataFrame, path: str, index: str = "frames_ocr") -> None:

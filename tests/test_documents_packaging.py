@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from inkframe.functions import spatial as G
 from inkframe.operators import documents as D, packaging as K
 from inkframe.sources import readers, sinks
+from inkframe.sources.single_file import write_single_file
 
 E = "array<struct<type: string, value: string>>"
 KIND = f"id long, frame_id string, video_id string, frame_idx long, timestamp double, timestamp_str string, youtube_url string, text string, bbox_ymin double, bbox_xmin double, bbox_ymax double, bbox_xmax double, entities {E}, occurrences long"
@@ -90,6 +91,19 @@ def test_documents_in_one_object(spark, tmp_path):
     assert json.loads((tmp_path / "none.json").read_text()) == {}
 
 
+def test_single_file_of_many_tasks(spark, tmp_path):
+    at = tmp_path / "whole.txt"
+    rows = spark.range(5000).select("id", F.concat(F.lit("é"), F.col("id").cast("string")).alias("text"))
+    write_single_file(rows.repartition(7), str(at), ["id"], head="[", between=",", tail="]")
+    assert at.read_text(encoding="utf-8") == "[" + ",".join(f"é{i}" for i in range(5000)) + "]"
+    fails = rows.withColumn("text", F.when(F.col("id") == 4321, F.raise_error(F.lit("broken"))).otherwise(F.col("text")))
+    with pytest.raises(Exception, match="broken"):
+        write_single_file(fails, str(at), ["id"])
+    assert [p.name for p in tmp_path.iterdir()] == ["whole.txt"] and at.stat().st_size > 5000  # no parts, and the older file is whole
+    write_single_file(rows.limit(0), f"file://{at}", ["id"], empty="none")
+    assert at.read_text() == "none"
+
+
 def test_open_index(spark, tmp_path):
     from inkframe.operators import search as Q
 

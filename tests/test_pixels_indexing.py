@@ -4,6 +4,7 @@ import json
 import sys
 
 import numpy as np
+import pytest
 from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
@@ -153,3 +154,52 @@ def test_late_events_are_dropped(spark, tmp_path):
     q.awaitTermination()
     found = spark.table("late").collect()
     assert sorted(r["occurrences"] for r in found) == [1] * len(found) and len(found) >= 2
+
+
+def test_prepared_images_equal_plain_loop(spark):
+    rng = np.random.default_rng(3)
+    images = {f"g{i}": rng.integers(0, 256, (20 + 7 * i, 33)).astype(np.uint8) for i in range(4)} | {"c": rng.integers(0, 256, (70, 21, 3)).astype(np.uint8)}
+    encode = lambda x: f"P{5 if x.ndim == 2 else 6} {x.shape[1]} {x.shape[0]} 255\n".encode() + x.tobytes()
+    rows = [(k, bytearray(encode(v))) for k, v in images.items()] + [("none", None), ("empty", bytearray()), ("short", bytearray(b"P5 4 4 255\nabc")), ("text", bytearray(b"abc"))]
+    df = spark.createDataFrame(rows, "path string, content binary")
+    got = {r["path"]: r for r in vision.prepare_images(df, most=48, least=24).collect()}
+    for k, v in images.items():
+        want = X.prepared(v, most=48, least=24)
+        assert (bytes(got[k]["pixels"]), got[k]["height"], got[k]["width"]) == (want["image"].tobytes(), *want["image"].shape[:2])
+        assert (got[k]["scale"], got[k]["blur_score"], got[k]["is_blurry"], got[k]["error"]) == (want["scale"], want["blur_score"], want["is_blurry"], None)
+    assert all(got[k]["error"] and got[k]["pixels"] is None for k in ("none", "empty", "short", "text"))
+
+    at = [[[3, 2], [14, 2], [14, 12], [3, 12]], [[0, 0], [10, 3], [9, 14], [1, 11]]]
+    crops = vision.crop_lines(df.where("path <> 'text'").withColumn("polygons", F.when(F.col("path") == "g0", F.array().cast("array<array<array<int>>>")).otherwise(F.lit(at)))).collect()
+    found = {(r["path"], r["ord"]): r for r in crops}
+    assert len(crops) == 2 * 4 + 3 and found["short", None]["error"]
+    for k in ("g1", "g2", "g3", "c"):
+        for i, polygon in enumerate(at):
+            want = X.rectified(images[k], np.array(polygon))
+            assert (bytes(found[k, i]["pixels"]), found[k, i]["height"], found[k, i]["width"]) == (want.tobytes(), *want.shape[:2])
+
+
+def test_first_model_that_works(spark, tmp_path):
+    tried = str(tmp_path / "tried")
+
+    def broken():
+        with open(tried, "a") as f:
+            f.write("x")
+        raise RuntimeError("no device")
+
+    class Fixed:
+        def read(self, image):
+            return {"width": 1, "height": 1, "lines": [{"polygon": [[0, 0]], "printed": image.decode(), "printed_conf": 1.0}]}
+
+    images = spark.createDataFrame([(str(i), bytearray(b"a")) for i in range(40)], "path string, content binary").coalesce(1)
+    lines = vision.read_images(images, vision.first_that_works(broken, Fixed), "fallback", batch_size=4)
+    assert lines.count() == 40 and len(open(tried).read()) == 1
+    with pytest.raises(Exception, match="no device"):
+        vision.read_images(images, vision.first_that_works(broken, broken), "no fallback").count()
+
+
+def test_profile_reaches_the_stage(spark):
+    images = spark.createDataFrame([("a", bytearray(b"a"))], "path string, content binary")
+    profile = vision.device_profile("gpu", 0.5, 2)
+    plan = vision.read_images(images, lambda: None, "profile", profile=profile)._jdf.queryExecution().logical()
+    assert plan.profile().isDefined() and profile.taskResources["gpu"].amount == 0.5 and profile.executorResources["gpu"].amount == 2

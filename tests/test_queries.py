@@ -40,3 +40,25 @@ def test_entities_of_documents_are_counted(spark, tmp_path):
     spark.createDataFrame([], "doc_id long, text string").write.parquet(f"{signs}/documents.parquet")
     found, alone = ({r["type"]: r["n"] for r in entry.queries()["entity_counts"](spark, at).collect()} for at in (sf, signs))
     assert found["PRICE"] == alone["PRICE"] + 2
+
+
+def test_texts_as_images_are_prepared(spark, tmp_path):
+    import hashlib
+
+    import numpy as np
+
+    from inkframe.functions import pixels
+
+    texts = ["Phở 45k " * 40, "x", "", None, "quán " * 500, "a" * 64]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r["doc_id"]: r for r in entry.queries()["image_preparation"](spark, str(tmp_path)).collect()}
+    assert len(got) == len(texts)
+    for k, text in enumerate(texts):
+        raw = (text or "").encode()
+        if not raw:
+            assert got[k]["error"] and got[k]["width"] is None
+            continue
+        image = np.frombuffer(raw + bytes(-len(raw) % 64), np.uint8).reshape(-1, 64)
+        want = pixels.prepared(image, most=96, least=24)
+        assert (got[k]["pixels_sha256"], got[k]["height"], got[k]["width"], got[k]["channels"]) == (hashlib.sha256(want["image"].tobytes()).hexdigest(), *want["image"].shape, 1)
+        assert (got[k]["scale"], got[k]["blur_score"], got[k]["is_blurry"]) == (want["scale"], want["blur_score"], want["is_blurry"])
