@@ -41,10 +41,9 @@ def equalized(plane: np.ndarray, clip: float = 2.0, grid: tuple[int, int] = (8,
     limit = max(1, int(clip * th * tw / 256))
     cut = np.maximum(hist - limit, 0).sum(1)
     hist = np.minimum(hist, limit) + (cut // 256)[:, None]
-    for t, rest in enumerate((cut % 256).tolist()):
-        if rest:
-            step = max(1, 256 // rest)
-            hist[t, np.arange(0, 256, step)[:rest]] += 1
+    rest, value = (cut % 256)[:, None], np.arange(256)[None, :]
+    step = np.maximum(1, 256 // np.maximum(rest, 1))
+    hist += (value % step == 0) & (value // step < rest)
     table = np.clip(np.round(np.cumsum(hist, axis=1) * (255.0 / (th * tw))), 0, 255).reshape(rows, cols, 256)
     y, x = np.arange(h) / th - 0.5, np.arange(w) / tw - 0.5
     y0, x0 = np.floor(y).astype(int), np.floor(x).astype(int)
