@@ -88,25 +88,25 @@ class ByteConvNet:
     def scores(self, data: np.ndarray, at: np.ndarray) -> np.ndarray:
         """Mean probabilities over the windows of each text, (texts, languages)."""
         size = np.diff(at)
-        # texts one after the other, each followed by zeros
-        flat = np.zeros(len(data) + _PAD * len(size) + _PAD, np.uint8)
-        shift = _PAD * np.arange(len(size))
+        # texts one after the other, each followed by zeros enough that no window sees the next text
+        flat = np.zeros(len(data) + 2 * _PAD * (len(size) + 1), np.uint8)
+        shift = 2 * _PAD * np.arange(len(size))
         flat[np.arange(len(data)) + np.repeat(shift, size)] = data
         begin = at[:-1] + shift
         many = -(-size // WINDOW)
         first = np.cumsum(many) - many
         starts = np.repeat(begin, many) + WINDOW * (np.arange(many.sum()) - np.repeat(first, many))
+        ends = np.minimum(starts + WINDOW, np.repeat(begin + size + _PAD, many))
         pair = flat[:-1].astype(np.uint16) * np.uint16(256) + flat[1:]
         hidden = np.empty((len(starts), self.filters), np.float32)
         i = 0
         while i < len(starts):
             j = max(i + 1, int(np.searchsorted(starts, starts[i] + _STEP)))
             low = starts[i]
-            # a window reaches to the next one's start; the last text's zeros belong to its last window
-            high = starts[j] if j < len(starts) else begin[-1] + size[-1]
+            high = ends[j - 1] + 1
             conv = np.take(self.front, pair[low:high], axis=0)
             conv[:, FILTERS:] += np.take(self.rear, pair[low + 2 : high + 2], axis=0)
-            hidden[i:j] = np.maximum.reduceat(conv, starts[i:j] - low, axis=0)
+            hidden[i:j] = np.maximum.reduceat(conv, np.column_stack([starts[i:j], ends[i:j]]).ravel() - low, axis=0)[::2]
             i = j
         prob = self._softmax(np.maximum(hidden, 0))
         out = np.zeros((len(size), len(self.languages)))

@@ -458,6 +458,33 @@ def test_language_id(spark):
     assert all(0 <= r["score"] <= 1 for r in found.values())
 
 
+def test_language_scores_equal_plain_convolution():
+    """Windows, maxima and softmax one by one; a text's scores do not depend on its neighbours."""
+    from inkframe.llm import language_id as L
+
+    rng = np.random.default_rng(4)
+    net = L.ByteConvNet(["a", "b", "c"])
+    net.params["bias"] = rng.normal(0, 0.1, net.filters).astype(np.float32)
+    net.pack()
+    texts = [bytes(rng.integers(1, 256, n).astype(np.uint8)) for n in (1, 2, L.WINDOW - 1, L.WINDOW, 0, L.WINDOW + 1, 3 * L.WINDOW + 5, 7)]
+    reach, t = len(net.params["tables"]), net.params["tables"]
+
+    def plain(text):
+        probs = []
+        padded = text + bytes(2 * reach)
+        for at in range(0, len(text), L.WINDOW):
+            places = range(at, min(at + L.WINDOW, len(text) + reach - 1))
+            top = np.max([sum(t[k][padded[p + k]] for k in range(reach)) for p in places], axis=0) + net.params["bias"]
+            z = np.exp(np.maximum(top, 0) @ net.params["out"] + net.params["out_bias"])
+            probs.append(z / z.sum())
+        return np.mean(probs, axis=0) if probs else np.zeros(3)
+
+    together = net.scores(np.frombuffer(b"".join(texts), np.uint8), np.concatenate([[0], np.cumsum([len(x) for x in texts])]))
+    for text, got in zip(texts, together, strict=True):
+        alone = net.scores(np.frombuffer(text, np.uint8), np.array([0, len(text)])) if text else np.zeros((1, 3))
+        assert np.allclose(got, plain(text), atol=1e-5) and np.allclose(alone[0], got, atol=1e-6)
+
+
 def test_toxicity(spark):
     from inkframe.llm.toxicity import toxicity
 
