@@ -9,6 +9,7 @@ from collections import Counter
 from collections.abc import Callable, Iterator
 from difflib import SequenceMatcher
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, functions as F, types as T
 from pyspark.sql.functions import pandas_udf, udtf
@@ -199,8 +200,21 @@ def _letters_of(text: str) -> tuple[str, Counter]:
     return folded, Counter(folded)
 
 
+def common_letters(a: str, b: str) -> int:
+    """Length of the longest common subsequence, all of a at once as bits of a number."""
+    codes = np.frombuffer(a.encode("utf-32-le", "surrogatepass"), "<u4")
+    places = {c: int.from_bytes(np.packbits(codes == ord(c), bitorder="little").tobytes(), "little") for c in set(a) & set(b)}
+    whole = free = (1 << len(a)) - 1
+    for c in b:
+        if c in places:
+            met = free & places[c]
+            free = ((free + met) | (free - met)) & whole
+    return len(a) - free.bit_count()
+
+
 def similar(a: str | None, b: str | None, threshold: float) -> bool:
-    """similarity(a, b) >= threshold. Lengths, and then letters in any order, bound the ratio, so that few texts are compared."""
+    """similarity(a, b) >= threshold. The ratio counts letters of a common subsequence, so lengths, letters in any order and the
+    longest common subsequence bound it, each dearer than the one before; few texts are compared beyond them."""
     if not a or not b:
         return threshold <= 0.0
     (a, in_a), (b, in_b) = _letters_of(a), _letters_of(b)
@@ -209,6 +223,8 @@ def similar(a: str | None, b: str | None, threshold: float) -> bool:
     total = len(a) + len(b)
     if 2.0 * min(len(a), len(b)) / total < threshold or 2.0 * sum(min(n, in_b[c]) for c, n in in_a.items()) / total < threshold:
         return False
+    if 2.0 * common_letters(a, b) / total < threshold:
+        return False
     return SequenceMatcher(None, a, b).ratio() >= threshold
 
 

@@ -11,6 +11,7 @@ exact_tracks is the case of equal texts, by windows alone.
 
 from __future__ import annotations
 
+import itertools
 import math
 from collections.abc import Iterator
 
@@ -76,9 +77,9 @@ def record(video_id: str, t: dict) -> dict:
 
 def frames_of(rows: pd.DataFrame) -> Iterator[tuple[int, list[dict]]]:
     rows = rows.sort_values(["frame_idx", "ord"], kind="stable")
-    for idx, part in rows.groupby("frame_idx", sort=True):
-        found = part.astype(object).where(part.notna(), None).to_dict("records")
-        yield int(idx), [d | {"entities": list(d["entities"]) if d["entities"] is not None else []} for d in found]
+    found = rows.astype(object).where(rows.notna(), None).to_dict("records")
+    for idx, part in itertools.groupby(found, key=lambda d: d["frame_idx"]):
+        yield int(idx), [d | {"entities": list(d["entities"]) if d["entities"] is not None else []} for d in part]
 
 
 def _sessions(detections: DataFrame, max_gap: int) -> DataFrame:

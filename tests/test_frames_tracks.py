@@ -119,6 +119,59 @@ def test_similar_is_the_ratio():
                 assert similar(a, b, t) == (similarity(a, b) >= t), (a, b, t)
 
 
+def test_common_letters_and_long_texts():
+    """The longest common subsequence against the table of all prefixes; texts beyond 200 letters, where the ratio skips frequent ones."""
+    import random
+
+    from inkframe.functions.text import common_letters, similar, similarity
+
+    rng = random.Random(5)
+    for _ in range(200):
+        a, b = ("".join(rng.choice("abcữ") for _ in range(rng.randrange(0, 90))) for _ in range(2))
+        row = [0] * (len(b) + 1)
+        for x in a:
+            before, row = row, [0]
+            for j, y in enumerate(b):
+                row.append(before[j] + 1 if x == y else max(row[j], before[j + 1]))
+        assert common_letters(a, b) == row[-1], (a, b)
+    for _ in range(60):
+        a = [rng.choice("abcdefghijklmnopqrstuvwxyzéữ ") for _ in range(rng.randrange(190, 400))]
+        b = [x for x in a if rng.random() > 0.05]
+        for _ in range(rng.randrange(0, 60)):
+            b[rng.randrange(len(b))] = rng.choice("xyzé")
+        a, b = "".join(a), "".join(b)
+        assert all(similar(a, b, t) == (similarity(a, b) >= t) for t in (0.5, 0.7, 0.85, 0.95))
+
+
+def test_few_sequences_are_matched(spark, monkeypatch):
+    """Of the comparisons that the plain rule makes on all conversations, one in a thousand at most reaches the matcher; tracks stay those of the rule."""
+    import difflib
+    import os
+
+    from inkframe import queries
+    from inkframe.functions import text as X
+
+    sf = "/root/testdata/sf0.01"
+    if not os.path.isdir(sf):
+        pytest.skip("no tables")
+    asked, matched = [], []
+    similar = R.similar
+    monkeypatch.setattr(R, "similar", lambda a, b, t: asked.append(1) or similar(a, b, t))
+    monkeypatch.setattr(X, "SequenceMatcher", lambda *a: matched.append(1) or difflib.SequenceMatcher(*a))
+    videos = {}
+    for r in queries._detections(lambda name: spark.read.parquet(f"{sf}/{name}.parquet")).collect():
+        videos.setdefault(r["video_id"], {}).setdefault(r["frame_idx"], []).append(r.asDict())
+    got, done = {}, {}
+    for v, frames in videos.items():
+        tracker = R.Tracker(0.85, 120)
+        got[v] = [t for f in sorted(frames) for t in tracker.frame(f, sorted(frames[f], key=lambda d: d["ord"]))] + tracker.open
+        done[v] = sorted((t["start"], t["end"], t["count"], round(t["best"]["confidence"], 4)) for t in got[v])
+    assert asked and len(matched) * 1000 <= len(asked), (len(asked), len(matched))
+    monkeypatch.undo()
+    some = list(videos)[:20]  # the plain rule is slow
+    assert {v: done[v] for v in some} == {v: naive_tracks([d for f in videos[v].values() for d in f], 0.85, 120) for v in some}
+
+
 def naive_tracks(rows, threshold, max_gap):
     """The sequential rule over a whole video, without sessions: (start, end, count, best confidence) of each track."""
     from inkframe.functions.text import similarity
