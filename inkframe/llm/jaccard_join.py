@@ -26,7 +26,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from .components import components
 from .hashing import U, chunks, folded, mix, text_buffers, trimmed, word_hashes
@@ -361,6 +361,33 @@ def _sets(k: int):
     return trimmed(run)
 
 
+def _near_in_size(rows: DataFrame, num: int, den: int) -> DataFrame:
+    """Rows (region, cls, n) of regions of at most REGION_BLOCK rows, without those that no other class of the region is near to in size, as these have
+    no link there; with the number of classes of the region."""
+    over = Window.partitionBy("region")
+    met = rows.select("*", F.min("cls").over(over).alias("low"), F.max("cls").over(over).alias("high"))
+    met = met.where("low < high").select("region", "cls", "n").distinct()
+    by_size = over.orderBy("n", "cls")
+    met = met.select("*", F.lag("n").over(by_size).alias("less"), F.lead("n").over(by_size).alias("more"), F.count("*").over(over).alias("size"))
+    return met.where(_near("less", "n", num, den) | _near("n", "more", num, den)).select("region", "cls", "n", "size")
+
+
+def _near(small: str, large: str, num: int, den: int) -> Column:
+    return F.coalesce(F.col(small) * den >= F.col(large) * num, F.lit(False))
+
+
+def _near_in_hot(rows: DataFrame, num: int, den: int) -> DataFrame:
+    """The same of larger regions. Windows see the different sizes of a region only, counted before they meet; a row is joined with what is known
+    of its region and size, which many tasks can do for one region."""
+    met = rows.distinct()
+    over = Window.partitionBy("region")
+    by_size = over.orderBy("n")
+    sizes = met.groupBy("region", "n").agg(F.count("*").alias("equal"))
+    sizes = sizes.select("*", F.lag("n").over(by_size).alias("less"), F.lead("n").over(by_size).alias("more"), F.sum("equal").over(over).alias("size"))
+    sizes = sizes.where((F.col("equal") > 1) | _near("less", "n", num, den) | _near("n", "more", num, den)).select("region", "n", "size")
+    return met.join(sizes, ["region", "n"]).select("region", "cls", "n", "size")
+
+
 def _described_regions(docs: DataFrame, words: int, num: int, den: int, scratch: Scratch) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Documents with their class, classes, and the regions in which classes meet."""
     spark = docs.sparkSession
@@ -368,13 +395,10 @@ def _described_regions(docs: DataFrame, words: int, num: int, den: int, scratch:
     told = scratch.write(docs.mapInArrow(_described(words, num, den, hot), "doc_id long, n long, cls long, bits binary, regions array<long>"), "told")
     classes = told.where("n > 0 and doc_id is not null").groupBy("cls").agg(F.min("doc_id").alias("rep"), F.count("*").alias("weight"), F.max("n").alias("n"), F.max("bits").alias("bits"))
     classes = scratch.write(classes, "classes")
-    over = Window.partitionBy("region")
-    met = told.where("doc_id is not null").select(F.explode("regions").alias("region"), "cls", "n").select("*", F.min("cls").over(over).alias("low"), F.max("cls").over(over).alias("high"))
-    met = met.where("low < high").select("region", "cls", "n").distinct()
-    # a document none of whose region is near in size has no link there
-    by_size = over.orderBy("n", "cls")
-    met = met.select("*", F.lag("n").over(by_size).alias("less"), F.lead("n").over(by_size).alias("more"), F.count("*").over(over).alias("size"))
-    met = met.where(F.coalesce(F.col("less") * den >= F.col("n") * num, F.lit(False)) | F.coalesce(F.col("n") * den >= F.col("more") * num, F.lit(False)))
+    rows = told.where("doc_id is not null").select(F.explode("regions").alias("region"), "cls", "n")
+    hot_ones = rows.groupBy("region").agg(F.count("*").alias("rows")).where(F.col("rows") > REGION_BLOCK).select("region", F.lit(True).alias("hot"))
+    rows = rows.join(hot_ones, "region", "left")
+    met = _near_in_size(rows.where("hot is null").select("region", "cls", "n"), num, den).unionByName(_near_in_hot(rows.where("hot").select("region", "cls", "n"), num, den))
     blocks = F.ceil(F.col("size") / REGION_BLOCK)
     own = F.pmod(F.xxhash64("cls", "region"), blocks)
     parts = F.transform(F.sequence(F.lit(0).cast("long"), blocks - 1), lambda j: F.xxhash64("region", F.least(own, j), F.greatest(own, j)))

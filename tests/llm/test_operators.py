@@ -73,6 +73,22 @@ def test_jaccard_groups(spark, k, num):
     assert jaccard_groups(docs_of(spark, []), k, (num, 100)).count() == 0
 
 
+@pytest.mark.parametrize("most", [1, 3])
+def test_hot_regions_lose_no_link(spark, most, monkeypatch):
+    """With regions of more than `most` rows taken for hot ones, groups are the same: near copies, equal texts, one size and many sizes."""
+    from inkframe.llm import jaccard_join as J
+
+    monkeypatch.setattr(J, "REGION_BLOCK", most)
+    rng = random.Random(most)
+    base = [f"v{i}" for i in range(90)]
+    rows = [(1000 + i, " ".join(base[: 90 - i % 12])) for i in range(30)] + [(2000 + i, " ".join([*base[:45], *(f"z{i}-{j}" for j in range(rng.randrange(1, 60)))])) for i in range(20)]
+    rows = corpus(seed=9, n=40) + rows + rows[:5]
+    got = J.jaccard_groups(docs_of(spark, rows), 3, (90, 100), count_links=True).select("doc_id", "n_shingles", "component_id", "n_links").collect()
+    assert sorted((tuple(r)[:3] for r in got), key=str) == brute_groups(rows, 3, 90, 100)
+    links = brute_links([r for r in rows if r[0] is not None], 3, 90, 100)
+    assert {r["doc_id"]: r["n_links"] for r in got if r["doc_id"] is not None} == links
+
+
 def brute_links(rows, k, num, den):
     sets = []
     for _, t in rows:
