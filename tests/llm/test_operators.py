@@ -501,6 +501,66 @@ def test_language_scores_equal_plain_convolution():
         assert np.allclose(got, plain(text), atol=1e-5) and np.allclose(alone[0], got, atol=1e-6)
 
 
+def plain_subsequences(word):
+    """Every three letters of a word with their gaps, as the kernel is defined; length 1."""
+    from inkframe.llm.toxicity import DECAY, SPAN
+
+    found = {}
+    for i in range(len(word)):
+        for j in range(i + 1, len(word)):
+            for k in range(j + 1, len(word)):
+                if k - i < SPAN:
+                    found[word[i], word[j], word[k]] = found.get((word[i], word[j], word[k]), 0.0) + DECAY ** (k - i + 1)
+    length = sum(x * x for x in found.values()) ** 0.5
+    return {s: x / length for s, x in found.items()}
+
+
+def test_kernel_and_folded_weights():
+    """Kernel values against the sum over all gapped triples, and folded margins against the machine over whitened landmarks."""
+    from inkframe.llm import toxicity as T
+
+    words = ["idiot", "id-iot", "xid1otx", "a", "aaaaaaaa", "banana", "été", "naïve", "w0rds", "longerwordthanthat", "tot", "ß"]
+    coded = [T.codes(w) for w in words]
+    marks = [T.codes(w) for w in ("idiot", "banana", "words", "oi")]
+    plain = [plain_subsequences(w) for w in coded]
+    want = np.array([[sum(x * m.get(s, 0.0) for s, x in p.items()) for m in map(plain_subsequences, marks)] for p in plain])
+    model = T.ToxicityModel.__new__(T.ToxicityModel)
+    model.landmarks = T.vectors(marks)
+    assert np.allclose(T.kernel(coded, model.landmarks), want, atol=1e-6)
+    values, basis = np.linalg.eigh(model.landmarks @ model.landmarks.T)
+    model.whiten = basis / np.sqrt(values)
+    w = np.random.default_rng(2).normal(size=len(marks) + 1)
+    model._fold(w)
+    assert np.allclose(model.margins(words), want @ model.whiten @ w[:-1] + w[-1], atol=1e-5)
+    assert model.margins(["22", "--", ""]).tolist() == [-2.0] * 3  # 1, 3 and others stand for letters, 2 does not
+
+
+def test_toxicity_of_odd_tables(spark):
+    """No rows, no labels, labels of one kind, null and repeated doc_ids; columns of docs whose names clash with inner ones."""
+    from inkframe.llm.toxicity import toxicity
+
+    kind = "doc_id long, quality int, toxic int"
+    rows = [(1, "plain words"), (1, "other words"), (None, "lost"), (2, None), (3, ""), (4, "word " * 50_000)]
+    docs = docs_of(spark, rows).withColumns({"toxic": F.lit(1), "score": F.lit("z"), "words": F.lit(0), "held_out": F.lit(None).cast("int")})
+    assert toxicity(docs.limit(0), spark.createDataFrame([(1, 1, 1)], kind)).count() == 0
+    for labels in ([], [(1, 1, 0), (2, 1, 0)], [(None, 1, 1), (4, 1, None)]):
+        got = toxicity(docs, spark.createDataFrame(labels, kind)).collect()
+        assert sorted((r["doc_id"] for r in got), key=str) == [1, 1, 2, 3, 4, None] and {(r["score"], r["predicted"]) for r in got} == {(0.0, 0)}
+
+
+def test_language_of_odd_tables(spark):
+    """No rows, no labels, null and repeated doc_ids, a very long text; columns of docs whose names clash with inner ones."""
+    from inkframe.llm.language_id import language_id
+
+    rows = [(1, "plain words"), (1, "other words"), (None, "lost"), (2, None), (3, ""), (4, "12 34"), (5, "word " * 50_000)]
+    docs = docs_of(spark, rows).withColumns({"lang_pred": F.lit(1), "score": F.lit("z"), "held_out": F.lit(None).cast("int"), "h": F.lit("h")})
+    assert language_id(docs.limit(0)).count() == 0
+    unlabelled = language_id(docs.withColumn("lang", F.lit(None).cast("string"))).collect()
+    assert sorted((r["doc_id"] for r in unlabelled), key=str) == [1, 1, 2, 3, 4, 5, None] and {(r["lang_pred"], r["score"]) for r in unlabelled} == {("und", 0.0)}
+    got = sorted(((r["doc_id"], r["lang_pred"]) for r in language_id(docs).collect()), key=str)
+    assert got == sorted([(1, "en"), (1, "en"), (None, "en"), (2, "und"), (3, "und"), (4, "und"), (5, "en")], key=str)
+
+
 def test_toxicity(spark):
     from inkframe.llm.toxicity import toxicity
 
