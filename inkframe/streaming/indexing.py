@@ -1,15 +1,16 @@
 """Indexing as a stream: new images, or new detections, become records batch by batch.
 
-A micro-batch writes its detections under (video_id, batch), which a repeated batch overwrites, and then works out the records of the videos that
-it touched anew from all their detections, and replaces the partitions of those videos in every sink. So a batch that broke off anywhere and runs
-again leaves the tables that one undisturbed run would have left, and videos may be spread over batches. What a
-batch reads are its own rows and the detections of its videos; other partitions are neither read nor written.
+A micro-batch writes its detections under its number, which a repeated batch overwrites. A video's home is the batch that first brought it, and every sink has a
+partition for each home, so that there are as many partitions as batches, however many videos. A batch works out the records of the homes of its videos anew from
+all their detections, and replaces these partitions. So a batch that broke off anywhere and runs again leaves the tables that one undisturbed run would have
+left, and videos may be spread over batches. Of batches that share no video with those homes only the video ids are read, and none of their partitions is written.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -36,10 +37,16 @@ def records_of(detections: DataFrame, threshold: float = 0.85, max_gap: int = 12
 def index_batch(rows: DataFrame, batch: int, output: str, detect: Callable[[DataFrame], DataFrame], **options) -> None:
     """Take a batch of rows (with video_id), which detect turns into detections (schema DETECTION), into the tables below output."""
     spark = rows.sparkSession
-    sinks.replace_partitions(detect(rows).withColumn("batch", F.lit(batch)), f"{output}/detections", ["video_id", "batch"], ["frame_idx", "ord"])
-    touched = rows.select("video_id").distinct()
+    sinks.replace_partitions(detect(rows).withColumn("batch", F.lit(batch)), f"{output}/detections", ["batch"], ["video_id", "frame_idx", "ord"])
     kept = sinks.read_partitions(spark, f"{output}/detections", f"{DETECTION}, batch bigint")
-    sinks.replace_videos(records_of(kept.join(touched, "video_id", "left_semi"), **options), output)
+    homes = kept.groupBy("video_id").agg(F.min("batch").alias("home"), (F.max("batch") == batch).alias("touched"), F.collect_set("batch").alias("batches"))
+    stale = [r["home"] for r in homes.where("touched").select("home").distinct().collect()]  # of batches, a number each
+    again = homes.where(F.col("home").isin(stale)).persist(StorageLevel.DISK_ONLY)
+    needed = [r["batch"] for r in again.select(F.explode("batches").alias("batch")).distinct().collect()]
+    again_home = again.select("video_id", "home")
+    records = records_of(kept.where(F.col("batch").isin(needed)).join(again_home, "video_id", "left_semi"), **options).join(again_home, "video_id").persist(StorageLevel.DISK_ONLY)
+    sinks.replace_videos(records, output, "home")
+    records.unpersist(), again.unpersist()
 
 
 def index_stream(stream: DataFrame, output: str, detect: Callable[[DataFrame], DataFrame], **options) -> StreamingQuery:
