@@ -16,10 +16,15 @@ import math
 from collections.abc import Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 from ..functions.text import similar
 
+#: Detections that a task has as Python objects at once, beside those of an open frame.
+ROWS_AT_ONCE = 1000
 BOX = ["bbox_ymin", "bbox_xmin", "bbox_ymax", "bbox_xmax"]
 CARRIED = ["frame_id", "frame_idx", "timestamp", "timestamp_ms", "timestamp_str", "youtube_url", "text", "text_unsigned", *BOX, "polygon_json"]
 DETECTION = "video_id string, frame_id string, frame_idx bigint, timestamp double, timestamp_ms bigint, timestamp_str string, youtube_url string, ord bigint, text string, text_unsigned string, confidence double, bbox_ymin double, bbox_xmin double, bbox_ymax double, bbox_xmax double, polygon_json string, entities array<string>"
@@ -92,16 +97,24 @@ def _sessions(detections: DataFrame, max_gap: int) -> DataFrame:
 
 def greedy_tracks(detections: DataFrame, threshold: float = 0.85, max_gap: int = 120) -> DataFrame:
     """detections (schema DETECTION) -> records (schema RECORD)."""
-    names = [c.split()[0] for c in RECORD.split(", ")]
-
-    def run(rows: pd.DataFrame) -> pd.DataFrame:
-        tracker, done = Tracker(threshold, max_gap), []
-        for idx, found in frames_of(rows):
-            done += tracker.frame(idx, found)
-        video = rows["video_id"].iloc[0]
-        return pd.DataFrame([record(video, t) for t in done + tracker.open], columns=names)
-
-    return _sessions(detections, max_gap).groupBy("video_id", "session").applyInPandas(run, RECORD)
+    schema = to_arrow_schema(StructType.fromDDL(RECORD))
+
+    def tracks(rows: Iterator[dict]) -> Iterator[dict]:
+        for (video, _), session in itertools.groupby(rows, key=lambda d: (d["video_id"], d["session"])):
+            tracker = Tracker(threshold, max_gap)
+            for idx, frame in itertools.groupby(session, key=lambda d: d["frame_idx"]):
+                yield from (record(video, t) for t in tracker.frame(idx, [d | {"entities": d["entities"] or []} for d in frame]))
+            yield from (record(video, t) for t in tracker.open)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found = tracks(d for batch in batches for k in range(0, len(batch), ROWS_AT_ONCE) for d in batch.slice(k, ROWS_AT_ONCE).to_pylist())
+        while some := list(itertools.islice(found, ROWS_AT_ONCE)):
+            yield pa.RecordBatch.from_pylist(some, schema)
+
+    # sessions one after another, in the order of their frames: a task holds the open tracks of one, and no session costs a call of its own
+    dealt = _sessions(detections, max_gap).withColumns({c: F.nanvl(c, F.lit(None).cast("double")) for c in ("timestamp", "confidence", *BOX)})
+    dealt = dealt.repartition("video_id", "session").sortWithinPartitions("video_id", "session", "frame_idx", F.asc_nulls_last("ord"))
+    return dealt.mapInArrow(run, RECORD)
 
 
 def untracked(detections: DataFrame) -> DataFrame:

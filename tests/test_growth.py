@@ -36,3 +36,18 @@ def test_a_stream_has_a_partition_a_batch(spark, tmp_path):
         for table in ("detections", "records", "frames", "bulk"):
             assert len([d for d in os.listdir(f"{out}/{table}") if "=" in d]) == 2
         S.index_batch(whole.where("frame_idx = 100"), 1, out, lambda d: d)
+
+
+def test_sessions_follow_each_other_in_a_task(spark):
+    """No call a session; places without an order, null and NaN as the sequential rule has them."""
+    rng = random.Random(2)
+    rows = [(f"V{rng.randrange(40)}", rng.randrange(60) * 50, rng.choice(["phở bò", "phở  bò", "bún", None, ""]), rng.choice([0.1, 0.5, None, float("nan")])) for _ in range(1500)]
+    whole = detections(spark, rows)
+    found = R.greedy_tracks(whole)
+    assert "FlatMapGroups" not in plan(found) and "MapInArrow" in plan(found)
+    want = []
+    for (video, _), part in R._sessions(whole, 120).toPandas().groupby(["video_id", "session"]):
+        tracker = R.Tracker(0.85, 120)
+        want += [R.record(video, t) for idx, frame in R.frames_of(part) for t in tracker.frame(idx, frame)]
+        want += [R.record(video, t) for t in tracker.open]
+    assert sorted(str({k: r[k] for k in sorted(r)}) for r in want) == sorted(str({k: r[k] for k in sorted(found.columns)}) for r in found.collect())
