@@ -51,3 +51,17 @@ def test_sessions_follow_each_other_in_a_task(spark):
         want += [R.record(video, t) for idx, frame in R.frames_of(part) for t in tracker.frame(idx, frame)]
         want += [R.record(video, t) for t in tracker.open]
     assert sorted(str({k: r[k] for k in sorted(r)}) for r in want) == sorted(str({k: r[k] for k in sorted(found.columns)}) for r in found.collect())
+
+
+def test_postings_of_a_frequent_term_stay_where_they_are(spark):
+    """A batch's terms are brought to postings that no index holds; an exchange by term would bring a frequent one's to one task."""
+    rows = [(i, "the cat the dog" if i % 3 else "them the", "") for i in range(60)]
+    index = Q.postings(spark.createDataFrame(rows, "id long, text string, text_unsigned string"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        counts = Q.match_counts(index, ["the", "the dog", "dog the", "zzz"])
+        tree = plan(Q._occurrences(spark.createDataFrame([("a", 0, ["the", "do"], 2), ("b", -1, ["the"], 1)], "qid string, tok int, terms array<string>, size int"), index))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10m")
+    assert {r["text"]: r["n"] for r in counts.collect()} == {"the": 60, "the dog": 40, "dog the": 0, "zzz": 0}
+    assert "SortMergeJoin" not in tree and "ShuffledHashJoin" not in tree
