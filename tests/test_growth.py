@@ -65,3 +65,15 @@ def test_postings_of_a_frequent_term_stay_where_they_are(spark):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10m")
     assert {r["text"]: r["n"] for r in counts.collect()} == {"the": 60, "the dog": 40, "dog the": 0, "zzz": 0}
     assert "SortMergeJoin" not in tree and "ShuffledHashJoin" not in tree
+
+
+def test_occurrences_are_gathered_before_they_move(spark):
+    rng = random.Random(3)
+    rows = [(i, " ".join(rng.choice("phở bò bún the a 45k".split()) for _ in range(rng.choice([0, 1, 40])))) for i in range(1300)]
+    records = spark.createDataFrame([*rows, (9999, None)], "id long, text string").withColumn("text_unsigned", X.to_unsigned(F.col("text")))
+    want = Q.postings(records).groupBy("term", "col", "id").agg(F.array_sort(F.collect_list("pos")).alias("positions"), F.count("*").alias("tf"))
+    found = G._postings(records)
+    assert "Exchange" not in plan(found) and "Aggregate" not in plan(found)
+    assert sorted(map(str, found.select(*want.columns).collect())) == sorted(map(str, want.collect()))
+    sizes = {r["id"]: r["d"] for r in found.select("id", "d").distinct().collect()}
+    assert sizes == {r["id"]: r["n"] for r in Q.postings(records).groupBy("id").agg(F.count("*").alias("n")).collect()}
