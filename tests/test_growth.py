@@ -38,19 +38,16 @@ def test_a_stream_has_a_partition_a_batch(spark, tmp_path):
         S.index_batch(whole.where("frame_idx = 100"), 1, out, lambda d: d)
 
 
-def test_sessions_follow_each_other_in_a_task(spark):
-    """No call a session; places without an order, null and NaN as the sequential rule has them."""
-    rng = random.Random(2)
-    rows = [(f"V{rng.randrange(40)}", rng.randrange(60) * 50, rng.choice(["phở bò", "phở  bò", "bún", None, ""]), rng.choice([0.1, 0.5, None, float("nan")])) for _ in range(1500)]
-    whole = detections(spark, rows)
-    found = R.greedy_tracks(whole)
-    assert "FlatMapGroups" not in plan(found) and "MapInArrow" in plan(found)
-    want = []
-    for (video, _), part in R._sessions(whole, 120).toPandas().groupby(["video_id", "session"]):
-        tracker = R.Tracker(0.85, 120)
-        want += [R.record(video, t) for idx, frame in R.frames_of(part) for t in tracker.frame(idx, frame)]
-        want += [R.record(video, t) for t in tracker.open]
-    assert sorted(str({k: r[k] for k in sorted(r)}) for r in want) == sorted(str({k: r[k] for k in sorted(found.columns)}) for r in found.collect())
+def test_occurrences_are_gathered_before_they_move(spark):
+    rng = random.Random(3)
+    rows = [(i, " ".join(rng.choice("phở bò bún the a 45k".split()) for _ in range(rng.choice([0, 1, 40])))) for i in range(1300)]
+    records = spark.createDataFrame([*rows, (9999, None)], "id long, text string").withColumn("text_unsigned", X.to_unsigned(F.col("text")))
+    want = Q.postings(records).groupBy("term", "col", "id").agg(F.array_sort(F.collect_list("pos")).alias("positions"), F.count("*").alias("tf"))
+    found = G._postings(records)
+    assert "Exchange" not in plan(found) and "Aggregate" not in plan(found)
+    assert sorted(map(str, found.select(*want.columns).collect())) == sorted(map(str, want.collect()))
+    sizes = {r["id"]: r["d"] for r in found.select("id", "d").distinct().collect()}
+    assert sizes == {r["id"]: r["n"] for r in Q.postings(records).groupBy("id").agg(F.count("*").alias("n")).collect()}
 
 
 def test_postings_of_a_frequent_term_stay_where_they_are(spark):
@@ -67,13 +64,33 @@ def test_postings_of_a_frequent_term_stay_where_they_are(spark):
     assert "SortMergeJoin" not in tree and "ShuffledHashJoin" not in tree
 
 
-def test_occurrences_are_gathered_before_they_move(spark):
-    rng = random.Random(3)
-    rows = [(i, " ".join(rng.choice("phở bò bún the a 45k".split()) for _ in range(rng.choice([0, 1, 40])))) for i in range(1300)]
-    records = spark.createDataFrame([*rows, (9999, None)], "id long, text string").withColumn("text_unsigned", X.to_unsigned(F.col("text")))
-    want = Q.postings(records).groupBy("term", "col", "id").agg(F.array_sort(F.collect_list("pos")).alias("positions"), F.count("*").alias("tf"))
-    found = G._postings(records)
-    assert "Exchange" not in plan(found) and "Aggregate" not in plan(found)
-    assert sorted(map(str, found.select(*want.columns).collect())) == sorted(map(str, want.collect()))
-    sizes = {r["id"]: r["d"] for r in found.select("id", "d").distinct().collect()}
-    assert sizes == {r["id"]: r["n"] for r in Q.postings(records).groupBy("id").agg(F.count("*").alias("n")).collect()}
+def test_texts_in_normal_form_are_not_sent_to_python(spark):
+    settled = [chr(c) for a, b in ((0, 0x300), (0x1EA0, 0x1EFA), (0x2002, 0x20D0)) for c in range(a, b)]
+    assert all(unicodedata.normalize("NFC", c) == c and not unicodedata.combining(c) for c in settled)
+    pairs = [unicodedata.decomposition(chr(c)).split() for c in range(0x110000) if 0xD800 > c or c > 0xDFFF]
+    assert not {chr(int(p[1], 16)) for p in pairs if len(p) == 2 and not p[0].startswith("<")} & set(settled)
+    rng = random.Random(5)
+    texts = ["".join(rng.choice("aươ̂́é가Å–ẹ ") for _ in range(rng.randrange(12))) for _ in range(400)] + [None, "", "Phở – é"]
+    df = spark.createDataFrame([(t,) for t in texts], "s string")
+    X.register(spark)
+    df.createOrReplaceTempView("growth_texts")
+    in_sql = spark.sql("SELECT s, vn_normal(s) AS n FROM growth_texts")
+    for got in (df.select("s", X.normalize_nfc(F.col("s")).alias("n")), in_sql):
+        assert all(r["n"] == unicodedata.normalize("NFC", (r["s"] or "").strip()) for r in got.collect())
+        assert "CASE WHEN" in next(line for line in plan(got).split("\n") if "ArrowEvalPython" in line) + plan(got) and "RLIKE" in plan(got)
+    assert df.where(F.col("s").rlike(X.UNSETTLED)).where("s = 'Phở – é'").count() == 0
+
+
+def test_sessions_follow_each_other_in_a_task(spark):
+    """No call a session; places without an order, null and NaN as the sequential rule has them."""
+    rng = random.Random(2)
+    rows = [(f"V{rng.randrange(40)}", rng.randrange(60) * 50, rng.choice(["phở bò", "phở  bò", "bún", None, ""]), rng.choice([0.1, 0.5, None, float("nan")])) for _ in range(1500)]
+    whole = detections(spark, rows)
+    found = R.greedy_tracks(whole)
+    assert "FlatMapGroups" not in plan(found) and "MapInArrow" in plan(found)
+    want = []
+    for (video, _), part in R._sessions(whole, 120).toPandas().groupby(["video_id", "session"]):
+        tracker = R.Tracker(0.85, 120)
+        want += [R.record(video, t) for idx, frame in R.frames_of(part) for t in tracker.frame(idx, frame)]
+        want += [R.record(video, t) for t in tracker.open]
+    assert sorted(str({k: r[k] for k in sorted(r)}) for r in want) == sorted(str({k: r[k] for k in sorted(found.columns)}) for r in found.collect())
