@@ -18,7 +18,6 @@ from __future__ import annotations
 
 import re
 import unicodedata
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -116,20 +115,23 @@ def words_of(text: str) -> list[str]:
     return text.split() + [m.group() for m in _APART.finditer(text)]
 
 
+def plain_words(words: list[str]) -> list[str]:
+    """The different words in lower case, without what is not a letter at their ends."""
+    return list(dict.fromkeys(w for w in (re.sub(r"[\W\d_]+$|^[\W\d_]+", "", x.lower()) for x in words) if w))
+
+
 class ToxicityModel:
-    def __init__(self, texts: list[list[str]], labels: list[int]):
-        """texts: the words of each, as words_of gives them."""
-        y = np.array(labels)
-        bags = [{w for w in (re.sub(r"[\W\d_]+$|^[\W\d_]+", "", x.lower()) for x in words) if w} for words in texts]
-        seen = [Counter(), Counter()]
-        for bag, label in zip(bags, labels, strict=True):
-            seen[label].update(bag)
-        n = np.bincount(y, minlength=2)
-        odds = {w: np.log((c + 0.1) / (n[1] + 0.2)) - np.log((seen[0][w] + 0.1) / (n[0] + 0.2)) for w, c in seen[1].items()}
-        strength = {w: odds[w] * np.sqrt(seen[1][w]) for w in odds}
-        clean = sorted(seen[0], key=lambda w: (-seen[0][w], w))
+    def __init__(self, words: list[str], clean_texts: np.ndarray, toxic_texts: np.ndarray, sizes: tuple[int, int], toxic_bags: list[list[str]]):
+        """words: all plain words, each once, with how many clean and toxic texts hold it; sizes: how many clean and toxic texts there are;
+        toxic_bags: the plain words of each toxic text. To be calibrated before it scores."""
+        held = {w: (int(c), int(t)) for w, c, t in zip(words, clean_texts, toxic_texts, strict=True) if t}
+        n = sizes
+        odds = {w: np.log((t + 0.1) / (n[1] + 0.2)) - np.log((c + 0.1) / (n[0] + 0.2)) for w, (c, t) in held.items()}
+        strength = {w: odds[w] * np.sqrt(held[w][1]) for w in odds}
+        order = sorted((i for i in range(len(words)) if clean_texts[i]), key=lambda i: (-clean_texts[i], words[i]))
+        clean = [words[i] for i in order]
         rng = np.random.default_rng(1)
-        ranked = sorted((w for w in odds if odds[w] > 1 and seen[1][w] > 1), key=lambda w: (-strength[w], w))
+        ranked = sorted((w for w in odds if odds[w] > 1 and held[w][1] > 1), key=lambda w: (-strength[w], w))
         plain = clean[: LANDMARKS // 4] + [clean[i] for i in rng.permutation(len(clean))[: LANDMARKS // 4]]
         marks = [m for m in map(codes, dict.fromkeys(ranked[: LANDMARKS // 2] + plain)) if m]
         self.landmarks = vectors(marks)
@@ -138,16 +140,16 @@ class ToxicityModel:
         self.whiten = basis[:, keep] / np.sqrt(values[keep])
         # a toxic text's witnesses are its strongest words, and those alike strong
         witness: set[str] = set()
-        for bag, label in zip(bags, labels, strict=True):
-            known = [w for w in bag if label and w in odds and odds[w] > 1 and codes(w)]
+        for bag in toxic_bags:
+            known = [w for w in bag if odds[w] > 1 and codes(w)]
             top = max((strength[w] for w in known), default=0)
             witness.update(w for w in known if top > 0 and strength[w] >= 0.5 * top)
         good = [w for w in clean if codes(w) and w not in witness]
         negatives = set(good[:3000]) | {good[i] for i in rng.permutation(len(good))[:3000]}
-        toxic = [sorted(w for w in bag if codes(w)) for bag, label in zip(bags, labels, strict=True) if label]
-        listed = sorted({w for bag in toxic for w in bag})
+        listed = sorted(w for w in held if codes(w))
         place = {w: i for i, w in enumerate(listed)}
-        toxic = [np.array([place[w] for w in bag], np.int64) for bag in toxic if bag]
+        toxic = [np.array(sorted(place[w] for w in bag if w in place), np.int32) for bag in toxic_bags]
+        toxic = [bag for bag in toxic if len(bag)]
         for _ in range(TURNS):
             # with a letter put in, so that the machine meets such words
             longer = [w[: i] + "abcdefghijklmnopqrstuvwxyz"[c] + w[i:] for w in sorted(witness) if len(w) > 3 for i, c in [(int(rng.integers(2, len(w))), int(rng.integers(0, 26)))]]
@@ -161,10 +163,15 @@ class ToxicityModel:
             # a word that is as usual in clean texts is no witness, whatever it looks like
             found = {listed[i] for i in best[told[best] > -0.5].tolist() if odds[listed[i]] > 0}
             witness = found or witness
-        self.calibration = logistic(self.worst(texts)[:, None], y)
+        del self.landmarks, self.whiten  # the weights hold all that scores need
+
+    def calibrate(self, worst: np.ndarray, labels: np.ndarray) -> None:
+        """worst: the highest margin of each text."""
+        self.calibration = logistic(worst[:, None], labels)
 
     def _features(self, words: list[list[int]]) -> np.ndarray:
-        return np.vstack([kernel(words[i : i + 1000], self.landmarks) @ self.whiten for i in range(0, len(words), 1000)])
+        # 100 words have some 8000 subsequences, of which each meets all landmarks
+        return np.vstack([kernel(words[i : i + 100], self.landmarks) for i in range(0, len(words), 100)]) @ self.whiten
 
     def _fold(self, w: np.ndarray) -> None:
         self.weights, self.bias = self.landmarks.T.astype(np.float64) @ (self.whiten @ w[:-1]), w[-1]
@@ -173,11 +180,11 @@ class ToxicityModel:
     def margins(self, words: list[str]) -> np.ndarray:
         """SVM margin of each word; -2 without letters."""
         out = np.full(len(words), -2.0)
-        for i in range(0, len(words), 5_000):
-            coded = [codes(w) for w in words[i : i + 5_000]]
+        for i in range(0, len(words), 1_000):
+            coded = [codes(w) for w in words[i : i + 1_000]]
             word, sub, weight = subsequences(coded)
             some = np.array([bool(c) for c in coded])
-            out[i : i + 5_000][some] = (np.bincount(word, weight * self.weights[sub], minlength=len(coded)) + self.bias)[some]
+            out[i : i + 1_000][some] = (np.bincount(word, weight * self.weights[sub], minlength=len(coded)) + self.bias)[some]
         return out
 
     def worst(self, words: list[list[str]]) -> np.ndarray:
@@ -203,7 +210,18 @@ def _bags(most_words: int):
         for batch in batches:
             for part in chunks(batch, "text"):
                 words = [list(dict.fromkeys(words_of(t)))[:most_words] for t in part.column("text").to_pylist()]
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("toxic"), pa.array(words, pa.list_(pa.string()))], ["doc_id", "toxic", "words"])
+                listed = [pa.array(x, pa.list_(pa.string())) for x in (words, map(plain_words, words))]
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("toxic"), *listed], ["doc_id", "toxic", "words", "bag"])
+
+    return trimmed(run)
+
+
+def _worst(shared):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = shared.value
+        for batch in batches:
+            worst = model.worst(batch.column("words").to_pylist())
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("toxic"), pa.array(worst, pa.float64())], ["doc_id", "toxic", "worst"])
 
     return trimmed(run)
 
@@ -211,20 +229,28 @@ def _bags(most_words: int):
 def train_toxicity(labelled: DataFrame, docs: DataFrame, most: int = 6000, most_words: int = 4000) -> ToxicityModel | None:
     """Fit on at most `most` labelled rows, those whose hashed doc_ids are least. None unless both labels occur.
 
-    labelled has doc_id and toxic (0 or 1), docs has doc_id and text. The sample, and with it what is broadcast
-    and collected, is bounded by `most` rows, and `most_words` different words of each. Of texts that share a doc_id the
-    one that sorts first is learned from.
+    labelled has doc_id and toxic (0 or 1), docs has doc_id and text. The sample is bounded by `most` rows, and `most_words` different
+    words of each; it stays on the executors. The driver gets its different words with their counts, the words of toxic texts, and
+    a margin of each text. Of texts that share a doc_id the one that sorts first is learned from.
     """
+    scratch = Scratch(docs.sparkSession, "toxicity-sample")
     ids = labelled.where("doc_id is not null and toxic in (0, 1)").select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic"))
     sample = ids.orderBy(F.xxhash64("doc_id"), "doc_id", "toxic").limit(most).collect()
     chosen = docs.sparkSession.createDataFrame(sample, ids.schema) if sample else ids.limit(0)
     rows = docs.where("text is not null").join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "toxic").agg(F.min("text").alias("text"))
-    rows = rows.mapInArrow(_bags(most_words), "doc_id long, toxic int, words array<string>").collect()
-    rows = sorted(rows, key=lambda r: (r["doc_id"], r["toxic"]))
-    if len({r["toxic"] for r in rows}) < 2:
+    bags = scratch.write(rows.mapInArrow(_bags(most_words), "doc_id long, toxic int, words array<string>, bag array<string>"), "bags")
+    sizes = {r["toxic"]: r["n"] for r in bags.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
+    if len(sizes) < 2:
+        scratch.drop("bags")
         return None
-    model = ToxicityModel([r["words"] for r in rows], [r["toxic"] for r in rows])
-    model.cache, model.older = {}, {}
+    held = bags.select("toxic", F.explode("bag").alias("word")).groupBy("word").agg(F.count_if(F.col("toxic") == 0).alias("clean"), F.count_if(F.col("toxic") == 1).alias("toxic")).toArrow()
+    toxic = bags.where("toxic = 1").select("bag").toArrow().column("bag")
+    model = ToxicityModel(held.column("word").to_pylist(), held.column("clean").to_numpy(), held.column("toxic").to_numpy(), (sizes[0], sizes[1]), toxic.to_pylist())
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    worst = bags.mapInArrow(_worst(shared), "doc_id long, toxic int, worst double").toArrow().sort_by([("doc_id", "ascending"), ("toxic", "ascending")])
+    model.calibrate(worst.column("worst").to_numpy(), worst.column("toxic").to_numpy())
+    shared.unpersist()
+    scratch.drop("bags")
     return model
 
 
@@ -245,7 +271,7 @@ def toxicity(docs: DataFrame, labels: DataFrame, most: int = 6000) -> DataFrame:
 
     Rows with crc32(doc_id) mod 5 = 0 are held out of training. Null and empty texts get the score of a text
     without a toxic word; without usable labels all scores are 0. Null and repeated doc_ids pass through. Other
-    columns are ignored. The model is some 10 MB whatever the input.
+    columns are ignored. The model is some 0.2 MB whatever the input.
     """
     Scratch(docs.sparkSession, "toxicity")
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))

@@ -1,12 +1,15 @@
 """What a step holds and moves as tables grow."""
 
 import os
+import pickle
 import random
+import tracemalloc
 import unicodedata
 
 from pyspark.sql import functions as F
 
 from inkframe.functions import text as X
+from inkframe.llm.toxicity import train_toxicity
 from inkframe.operators import search as Q, tracks as R
 from inkframe.sources import segments as G, sinks
 from inkframe.streaming import indexing as S
@@ -94,3 +97,17 @@ def test_sessions_follow_each_other_in_a_task(spark):
         want += [R.record(video, t) for idx, frame in R.frames_of(part) for t in tracker.frame(idx, frame)]
         want += [R.record(video, t) for t in tracker.open]
     assert sorted(str({k: r[k] for k in sorted(r)}) for r in want) == sorted(str({k: r[k] for k in sorted(found.columns)}) for r in found.collect())
+
+
+def test_training_keeps_the_sample_off_the_driver(spark):
+    """Of 400 texts of 1000 words the driver gets the different words, not those of each text, and the model is its weights."""
+    text = F.expr("array_join(transform(sequence(1, 1000), j -> translate(cast(pmod(xxhash64(id, j), 8000) as string), '0123456789', 'abcdefghij')), ' ')")
+    rows = spark.range(400).select(F.col("id").alias("doc_id"), F.when(F.col("id") % 8 == 0, F.concat(text, F.lit(" moron"))).otherwise(text).alias("text"))
+    labels = rows.select("doc_id", (F.col("doc_id") % 8 == 0).cast("int").alias("toxic"))
+    tracemalloc.start()
+    model = train_toxicity(labels, rows)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 45e6 and len(pickle.dumps(model)) < 1e6
+    score = model.scores(["ab cd moron", "ab cd", ""])
+    assert score[0] > 0.5 > score[1] and score[1] >= score[2]
