@@ -107,46 +107,58 @@ def scan(files: DataFrame, templates: list[tuple[str, str]], threshold: float, s
     counts = [(t, name, len(naming[t]), len(weight[t]), len(bags[t])) for t, (name, _) in enumerate(templates)]
     needed = F.broadcast(spark.createDataFrame(counts, "template int, licence string, n_names long, n_terms long, n_words int"))
 
-    def scored(units: DataFrame, *key: str) -> DataFrame:
-        """row, template, licence, score of units (row, key, term), against the template that is in the key or else all."""
+    def weighed(units: DataFrame, *key: str) -> DataFrame:
+        """row, key, term, w of units (row, key, term)."""
         counted = units.groupBy("row", *key, "term").agg(F.count("*").alias("tf")).join(known, "term", "left")
-        counted = counted.withColumn("w", F.col("tf") * F.coalesce("idf", F.lit(unknown)))
-        norms = counted.groupBy("row", *key).agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
-        dots = counted.join(vectors, ["term", *(c for c in key if c == "template")]).groupBy("row", *dict.fromkeys([*key, "template"])).agg(F.sum(F.col("w") * F.col("share")).alias("dot"), F.count_if("names").alias("names"), F.count("*").alias("held"))
-        met = dots.join(needed, "template").where("names = n_names").join(norms, ["row", *key])
-        return met.withColumn("score", F.round(F.col("dot") / F.col("norm"), 6)).where(F.col("score") >= threshold)
+        return counted.withColumn("w", F.col("tf") * F.coalesce("idf", F.lit(unknown)))
 
-    unit = F.concat(F.split("text", "\n"), F.when(F.col("is_file"), F.array("text")).otherwise(F.array().cast("array<string>")))
+    def scored(met: DataFrame) -> DataFrame:
+        return met.withColumn("score", F.round(F.col("dot") / F.col("norm"), 6)).where(F.col("score") >= threshold).select("row", "licence", "score")
+
+    norm, dot = F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"), F.sum(F.col("w") * F.col("share")).alias("dot")
     # few files, read from here on: the pattern is tried once on each text, and words are found once.
     # A window may reach past the end of the file, where there are words without weight
     longest = max(map(len, bags))
     padded = F.concat(words(F.col("text")), F.array_repeat(F.lit(""), longest))
-    hits = scratch.write(files.where(F.lower("text").rlike(any_of)).dropDuplicates(["row"]).withColumn("w", padded), "hits")
-    lines = hits.select("row", F.posexplode(unit).alias("at", "line")).where(F.lower("line").rlike(any_of))
-    by_line = scored(lines.select("row", "at", F.explode(words(F.col("line"))).alias("term")), "at").select("row", "licence", "score")
+    told = F.array_compact(F.transform("w", lambda t, i: F.when(t.isin(sorted(telling)), i)))
+    hits = scratch.write(files.where(F.lower("text").rlike(any_of)).withColumn("w", padded).withColumn("told", told), "hits")
+    # Lines and stretches are dealt out once, and all that follows keeps to their keys, so that it needs no further exchange.
+    # Equal files fall together here
+    unit = F.concat(F.split("text", "\n"), F.when(F.col("is_file"), F.array("text")).otherwise(F.array().cast("array<string>")))
+    lines = hits.select("row", F.posexplode(unit).alias("at", "line")).where(F.lower("line").rlike(any_of)).dropDuplicates(["row", "at"])
+    of_lines = weighed(lines.select("row", "at", F.explode(words(F.col("line"))).alias("term")), "at")
+    dots = of_lines.join(vectors, "term").groupBy("row", "at", "template").agg(dot, F.count_if("names").alias("names"))
+    by_line = scored(dots.join(needed, "template").where("names = n_names").join(of_lines.groupBy("row", "at").agg(norm), ["row", "at"]))
 
     # a window that matches has a telling term, so that only stretches around these leave a file
-    told = F.array_compact(F.transform("w", lambda t, i: F.when(t.isin(sorted(telling)), i)))
-    around = F.array_distinct(F.flatten(F.transform(told, lambda p: F.sequence(F.greatest(p - longest, F.lit(0)), F.least(p + longest, F.size("w") - 1)))))
-    squares = F.broadcast(spark.createDataFrame([(w, x * x) for w, x in idf.items()] + [("", 0.0)], "term string, square double"))
-    listed = hits.select("row", F.explode(F.transform(around, lambda p: F.struct(p.alias("at"), F.element_at("w", p + 1).alias("term")))).alias("x")).select("row", "x.at", "x.term")
-    along = Window.partitionBy("row").orderBy("at")
-    listed = listed.join(squares, "term", "left").select("row", (F.col("at") - F.row_number().over(along)).alias("stretch"), "at", "term", F.coalesce("square", F.lit(unknown * unknown)).alias("square"))
-    listed = scratch.write(listed, "words")
+    apart = lambda p, q: q - p > 2 * longest + 1
+    first = F.filter("told", lambda p, i: (i == 0) | apart(F.get("told", i - 1), p))
+    last = F.filter("told", lambda p, i: (i == F.size("told") - 1) | apart(p, F.get("told", i + 1)))
+    spans = F.zip_with(first, last, lambda p, q: F.struct(F.greatest(p - longest, F.lit(0)).alias("stretch"), F.least(q + longest, F.size("w") - 1).alias("end")))
+    stretches = hits.select("row", "w", F.explode(spans).alias("x")).select("row", "x.stretch", F.slice("w", F.col("x.stretch") + 1, F.col("x.end") - F.col("x.stretch") + 1).alias("ws")).dropDuplicates(["row", "stretch"])
     # and most of its template's words, so that few templates are left for a stretch
-    held = listed.select("row", "stretch", "term").distinct().join(vectors, "term").groupBy("row", "stretch", "template").agg(F.count("*").alias("held"), F.count_if("names").alias("names"))
-    tried = held.join(needed, "template").where((F.col("names") == F.col("n_names")) & (F.col("held") >= HELD * F.col("n_terms"))).select("row", "stretch", "template", "n_words")
+    listed = [(t, len(bags[t]), sorted(v), sorted(naming[t])) for t, v in enumerate(weight)]
+    listed = F.broadcast(spark.createDataFrame(listed, "template int, n_words int, terms array<string>, naming array<string>"))
+    holds = stretches.withColumn("held", F.array_intersect("ws", F.array(*map(F.lit, terms))))
+    enough = (F.size(F.array_except("naming", "held")) == 0) & (F.size(F.array_intersect("terms", "held")) >= HELD * F.size("terms"))
+    tried = holds.join(listed, enough).select("row", "stretch", "template", "n_words", F.posexplode("ws").alias("at", "term"))
+    squares = F.broadcast(spark.createDataFrame([(w, x * x) for w, x in idf.items()] + [("", 0.0)], "term string, square double"))
     gains = F.broadcast(spark.createDataFrame([(t, w, x * idf[w] / size[t]) for t, v in enumerate(weight) for w, x in v.items()], "template int, term string, gain double"))
-    each = listed.join(tried, ["row", "stretch"]).join(gains, ["template", "term"], "left")
+    each = tried.join(squares, "term", "left").join(gains, ["template", "term"], "left")
     so_far = Window.partitionBy("row", "stretch", "template").orderBy("at").rowsBetween(Window.unboundedPreceding, -1)
-    total = lambda c: F.coalesce(F.sum(c).over(so_far), F.lit(0.0))
-    sums = each.select("row", "stretch", "template", "at", "term", "n_words", total("square").alias("q"), total(F.coalesce("gain", F.lit(0.0))).alias("g"))
-    ends = sums.select("row", "stretch", "template", (F.col("at") - F.col("n_words")).alias("at"), F.col("q").alias("q_end"), F.col("g").alias("g_end"))
-    near = sums.where("term <> ''").join(ends, ["row", "stretch", "template", "at"])
-    near = near.where(F.col("g_end") - F.col("g") >= 0.999 * threshold * F.sqrt(F.col("q_end") - F.col("q"))).select("row", F.col("at").alias("start"), "template", "n_words")
-    spots = near.select("row", "start", "template", F.explode(F.sequence(F.col("start"), F.col("start") + F.col("n_words") - 1)).alias("at"))
-    inside = spots.join(listed.where("term <> ''").select("row", "at", "term"), ["row", "at"]).select("row", "start", "template", "term")
-    by_window = scored(inside, "start", "template").where(F.col("held") >= HELD * F.col("n_terms")).select("row", "licence", "score")
+    total = lambda c, other: F.coalesce(F.sum(F.coalesce(c, F.lit(other))).over(so_far), F.lit(0.0))
+    sums = each.select("row", "stretch", "template", "at", "term", "n_words", total("square", unknown * unknown).alias("q"), total("gain", 0.0).alias("g"))
+    # sums before a window's first word meet those before the word after its last
+    opens, closes = F.struct(F.col("at").alias("start"), (F.col("term") != "").alias("opens")), F.struct((F.col("at") - F.col("n_words")).alias("start"), F.lit(None).cast("boolean").alias("opens"))
+    ends = sums.select("row", "stretch", "template", "n_words", "q", "g", F.explode(F.array(opens, closes)).alias("x")).where("x.start >= 0").select("*", "x.start", "x.opens")
+    at_start = lambda c: F.max(F.when(F.col("opens"), F.col(c)))
+    at_end = lambda c: F.max(F.when(F.col("opens").isNull(), F.col(c)))
+    near = ends.groupBy("row", "stretch", "template", "n_words", "start").agg((at_end("q") - at_start("q")).alias("q"), (at_end("g") - at_start("g")).alias("g"))
+    near = near.where(F.col("g") >= 0.999 * threshold * F.sqrt("q")).select("row", "stretch", "template", "n_words", "start")
+    inside = near.join(stretches, ["row", "stretch"]).select("row", "stretch", "start", "template", F.explode(F.slice("ws", F.col("start") + 1, F.col("n_words"))).alias("term")).where("term <> ''")
+    window = ["row", "stretch", "start", "template"]
+    of_windows = weighed(inside, *window[1:]).join(vectors, ["term", "template"], "left").groupBy(*window).agg(norm, dot, F.count_if("names").alias("names"), F.count("share").alias("held"))
+    by_window = scored(of_windows.join(needed, "template").where((F.col("names") == F.col("n_names")) & (F.col("held") >= HELD * F.col("n_terms"))))
     scored_units = by_line.unionByName(by_window)
     best = scored_units.groupBy("row").agg(F.min(F.struct((F.col("licence") == WEAKEST).alias("last"), (-F.col("score")).alias("s"), "licence")).alias("b"))
     return best.select("row", F.col("b.licence").alias("licence"), (-F.col("b.s")).alias("score"))

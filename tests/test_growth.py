@@ -3,12 +3,15 @@
 import os
 import pickle
 import random
+import re
 import tracemalloc
 import unicodedata
 
 from pyspark.sql import functions as F
 
 from inkframe.functions import text as X
+from inkframe.llm.license_scan import scan
+from inkframe.llm.scratch import Scratch
 from inkframe.llm.toxicity import train_toxicity
 from inkframe.operators import search as Q, tracks as R
 from inkframe.sources import segments as G, sinks
@@ -111,3 +114,20 @@ def test_training_keeps_the_sample_off_the_driver(spark):
     assert peak < 45e6 and len(pickle.dumps(model)) < 1e6
     score = model.scores(["ab cd moron", "ab cd", ""])
     assert score[0] > 0.5 > score[1] and score[1] >= score[2]
+
+
+def test_licence_units_are_dealt_out_once(spark):
+    """Lines and stretches of words move by their keys and not again by word, template or place; a file in two copies, with its notice far behind."""
+    mit, prose = "Released under the MIT License.", "some words of prose that grant nothing at all " * 90
+    rows = [("a/x.txt", f"{prose} granted {prose} released under\nthe MIT license {prose}")] * 2 + [("a/y.txt", mit), ("b/z.txt", prose)]
+    files = spark.createDataFrame(rows, "path string, text string").select(F.struct(F.xxhash64("path", "text"), F.hash("path", "text")).alias("row"), "path", "text", F.lit(False).alias("is_file"))
+    templates = [("MIT", mit), ("MIT", "Permission is hereby granted, free of charge, to any person obtaining a copy"), ("GPL-3.0", "GNU General Public License, version 3.")]
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = scan(files, templates, 0.6, Scratch(spark, "growth"))
+        keys = {tuple(re.sub(r"#\d+", "", k).split(", ")[:-1]) for k in re.findall(r"Exchange hashpartitioning\(([^)]*)\)", plan(found))}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10m")
+    assert keys and keys <= {("row", "at"), ("row", "stretch"), ("row",)}
+    own = {r["row"]: (r["licence"], r["score"]) for r in found.collect()}
+    assert sorted((r["path"], own.get(r["row"])) for r in files.distinct().collect()) == [("a/x.txt", ("MIT", 1.0)), ("a/y.txt", ("MIT", 1.0)), ("b/z.txt", None)]
