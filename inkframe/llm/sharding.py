@@ -55,7 +55,7 @@ def _propagate(linked: DataFrame, capacity: list[int], total: int, rounds: int,
     k = len(capacity)
     all_, large = range(k), F.col("n") * 8 > max(capacity)
     state = scratch.write(linked.select("rid", "key", F.pmod(F.xxhash64("rid", F.lit("first")), F.lit(k)).cast("int").alias("shard")), "state-0")
-    slack = max(capacity) // 50  # the last places of a shard are filled when nothing else moves
+    near = slack = max(capacity) // 50  # the last places of a shard are filled when nothing else moves
     for step in range(1, rounds + 1):
         groups = state.groupBy("key").agg(F.count("*").alias("n"), *[F.count_if(F.col("shard") == s).alias(f"c{s}") for s in all_])
         groups = scratch.write(groups.withColumn("large", large), f"groups-{step}")
@@ -71,23 +71,27 @@ def _propagate(linked: DataFrame, capacity: list[int], total: int, rounds: int,
         whole = [F.struct(F.when(crowded[s], -1).otherwise(F.col(f"c{s}")).alias("c"), F.lit(room[s] > 0).alias("r"), tie[s].alias("h"), F.lit(s).alias("s")) for s in all_]
         best = F.array_max(F.array(*whole))
         groups = groups.withColumn("best", F.when(F.col("large"), F.array_max(F.array(*open_))).otherwise(best) if open_ else F.when(~F.col("large"), best))
-        leaves = [(F.col("best.s") != s) & (~F.col("large") | (F.struct(F.col(f"c{s}"), tie[s]) < F.struct("best.c", "best.h"))) for s in all_]
+        # where a large group has all but filled a shard it stays, but for what chance brought beyond its places
+        beyond = [min(1.0, -b / n) if b < 0 else 0.0 for b, n in zip(beside, by_large, strict=True)]
+        goes = [F.lit(bool(beyond[s])) | (F.struct(F.col(f"c{s}"), tie[s]) < F.struct("best.c", "best.h")) & ~(F.lit(beside[s] <= near) & (F.col(f"c{s}") * 2 > capacity[s])) for s in all_]
+        leaves = [(F.col("best.s") != s) & (~F.col("large") | goes[s]) for s in all_]
         groups = groups.withColumn("leaves", F.array(*[F.coalesce(x & (F.col(f"c{s}") > 0), F.lit(False)) for s, x in enumerate(leaves)])).where(F.exists("leaves", lambda x: x))
         bound = groups.groupBy("large", F.col("best.s").alias("to")).agg(*[F.sum(F.when(F.get("leaves", F.lit(s)), F.col(f"c{s}")).otherwise(0)).alias(f"c{s}") for s in all_]).collect()  # a row for each shard, twice
-        wish = sum(r[f"c{s}"] for r in bound for s in all_)
+        part = [b or 1.0 for b in beyond]
+        wish = sum(r[f"c{s}"] * (part[s] if r["large"] else 1) for r in bound for s in all_)
         if not wish or slack == 0 and wish * 1000 < total:
             break
         slack = slack if wish * 1000 >= total and step < rounds // 2 else 0
         flow = {b: [[0] * k for _ in all_] for b in (True, False)}
         for r in bound:
             for s in all_:
-                flow[r["large"]][s][r["to"]] = r[f"c{s}"]
+                flow[r["large"]][s][r["to"]] = r[f"c{s}"] * (part[s] if r["large"] else 1)
         shares = {True: [min(1.0, beside[t] / n) if (n := sum(flow[True][s][t] for s in all_)) else 0.0 for t in all_]}
         net = [sum(flow[True][s][t] * shares[True][t] - flow[True][t][s] * shares[True][s] for s in all_) for t in all_]
         shares[False] = _shares(flow[False], [r - n for r, n in zip(room, net, strict=True)])
         let_in = F.when(F.col("large"), F.get(F.array(*map(F.lit, shares[True])), F.col("best.s"))).otherwise(F.get(F.array(*map(F.lit, shares[False])), F.col("best.s")))
         # a large group is let in document by document, a small one as a whole
-        luck = F.when(F.col("large"), _unit(F.col("rid"), F.lit(step))).otherwise(_unit(F.col("key"), F.lit(step)))
+        luck = F.when(F.col("large"), _unit(F.col("rid"), F.lit(step)) / F.get(F.array(*map(F.lit, part)), F.col("shard"))).otherwise(_unit(F.col("key"), F.lit(step)))
         told = scratch.write(groups.select("key", "n", "leaves", F.col("best.s").alias("to"), "large", let_in.alias("let_in")), f"moves-{step}")
         moved = _by_key(state, told, total).select("rid", "key", F.when(F.get("leaves", F.col("shard")) & (luck < F.col("let_in")), F.col("to")).otherwise(F.col("shard")).alias("shard"))
         often = F.col("n") * HOT > total
