@@ -41,7 +41,10 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     """Keep the least doc_id of each group that Jaccard links of five-word shingles at 0.8 connect. Texts without words link to nothing and
     stay; rows with a null doc_id are in no group; of rows equal in doc_id and text one stays."""
     groups = jaccard_groups(docs, words=5, similarity=(80, 100))
-    return _kept(docs, groups.where("component_id = doc_id or component_id is null")).dropDuplicates(["doc_id", "text"])
+    ids = groups.where("component_id = doc_id").select(F.col("doc_id").alias("__id")).distinct()
+    # texts are dealt out by doc_id once: what shares doc_id and text is then together; a comparison that takes nulls as equal would deal them out anew
+    kept = docs.join(ids.hint("shuffle_hash"), docs["doc_id"] == ids["__id"], "left_semi").dropDuplicates(["doc_id", "text"])
+    return kept.unionByName(docs.where("doc_id is null").dropDuplicates(["doc_id", "text"]))
 
 
 def leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

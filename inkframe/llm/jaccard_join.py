@@ -35,7 +35,7 @@ from .scratch import Scratch
 #: Least bits of a row of the parity table; larger sets have as many bits as shingles, or up to twice as many.
 PARTS = 256
 #: Part of the documents whose shingles tell which are common, and the count there that makes one so.
-#: This only sets the order of the shingles; any order gives the same links.
+#: This only sets the order of the shingles and whose regions are counted before they meet; the links are the same in any case.
 ORDER_PART, COMMON, COMMON_KEPT = 8, 5, 1 << 19
 #: A region of more documents is divided into pairs of blocks of so many.
 REGION_BLOCK = 4096
@@ -86,7 +86,7 @@ def _sampled_counts(k: int):
 
 def common_pivots(docs: DataFrame, k: int) -> np.ndarray:
     """Shingles that recur in a fixed part of the corpus, rarest first; at most COMMON_KEPT (4 MB), as the order is free."""
-    part = docs.where(F.pmod(F.xxhash64("doc_id"), F.lit(ORDER_PART)) == 0).select("text")
+    part = docs.where(F.pmod(F.xxhash64("doc_id", "text"), F.lit(ORDER_PART)) == 0).select("text")
     counts = part.mapInArrow(_sampled_counts(k), "shingle long, n long").groupBy("shingle").agg(F.sum("n").alias("n")).where(F.col("n") >= COMMON)
     rows = counts.orderBy(F.desc("n"), "shingle").limit(COMMON_KEPT).toArrow()
     return rows.column("shingle").to_numpy().view(U)[::-1].copy()
@@ -159,7 +159,7 @@ def _described(k: int, num: int, den: int, hot):
         told: set[int] = set()
         for batch in batches:
             for part in chunks(batch, "text"):
-                n, cls, table, regions = [], [], [], []
+                n, cls, table, regions, common = [], [], [], [], []
                 named = part.column("doc_id").is_valid().to_pylist()
                 for s, has_id in zip(shingle_sets(*text_buffers(part.column("text")), k), named, strict=True):
                     n.append(len(s))
@@ -168,12 +168,17 @@ def _described(k: int, num: int, den: int, hot):
                     if c in told or not len(s) or not has_id:
                         table.append(None)
                         regions.append(None)
+                        common.append(None)
                         continue
                     if len(told) < 1 << 17:
                         told.add(c)
                     table.append(_bits(s))
-                    regions.append(_window(s, keys, ranks, num, den).view(np.int64))
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(n, pa.int64()), pa.array(cls, pa.int64()), pa.array(table, pa.binary()), pa.array(regions, pa.list_(pa.int64()))], ["doc_id", "n", "cls", "bits", "regions"])
+                    own = _window(s, keys, ranks, num, den)
+                    often = keys[np.minimum(np.searchsorted(keys, own), len(keys) - 1)] == own if len(keys) else np.zeros(len(own), bool)
+                    regions.append(own[~often].view(np.int64))
+                    common.append(own[often].view(np.int64))
+                lists = [pa.array(x, pa.list_(pa.int64())) for x in (regions, common)]
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(n, pa.int64()), pa.array(cls, pa.int64()), pa.array(table, pa.binary()), *lists], ["doc_id", "n", "cls", "bits", "regions", "common"])
 
     return trimmed(run)
 
@@ -389,21 +394,32 @@ def _near_in_hot(rows: DataFrame, num: int, den: int) -> DataFrame:
 
 
 def _described_regions(docs: DataFrame, words: int, num: int, den: int, scratch: Scratch) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Documents with their class, classes, and the regions in which classes meet."""
+    """Documents with their class, classes, and the regions in which classes meet.
+
+    A region of many documents is one of a common shingle, as these recur in a part of the corpus too: only such regions are counted, and the few
+    that are large (at most COMMON_KEPT) are broadcast, so that rows of regions are exchanged once. A large region of another shingle, should the part
+    have missed it or COMMON_KEPT cut it off, meets in one task like a small one, with the same result.
+    """
     spark = docs.sparkSession
     hot = spark.sparkContext.broadcast(common_pivots(docs, words))
-    told = scratch.write(docs.mapInArrow(_described(words, num, den, hot), "doc_id long, n long, cls long, bits binary, regions array<long>"), "told")
+    told = scratch.write(docs.mapInArrow(_described(words, num, den, hot), "doc_id long, n long, cls long, bits binary, regions array<long>, common array<long>"), "told")
     classes = told.where("n > 0 and doc_id is not null").groupBy("cls").agg(F.min("doc_id").alias("rep"), F.count("*").alias("weight"), F.max("n").alias("n"), F.max("bits").alias("bits"))
     classes = scratch.write(classes, "classes")
-    rows = told.where("doc_id is not null").select(F.explode("regions").alias("region"), "cls", "n")
-    hot_ones = rows.groupBy("region").agg(F.count("*").alias("rows")).where(F.col("rows") > REGION_BLOCK).select("region", F.lit(True).alias("hot"))
-    rows = rows.join(hot_ones, "region", "left")
-    met = _near_in_size(rows.where("hot is null").select("region", "cls", "n"), num, den).unionByName(_near_in_hot(rows.where("hot").select("region", "cls", "n"), num, den))
+    named = told.where("doc_id is not null")
+    hot_ones = named.select(F.explode("common").alias("region")).groupBy("region").count().where(F.col("count") > REGION_BLOCK).select("region")
+    hot_ones = F.broadcast(scratch.write(hot_ones, "hot"))
+    rows = named.select(F.explode(F.concat("regions", "common")).alias("region"), "cls", "n").join(hot_ones, "region", "left_anti")
+    hot_rows = named.select(F.explode("common").alias("region"), "cls", "n").join(hot_ones, "region", "left_semi")
+    met = _near_in_size(rows, num, den).unionByName(_near_in_hot(hot_rows, num, den))
     blocks = F.ceil(F.col("size") / REGION_BLOCK)
     own = F.pmod(F.xxhash64("cls", "region"), blocks)
     parts = F.transform(F.sequence(F.lit(0).cast("long"), blocks - 1), lambda j: F.xxhash64("region", F.least(own, j), F.greatest(own, j)))
     met = met.select(F.explode(F.when(F.col("size") > REGION_BLOCK, parts).otherwise(F.array("region"))).alias("region"), "cls")
-    return told, classes, scratch.write(met, "met")
+    met = scratch.write(met, "met")
+    told = scratch.write(told.select("doc_id", "n", "cls"), "documents")
+    scratch.drop("told", "hot")
+    scratch.release()
+    return told, classes, met
 
 
 def _dealt(members: DataFrame, sets: DataFrame, num: int, den: int, counting: bool) -> DataFrame:
@@ -437,6 +453,7 @@ def jaccard_groups(docs: DataFrame, words: int = 5, similarity: tuple[int, int]
     told, classes, met = _described_regions(docs, words, num, den, scratch)
     dealt = met.join(classes.select("cls", "n", "bits"), "cls").select("region", "cls", "n", "bits").repartition("region").sortWithinPartitions("region", "cls")
     edges = scratch.write(dealt.mapInArrow(_forest(num, den), "a long, b long").distinct(), "edges")
+    scratch.release()
     clusters = scratch.write(components(edges, scratch, "clusters"), "in-clusters")
     scratch.drop("met", "edges")
 
@@ -449,6 +466,7 @@ def jaccard_groups(docs: DataFrame, words: int = 5, similarity: tuple[int, int]
     wanted = placed.select("cls", F.col("rep").alias("doc_id"))
     texts = docs.join(wanted.hint("shuffle_hash"), "doc_id")
     sets = scratch.write(texts.select("cls", "text").mapInArrow(_sets(words), "cls long, shingles binary"), "sets")
+    scratch.release()
 
     pivot = F.col("cls") == F.col("cluster")  # the root is the least class
     first = placed.select("cls", F.col("cls").alias("comp"), "weight", F.xxhash64("cluster", "own").alias("block"), F.lit(-1).alias("side"))
@@ -482,7 +500,7 @@ def jaccard_groups(docs: DataFrame, words: int = 5, similarity: tuple[int, int]
     cols = ["doc_id", F.col("n").alias("n_shingles"), F.when(known, F.coalesce("component_id", "doc_id")).alias("component_id"), F.col("cls").alias("class_id")]
     if count_links:
         cols.append(F.when(known, F.coalesce("links", F.lit(0))).otherwise(0).cast("long").alias("n_links"))
-    scratch.drop("placed", "several")
+    scratch.drop("placed", "several", "sets")
     return out.select(*cols)
 
 

@@ -9,7 +9,9 @@ import unicodedata
 
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from inkframe.functions import text as X
+from inkframe.llm import jaccard_join as J
 from inkframe.llm.license_scan import scan
 from inkframe.llm.scratch import Scratch
 from inkframe.llm.toxicity import train_toxicity
@@ -131,3 +133,39 @@ def test_licence_units_are_dealt_out_once(spark):
     assert keys and keys <= {("row", "at"), ("row", "stretch"), ("row",)}
     own = {r["row"]: (r["licence"], r["score"]) for r in found.collect()}
     assert sorted((r["path"], own.get(r["row"])) for r in files.distinct().collect()) == [("a/x.txt", ("MIT", 1.0)), ("a/y.txt", ("MIT", 1.0)), ("b/z.txt", None)]
+
+
+def test_regions_are_dealt_out_once(spark, monkeypatch):
+    """Rows of all regions meet by one exchange; only those of common shingles are counted, and large ones among them are told to all tasks."""
+    for name, least in (("REGION_BLOCK", 3), ("ORDER_PART", 1), ("COMMON", 2)):
+        monkeypatch.setattr(J, name, least)
+    trees, large, write = {}, [], Scratch.write
+
+    def watched(self, df, table):
+        trees[table] = plan(df)
+        out = write(self, df, table)
+        large.extend(out.collect() if table == "hot" else [])
+        return out
+
+    monkeypatch.setattr(Scratch, "write", watched)
+    rng = random.Random(7)
+    base, other = ([f"{c}{i}" for i in range(60)] for c in "vu")
+    rows = [(i, " ".join([*(base if i % 3 else other), *(f"z{i}-{j}" for j in range(rng.randrange(3)))])) for i in range(40)] + [(100 + i, " ".join(f"y{i}-{j}" for j in range(60))) for i in range(9)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    got = J.jaccard_groups(docs, 3, (90, 100), count_links=True).collect()
+    assert {r["doc_id"]: r["component_id"] for r in got} == {i: i if i >= 100 else 0 if i % 3 == 0 else 1 for i, _ in rows}
+    assert {r["doc_id"]: r["n_links"] for r in got} == {i: 0 if i >= 100 else 13 if i % 3 == 0 else 25 for i, _ in rows}
+    assert len([x for x in trees["met"].split("\n") if "Generate explode" in x and "regions" in x]) == 1
+    assert large
+
+
+def test_near_duplicates_deal_texts_out_once(spark):
+    """Texts move by doc_id, and no second time to find what shares it; rows equal in both are one, also where the doc_id is null."""
+    a, b, c = (" ".join(f"{x}{i}" for i in range(40)) for x in "abc")
+    rows = [(None, a), (None, a), (None, b), (None, None), (5, c), (5, c), (5, b), (6, None), (6, None), (7, c), (9, f"{b} z")]
+    docs = spark.createDataFrame([(t, i, "s") for i, t in rows], "text string, doc_id long, source string")
+    found = corpus_pipeline.near_duplicates(spark, docs, "")
+    keys = [re.sub(r"#\d+L?", "", k) for k in re.findall(r"Exchange hashpartitioning\((.*), \d+\), ENSURE", plan(found))]
+    assert keys.count("doc_id, text") <= 1 and not any("coalesce(doc_id" in k for k in keys)
+    assert found.columns == docs.columns
+    assert sorted(((r["doc_id"], r["text"]) for r in found.collect()), key=str) == sorted({r for r in rows if r[0] not in (7, 9)}, key=str)
