@@ -87,6 +87,30 @@ def test_an_index_is_small(spark, tmp_path):
     assert homes.count() <= 8
 
 
+def test_texts_are_not_exchanged_for_hits(spark, tmp_path):
+    """Candidates come to the records; a large batch may still exchange them."""
+    records, folder = corpus(spark, 90, WORDS, 30), str(tmp_path)
+    G.add_segment(records, folder)
+    asked = spark.createDataFrame([("q0", "phở bò"), ("q1", "the")], "qid string, query string")
+    index = G.TermIndex(spark, folder)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        lines = re.findall(r"^[ :]*[+:]- .*", plan(Q.search(index.records(), asked, top_k=5, index=index)), re.M)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10m")
+    scans = [i for i, line in enumerate(lines) if "FileScan" in line and "[" in line and "text#" in line.split("Batched")[0]]
+    assert scans
+    for i in scans:
+        above, depth = [], lines[i].index("FileScan")
+        for up in reversed(lines[:i]):
+            at = len(up) - len(up.lstrip(" :+-"))
+            if at < depth:
+                above.append(up.strip(" :+-").split(" ")[0].split("(")[0])
+                depth = at
+        join = next(k for k, name in enumerate(above) if "Join" in name)
+        assert "Exchange" not in above[:join], above
+
+
 def test_matches_are_dealt_out_by_block_once(spark, tmp_path):
     """Document frequencies and scores read one exchange of packed postings, in as many parts as the index has buckets."""
     G.add_segment(corpus(spark, 90, WORDS, 30), str(tmp_path))
