@@ -33,7 +33,7 @@ def rows_of(df, *columns):
 
 def told(spark, segment):
     """What postings and blocks say, as occurrences."""
-    met = segment.postings().join(segment.table("blocks"), "block").select("term", "col", "records", F.explode(F.arrays_zip("at", "positions")).alias("o"))
+    met = segment.postings().where("term <> ''").join(segment.table("blocks"), "block").select("term", "col", "records", F.explode(F.arrays_zip("at", "positions")).alias("o"))
     col = F.explode(F.when(F.col("col") == G.BOTH, F.array(*map(F.lit, G.COLUMNS))).otherwise(F.array("col"))).alias("col")
     rows = met.select("term", col, F.get("records", F.col("o.at")).alias("r"), F.col("o.positions").alias("positions"))
     return rows.select("term", "col", "r.id", "r.d", F.explode("positions").alias("pos"))
@@ -58,13 +58,23 @@ def test_an_index_holds_every_occurrence(spark, tmp_path, monkeypatch):
             assert sum(s.stats["n_rows"] for s in segments) == 301 and sum(s.stats["total"] for s in segments) == len(want)
 
 
+def test_search_forms_with_the_terms_of_texts(spark):
+    """Only where a letter stays different in index terms are both columns taken apart."""
+    letters = [chr(c) for a, b in ((0x20, 0x250), (0x370, 0x400), (0x1E00, 0x2000)) for c in range(a, b)]
+    rows = spark.createDataFrame([(c,) for c in letters], "c string").withColumn("u", X.unsigned_of_clean(F.col("c")))
+    differ = {r["c"] for r in rows.where(Q.terms(F.col("c")) != Q.terms(F.col("u"))).collect()}
+    assert differ and all(re.fullmatch(f"[{G.DIFFERENT}]", c) for c in differ)
+
+
 def test_blocks_are_cut_where_they_end_and_where_texts_are_long(monkeypatch):
     monkeypatch.setattr(G, "TERMS_AT_ONCE", 6)
     texts = [["x", "y", "x"], ["y"], [], ["x"] * 20, ["z"], ["y", "z"]]
     batch = pa.RecordBatch.from_pydict({"part": pa.array([1] * 6, pa.int32()), "block": pa.array([5, 5, 5, 5, 8, 8]), "col": pa.array([G.BOTH] * 6), "at": pa.array([0, 1, 2, 3, 0, 1], pa.int32()), "ts": pa.array(texts, pa.list_(pa.string()))})
     rows = [r for b in G._blocked(iter([batch.slice(0, 0), batch])) for r in b.to_pylist()]
-    assert sorted((r["block"], at, p, r["term"]) for r in rows for at, ps in zip(r["at"], r["positions"], strict=True) for p in ps) == sorted((b, at, p, t) for b, at, ts in zip([5, 5, 5, 5, 8, 8], [0, 1, 2, 3, 0, 1], texts, strict=True) for p, t in enumerate(ts))
-    assert sorted((r["term"], r["at"]) for r in rows if r["block"] == 8) == [("y", [1]), ("z", [0, 1])]
+    told = [(r["block"], at, n) for r in rows if not r["term"] for at, (n,) in zip(r["at"], r["positions"], strict=True)]
+    assert sorted(told) == [(5, 0, 3), (5, 1, 1), (5, 2, 0), (5, 3, 20), (8, 0, 1), (8, 1, 2)]
+    assert sorted((r["block"], at, p, r["term"]) for r in rows if r["term"] for at, ps in zip(r["at"], r["positions"], strict=True) for p in ps) == sorted((b, at, p, t) for b, at, ts in zip([5, 5, 5, 5, 8, 8], [0, 1, 2, 3, 0, 1], texts, strict=True) for p, t in enumerate(ts))
+    assert sorted((r["term"], r["at"]) for r in rows if r["term"] and r["block"] == 8) == [("y", [1]), ("z", [0, 1])]
     monkeypatch.setattr(G, "FOLD_BYTES", 100)
     held = pa.Table.from_pylist(rows, G._by_block(batch).schema).append_column("home", pa.array([k % 3 for k in range(len(rows))], pa.int32()))
     folded = list(G._folded(iter(held.to_batches(max_chunksize=1))))
