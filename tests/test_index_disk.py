@@ -75,9 +75,8 @@ def test_blocks_are_cut_where_they_end_and_where_texts_are_long(monkeypatch):
     assert sorted(told) == [(5, 0, 3), (5, 1, 1), (5, 2, 0), (5, 3, 20), (8, 0, 1), (8, 1, 2)]
     assert sorted((r["block"], at, p, r["term"]) for r in rows if r["term"] for at, ps in zip(r["at"], r["positions"], strict=True) for p in ps) == sorted((b, at, p, t) for b, at, ts in zip([5, 5, 5, 5, 8, 8], [0, 1, 2, 3, 0, 1], texts, strict=True) for p, t in enumerate(ts))
     assert sorted((r["term"], r["at"]) for r in rows if r["term"] and r["block"] == 8) == [("y", [1]), ("z", [0, 1])]
-    monkeypatch.setattr(G, "FOLD_BYTES", 100)
     held = pa.Table.from_pylist(rows, G._by_block(batch).schema).append_column("home", pa.array([k % 3 for k in range(len(rows))], pa.int32()))
-    folded = list(G._folded(iter(held.to_batches(max_chunksize=1))))
+    folded = list(G._folded(100)(iter(held.to_batches(max_chunksize=1))))
     assert len(folded) > 1 and sorted(map(str, rows)) == sorted(str(r) for f in folded for b in G._unfolded(iter([f])) for r in b.to_pylist())
 
 
@@ -93,7 +92,7 @@ def test_an_index_is_small(spark, tmp_path):
     placed = G._placed(spark.read.parquet(f"{segment.at}/records"), segment.name)
     dealt = G._dealt(G._packed(placed), 4)
     assert dealt._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1
-    homes = G._packed(placed).select(F.pmod(F.hash("term", "part"), F.lit(4)).alias("home"), "*").mapInArrow(G._folded, "home int, folded binary")
+    homes = G._packed(placed).select(F.pmod(F.hash("term", "part"), F.lit(4)).alias("home"), "*").mapInArrow(G._folded(G.LEAST_FOLDED), "home int, folded binary")
     assert homes.count() <= 8
 
 
